@@ -19,12 +19,14 @@ def metric(text: Column, key: str) -> Column:
     return F.regexp_extract(text, f"{key}:([^,]+)", 1)
 
 
-def rate(text: Column, key: str, missing: str | None = None) -> Column:
-    """A percent metric as decimal(5,2); junk, overflow and the sentinel give NULL."""
-    found = metric(text, key)
-    if missing is not None:
-        found = F.nullif(found, F.lit(missing))
-    return F.replace(found, F.lit("%"), F.lit("")).try_cast("decimal(5,2)")
+def rest_of_line(text: Column, key: str) -> Column:
+    return F.regexp_extract(text, f"{key}:([^\\n]+)", 1)
+
+
+def rate(text: Column, key: str) -> Column:
+    """A percent metric as decimal(5,2). Junk, overflow and the sentinel ``N/A%``
+    hold no number that fits and give NULL."""
+    return F.replace(metric(text, key), F.lit("%"), F.lit("")).try_cast("decimal(5,2)")
 
 
 def size(text: Column, key: str) -> Column:

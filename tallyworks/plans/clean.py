@@ -137,14 +137,16 @@ def monitor_log(sheet: DataFrame, prefixes: Sequence[str] = CONTENT_PREFIXES) ->
     the text.
     """
     kept = sheet.filter((F.col("target_ip") != "") & F.col("monitor_kind").isNotNull())
-    body = text.without_prefixes(F.col("mon_content"), prefixes)
+    # its own column: used by eleven expressions, the text is cut once per row
+    kept = kept.withColumn("_body", text.without_prefixes(F.col("mon_content"), prefixes))
+    body = F.col("_body")
 
     def only(kind: str, value):
         return F.when(F.col("monitor_kind") == kind, value)
 
     parsed = kept.withColumns({
         "log_createtime": calendar.loose_stamp(F.col("createtime")),
-        "used_cpu_rate": only("SERVER", text.rate(body, "usedCPURate", missing="N/A%")),
+        "used_cpu_rate": only("SERVER", text.rate(body, "usedCPURate")),
         "total_mem": only("SERVER", text.size(body, "totalMem")),
         "free_mem": only("SERVER", text.size(body, "freeMem")),
         "used_mem_rate": only("SERVER", text.rate(body, "usedMemRate")),
@@ -154,7 +156,7 @@ def monitor_log(sheet: DataFrame, prefixes: Sequence[str] = CONTENT_PREFIXES) ->
         "used_heap_mem": only("JVM", text.size(body, "usedHeapMem")),
         "max_heap_mem": only("JVM", text.size(body, "maxHeapMem")),
         "used_heap_mem_rate": only("JVM", text.rate(body, "usedMemRate")),
-        "db_conn_status": only("DB_CONN", F.regexp_extract(body, "dbConnStatus:(.+)", 1)),
+        "db_conn_status": only("DB_CONN", text.rest_of_line(body, "dbConnStatus")),
         "_content_hash": F.xxhash64("mon_content"),
     })
     newest = keep_latest(parsed, ["monitor_kind", "target_ip", "target_port", "log_createtime"],

@@ -10,8 +10,11 @@ its own dates only, so written months (or landed days) outside are not read.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -220,17 +223,19 @@ def history_peaks_pivot(ws: Workspace, p: ReportParams) -> DataFrame:
 
 def _period_details(ws: Workspace, periods: dict[str, tuple[str, str]]) -> DataFrame:
     """The statistics page per named time range. An hour inside two ranges counts in both."""
-    starts = [start for start, _ in periods.values()]
-    ends = [end for _, end in periods.values()]
-    hours = ws.hourly(min(starts)[:10], max(ends)[:10])
+    first = dt.date.fromisoformat(min(start for start, _ in periods.values())[:10])
+    last = dt.date.fromisoformat(max(end for _, end in periods.values())[:10])
+    # a two-character hour moves the time by up to four days from its date
+    hours = ws.hourly((first - dt.timedelta(days=5)).isoformat(), (last + dt.timedelta(days=1)).isoformat())
     stamp = F.col("tx_hour_ts")
 
     def inside(bounds):
         start, end = (F.lit(f"{b}:00").cast("timestamp_ntz") for b in bounds)
         return stamp.between(start, end)
 
+    wanted = reduce(or_, [inside(bounds) for bounds in periods.values()])
     tags = [F.when(inside(bounds), F.lit(name)) for name, bounds in periods.items()]
-    tagged = hours.withColumn("period", F.explode(F.array_compact(F.array(*tags))))
+    tagged = hours.filter(wanted).withColumn("period", F.explode(F.array_compact(F.array(*tags))))
     days = stats.day_frame(tagged, ["period"])
     return stats.details(stats.code_frame(days, ["period"]), ws.get("pr_info"), ["period"])
 

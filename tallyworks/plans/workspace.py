@@ -52,9 +52,16 @@ class Workspace:
         return getattr(self, f"_{name}")()
 
     def write(self, name: str, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Write a dataset once; later users read the written table."""
-        self.get(name).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{name}")
-        self.frames[name] = self.spark.read.parquet(f"{path}/{name}")
+        """Write a dataset once; later users read the written table.
+
+        The rebalance hint gathers each partition value into few files and lets
+        AQE split the ones that hold far more rows than others.
+        """
+        frame = self.get(name)
+        if partition_by:
+            frame = frame.hint("rebalance", *[F.col(c) for c in partition_by])
+        frame.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{name}")
+        self.frames[name] = self.spark.read.schema(frame.schema).parquet(f"{path}/{name}")
         return self.frames[name]
 
     def hourly(self, from_date=None, to_date=None) -> DataFrame:

@@ -24,6 +24,7 @@ from tallyworks.proof import oracle, proxies
 from tallyworks.session import scratch_dir
 from tallyworks.sources import csvout, lake, landing
 from tallyworks.sources.schemas import CODE_COLUMNS, REGISTRY_COLUMNS, SHEET_COLUMNS
+from tallyworks.sources.schemas import LINEAGE as SHEET_LINEAGE
 from tallyworks.streaming.landing_stream import land_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,9 +131,8 @@ add("s4_registry_scan", _registry_file, "SELECT * FROM registry")
 def _json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "json-sink")
     rows = proxies.workspace(spark, sf_dir).get("mon_log")
-    lake.write_json_sheet(with_headers(rows, SHEET_COLUMNS["MON_LOG"], LINEAGE), path)
-    schema = lake.landed_schema("MON_LOG")
-    return lake.english(spark.read.schema(schema).json(path), SHEET_COLUMNS["MON_LOG"])
+    lake.write_days(with_headers(rows, SHEET_COLUMNS["MON_LOG"], LINEAGE), path, "json")
+    return lake.read_sheet(spark, path, "MON_LOG", "json")
 
 
 add("s5_json_gzip_sink", _json_sink, "SELECT * FROM mon_log")
@@ -141,7 +141,7 @@ add("s5_json_gzip_sink", _json_sink, "SELECT * FROM mon_log")
 def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "compact")
     rows = proxies.workspace(spark, sf_dir).get("mon_log")
-    landing.write_day(with_headers(rows, SHEET_COLUMNS["MON_LOG"], LINEAGE), f"{path}/json", "MON_LOG", "json")
+    lake.write_days(with_headers(rows, SHEET_COLUMNS["MON_LOG"], LINEAGE), f"{path}/json", "json")
     return lake.compact(spark, f"{path}/json", "MON_LOG", f"{path}/parquet")
 
 
@@ -225,12 +225,12 @@ def _inbox(spark: SparkSession, sf_dir: str) -> str:
     """Two sheets of decoded workbooks; the second is missing in most workbooks."""
     inbox = scratch_dir(spark, "inbox")
     cells = proxies.raw_sheet(proxies.table(spark, sf_dir, "orders"))
-    cells.repartition("_file").write.partitionBy("_file").json(f"{inbox}/RT_CNT")
+    cells.repartition("_file").write.partitionBy("_file").json(f"{inbox}/_sheet=RT_CNT")
     log = proxies.table(spark, sf_dir, "events").select(
         C("event_type").alias("MONITOR_KIND"), C("event_id").alias("EVENT_NO"),
         F.when(C("event_id") % 2 == 0, F.lit("daily-19980501.xlsx"))
          .otherwise(F.lit("daily-19980601.xlsx")).alias("_file"))
-    log.write.partitionBy("_file").json(f"{inbox}/MON_LOG")
+    log.write.partitionBy("_file").json(f"{inbox}/_sheet=MON_LOG")
     return inbox
 
 
@@ -238,10 +238,14 @@ def _land(spark: SparkSession, inbox: str, **options) -> DataFrame:
     return landing.land(spark, inbox, f"{inbox}-lake", RAW_SHEETS, **options)
 
 
+def _landed_schema(sheet: str) -> T.StructType:
+    """Cells without a declared type land as text."""
+    return T.StructType([*[T.StructField(f.name, T.StringType()) for f in RAW_SHEETS[sheet]], *SHEET_LINEAGE])
+
+
 def _landed(spark: SparkSession, inbox: str, sheet: str = "RT_CNT") -> DataFrame:
-    schema = T.StructType([*[T.StructField(f.name, T.StringType()) for f in RAW_SHEETS[sheet]],
-                           *lake.landed_schema("RT_TMSPT").fields[3:]])
-    return spark.read.schema(schema).parquet(f"{inbox}-lake/{sheet}")
+    source = spark.read.schema(_landed_schema(sheet)).option("basePath", f"{inbox}-lake")
+    return source.parquet(f"{inbox}-lake/_sheet={sheet}")
 
 
 def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,8 +265,9 @@ def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land what is available, twice: the checkpoint keeps the second run from landing again."""
     inbox = _inbox(spark, sf_dir)
     for _ in range(2):
-        land_available(spark, inbox, f"{inbox}-lake", "RT_CNT", RAW_CELLS, f"{inbox}-checkpoint")
-    return _landed(spark, inbox).drop("_ingest_ts")
+        land_available(spark, inbox, f"{inbox}-stream", "RT_CNT", RAW_CELLS, f"{inbox}-checkpoint")
+    landed = spark.read.schema(_landed_schema("RT_CNT")).parquet(f"{inbox}-stream/RT_CNT")
+    return landed.drop("_ingest_ts")
 
 
 add("i9_available_now_stream", _streamed, "SELECT *, 'RT_CNT' AS _sheet FROM landed_sheet")
@@ -396,7 +401,7 @@ add("p18_metric_text", on(lambda ws: ws.get("mon_log").select(
     """SELECT _file, regexp_extract(mon_content, 'usedMemRate:([^,]+)', 1) AS mem,
        regexp_extract(mon_content, 'freeDisk:([^,]+)', 1) AS disk FROM mon_log""")
 add("p19_sentinel", on(lambda ws: ws.get("mon_log").select(
-        "_file", text.rate(C("mon_content"), "usedCPURate", missing="N/A%").alias("cpu"))),
+        "_file", text.rate(C("mon_content"), "usedCPURate").alias("cpu"))),
     """SELECT _file, TRY_CAST(replace(nullif(regexp_extract(mon_content, 'usedCPURate:([^,]+)', 1), 'N/A%'), '%', '')
        AS DECIMAL(5, 2)) AS cpu FROM mon_log""")
 

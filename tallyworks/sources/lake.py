@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks.sources.listing import folders
 from tallyworks.sources.schemas import (
     CODE_COLUMNS,
     REGISTRY_COLUMNS,
@@ -23,13 +23,13 @@ def english(df: DataFrame, columns: Iterable[tuple]) -> DataFrame:
 
 
 def read_sheet(spark: SparkSession, lake: str, sheet: str, fmt: str = "parquet") -> DataFrame:
-    """One landed sheet with its declared schema; ``_dt`` is the partition column.
+    """One landed sheet with its declared schema; ``_sheet`` and ``_dt`` come from the folders.
 
     JSON-lines folders may be gzip text (one task per file). The Parquet copy
     splits and prunes columns.
     """
-    df = spark.read.schema(landed_schema(sheet)).format(fmt).load(f"{lake}/{sheet}")
-    return english(df, SHEET_COLUMNS[sheet])
+    source = spark.read.schema(landed_schema(sheet)).format(fmt).option("basePath", lake)
+    return english(source.load(f"{lake}/_sheet={sheet}"), SHEET_COLUMNS[sheet])
 
 
 def read_flat_sheet(spark: SparkSession, glob: str, sheet: str) -> DataFrame:
@@ -58,27 +58,27 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
 
 def open_lake(spark: SparkSession, lake: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """The sheets found in the lake, keyed by lower-case sheet name."""
-    frames: dict[str, DataFrame] = {}
-    for sheet in SHEET_COLUMNS:
-        try:
-            frames[sheet.lower()] = read_sheet(spark, lake, sheet, fmt)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-    return frames
+    found = {sheet for (sheet,) in folders(spark, lake, "_sheet")}
+    return {sheet.lower(): read_sheet(spark, lake, sheet, fmt) for sheet in SHEET_COLUMNS if sheet in found}
 
 
-def write_json_sheet(df: DataFrame, path: str) -> None:
-    """Gzip JSON-lines, one file set per sheet and day; NULL fields stay as nulls."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .option("ignoreNullFields", "false").partitionBy("_sheet", "_dt").json(path, compression="gzip"))
+def write_days(df: DataFrame, lake: str, fmt: str = "parquet") -> None:
+    """One file set per sheet and day. Days present in ``df`` are replaced, all others
+    left alone, so writing a day again after a failure is harmless.
+
+    The write is narrow: input files are per day, so tasks already hold few days
+    and a hot day is written by as many tasks as read it.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if fmt == "json":
+        writer = writer.option("ignoreNullFields", "false").option("compression", "gzip")
+    writer.partitionBy("_sheet", "_dt").format(fmt).save(lake)
 
 
 def compact(spark: SparkSession, lake: str, sheet: str, target: str) -> DataFrame:
-    """Copy one JSON sheet to Parquet day by day, so later scans split and prune."""
-    source = spark.read.schema(landed_schema(sheet)).json(f"{lake}/{sheet}")
-    (source.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("_dt").parquet(f"{target}/{sheet}"))
+    """Copy one JSON sheet to Parquet, so later scans split and prune."""
+    source = spark.read.schema(landed_schema(sheet)).option("basePath", lake)
+    write_days(source.json(f"{lake}/_sheet={sheet}"), target)
     return read_sheet(spark, target, sheet)
 
 

@@ -1,11 +1,12 @@
 """Landing: decoded sheet rows to one lake table per sheet, partitioned by file day.
 
-The inbox holds one folder per sheet, partitioned by workbook name::
+The inbox holds the decoded rows by sheet and workbook name::
 
-    inbox/RT_CNT/_file=daily-20260401.xlsx/part-*.json
+    inbox/_sheet=RT_CNT/_file=daily-20260401.xlsx/part-*.json
 
-Which files to land is decided on file listings alone; no content is read for
-it. The content then goes through narrow projections into a partitioned write.
+Which workbooks to land is decided on folder names and the lake's own record of
+landed days; no content is read for it. The content then goes through narrow
+projections into a partitioned write.
 """
 
 from __future__ import annotations
@@ -13,17 +14,18 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyworks.operators.lookup import restrict_to
-from tallyworks.sources.lake import with_lineage
+from tallyworks.sources.lake import with_lineage, write_days
+from tallyworks.sources.listing import exists, folders
 from tallyworks.sources.schemas import TARGET_SHEETS
 
 # any workbook name that ends in an 8-digit day
 FILE_PATTERN = r"^.*?(\d{8})\.xlsx$"
+FILES = "_sheet string, _file string"
 LANDED = "_sheet string, _dt string"
 
 
@@ -129,37 +131,22 @@ def prepare(rows: DataFrame, sheet: str, ingest_ts: int, types: T.StructType | N
     return with_lineage(body, F.col("_file"), sheet, F.col("_dt"), ingest_ts)
 
 
-def _listing(spark: SparkSession, path: str, partition: str) -> DataFrame | None:
-    """The distinct values of a partition column, from the file listing alone."""
-    try:
-        files = spark.read.format("binaryFile").load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    if partition not in files.columns:
-        return None
-    return files.select(F.col(partition).cast("string").alias(partition)).distinct()
+def inbox_files(spark: SparkSession, inbox: str, sheets: Sequence[str] = TARGET_SHEETS) -> DataFrame:
+    """``(_sheet, _file)`` of the decoded workbooks; a workbook may lack any sheet."""
+    return route(spark.createDataFrame(folders(spark, inbox, "_sheet", "_file"), FILES), sheets)
 
 
-def inbox_files(spark: SparkSession, inbox: str, sheets: Sequence[str] = TARGET_SHEETS) -> DataFrame:
-    """``(_sheet, _file)`` of the decoded files; sheets without a folder are optional."""
-    found = spark.createDataFrame([], "_sheet string, _file string")
-    for sheet in sheets:
-        files = _listing(spark, f"{inbox}/{sheet}", "_file")
-        if files is not None:
-            found = found.unionByName(files.select(F.lit(sheet).alias("_sheet"), "_file"))
-    return found
+def landed_days(spark: SparkSession, lake: str) -> DataFrame:
+    """``(_sheet, _dt)`` pairs recorded as landed."""
+    if not exists(spark, f"{lake}/_landings"):
+        return spark.createDataFrame([], LANDED)
+    return spark.read.schema(LANDED).parquet(f"{lake}/_landings").distinct()
 
 
-def landed_days(spark: SparkSession, lake: str, sheets: Sequence[str] = TARGET_SHEETS) -> DataFrame:
-    """``(_sheet, _dt)`` pairs already in the lake."""
-    found = spark.createDataFrame([], LANDED)
-    for sheet in sheets:
-        days = _listing(spark, f"{lake}/{sheet}", "_dt")
-        if days is not None:
-            found = found.unionByName(days.select(F.lit(sheet).alias("_sheet"), "_dt"))
-    return found
+def record_days(days: DataFrame, lake: str) -> None:
+    """Record days after their rows are committed. A run lost in between lands the
+    same days again, which replaces them."""
+    days.select("_sheet", "_dt").distinct().coalesce(1).write.mode("append").parquet(f"{lake}/_landings")
 
 
 def not_landed(files: DataFrame, landed: DataFrame) -> DataFrame:
@@ -180,18 +167,6 @@ def landing_summary(landed: DataFrame) -> DataFrame:
                                                F.count_distinct("_file").alias("file_count"))
 
 
-def write_day(df: DataFrame, lake: str, sheet: str, fmt: str = "parquet") -> None:
-    """Replace the days present in ``df`` and leave all other days alone.
-
-    The write is narrow: input files are per day, so tasks already hold few days
-    and a hot day is written by as many tasks as read it.
-    """
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_dt")
-    if fmt == "json":
-        writer = writer.option("ignoreNullFields", "false").option("compression", "gzip")
-    writer.format(fmt).save(f"{lake}/{sheet}")
-
-
 def land(spark: SparkSession, inbox: str, lake: str, schemas: dict[str, T.StructType], *,
          types: dict[str, T.StructType] | None = None, pattern: str = FILE_PATTERN,
          date: str | None = None, newest: int | None = None, force: bool = False, fmt: str = "parquet",
@@ -201,17 +176,21 @@ def land(spark: SparkSession, inbox: str, lake: str, schemas: dict[str, T.Struct
     Incremental mode skips days a sheet already has; ``force`` rewrites them.
     """
     stamp = int(time.time()) if ingest_ts is None else ingest_ts
-    sheets = [sheet for sheet in TARGET_SHEETS if sheet in schemas]
-    files = select_files(inbox_files(spark, inbox, sheets), pattern, date, newest)
-    todo = files if force else not_landed(files, landed_days(spark, lake, sheets))
-    outcomes = file_outcomes(files, todo).collect() if sheets else []
-    names = todo.select("_sheet", "_file").distinct()
-    for sheet in sheets:
-        wanted = names.filter(F.col("_sheet") == sheet).select("_file")
-        if wanted.isEmpty():
+    files = select_files(inbox_files(spark, inbox, list(schemas)), pattern, date, newest)
+    todo = files if force else not_landed(files, landed_days(spark, lake))
+    # one row per workbook and sheet, as many as folders were listed; taken before the
+    # writes below change what counts as landed
+    outcomes = file_outcomes(files, todo).collect()
+    pending = todo.select("_sheet", "_file", "_dt").collect()
+    for sheet in [name for name in TARGET_SHEETS if name in schemas]:
+        rows = [row for row in pending if row["_sheet"] == sheet]
+        if not rows:
             continue
+        chosen = spark.createDataFrame(rows, f"{FILES}, _dt string")
         raw_schema = T.StructType([*schemas[sheet].fields, T.StructField("_file", T.StringType())])
-        raw = spark.read.schema(raw_schema).format(source).load(f"{inbox}/{sheet}")
-        rows = select_files(restrict_to(raw, "_file", wanted), pattern, date)
-        write_day(prepare(rows, sheet, stamp, (types or {}).get(sheet)), lake, sheet, fmt)
+        raw = spark.read.schema(raw_schema).format(source).load(f"{inbox}/_sheet={sheet}")
+        wanted = restrict_to(raw, "_file", chosen.select("_file"))
+        ready = prepare(select_files(wanted, pattern, date), sheet, stamp, (types or {}).get(sheet))
+        write_days(ready, lake, fmt)
+        record_days(chosen, lake)
     return spark.createDataFrame(outcomes, "_file string, outputs bigint, processed boolean")

@@ -16,17 +16,20 @@ def landing_stream(spark: SparkSession, inbox: str, sheet: str, schema: T.Struct
                    source: str = "json") -> DataFrame:
     """The prepared rows of one sheet as a stream over its inbox folder."""
     raw = T.StructType([*schema.fields, T.StructField("_file", T.StringType())])
-    rows = spark.readStream.schema(raw).format(source).load(f"{inbox}/{sheet}")
+    rows = spark.readStream.schema(raw).format(source).load(f"{inbox}/_sheet={sheet}")
     return prepare(select_files(rows, pattern), sheet, int(time.time()), types)
 
 
-def land_available(spark: SparkSession, inbox: str, lake: str, sheet: str, schema: T.StructType,
+def land_available(spark: SparkSession, inbox: str, target: str, sheet: str, schema: T.StructType,
                    checkpoint: str, **options) -> StreamingQuery:
     """Land everything that is new and stop. The checkpoint remembers files across
-    runs and lost executors; a rerun after a crash does not land a file twice."""
+    runs and lost executors; a rerun after a crash does not land a file twice.
+
+    The sink keeps its own log of committed files, so ``target`` is a folder of
+    its own and not one that batch landing writes to.
+    """
     stream = landing_stream(spark, inbox, sheet, schema, **options)
-    query = (stream.writeStream.format("parquet")
-             .partitionBy("_dt").option("path", f"{lake}/{sheet}")
+    query = (stream.writeStream.format("parquet").partitionBy("_dt").option("path", f"{target}/{sheet}")
              .option("checkpointLocation", f"{checkpoint}/{sheet}")
              .trigger(availableNow=True).outputMode("append").start())
     query.awaitTermination()
