@@ -20,8 +20,8 @@ ISO_STAMP = r"^\s*\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}\s*$"
 
 def file_date(dt: Column) -> Column:
     """``yyyymmdd`` text to a date; malformed text is an error, as it names a file."""
-    return F.concat(F.substring(dt, 1, 4), F.lit("-"), F.substring(dt, 5, 2), F.lit("-"),
-                    F.substring(dt, 7, 100)).cast("date")
+    return F.make_date(F.substring(dt, 1, 4).cast("int"), F.substring(dt, 5, 2).cast("int"),
+                       F.substring(dt, 7, 100).cast("int"))
 
 
 def key_part(key: Column, start: int) -> Column:
@@ -31,8 +31,8 @@ def key_part(key: Column, start: int) -> Column:
 
 def date_from_parts(year: Column, month: Column, day: Column) -> Column:
     """A date, or NULL when a part is missing or no such day exists."""
-    return F.concat(year.cast("string"), F.lit("-"), month.cast("string"), F.lit("-"),
-                    day.cast("string")).try_cast("date")
+    zero = F.lit(0)
+    return F.try_make_timestamp_ntz(year, month, day, zero, zero, zero).cast("date")
 
 
 def latest_not_after(guess: Column, file_dt: Column) -> Column:
@@ -101,11 +101,9 @@ def days_in_month(day: Column) -> Column:
 
 
 def republic_date(day: Column) -> Column:
-    """``yyy/MM/dd`` in the Republic calendar, from a date or ISO text."""
-    text = day.cast("string")
-    year = F.substring(text, 1, 4).cast("int") - F.lit(REPUBLIC_EPOCH)
-    return F.concat(year.cast("string"), F.lit("/"), F.substring(text, 6, 2), F.lit("/"),
-                    F.substring(text, 9, 2))
+    """``yyy/MM/dd`` in the Republic calendar."""
+    month_and_day = F.substring(F.translate(day.cast("string"), "-", "/"), 5, 6)
+    return F.concat((F.year(day) - REPUBLIC_EPOCH).cast("string"), month_and_day)
 
 
 def hour_range(day: Column, hour: Column) -> Column:

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # no Python call sites on every column expression: building plans is otherwise the slow part
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
