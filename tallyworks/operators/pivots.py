@@ -31,10 +31,5 @@ def spread(df: DataFrame, keys: Sequence[str], column: str, measures: Sequence[C
     return table
 
 
-def or_message(table: DataFrame, report: str) -> DataFrame:
-    """The table, or the message row when it has no rows."""
-    return message_table(table, report) if table.isEmpty() else table
-
-
 def conditional(measure: Column, column: str, value) -> Column:
     return F.when(F.col(column) == F.lit(value), measure)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tallyworks.plans.params import ReportParams
-from tallyworks.plans.reports import REPORTS, Report, sort_columns
+from tallyworks.operators.pivots import message_table
+from tallyworks.plans import clean
+from tallyworks.plans.params import ReportParams, month_date, month_end
+from tallyworks.plans.reports import REPORTS, Report, range_margin, sort_columns
 from tallyworks.plans.workspace import Workspace
 from tallyworks.sources.csvout import write_csv
 
@@ -29,28 +31,61 @@ def in_number_order(reports: Sequence[Report]) -> list[Report]:
     return sorted(reports, key=lambda r: ([int(part) for part in r.number.split(".")], r.title))
 
 
-def write_silver(ws: Workspace, path: str) -> None:
-    """Clean hourly rows by month and host days, written once and read by all reports."""
-    hourly = ws.get("rt_pr_hh24_clean")
-    # undated rows belong to no report period and would form one oversized month
-    ws.frames["rt_pr_hh24_clean"] = hourly.filter(F.col("tx_dt").isNotNull())
-    ws.write("rt_pr_hh24_clean", path, ["tx_yyyymm"])
+def dates_needed(p: ReportParams) -> tuple[dt.date, dt.date]:
+    """The first and last transaction date any report of these parameters reads."""
+    months = [p.target_month, p.previous_target_month, p.history_start_month, p.history_end_month]
+    ranges = [range_margin(p.range_start_time, p.range_end_time),
+              range_margin(p.previous_range_start_time, p.previous_range_end_time)]
+    starts = [month_date(m) for m in months] + [first for first, _ in ranges]
+    ends = [month_end(month_date(m)) for m in months] + [last for _, last in ranges]
+    return min(starts), max(ends)
+
+
+def write_silver(ws: Workspace, p: ReportParams, path: str) -> Workspace:
+    """A workspace for one run: clean hourly rows by month and host days, written once.
+
+    Only dates the run reads are cleaned, so a run does not re-read the whole
+    lake; all volume reports then share one dedup.
+    """
+    first, last = dates_needed(p)
+    frames = dict(ws.frames)
+    if ws.has("rt_pr_hh24") or ws.has("rt_pr_hh24_clean"):
+        frames["rt_pr_hh24_clean"] = ws.hourly(first, last)
     if ws.has("mon_log") or ws.has("monitor_log"):
-        ws.write("monitor_daily", path)
+        frames["monitor_daily"] = clean.within(ws.get("monitor_daily"), p.range_start_date,
+                                               p.range_end_date, "log_date")
+    run = Workspace(ws.spark, frames, prefixes=ws.prefixes, excluded_codes=ws.excluded_codes)
+    if run.has("rt_pr_hh24_clean"):
+        run.write("rt_pr_hh24_clean", path, ["tx_yyyymm"])
+    if run.has("monitor_daily"):
+        run.write("monitor_daily", path)
+    return run
+
+
+def write_report(ws: Workspace, params: ReportParams, report: Report, out: str) -> int:
+    """Write one report; a pivot without rows delivers the message table instead."""
+    table, path = report.build(ws, params), f"{out}/{report.title}"
+    rows = write_csv(table, path, order=sort_columns(report, table), bounded=report.bounded)
+    if rows == 0 and report.pivot:
+        rows = write_csv(message_table(table, report.title), path, bounded=True)
+    return rows
 
 
 def run_reports(ws: Workspace, params: ReportParams, out: str, reports: Sequence[Report] = REPORTS, *,
-                continue_on_error: bool = False) -> DataFrame:
+                work: str | None = None, continue_on_error: bool = False) -> DataFrame:
     """Write each report below ``out``. Stops at the first failure unless told to go
-    on; a run with any failure is reported as failed either way."""
+    on; a run with any failure is reported as failed either way.
+
+    With ``work``, the shared clean tables are written there first.
+    """
     spark, status = ws.spark, []
+    if work is not None:
+        ws = write_silver(ws, params, work)
     spark.createDataFrame([(params.to_json(),)], "value string").coalesce(1).write.mode(
         "overwrite").text(f"{out}/parameters")
     for position, report in enumerate(in_number_order(reports), 1):
         try:
-            table = report.build(ws, params)
-            rows = write_csv(table, f"{out}/{report.title}", order=sort_columns(report, table),
-                             bounded=report.bounded)
+            rows = write_report(ws, params, report, out)
             status.append((position, report.number, report.title, rows, True, None))
         except (PySparkException, ValueError, KeyError) as error:
             status.append((position, report.number, report.title, 0, False, str(error)))

@@ -47,6 +47,11 @@ def _time(value: str, name: str) -> dt.datetime:
         raise ValueError(f"{name} must use YYYY-MM-DD HH:mm format") from None
 
 
+def month_date(month: str) -> dt.date:
+    """The first day of ``yyyy-MM``."""
+    return _month(month, "month")
+
+
 def month_text(day: dt.date) -> str:
     return f"{day.year:04d}-{day.month:02d}"
 
@@ -61,7 +66,7 @@ def month_before(day: dt.date) -> dt.date:
 
 def months_between(first: str, last: str) -> list[str]:
     """All months from ``first`` to ``last``, both included."""
-    day, end, found = _month(first, "first"), _month(last, "last"), []
+    day, end, found = month_date(first), month_date(last), []
     while day <= end:
         found.append(month_text(day))
         day = (day + dt.timedelta(days=32)).replace(day=1)

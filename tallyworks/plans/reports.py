@@ -27,18 +27,16 @@ from tallyworks.functions.numbers import (
     whole_number,
 )
 from tallyworks.operators.peaks import earlier, peak
-from tallyworks.operators.pivots import conditional, or_message, spread
+from tallyworks.operators.pivots import conditional, spread
 from tallyworks.plans import clean, stats
-from tallyworks.plans.params import ReportParams, month_end, months_between
-from tallyworks.plans.params import _month as parse_month
+from tallyworks.plans.params import ReportParams, month_date, month_end, months_between
 from tallyworks.plans.workspace import Workspace
 
 HOURS = list(range(24))
 
 
 def _hours_of_months(ws: Workspace, first: str, last: str) -> DataFrame:
-    start, end = parse_month(first, "month"), month_end(parse_month(last, "month"))
-    return ws.hourly(start.isoformat(), end.isoformat())
+    return ws.hourly(month_date(first), month_end(month_date(last)))
 
 
 def _target_hours(ws: Workspace, p: ReportParams) -> DataFrame:
@@ -99,10 +97,9 @@ def peak_day_hours_pivot(ws: Workspace, p: ReportParams) -> DataFrame:
     days = _target_hours(ws, p).groupBy("tx_dt", "pr_id").agg(F.sum("tx_cnt").alias("total_cnt"), *hours)
     row = F.struct(F.col("tx_dt"), F.col("total_cnt"), *names)
     top = days.groupBy("pr_id").agg(peak(row, F.col("total_cnt"), earlier(F.col("tx_dt"))).alias("top"))
-    table = top.select("pr_id", calendar.day_text(F.col("top.tx_dt")).alias("peak_day"),
-                       F.col("top.total_cnt").alias("peak_day_cnt"),
-                       *[F.col(f"top.{n}").alias(n) for n in names])
-    return or_message(table, "peak day hours")
+    return top.select("pr_id", calendar.day_text(F.col("top.tx_dt")).alias("peak_day"),
+                      F.col("top.total_cnt").alias("peak_day_cnt"),
+                      *[F.col(f"top.{n}").alias(n) for n in names])
 
 
 def all_categories(ws: Workspace, p: ReportParams) -> DataFrame:
@@ -187,9 +184,8 @@ def _history_months(p: ReportParams) -> list[str]:
 
 
 def history_totals_pivot(ws: Workspace, p: ReportParams) -> DataFrame:
-    table = spread(history_totals(ws, p), ["pr_id"], "ym", [F.sum("total_cnt")], "history totals",
-                   _history_months(p))
-    return or_message(table, "history totals")
+    return spread(history_totals(ws, p), ["pr_id"], "ym", [F.sum("total_cnt")], "history totals",
+                  _history_months(p))
 
 
 def history_peak_days(ws: Workspace, p: ReportParams) -> DataFrame:
@@ -206,7 +202,7 @@ def history_peak_days(ws: Workspace, p: ReportParams) -> DataFrame:
 def _history_pivot(rows: DataFrame, p: ReportParams, report: str) -> DataFrame:
     """One group of columns per month, from rows that are unique per month and code."""
     measures = [F.max(c).alias(c) for c in rows.columns if c not in ("ym", "pr_id")]
-    return or_message(spread(rows, ["pr_id"], "ym", measures, report, _history_months(p)), report)
+    return spread(rows, ["pr_id"], "ym", measures, report, _history_months(p))
 
 
 def history_peak_days_pivot(ws: Workspace, p: ReportParams) -> DataFrame:
@@ -221,12 +217,18 @@ def history_peaks_pivot(ws: Workspace, p: ReportParams) -> DataFrame:
     return _history_pivot(history_peaks(ws, p), p, "history peaks")
 
 
+def range_margin(start: str, end: str) -> tuple[dt.date, dt.date]:
+    """The dates that can hold hours of a time range. A two-character hour moves the
+    time by up to four days from its date."""
+    first, last = (dt.date.fromisoformat(value[:10]) for value in (start, end))
+    return first - dt.timedelta(days=5), last + dt.timedelta(days=1)
+
+
 def _period_details(ws: Workspace, periods: dict[str, tuple[str, str]]) -> DataFrame:
     """The statistics page per named time range. An hour inside two ranges counts in both."""
-    first = dt.date.fromisoformat(min(start for start, _ in periods.values())[:10])
-    last = dt.date.fromisoformat(max(end for _, end in periods.values())[:10])
-    # a two-character hour moves the time by up to four days from its date
-    hours = ws.hourly((first - dt.timedelta(days=5)).isoformat(), (last + dt.timedelta(days=1)).isoformat())
+    first, last = range_margin(min(start for start, _ in periods.values()),
+                               max(end for _, end in periods.values()))
+    hours = ws.hourly(first, last)
     stamp = F.col("tx_hour_ts")
 
     def inside(bounds):
@@ -273,13 +275,15 @@ def range_volume_compared(ws: Workspace, p: ReportParams) -> DataFrame:
 
 @dataclass(frozen=True)
 class Report:
-    """``bounded`` marks tables that are small by definition: a top-n, or a row per code."""
+    """``bounded`` marks tables that are small by definition: a top-n, or a row per day
+    of a month. ``pivot`` marks tables that deliver a message when they are empty."""
 
     number: str
     title: str
     build: Callable[[Workspace, ReportParams], DataFrame]
     order: tuple[str, ...]
     bounded: bool = False
+    pivot: bool = False
 
 
 # Report numbers and titles.
@@ -288,15 +292,15 @@ REPORTS = (
     Report("1.1", "1.1.CPU-MEM監控", host_summary, ("application", "target_ip")),
     Report("1.1.1", "1.1.1. CPU-MEM監控-每日列表", host_day_list, ("application", "target_ip", "log_date")),
     Report("2", "2.交易量統計-當月每日", volume_per_day, ("tx_date", "pr_id")),
-    Report("2.1", "2.1.交易量統計-當月每日-Pivot", volume_per_day_pivot, ("tx_date",), True),
+    Report("2.1", "2.1.交易量統計-當月每日-Pivot", volume_per_day_pivot, ("tx_date",), True, True),
     Report("3", "3.交易量統計-峰日峰時", peak_day_and_hour, ("pr_id",)),
-    Report("3.1", "3.1.交易量統計-峰日峰時-Pivot", peak_day_hours_pivot, ("pr_id",)),
+    Report("3.1", "3.1.交易量統計-峰日峰時-Pivot", peak_day_hours_pivot, ("pr_id",), pivot=True),
     Report("4", "4.交易量統計-歷史月總量", history_totals, ("ym", "pr_id")),
-    Report("4.1", "4.1.交易量統計-歷史月總量-Pivot", history_totals_pivot, ("pr_id",)),
+    Report("4.1", "4.1.交易量統計-歷史月總量-Pivot", history_totals_pivot, ("pr_id",), pivot=True),
     Report("5", "5.交易量統計-歷史峰日", history_peak_days, ("ym", "pr_id")),
-    Report("5.1", "5.1.交易量統計-歷史峰日-Pivot", history_peak_days_pivot, ("pr_id",)),
+    Report("5.1", "5.1.交易量統計-歷史峰日-Pivot", history_peak_days_pivot, ("pr_id",), pivot=True),
     Report("6", "6.交易量統計-歷史峰日峰時", history_peaks, ("ym", "pr_id")),
-    Report("6.1", "6.1.交易量統計-歷史峰日峰時-Pivot", history_peaks_pivot, ("pr_id",)),
+    Report("6.1", "6.1.交易量統計-歷史峰日峰時-Pivot", history_peaks_pivot, ("pr_id",), pivot=True),
     Report("7", "7.交易量統計-所有交易類別", all_categories, ("category", "-total_cnt", "pr_id")),
     Report("7.1", "7.1.交易量統計-TOP6交易類", top_updates, ("-total_cnt", "pr_id"), True),
     Report("7.2", "7.2.交易量統計-TOP6查詢類", top_queries, ("-total_cnt", "pr_id"), True),

@@ -690,8 +690,8 @@ WHERE tx_yyyymm = '{oracle.P.target_month}' AND tx_hour_ts <= TIMESTAMP '{oracle
 def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = proxies.workspace(spark, sf_dir)
     out = scratch_dir(spark, "batch")
-    batch.write_silver(ws, f"{out}/silver")
-    return batch.run_reports(ws, oracle.P, f"{out}/reports").select("number", "rows", "ok")
+    status = batch.run_reports(ws, oracle.P, f"{out}/reports", work=f"{out}/silver")
+    return status.select("number", "rows", "ok")
 
 
 VOLUME_REPORTS = {"1": "r1", "2": "r2", "2.1": "r3", "3": "r4", "3.1": "r5", "4": "r12", "4.1": "r13", "5": "r14",

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from tallyworks.operators.lookup import restrict_to
 from tallyworks.sources.lake import with_lineage, write_days
 from tallyworks.sources.listing import exists, folders
-from tallyworks.sources.schemas import TARGET_SHEETS
+from tallyworks.sources.schemas import SHEET_COLUMNS, TARGET_SHEETS, header_schema
 
 # any workbook name that ends in an 8-digit day
 FILE_PATTERN = r"^.*?(\d{8})\.xlsx$"
@@ -167,14 +167,30 @@ def landing_summary(landed: DataFrame) -> DataFrame:
                                                F.count_distinct("_file").alias("file_count"))
 
 
-def land(spark: SparkSession, inbox: str, lake: str, schemas: dict[str, T.StructType], *,
+def cell_schema(sheet: str) -> T.StructType:
+    """Decoded cells of a known sheet: a workbook holds every number as a double."""
+    numbers = (T.LongType, T.IntegerType)
+    return T.StructType([T.StructField(header, T.DoubleType() if isinstance(kind, numbers) else kind)
+                         for header, _, kind in SHEET_COLUMNS[sheet]])
+
+
+def text_schema(headers: Iterable[str]) -> T.StructType:
+    """All-text cells, for sheets whose columns are not known beforehand."""
+    return T.StructType([T.StructField(name, T.StringType()) for name in dict.fromkeys(clean_headers(headers))])
+
+
+def land(spark: SparkSession, inbox: str, lake: str, schemas: dict[str, T.StructType] | None = None, *,
          types: dict[str, T.StructType] | None = None, pattern: str = FILE_PATTERN,
          date: str | None = None, newest: int | None = None, force: bool = False, fmt: str = "parquet",
          source: str = "json", ingest_ts: int | None = None) -> DataFrame:
-    """Land the sheets of ``schemas``; returns the outcome per file.
+    """Land the sheets of ``schemas`` (by default those with a dataset); returns the
+    outcome per file.
 
     Incremental mode skips days a sheet already has; ``force`` rewrites them.
     """
+    if schemas is None:
+        schemas = {sheet: cell_schema(sheet) for sheet in SHEET_COLUMNS}
+        types = {sheet: header_schema(columns) for sheet, columns in SHEET_COLUMNS.items()}
     stamp = int(time.time()) if ingest_ts is None else ingest_ts
     files = select_files(inbox_files(spark, inbox, list(schemas)), pattern, date, newest)
     todo = files if force else not_landed(files, landed_days(spark, lake))
