@@ -9,11 +9,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 
 from tallyworks.operators.pivots import message_table
-from tallyworks.plans import clean
+from tallyworks.plans import monitor
 from tallyworks.plans.params import ReportParams, month_date, month_end
 from tallyworks.plans.reports import REPORTS, Report, range_margin, sort_columns
 from tallyworks.plans.workspace import Workspace
 from tallyworks.sources.csvout import write_csv
+from tallyworks.sources.schemas import LABELS
 
 STATUS = "position int, number string, title string, rows bigint, ok boolean, error string"
 
@@ -51,9 +52,10 @@ def write_silver(ws: Workspace, p: ReportParams, path: str) -> Workspace:
     frames = dict(ws.frames)
     if ws.has("rt_pr_hh24") or ws.has("rt_pr_hh24_clean"):
         frames["rt_pr_hh24_clean"] = ws.hourly(first, last)
-    if ws.has("mon_log") or ws.has("monitor_log"):
-        frames["monitor_daily"] = clean.within(ws.get("monitor_daily"), p.range_start_date,
-                                               p.range_end_date, "log_date")
+    if ws.has("mon_log"):
+        start, end = (dt.date.fromisoformat(day) for day in (p.range_start_date, p.range_end_date))
+        log = ws.log_of("SERVER", ws.log_index(), start, end)
+        frames["monitor_daily"] = monitor.monitor_daily(log, ws.get("registry_info"))
     run = Workspace(ws.spark, frames, prefixes=ws.prefixes, excluded_codes=ws.excluded_codes)
     if run.has("rt_pr_hh24_clean"):
         run.write("rt_pr_hh24_clean", path, ["tx_yyyymm"])
@@ -65,7 +67,8 @@ def write_silver(ws: Workspace, p: ReportParams, path: str) -> Workspace:
 def write_report(ws: Workspace, params: ReportParams, report: Report, out: str) -> int:
     """Write one report; a pivot without rows delivers the message table instead."""
     table, path = report.build(ws, params), f"{out}/{report.title}"
-    rows = write_csv(table, path, order=sort_columns(report, table), bounded=report.bounded)
+    rows = write_csv(table, path, LABELS.get(report.labels), order=sort_columns(report, table),
+                     bounded=report.bounded)
     if rows == 0 and report.pivot:
         rows = write_csv(message_table(table, report.title), path, bounded=True)
     return rows

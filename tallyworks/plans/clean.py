@@ -129,6 +129,25 @@ SERVER_METRICS = ["used_cpu_rate", "total_mem", "free_mem", "used_mem_rate", "to
 JVM_METRICS = ["used_heap_mem", "max_heap_mem", "used_heap_mem_rate"]
 
 
+def log_rows(sheet: DataFrame) -> DataFrame:
+    """Log rows that name a host and a kind, with their parsed time."""
+    kept = sheet.filter((F.col("target_ip") != "") & F.col("monitor_kind").isNotNull())
+    return kept.withColumn("log_createtime", calendar.loose_stamp(F.col("createtime")))
+
+
+def log_days(sheet: DataFrame) -> DataFrame:
+    """First and last log date per landed day and kind.
+
+    Nothing ties a sample's time to the day of its file, so this narrow pass (no
+    text is read, one row per task and day is moved) tells which landed days can
+    hold samples of a date range.
+    """
+    date = F.col("log_createtime").cast("date")
+    rows = log_rows(sheet).filter(F.col("monitor_kind").isin("SERVER", "JVM"))
+    return rows.groupBy("_dt", "monitor_kind").agg(F.min(date).alias("first"),
+                                                              F.max(date).alias("last"))
+
+
 def monitor_log(sheet: DataFrame, prefixes: Sequence[str] = CONTENT_PREFIXES) -> DataFrame:
     """Metrics out of the monitor text, one row per kind, host, port and time.
 
@@ -136,16 +155,14 @@ def monitor_log(sheet: DataFrame, prefixes: Sequence[str] = CONTENT_PREFIXES) ->
     place of the text, and the tie between equal versions is broken by a hash of
     the text.
     """
-    kept = sheet.filter((F.col("target_ip") != "") & F.col("monitor_kind").isNotNull())
     # its own column: used by eleven expressions, the text is cut once per row
-    kept = kept.withColumn("_body", text.without_prefixes(F.col("mon_content"), prefixes))
+    kept = log_rows(sheet).withColumn("_body", text.without_prefixes(F.col("mon_content"), prefixes))
     body = F.col("_body")
 
     def only(kind: str, value):
         return F.when(F.col("monitor_kind") == kind, value)
 
     parsed = kept.withColumns({
-        "log_createtime": calendar.loose_stamp(F.col("createtime")),
         "used_cpu_rate": only("SERVER", text.rate(body, "usedCPURate")),
         "total_mem": only("SERVER", text.size(body, "totalMem")),
         "free_mem": only("SERVER", text.size(body, "freeMem")),

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tallyworks.operators.trailing import trailing_days
-from tallyworks.plans import monitor
+from tallyworks.plans import clean, monitor
 from tallyworks.plans.workspace import Workspace
 from tallyworks.sources.csvout import write_csv
+from tallyworks.sources.schemas import LABELS
 
 # Days kept per kind of extract, and the greatest number of rows delivered.
 WINDOW_DAYS = {"daily": 10, "hourly": 4}
@@ -51,16 +53,41 @@ def export_rows(df: DataFrame, kind: str, rows: int = MAX_ROWS) -> DataFrame:
     return recent.orderBy(*export_order(df, kind)).limit(rows)
 
 
+def recent_samples(ws: Workspace, kind: str, index: list[Row], days: int) -> DataFrame:
+    """Samples of a kind from ``days`` before its last sampled date on.
+
+    The last date of the raw rows bounds the last date of the samples. It is only
+    greater when the newest versions of all rows there lack the metric; then
+    the window moves back to the true last date.
+    """
+    samples = monitor.server_samples if kind == "SERVER" else monitor.jvm_samples
+    window = dt.timedelta(days=days)
+    last = max((row["last"] for row in index if row["monitor_kind"] == kind and row["last"]), default=None)
+    if last is None:
+        return samples(ws.log_of(kind, [], dt.date.max))
+    found = samples(ws.log_of(kind, index, last - window))
+    if kind == "SERVER":
+        return found
+    true_last = found.agg(F.max("log_date")).first()[0]
+    if true_last is None:
+        return samples(clean.monitor_log(ws.get("mon_log"), ws.prefixes))
+    return found if true_last == last else samples(ws.log_of(kind, index, true_last - window))
+
+
 def write_rollups(ws: Workspace, path: str) -> dict[str, DataFrame]:
-    """The four rollups from hour states written once, so the log is parsed and
-    deduplicated once per kind rather than once per extract and window bound."""
-    log = ws.get("monitor_log")
-    for name, hours in (("host_hours", monitor.host_states(log, hourly=True)),
-                        ("jvm_hours", monitor.jvm_states(log, hourly=True))):
+    """The four rollups over the days the extracts show, from hour states written once.
+
+    The text of the log is parsed and deduplicated once per kind, and only for
+    those days, rather than once per extract and window bound over all history.
+    """
+    index, days = ws.log_index(), max(WINDOW_DAYS.values())
+    hosts = monitor.host_states(recent_samples(ws, "SERVER", index, days), hourly=True)
+    jvms = monitor.jvm_states(recent_samples(ws, "JVM", index, days), hourly=True)
+    tables = {}
+    for name, hours in (("host_hours", hosts), ("jvm_hours", jvms)):
         hours.write.mode("overwrite").parquet(f"{path}/{name}")
-    read = ws.spark.read.parquet
-    return monitor.four_rollups(read(f"{path}/host_hours"), read(f"{path}/jvm_hours"),
-                                ws.get("registry_info"))
+        tables[name] = ws.spark.read.schema(hours.schema).parquet(f"{path}/{name}")
+    return monitor.four_rollups(tables["host_hours"], tables["jvm_hours"], ws.get("registry_info"))
 
 
 def run_exports(ws: Workspace, out: str, work: str, tasks: tuple[ExportTask, ...] = TASKS) -> DataFrame:
@@ -73,7 +100,7 @@ def run_exports(ws: Workspace, out: str, work: str, tasks: tuple[ExportTask, ...
         source = rollups[task.dataset] if task.dataset in rollups else ws.get(task.dataset)
         table = export_rows(source, task.kind)
         empty = table.isEmpty()
-        rows = 0 if empty else write_csv(table, f"{out}/{task.file_name}", bounded=True)
+        rows = 0 if empty else write_csv(table, f"{out}/{task.file_name}", LABELS["monitor"], bounded=True)
         done.append((task.dataset, task.file_name, task.kind, rows, empty))
     return ws.spark.createDataFrame(done, "dataset string, file_name string, kind string, "
                                           "rows_written bigint, is_empty boolean")

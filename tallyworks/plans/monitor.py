@@ -7,12 +7,13 @@ multiplies a handful of result rows instead of its raw samples.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from tallyworks.operators.lookup import lookup_left
+from tallyworks.operators.lookup import MAX_LITERALS, lookup_left
 from tallyworks.operators.measures import max_of, mean_of, merge, min_of, states
 
 HOST_METRICS = ["used_cpu_rate", "used_mem_rate", "total_mem", "used_mem", "used_disk_rate",
@@ -35,12 +36,12 @@ def jvm_samples(log: DataFrame) -> DataFrame:
         "log_date": F.col("log_createtime").cast("date"), "log_hour": F.hour("log_createtime")})
 
 
-def host_states(log: DataFrame, hourly: bool) -> DataFrame:
-    return states(server_samples(log), HOST_KEYS + (["log_hour"] if hourly else []), HOST_METRICS)
+def host_states(samples: DataFrame, hourly: bool) -> DataFrame:
+    return states(samples, HOST_KEYS + (["log_hour"] if hourly else []), HOST_METRICS)
 
 
-def jvm_states(log: DataFrame, hourly: bool) -> DataFrame:
-    return states(jvm_samples(log), JVM_KEYS + (["log_hour"] if hourly else []), HEAP_METRICS)
+def jvm_states(samples: DataFrame, hourly: bool) -> DataFrame:
+    return states(samples, JVM_KEYS + (["log_hour"] if hourly else []), HEAP_METRICS)
 
 
 def host_days(hours: DataFrame) -> DataFrame:
@@ -110,19 +111,19 @@ def finish_jvm_hours(rows: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def monitor_daily(log: DataFrame, registry: DataFrame) -> DataFrame:
-    return finish_hosts(host_states(log, hourly=False), registry)
+    return finish_hosts(host_states(server_samples(log), hourly=False), registry)
 
 
 def monitor_hourly(log: DataFrame, registry: DataFrame) -> DataFrame:
-    return finish_hosts(host_states(log, hourly=True), registry)
+    return finish_hosts(host_states(server_samples(log), hourly=True), registry)
 
 
 def monitor_daily_jvm(log: DataFrame, registry: DataFrame) -> DataFrame:
-    return finish_jvm_days(jvm_states(log, hourly=False), registry)
+    return finish_jvm_days(jvm_states(jvm_samples(log), hourly=False), registry)
 
 
 def monitor_hourly_jvm(log: DataFrame, registry: DataFrame) -> DataFrame:
-    return finish_jvm_hours(jvm_states(log, hourly=True), registry)
+    return finish_jvm_hours(jvm_states(jvm_samples(log), hourly=True), registry)
 
 
 def four_rollups(hosts: DataFrame, jvms: DataFrame, registry: DataFrame) -> dict[str, DataFrame]:
@@ -135,5 +136,19 @@ def four_rollups(hosts: DataFrame, jvms: DataFrame, registry: DataFrame) -> dict
     }
 
 
-def sort_keys(rollup: Sequence[str]) -> list[str]:
-    return [name for name in ("application", "target_ip", "target_port") if name in rollup]
+def days_holding(index: Sequence[Row], kind: str, first: dt.date, last: dt.date | None = None) -> list[str]:
+    """Landed days that can hold samples of a kind in a date range."""
+    return [row["_dt"] for row in index if row["monitor_kind"] == kind and row["last"] is not None
+            and row["last"] >= first and (last is None or row["first"] <= last)]
+
+
+def sheet_between(sheet: DataFrame, index: Sequence[Row], kind: str, first: dt.date,
+                  last: dt.date | None = None) -> DataFrame:
+    """Raw log rows of a kind out of the landed days that matter.
+
+    All versions of a sample share its time, so every day that could hold one of
+    them is kept and the dedup downstream stays exact.
+    """
+    days = days_holding(index, kind, first, last)
+    rows = sheet.filter(F.col("monitor_kind") == kind)
+    return rows.filter(F.col("_dt").isin(days)) if len(days) <= MAX_LITERALS else rows

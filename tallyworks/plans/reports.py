@@ -276,7 +276,8 @@ def range_volume_compared(ws: Workspace, p: ReportParams) -> DataFrame:
 @dataclass(frozen=True)
 class Report:
     """``bounded`` marks tables that are small by definition: a top-n, or a row per day
-    of a month. ``pivot`` marks tables that deliver a message when they are empty."""
+    of a month. ``pivot`` marks tables that deliver a message when they are empty.
+    ``labels`` names the set of column labels of the delivered table."""
 
     number: str
     title: str
@@ -284,6 +285,7 @@ class Report:
     order: tuple[str, ...]
     bounded: bool = False
     pivot: bool = False
+    labels: str | None = None
 
 
 # Report numbers and titles.
@@ -304,7 +306,8 @@ REPORTS = (
     Report("7", "7.交易量統計-所有交易類別", all_categories, ("category", "-total_cnt", "pr_id")),
     Report("7.1", "7.1.交易量統計-TOP6交易類", top_updates, ("-total_cnt", "pr_id"), True),
     Report("7.2", "7.2.交易量統計-TOP6查詢類", top_queries, ("-total_cnt", "pr_id"), True),
-    Report("8", "8.交易量統計-所有交易類別-詳細資訊", range_details, ("-category", "-total_cnt", "pr_id")),
+    Report("8", "8.交易量統計-所有交易類別-詳細資訊", range_details, ("-category", "-total_cnt", "pr_id"),
+           labels="monthly_transaction_stats"),
     Report("8.1", "8.1.交易量統計-月度比較-所有交易類別-詳細資訊", range_details_compared, ("pr_id",)),
     Report("8.2", "8.2.交易量統計-月度比較-所有交易類別-簡易比較", range_volume_compared, ("pr_id",)),
     Report("8.3", "8.3.交易量統計-MOM交易量比較", month_over_month, ("pr_id",)),

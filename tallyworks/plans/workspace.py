@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.plans import clean, monitor, rollups, stats
-from tallyworks.sources.lake import open_lake, read_codes, read_registry
+from tallyworks.sources.lake import open_lake, read_codes, read_delimited, read_registry
 from tallyworks.sources.schemas import CONTENT_PREFIXES, EXCLUDED_CODES
 
 DATASETS = (
@@ -33,12 +34,14 @@ class Workspace:
 
     @classmethod
     def open(cls, spark: SparkSession, lake: str, codes: str | None = None, registry: str | None = None,
-             fmt: str = "parquet", **options) -> Workspace:
+             cfg_codes: str | None = None, fmt: str = "parquet", **options) -> Workspace:
         frames = open_lake(spark, lake, fmt)
         if codes:
             frames["codes"] = read_codes(spark, codes)
         if registry:
             frames["registry"] = read_registry(spark, registry)
+        if cfg_codes:
+            frames["cfg_codes"] = read_delimited(spark, cfg_codes)
         return cls(spark, frames, **options)
 
     def has(self, name: str) -> bool:
@@ -74,6 +77,16 @@ class Workspace:
             return clean.within(frame, from_date, to_date)
         return clean.rt_pr_hh24_clean(self.frames["rt_pr_hh24"], from_date, to_date)
 
+    def log_index(self) -> list[Row]:
+        """Date ranges of the landed log days: one row per landed day and kind."""
+        return clean.log_days(self.get("mon_log")).collect()
+
+    def log_of(self, kind: str, index: Sequence[Row], first: dt.date, last: dt.date | None = None) -> DataFrame:
+        """The parsed log of one kind in a date range, read from the landed days that hold it."""
+        sheet = monitor.sheet_between(self.get("mon_log"), index, kind, first, last)
+        return clean.within(clean.monitor_log(sheet, self.prefixes).withColumn(
+            "_day", F.col("log_createtime").cast("date")), first, last, "_day").drop("_day")
+
     def register_views(self) -> list[str]:
         """Temporary views of all datasets that can be built, for ad-hoc SQL."""
         names = []

@@ -16,6 +16,7 @@ from tallyworks.functions import calendar, numbers, text
 from tallyworks.functions.macros import load_macros
 from tallyworks.operators.dedup import keep_latest
 from tallyworks.operators.peaks import earlier, peak, peak_present
+from tallyworks.operators.pivots import spread
 from tallyworks.operators.trailing import trailing_days
 from tallyworks.plans import batch, clean, exports, monitor, reports, rollups, stats
 from tallyworks.plans.params import run_query
@@ -599,7 +600,8 @@ add("a15_distinct_registry", on(lambda ws: monitor.port_applications(ws.get("reg
 add("a16_group_by_alias", on(lambda ws: ws.get("rt_pr_hh24_clean").groupBy(
         calendar.month_text(C("tx_dt")).alias("year_month"), "pr_id").agg(F.count(F.lit(1)).alias("hours"))),
     "SELECT left(tx_dt_str, 7) AS year_month, pr_id, count(*) AS hours FROM v3 GROUP BY ALL")
-add("a17_pivot", on(lambda ws: reports.volume_per_day_pivot(ws, oracle.P)), "SELECT * FROM r3")
+add("a17_pivot", on(lambda ws: spread(reports.history_totals(ws, oracle.P), ["pr_id"], "ym", [F.sum("total_cnt")],
+                                      "history totals")), "SELECT * FROM r13")
 
 
 def _empty_pivot(ws: Workspace) -> DataFrame:
@@ -654,7 +656,7 @@ add("o2_top_rows", on(lambda ws: ws.get("rt_node_hh24_clean").select(
 
 REPORT_KEYS = {
     "r1_volume_of_month": (reports.volume_of_month, oracle.P), "r2_volume_per_day": (reports.volume_per_day, oracle.P),
-    "r3_volume_per_day_pivot": (reports.volume_per_day_pivot, oracle.P),
+    "r3_volume_per_day_pivot": (lambda ws, p: reports.volume_per_day_pivot(ws, p, list(oracle.CODES)), oracle.P),
     "r4_peak_day_and_hour": (reports.peak_day_and_hour, oracle.P),
     "r5_peak_day_hours_pivot": (reports.peak_day_hours_pivot, oracle.P),
     "r6_all_categories": (reports.all_categories, oracle.P), "r7_top_updates": (reports.top_updates, oracle.P),

@@ -14,13 +14,20 @@ CSV_OPTIONS = {"header": True, "nullValue": "", "emptyValue": "", "quote": '"',
                "ignoreTrailingWhiteSpace": False}
 
 
+def _as_text(field: T.StructField) -> Column:
+    text = F.col(f"`{field.name}`").cast("string")
+    if isinstance(field.dataType, T.TimestampNTZType):
+        # delivered stamps always show a fraction
+        return F.when(F.instr(text, ".") > 0, text).otherwise(F.concat(text, F.lit(".0")))
+    return text
+
+
 def labelled(df: DataFrame, labels: Mapping[str, str] | None = None, bom: bool = True) -> DataFrame:
     """Text columns under their delivered labels; the BOM rides on the first label."""
     names = [(labels or {}).get(name, name) for name in df.columns]
     if bom and names:
         names[0] = BOM + names[0]
-    texts = [F.col(f"`{field.name}`") if isinstance(field.dataType, T.StringType)
-             else F.col(f"`{field.name}`").cast("string").alias(field.name) for field in df.schema]
+    texts = [_as_text(field).alias(field.name) for field in df.schema]
     return df.select(*texts).toDF(*names)
 
 

@@ -149,16 +149,20 @@ def record_days(days: DataFrame, lake: str) -> None:
     days.select("_sheet", "_dt").distinct().coalesce(1).write.mode("append").parquet(f"{lake}/_landings")
 
 
-def not_landed(files: DataFrame, landed: DataFrame) -> DataFrame:
-    """Incremental mode: files whose sheet and day are not in the lake yet."""
-    return files.join(landed, ["_sheet", "_dt"], "left_anti")
+def mark_todo(files: DataFrame, landed: DataFrame | None) -> DataFrame:
+    """Per sheet and file whether it is to be landed: in incremental mode, when its
+    sheet and day are not in the lake yet; with no ``landed`` (forced), always."""
+    if landed is None:
+        return files.withColumn("todo", F.lit(True))
+    known = landed.select("_sheet", "_dt", F.lit(True).alias("_known"))
+    marked = files.join(known, ["_sheet", "_dt"], "left")
+    return marked.withColumn("todo", F.col("_known").isNull()).drop("_known")
 
 
-def file_outcomes(files: DataFrame, todo: DataFrame) -> DataFrame:
-    """Per file: landed sheets, and whether the file was processed or skipped as a whole."""
-    marked = files.join(todo.select("_sheet", "_file", F.lit(1).alias("_todo")), ["_sheet", "_file"], "left")
-    written = F.sum(F.coalesce("_todo", F.lit(0)))
-    return marked.groupBy("_file").agg(written.alias("outputs"), (written > 0).alias("processed"))
+def file_outcomes(marked: DataFrame) -> DataFrame:
+    """Per file: sheets landed, and whether it was processed or skipped as a whole."""
+    outputs = F.count(F.when(F.col("todo"), 1))
+    return marked.groupBy("_file").agg(outputs.alias("outputs"), (outputs > 0).alias("processed"))
 
 
 def landing_summary(landed: DataFrame) -> DataFrame:
@@ -193,13 +197,13 @@ def land(spark: SparkSession, inbox: str, lake: str, schemas: dict[str, T.Struct
         types = {sheet: header_schema(columns) for sheet, columns in SHEET_COLUMNS.items()}
     stamp = int(time.time()) if ingest_ts is None else ingest_ts
     files = select_files(inbox_files(spark, inbox, list(schemas)), pattern, date, newest)
-    todo = files if force else not_landed(files, landed_days(spark, lake))
+    marked = mark_todo(files, None if force else landed_days(spark, lake))
+    marked = marked.select("_sheet", "_file", "_dt", "todo")
     # one row per workbook and sheet, as many as folders were listed; taken before the
     # writes below change what counts as landed
-    outcomes = file_outcomes(files, todo).collect()
-    pending = todo.select("_sheet", "_file", "_dt").collect()
+    decided = marked.collect()
     for sheet in [name for name in TARGET_SHEETS if name in schemas]:
-        rows = [row for row in pending if row["_sheet"] == sheet]
+        rows = [row[:3] for row in decided if row["_sheet"] == sheet and row["todo"]]
         if not rows:
             continue
         chosen = spark.createDataFrame(rows, f"{FILES}, _dt string")
@@ -209,4 +213,4 @@ def land(spark: SparkSession, inbox: str, lake: str, schemas: dict[str, T.Struct
         ready = prepare(select_files(wanted, pattern, date), sheet, stamp, (types or {}).get(sheet))
         write_days(ready, lake, fmt)
         record_days(chosen, lake)
-    return spark.createDataFrame(outcomes, "_file string, outputs bigint, processed boolean")
+    return file_outcomes(spark.createDataFrame(decided, marked.schema))

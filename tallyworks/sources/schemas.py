@@ -119,6 +119,7 @@ LABELS: dict[str, dict[str, str]] = {
         "share": "交易量佔比", "first_date": "交易開始日期", "last_date": "交易結束日期",
         "active_days": "實際交易天數",
     },
+    "monitor": {"target_ip": "TARGET_IP", "target_port": "TARGET_PORT"},
 }
 
 

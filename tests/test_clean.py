@@ -177,7 +177,7 @@ def test_day_rollup_from_hour_states_is_the_direct_rollup(spark):
             for i in range(600)]
     parsed = clean.monitor_log(log(spark, *rows))
     registry = spark.createDataFrame([("a", "h1", 1)], "application string, ipaddr string, port long")
-    merged = monitor.finish_hosts(monitor.host_days(monitor.host_states(parsed, hourly=True)), registry)
+    merged = monitor.finish_hosts(monitor.host_days(monitor.host_states(monitor.server_samples(parsed), hourly=True)), registry)
     assert sorted(map(str, merged.collect())) == sorted(map(str, monitor.monitor_daily(parsed, registry).collect()))
 
 

@@ -129,7 +129,7 @@ def test_all_reports_from_an_inbox(spark, workspace, tmp_path):
     assert len(found) == len(REPORTS) and all(ok for _, ok in found.values())
     assert found["1"] == (2, True) and found["1.1"] == (1, True) and found["7.1"] == (1, True)
     page = csvout.read_csv(spark, str(tmp_path / "out" / "8.交易量統計-所有交易類別-詳細資訊")).collect()
-    assert {(r.pr_id, r.name, r.total_cnt, r.peak_ms_label) for r in page} == {
+    assert {(r["交易類型"], r["名稱"], r["交易總量"], r["峰值處理時間"]) for r in page} == {
         ("G61", "name, one", "12", "115/04/01\n583"), ("P94", "未定義名稱", "1", "115/04/02\n1000")}
     saved = json.loads(spark.read.text(str(tmp_path / "out" / "parameters"), wholetext=True).collect()[0][0])
     assert saved["target_month"] == "2026-04"
@@ -169,6 +169,30 @@ def test_exports(spark, workspace, tmp_path):
     assert (row.application, row.max_cpu_rate, row.avg_used_mem, row.log_date) == ("app", "12.50", "6.0", "2026-04-01")
 
 
+HEAP = "usedHeapMem:1.00,maxHeapMem:2.00,usedMemRate:50%"
+
+
+@pytest.mark.parametrize("late", ["", HEAP])
+def test_export_days_follow_the_last_sample(spark, tmp_path, late):
+    """The newest rows lack the metric (``late`` empty): the window ends where samples do."""
+    def row(day, body, filed, port="1"):
+        return ("JVM", "h", port, body, f"{day} 10:00:00", "f", "MON_LOG", filed, 0)
+
+    rows = [row("2026-03-01", HEAP, "20260302"), row("2026-03-20", HEAP, "20260321"), row("2026-03-28", HEAP, "20260329"),
+            row("2026-04-02", HEAP, "20260403"), row("2026-04-02", late, "20260404"), row("not a time", HEAP, "20260404", "2")]
+    log = spark.createDataFrame(rows, "monitor_kind string, target_ip string, target_port string, mon_content string, "
+                                      "createtime string, _file string, _sheet string, _dt string, _ingest_ts long")
+    registry = spark.createDataFrame([], "application string, ipaddr string, port long")
+    ws = Workspace(spark, {"mon_log": log, "registry": registry})
+    rollups = exports.write_rollups(ws, str(tmp_path / "work"))
+    for name in ("monitor_daily_jvm", "monitor_hourly_jvm"):
+        kind = "hourly" if "hourly" in name else "daily"
+        assert exports.export_rows(rollups[name], kind).collect() == exports.export_rows(ws.get(name), kind).collect()
+    found = exports.export_rows(rollups["monitor_daily_jvm"], "daily").collect()
+    assert [str(r.log_date)[:10] for r in found] == (["2026-04-02", "2026-03-28"] if late else ["2026-03-28", "2026-03-20"])
+    assert exports.export_rows(rollups["monitor_daily"], "daily").count() == 0
+
+
 def test_csv_bytes(spark, tmp_path):
     rows = [(1, 'a "b", c', None), (2, "", "x\ny")]
     frame = spark.createDataFrame(rows, "ym int, category string, name string")
@@ -177,6 +201,14 @@ def test_csv_bytes(spark, tmp_path):
     assert written == 2 and text == '﻿年月,類別,名稱\n1,"a ""b"", c",\n2,,"x\ny"\n'
 
 
+def test_csv_stamps_show_a_fraction(spark, tmp_path):
+    rows = [(dt.datetime(2026, 4, 1), dt.date(2026, 4, 1), 6.0), (dt.datetime(2026, 4, 1, 1, 2, 3, 40000), None, None)]
+    frame = spark.createDataFrame(rows, "t timestamp_ntz, d date, f double")
+    csvout.write_csv(frame, str(tmp_path / "out"), order=["t"], bounded=True, bom=False)
+    text = next((tmp_path / "out").glob("part-*.csv")).read_text(encoding="utf-8")
+    assert text == "t,d,f\n2026-04-01 00:00:00.0,2026-04-01,6.0\n2026-04-01 01:02:03.04,,\n"
+
+
 def test_preview(spark):
     frame = spark.range(30).toDF("n")
     rows = csvout.preview(frame, 3, ["n"]).collect()
