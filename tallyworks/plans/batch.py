@@ -7,9 +7,11 @@ from collections.abc import Sequence
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tallyworks.functions import calendar
 from tallyworks.operators.pivots import message_table
-from tallyworks.plans import monitor
+from tallyworks.plans import monitor, stats
 from tallyworks.plans.params import ReportParams, month_date, month_end
 from tallyworks.plans.reports import REPORTS, Report, range_margin, sort_columns
 from tallyworks.plans.workspace import Workspace
@@ -46,7 +48,8 @@ def write_silver(ws: Workspace, p: ReportParams, path: str) -> Workspace:
     """A workspace for one run: clean hourly rows by month and host days, written once.
 
     Only dates the run reads are cleaned, so a run does not re-read the whole
-    lake; all volume reports then share one dedup.
+    lake. All volume reports then share one dedup, and those that look at whole
+    days share one day frame, written from the hourly rows.
     """
     first, last = dates_needed(p)
     frames = dict(ws.frames)
@@ -58,7 +61,10 @@ def write_silver(ws: Workspace, p: ReportParams, path: str) -> Workspace:
         frames["monitor_daily"] = monitor.monitor_daily(log, ws.get("registry_info"))
     run = Workspace(ws.spark, frames, prefixes=ws.prefixes, excluded_codes=ws.excluded_codes)
     if run.has("rt_pr_hh24_clean"):
-        run.write("rt_pr_hh24_clean", path, ["tx_yyyymm"])
+        hourly = run.write("rt_pr_hh24_clean", path, ["tx_yyyymm"])
+        run.frames["day_frame"] = stats.day_frame(hourly).withColumn(
+            "tx_yyyymm", calendar.month_text(F.col("tx_dt")))
+        run.write("day_frame", path, ["tx_yyyymm"])
     if run.has("monitor_daily"):
         run.write("monitor_daily", path)
     return run

@@ -4,8 +4,9 @@ Titles, parameters and source datasets are documented; of the definitions only
 the weighted mean, the statistics page and the use of it by the month-over-month
 report are. The rest follows the title.
 
-Volume reports start from the clean hourly rows. A report asks for the rows of
-its own dates only, so written months (or landed days) outside are not read.
+Volume reports start from the day frame of the clean hourly rows, or from the hours
+where they cut inside a day. A report asks for its own dates only, so written
+months (or landed days) outside are not read; aggregates it does not use are pruned.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from tallyworks.functions import calendar
 from tallyworks.functions.numbers import (
     mean_of_hundredths,
     percentage,
-    ratio,
     whole_number,
 )
 from tallyworks.operators.peaks import earlier, peak
@@ -35,30 +35,26 @@ from tallyworks.plans.workspace import Workspace
 HOURS = list(range(24))
 
 
-def _hours_of_months(ws: Workspace, first: str, last: str) -> DataFrame:
-    return ws.hourly(month_date(first), month_end(month_date(last)))
+def _days_of_months(ws: Workspace, first: str, last: str) -> DataFrame:
+    return ws.days(month_date(first), month_end(month_date(last)))
 
 
-def _target_hours(ws: Workspace, p: ReportParams) -> DataFrame:
-    return _hours_of_months(ws, p.target_month, p.target_month)
+def _target_days(ws: Workspace, p: ReportParams) -> DataFrame:
+    return _days_of_months(ws, p.target_month, p.target_month)
 
 
-def _history_hours(ws: Workspace, p: ReportParams) -> DataFrame:
-    return _hours_of_months(ws, p.history_start_month, p.history_end_month)
-
-
-def _days(hours: DataFrame) -> DataFrame:
-    return hours.groupBy("tx_dt", "pr_id").agg(F.sum("tx_cnt").alias("total_cnt"))
+def _history_days(ws: Workspace, p: ReportParams) -> DataFrame:
+    return _days_of_months(ws, p.history_start_month, p.history_end_month)
 
 
 def volume_of_month(ws: Workspace, p: ReportParams) -> DataFrame:
-    return _days(_target_hours(ws, p)).groupBy("pr_id").agg(
-        F.sum("total_cnt").alias("total_cnt"), F.count("tx_dt").alias("active_days"))
+    return _target_days(ws, p).groupBy("pr_id").agg(
+        F.sum("day_cnt").alias("total_cnt"), F.count("tx_dt").alias("active_days"))
 
 
 def volume_per_day(ws: Workspace, p: ReportParams) -> DataFrame:
-    return _days(_target_hours(ws, p)).select(
-        calendar.day_text(F.col("tx_dt")).alias("tx_date"), "pr_id", "total_cnt")
+    return _target_days(ws, p).select(calendar.day_text(F.col("tx_dt")).alias("tx_date"), "pr_id",
+                                      F.col("day_cnt").alias("total_cnt"))
 
 
 def volume_per_day_pivot(ws: Workspace, p: ReportParams, codes: list[str] | None = None) -> DataFrame:
@@ -66,19 +62,11 @@ def volume_per_day_pivot(ws: Workspace, p: ReportParams, codes: list[str] | None
                   "volume per day", codes)
 
 
-def _peaks(hours: DataFrame, by_month: bool) -> DataFrame:
-    """The busiest day per code (and month) and the busiest hour inside that day."""
-    hour, cnt = F.col("tx_hour"), F.col("tx_cnt")
-    days = hours.groupBy("tx_dt", "pr_id").agg(
-        F.sum(cnt).alias("day_cnt"),
-        peak(F.struct(hour.alias("hour"), cnt.alias("cnt")), cnt, -hour).alias("best"))
-    day = F.col("tx_dt")
-    if by_month:
-        days = days.withColumn("ym", calendar.month_text(day))
-    keys = ["ym", "pr_id"] if by_month else ["pr_id"]
-    top = peak(F.struct(day.alias("day"), F.col("day_cnt").alias("cnt"), F.col("best").alias("best")),
-               F.col("day_cnt"), earlier(day))
-    top = days.groupBy(*keys).agg(top.alias("top"))
+def _peaks(days: DataFrame, keys: list[str]) -> DataFrame:
+    """The busiest day per key and the busiest hour inside that day."""
+    day, cnt = F.col("tx_dt"), F.col("day_cnt")
+    row = F.struct(day.alias("day"), cnt.alias("cnt"), F.col("best").alias("best"))
+    top = days.groupBy(*keys).agg(peak(row, cnt, earlier(day)).alias("top"))
     return top.select(
         *keys, calendar.day_text(F.col("top.day")).alias("peak_day"),
         F.col("top.cnt").alias("peak_day_cnt"), F.col("top.best.hour").alias("peak_hour"),
@@ -86,7 +74,7 @@ def _peaks(hours: DataFrame, by_month: bool) -> DataFrame:
 
 
 def peak_day_and_hour(ws: Workspace, p: ReportParams) -> DataFrame:
-    return _peaks(_target_hours(ws, p), by_month=False)
+    return _peaks(_target_days(ws, p), ["pr_id"])
 
 
 def peak_day_hours_pivot(ws: Workspace, p: ReportParams) -> DataFrame:
@@ -94,7 +82,9 @@ def peak_day_hours_pivot(ws: Workspace, p: ReportParams) -> DataFrame:
     names = [f"h{h:02d}" for h in HOURS]
     # the column values are known, so plain conditional sums pivot in one hash aggregate
     hours = [F.sum(conditional(F.col("tx_cnt"), "tx_hour", h)).alias(n) for h, n in zip(HOURS, names)]
-    days = _target_hours(ws, p).groupBy("tx_dt", "pr_id").agg(F.sum("tx_cnt").alias("total_cnt"), *hours)
+    target = month_date(p.target_month)
+    days = ws.hourly(target, month_end(target)).groupBy("tx_dt", "pr_id").agg(
+        F.sum("tx_cnt").alias("total_cnt"), *hours)
     row = F.struct(F.col("tx_dt"), F.col("total_cnt"), *names)
     top = days.groupBy("pr_id").agg(peak(row, F.col("total_cnt"), earlier(F.col("tx_dt"))).alias("top"))
     return top.select("pr_id", calendar.day_text(F.col("top.tx_dt")).alias("peak_day"),
@@ -104,26 +94,14 @@ def peak_day_hours_pivot(ws: Workspace, p: ReportParams) -> DataFrame:
 
 def all_categories(ws: Workspace, p: ReportParams) -> DataFrame:
     """Volume, weighted mean ms and share of the month per registered code."""
-    frame = _weighted_frame(_target_hours(ws, p))
+    days = stats.monthly(_target_days(ws, p))
+    frame = stats.code_frame(days, ["ym"])
     rows = stats.with_codes(stats.with_period_total(frame, ["ym"]), ws.get("pr_info"))
     return rows.select("ym", "pr_id", "category", "name", "total_cnt",
                        whole_number(F.col("mean_ms"), "int").alias("avg_ms"),
                        percentage(F.col("total_cnt"), F.col("all_cnt")).alias("share_pct"))
 
 
-def _weighted_frame(hours: DataFrame) -> DataFrame:
-    """Month and code totals with the mean of day means, without the peaks."""
-    cnt = F.col("tx_cnt")
-    days = hours.groupBy("tx_dt", "pr_id").agg(
-        F.sum(cnt).alias("day_cnt"), F.sum(F.col("avg_tm_ms") * cnt).alias("weighted"))
-    days = days.withColumns({"ym": calendar.month_text(F.col("tx_dt")),
-                             "day_ms": ratio(F.col("weighted"), F.col("day_cnt"))})
-    frame = days.groupBy("ym", "pr_id").agg(
-        F.sum("day_cnt").alias("total_cnt"), F.sum(F.col("day_ms") * F.col("day_cnt")).alias("weighted"),
-        F.count("tx_dt").alias("active_days"))
-    return frame.withColumn("mean_ms", ratio(F.col("weighted"), F.col("total_cnt"))).drop("weighted")
-
-
 def _top(ws: Workspace, p: ReportParams, category: str, rows: int = 6) -> DataFrame:
     found = all_categories(ws, p).filter(F.col("category") == category)
     return found.orderBy(F.desc("total_cnt"), "pr_id").limit(rows)
@@ -144,8 +122,8 @@ def _change(now, before) -> list:
 
 def month_over_month(ws: Workspace, p: ReportParams) -> DataFrame:
     """Volume of the month and the month before per code, in one pass over both."""
-    hours = _hours_of_months(ws, p.previous_target_month, p.target_month)
-    page = stats.monthly_transaction_stats(hours, ws.get("pr_info"))
+    days = _days_of_months(ws, p.previous_target_month, p.target_month)
+    page = stats.month_page(days, ws.get("pr_info"))
     both = page.groupBy("pr_id").agg(
         F.max(F.when(F.col("ym") == p.previous_target_month, F.col("total_cnt"))).alias("prev_cnt"),
         F.max(F.when(F.col("ym") == p.target_month, F.col("total_cnt"))).alias("cur_cnt"))
@@ -175,8 +153,8 @@ def host_day_list(ws: Workspace, p: ReportParams) -> DataFrame:
 
 
 def history_totals(ws: Workspace, p: ReportParams) -> DataFrame:
-    month = calendar.month_text(F.col("tx_dt")).alias("ym")
-    return _history_hours(ws, p).groupBy(month, "pr_id").agg(F.sum("tx_cnt").alias("total_cnt"))
+    return stats.monthly(_history_days(ws, p)).groupBy("ym", "pr_id").agg(
+        F.sum("day_cnt").alias("total_cnt"))
 
 
 def _history_months(p: ReportParams) -> list[str]:
@@ -190,13 +168,7 @@ def history_totals_pivot(ws: Workspace, p: ReportParams) -> DataFrame:
 
 def history_peak_days(ws: Workspace, p: ReportParams) -> DataFrame:
     """The busiest day per month and code."""
-    day = F.col("tx_dt")
-    days = _days(_history_hours(ws, p)).withColumn("ym", calendar.month_text(day))
-    top = days.groupBy("ym", "pr_id").agg(
-        peak(F.struct(day.alias("day"), F.col("total_cnt").alias("cnt")), F.col("total_cnt"),
-             earlier(day)).alias("top"))
-    return top.select("ym", "pr_id", calendar.day_text(F.col("top.day")).alias("peak_day"),
-                      F.col("top.cnt").alias("peak_day_cnt"))
+    return history_peaks(ws, p).select("ym", "pr_id", "peak_day", "peak_day_cnt")
 
 
 def _history_pivot(rows: DataFrame, p: ReportParams, report: str) -> DataFrame:
@@ -210,7 +182,7 @@ def history_peak_days_pivot(ws: Workspace, p: ReportParams) -> DataFrame:
 
 
 def history_peaks(ws: Workspace, p: ReportParams) -> DataFrame:
-    return _peaks(_history_hours(ws, p), by_month=True)
+    return _peaks(stats.monthly(_history_days(ws, p)), ["ym", "pr_id"])
 
 
 def history_peaks_pivot(ws: Workspace, p: ReportParams) -> DataFrame:

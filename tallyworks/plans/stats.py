@@ -95,8 +95,12 @@ def details(frame: DataFrame, codes: DataFrame, keys: Sequence[str]) -> DataFram
         calendar.republic_date(F.col("last_day")).alias("last_date"), "active_days")
 
 
+def month_page(days: DataFrame, codes: DataFrame) -> DataFrame:
+    """The statistics page per month from a day frame."""
+    return details(code_frame(monthly(days), ["ym"]), codes, ["ym"])
+
+
 def monthly_transaction_stats(hourly: DataFrame, codes: DataFrame) -> DataFrame:
     """One row per month and registered code. Undated rows cannot reach a month and
     are dropped before the dedup shuffle."""
-    days = monthly(day_frame(hourly.filter(F.col("tx_dt").isNotNull())))
-    return details(code_frame(days, ["ym"]), codes, ["ym"])
+    return month_page(day_frame(hourly.filter(F.col("tx_dt").isNotNull())), codes)

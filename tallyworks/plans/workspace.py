@@ -70,13 +70,22 @@ class Workspace:
     def hourly(self, from_date=None, to_date=None) -> DataFrame:
         """Clean hourly rows in a date range; prunes the landed days when built from them."""
         if "rt_pr_hh24_clean" in self.frames:
-            frame = self.frames["rt_pr_hh24_clean"]
-            if from_date and to_date:
-                # the written table is partitioned by month text
-                frame = frame.filter(F.col("tx_yyyymm").between(str(from_date)[:7], str(to_date)[:7]))
-            return clean.within(frame, from_date, to_date)
+            return self._months("rt_pr_hh24_clean", from_date, to_date)
         return clean.rt_pr_hh24_clean(self.frames["rt_pr_hh24"], from_date, to_date)
 
+    def days(self, from_date, to_date) -> DataFrame:
+        """The day frame of the hourly rows in a date range, written or built."""
+        if "day_frame" in self.frames:
+            return self._months("day_frame", from_date, to_date)
+        return stats.day_frame(self.hourly(from_date, to_date))
+
+    def _months(self, name: str, from_date=None, to_date=None) -> DataFrame:
+        frame = self.frames[name]
+        if from_date and to_date:
+            # written tables are partitioned by month text
+            frame = frame.filter(F.col("tx_yyyymm").between(str(from_date)[:7], str(to_date)[:7]))
+        return clean.within(frame, from_date, to_date)
+
     def log_index(self) -> list[Row]:
         """Date ranges of the landed log days: one row per landed day and kind."""
         return clean.log_days(self.get("mon_log")).collect()
