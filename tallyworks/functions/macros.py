@@ -27,7 +27,10 @@ MACROS: dict[str, str] = {
 
 
 def load_macros(spark: SparkSession, macros: Mapping[str, str] = MACROS) -> list[str]:
-    """Run each definition in name order; returns the names loaded."""
+    """Run each definition in name order; returns the names loaded.
+
+    A folder of definitions is read with :func:`tallyworks.sources.texts.sql_files`.
+    """
     for name in sorted(macros):
         spark.sql(macros[name])
     return sorted(macros)

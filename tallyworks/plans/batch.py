@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import PySparkException
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyworks.functions import calendar
 from tallyworks.operators.pivots import message_table
 from tallyworks.plans import monitor, stats
-from tallyworks.plans.params import ReportParams, month_date, month_end
+from tallyworks.plans.params import ReportParams, month_date, month_end, run_query
 from tallyworks.plans.reports import REPORTS, Report, range_margin, sort_columns
 from tallyworks.plans.workspace import Workspace
 from tallyworks.sources.csvout import write_csv
@@ -30,8 +31,20 @@ class ReportRunFailed(RuntimeError):
 
 
 def in_number_order(reports: Sequence[Report]) -> list[Report]:
-    """1, 1.1, 1.1.1, 2 ...: numbers compare part by part."""
-    return sorted(reports, key=lambda r: ([int(part) for part in r.number.split(".")], r.title))
+    """1, 1.1, 1.1.1, 2 ...: numbers compare part by part; reports without one come last."""
+    return sorted(reports, key=lambda r: (not r.number, [int(part) for part in r.number.split(".") if part],
+                                          r.title))
+
+
+def report_from_sql(title: str, text: str) -> Report:
+    """A report from query text over the datasets, with ``${name}`` parameters. Its
+    number is the one its title starts with; rows are delivered as the query orders them."""
+    def build(ws: Workspace, params: ReportParams) -> DataFrame:
+        ws.register_views()
+        return run_query(ws.spark, text, params)
+
+    number = re.match(r"(?:\d+(?:\.\d+)*)?", title).group(0)
+    return Report(number, title, build, (), pivot="PIVOT" in text.upper())
 
 
 def dates_needed(p: ReportParams) -> tuple[dt.date, dt.date]:

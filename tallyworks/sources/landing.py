@@ -14,6 +14,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +30,14 @@ FILES = "_sheet string, _file string"
 LANDED = "_sheet string, _dt string"
 
 
+class LandingFailed(RuntimeError):
+    """Some sheets could not be landed; the others are."""
+
+    def __init__(self, failures: list[str]):
+        super().__init__("landing completed with failures: " + "; ".join(failures))
+        self.failures = failures
+
+
 def select_files(df: DataFrame, pattern: str = FILE_PATTERN, date: str | None = None,
                  newest: int | None = None) -> DataFrame:
     """Rows of files whose whole name matches; ``_dt`` is the captured day.
@@ -190,7 +199,8 @@ def land(spark: SparkSession, inbox: str, lake: str, schemas: dict[str, T.Struct
     """Land the sheets of ``schemas`` (by default those with a dataset); returns the
     outcome per file.
 
-    Incremental mode skips days a sheet already has; ``force`` rewrites them.
+    Incremental mode skips days a sheet already has; ``force`` rewrites them. A sheet
+    that fails does not keep the others from landing; the run then ends as failed.
     """
     if schemas is None:
         schemas = {sheet: cell_schema(sheet) for sheet in SHEET_COLUMNS}
@@ -201,16 +211,21 @@ def land(spark: SparkSession, inbox: str, lake: str, schemas: dict[str, T.Struct
     marked = marked.select("_sheet", "_file", "_dt", "todo")
     # one row per workbook and sheet, as many as folders were listed; taken before the
     # writes below change what counts as landed
-    decided = marked.collect()
+    decided, failures = marked.collect(), []
     for sheet in [name for name in TARGET_SHEETS if name in schemas]:
         rows = [row[:3] for row in decided if row["_sheet"] == sheet and row["todo"]]
         if not rows:
             continue
-        chosen = spark.createDataFrame(rows, f"{FILES}, _dt string")
-        raw_schema = T.StructType([*schemas[sheet].fields, T.StructField("_file", T.StringType())])
-        raw = spark.read.schema(raw_schema).format(source).load(f"{inbox}/_sheet={sheet}")
-        wanted = restrict_to(raw, "_file", chosen.select("_file"))
-        ready = prepare(select_files(wanted, pattern, date), sheet, stamp, (types or {}).get(sheet))
-        write_days(ready, lake, fmt)
-        record_days(chosen, lake)
+        try:
+            chosen = spark.createDataFrame(rows, f"{FILES}, _dt string")
+            raw_schema = T.StructType([*schemas[sheet].fields, T.StructField("_file", T.StringType())])
+            raw = spark.read.schema(raw_schema).format(source).load(f"{inbox}/_sheet={sheet}")
+            wanted = restrict_to(raw, "_file", chosen.select("_file"))
+            ready = prepare(select_files(wanted, pattern, date), sheet, stamp, (types or {}).get(sheet))
+            write_days(ready, lake, fmt)
+            record_days(chosen, lake)
+        except PySparkException as error:
+            failures.append(f"{sheet}: {error}")
+    if failures:
+        raise LandingFailed(failures)
     return file_outcomes(spark.createDataFrame(decided, marked.schema))

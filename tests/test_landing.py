@@ -14,6 +14,7 @@ from tallyworks.plans.reports import REPORTS, Report, volume_of_month
 from tallyworks.plans.workspace import Workspace
 from tallyworks.sources import csvout, lake, landing
 from tallyworks.sources.schemas import LABELS
+from tallyworks.sources.texts import sql_files
 from tallyworks.streaming.landing_stream import land_available
 
 
@@ -160,6 +161,31 @@ def test_failures_stop_or_continue(spark, workspace, tmp_path):
     assert [(r.number, r.ok) for r in finished.value.status.orderBy("position").collect()] == [("2", False), ("10", True)]
 
 
+def test_reports_from_query_files(spark, workspace, tmp_path):
+    folder = tmp_path / "reports"
+    folder.mkdir()
+    (folder / "10.late.sql").write_text("SELECT 1 AS one", encoding="utf-8")
+    (folder / "9.1.每日 total.sql").write_text(
+        "SELECT pr_id, sum(tx_cnt) AS n FROM rt_pr_hh24_clean WHERE tx_yyyymm = '${targetMonth}' "
+        "GROUP BY pr_id ORDER BY n DESC", encoding="utf-8")
+    (folder / "plain.sql").write_text("SELECT '${rangeStartDate}' AS d", encoding="utf-8")
+    found = [batch.report_from_sql(name, text) for name, text in sql_files(spark, str(folder)).items()]
+    status = batch.run_reports(workspace, ReportParams.resolve(target_month="2026-04"), str(tmp_path / "out"), found)
+    rows = [(r.position, r.number, r.title, r.rows) for r in status.orderBy("position").collect()]
+    assert rows == [(1, "9.1", "9.1.每日 total", 2), (2, "10", "10.late", 1), (3, "", "plain", 1)]
+    totals = csvout.read_csv(spark, str(tmp_path / "out" / "9.1.每日 total")).collect()
+    assert [tuple(r) for r in totals] == [("G61", "12"), ("P94", "1")]
+
+
+def test_a_failing_sheet_does_not_stop_the_others(spark, inbox, tmp_path):
+    types = {"RT_PR_HH24": T.StructType([T.StructField("CALTM", T.LongType())])}
+    schemas = {sheet: landing.cell_schema(sheet) for sheet in ("RT_PR_HH24", "MON_LOG")}
+    with pytest.raises(landing.LandingFailed, match="RT_PR_HH24") as failed:
+        landing.land(spark, str(inbox), str(tmp_path / "lake"), schemas, types=types)
+    assert len(failed.value.failures) == 1
+    assert {(r._sheet, r._dt) for r in landing.landed_days(spark, str(tmp_path / "lake")).collect()} == {("MON_LOG", "20260403")}
+
+
 def test_exports(spark, workspace, tmp_path):
     status = exports.run_exports(workspace, str(tmp_path / "out"), str(tmp_path / "work"))
     found = {r.file_name: (r.rows_written, r.is_empty) for r in status.collect()}
