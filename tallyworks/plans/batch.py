@@ -40,7 +40,7 @@ def report_from_sql(title: str, text: str) -> Report:
     """A report from query text over the datasets, with ``${name}`` parameters. Its
     number is the one its title starts with; rows are delivered as the query orders them."""
     def build(ws: Workspace, params: ReportParams) -> DataFrame:
-        ws.register_views()
+        ws.register_views(text)
         return run_query(ws.spark, text, params)
 
     number = re.match(r"(?:\d+(?:\.\d+)*)?", title).group(0)

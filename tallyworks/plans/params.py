@@ -26,25 +26,27 @@ NAMES = {
 PLACEHOLDER = re.compile(r"'?\$\{([a-zA-Z][a-zA-Z0-9]*)\}'?")
 
 
-def _month(value: str, name: str) -> dt.date:
+def _parsed(value: str, pattern: str, name: str, form: str) -> dt.datetime:
     try:
-        return dt.datetime.strptime(value, "%Y-%m").date()
+        found = dt.datetime.strptime(value, pattern)
     except ValueError:
-        raise ValueError(f"{name} must use YYYY-MM format") from None
+        found = None
+    # strptime also takes single digits; the form is fixed width
+    if found is None or found.strftime(pattern) != value:
+        raise ValueError(f"{name} must use {form} format")
+    return found
+
+
+def _month(value: str, name: str) -> dt.date:
+    return _parsed(value, "%Y-%m", name, "YYYY-MM").date()
 
 
 def _date(value: str, name: str) -> dt.date:
-    try:
-        return dt.datetime.strptime(value, "%Y-%m-%d").date()
-    except ValueError:
-        raise ValueError(f"{name} must use YYYY-MM-DD format") from None
+    return _parsed(value, "%Y-%m-%d", name, "YYYY-MM-DD").date()
 
 
 def _time(value: str, name: str) -> dt.datetime:
-    try:
-        return dt.datetime.strptime(value.replace("T", " "), "%Y-%m-%d %H:%M")
-    except ValueError:
-        raise ValueError(f"{name} must use YYYY-MM-DD HH:mm format") from None
+    return _parsed(value.replace("T", " "), "%Y-%m-%d %H:%M", name, "YYYY-MM-DD HH:mm")
 
 
 def month_date(month: str) -> dt.date:

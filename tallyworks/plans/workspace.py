@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -96,10 +97,12 @@ class Workspace:
         return clean.within(clean.monitor_log(sheet, self.prefixes).withColumn(
             "_day", F.col("log_createtime").cast("date")), first, last, "_day").drop("_day")
 
-    def register_views(self) -> list[str]:
-        """Temporary views of all datasets that can be built, for ad-hoc SQL."""
+    def register_views(self, query: str | None = None) -> list[str]:
+        """Temporary views of the datasets that can be built, or of those a query names."""
         names = []
         for name in DATASETS:
+            if query is not None and not re.search(rf"\b{name}\b", query):
+                continue
             try:
                 frame = self.get(name)
             except KeyError:
@@ -109,8 +112,8 @@ class Workspace:
         return names
 
     def sql(self, query: str) -> DataFrame:
-        """Ad-hoc SQL over the registered datasets."""
-        self.register_views()
+        """Ad-hoc SQL over the datasets."""
+        self.register_views(query)
         return self.spark.sql(query)
 
     def _rt_cnt_clean(self):

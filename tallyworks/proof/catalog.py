@@ -676,12 +676,13 @@ for _key, (_build, _params) in REPORT_KEYS.items():
     add(_key, on(lambda ws, build=_build, p=_params: build(ws, p)), f"SELECT * FROM {_key.split('_')[0]}")
 
 
+BOUND = """SELECT pr_id, sum(tx_cnt) AS total_cnt FROM rt_pr_hh24_clean
+WHERE tx_yyyymm = '${targetMonth}' AND tx_hour_ts <= CAST('${rangeEndTime}' AS TIMESTAMP_NTZ) GROUP BY pr_id"""
+
+
 def _bound_query(ws: Workspace) -> DataFrame:
-    ws.register_views()
-    return run_query(ws.spark, """
-        SELECT pr_id, sum(tx_cnt) AS total_cnt FROM rt_pr_hh24_clean
-        WHERE tx_yyyymm = '${targetMonth}' AND tx_hour_ts <= CAST('${rangeEndTime}' AS TIMESTAMP_NTZ)
-        GROUP BY pr_id""", oracle.P)
+    ws.register_views(BOUND)
+    return run_query(ws.spark, BOUND, oracle.P)
 
 
 add("b1_bound_parameters", on(_bound_query), f"""

@@ -32,6 +32,7 @@ def test_target_month_is_derived_in_order():
 
 @pytest.mark.parametrize("given, message", [
     ({"target_month": "2026/03"}, "targetMonth must use YYYY-MM"),
+    ({"target_month": "2026-3"}, "targetMonth must use YYYY-MM"),
     ({"target_month": "2026-03", "range_start_date": "2026-04-01"}, "rangeEndDate must be on or after"),
     ({"target_month": "2026-03", "range_end_time": "2026-02-01 00:00"}, "rangeEndTime must be on or after"),
     ({"target_month": "2025-08"}, "historyEndMonth must be on or after"),

@@ -68,6 +68,11 @@ def test_reports_prune_landed_days_and_columns(landed):
     assert "_sheet" not in scan and "_ingest_ts" not in scan
 
 
+def test_reports_compute_only_what_they_show(landed):
+    text = plan(reports.history_totals(landed, oracle.P))
+    assert "max_by" not in text and "avg_tm_ms" not in text and "SortAggregate" not in text
+
+
 def test_filters_reach_the_log_scan(landed):
     text = plan(landed.get("monitor_daily"))
     assert "EqualTo(monitor_kind,SERVER)" in text and "IsNotNull(target_ip)" in text
