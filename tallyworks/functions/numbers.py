@@ -37,6 +37,7 @@ def hundredths(value: Column) -> Column:
 
 
 def mean_of_hundredths(total: Column, count: Column) -> Column:
+    """The rounded mean of two-digit decimals: one division of exact numbers."""
     return round_scaled(total.cast("double") / F.nullif(count * F.lit(100), F.lit(0)).cast("double"))
 
 
