@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import hilbert, packing, pieces, simhash
+from tallyworks.llm import hilbert, langid, packing, pieces, simhash, substrings
 
 QUERIES = {
     "op3_packing": packing.op3_packing,
     "op4_simhash": simhash.op4_simhash,
+    "op6_substrings": substrings.op6_substrings,
+    "op7_language": langid.op7_language,
     "op9_sharding": hilbert.op9_sharding,
     "op10_pieces": pieces.op10_pieces,
 }
