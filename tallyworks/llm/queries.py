@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import hilbert, langid, packing, pieces, simhash, substrings
+from tallyworks.llm import ann, hilbert, langid, packing, pieces, simhash, substrings
 
 QUERIES = {
+    "op2_nearest": ann.op2_nearest,
     "op3_packing": packing.op3_packing,
     "op4_simhash": simhash.op4_simhash,
     "op6_substrings": substrings.op6_substrings,
