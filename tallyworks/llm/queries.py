@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import ann, hilbert, langid, packing, pieces, simhash, substrings
+from tallyworks.llm import ann, hilbert, html_text, langid, packing, pieces, simhash, substrings
 
 QUERIES = {
     "op2_nearest": ann.op2_nearest,
     "op3_packing": packing.op3_packing,
     "op4_simhash": simhash.op4_simhash,
+    "op5_html": html_text.op5_html,
     "op6_substrings": substrings.op6_substrings,
     "op7_language": langid.op7_language,
     "op9_sharding": hilbert.op9_sharding,
