@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import ann, hilbert, html_text, langid, packing, pieces, simhash, substrings
+from tallyworks.llm import ann, hilbert, html_text, langid, packing, pieces, quality, simhash, substrings
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
     "op2_nearest": ann.op2_nearest,
     "op3_packing": packing.op3_packing,
     "op4_simhash": simhash.op4_simhash,
