@@ -15,6 +15,8 @@ is kept; an empty table gives no rows.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,30 +28,69 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.common import quoted, table, written
 
-#: Chunks whose ids a worker keeps; the table is emptied when full.
-KEPT_CHUNKS = 200_000
+#: Chunks whose ids a worker keeps at least, and twice as many at most.
+KEPT_CHUNKS = 250_000
+#: Latin-1 letters, then marks that the tokenizer parts from them.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*&%$#\"()]*)")
 #: Pieces of one packing group, about.
 GROUP = 4096
 PIECES = "piece int, start long, length long, ids_crc32 long, ids binary"
 
 
 class ChunkIds(dict):
-    """Little-endian 32-bit ids by chunk of bytes."""
+    """Little-endian 32-bit ids by chunk of bytes.
+
+    A chunk of Latin letters and closing marks has the ids of its lower-case letters, then those of the marks, because the
+    tokenizer parts them; so letters are encoded once for all cases and marks. Both tables keep two
+    generations: when the newer is full, the older goes.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
+        self.older: dict[bytes, bytes] = {}
+        self.cores: dict[str, bytes] = {}
+        self.older_cores: dict[str, bytes] = {}
+
+    def encode(self, text: str) -> bytes:
+        ids = self.encoder.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def __missing__(self, chunk: bytes) -> bytes:
+    def learn(self, chunks: set[bytes]) -> None:
+        """Makes the ids of all ``chunks`` known."""
         if len(self) >= KEPT_CHUNKS:
+            self.older = dict(self)
             self.clear()
-        ids = self.encoder.encode(chunk.decode(), add_special_tokens=False).ids
-        found = b"".join(i.to_bytes(4, "little") for i in ids)
-        if len(chunk) <= 256:
-            self[chunk] = found
-        return found
+        if len(self.cores) >= KEPT_CHUNKS:
+            self.older_cores, self.cores = self.cores, {}
+        parted, new = [], {}
+        for chunk in [c for c in chunks if c not in self]:
+            if (ids := self.older.get(chunk)) is not None:
+                self[chunk] = ids
+                continue
+            text = chunk.decode()
+            if not (m := PLAIN.fullmatch(text)):
+                self[chunk] = self.encode(text)
+                continue
+            core, marks = m[1].lower(), m[2]
+            for part in (core, marks) if marks else (core,):
+                if part not in self.cores:
+                    if (ids := self.older_cores.get(part)) is not None:
+                        self.cores[part] = ids
+                    else:
+                        new[part] = None
+            parted.append((chunk, core, marks))
+        if new:  # one call; every part is one pre-token, so the pre-token numbers tell the parts' ids
+            found = self.encoder.encode(" ".join(new), add_special_tokens=False)
+            runs: list[list[int]] = [[] for _ in new]
+            for i, part in zip(found.ids, found.word_ids):
+                runs[part].append(i)
+            for part, ids in zip(new, runs):
+                self.cores[part] = struct.pack(f"<{len(ids)}I", *ids)
+        for chunk, core, marks in parted:
+            self[chunk] = self.cores[core] + (self.cores[marks] if marks else b"")
 
 
 @lru_cache(2)
@@ -58,7 +99,9 @@ def chunk_ids(path: str) -> ChunkIds:
 
 
 def token_bytes(data: bytes, ids: ChunkIds) -> bytes:
-    return b"".join(map(ids.__getitem__, data.split()))
+    chunks = data.split()
+    ids.learn(set(chunks))
+    return b"".join(map(ids.__getitem__, chunks))
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int = 0, keep_ids: bool = False) -> DataFrame:
