@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import re
 import struct
 import zlib
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from tallyworks.llm.common import table
 
 MARK = "▁"
-KEPT_WORDS = 150_000
+#: Words (and parts of words) whose ids a worker keeps at least, and twice as many at most.
+KEPT_WORDS = 250_000
 #: Piece types of the model format (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -94,11 +96,16 @@ class PieceModel:
             not self.charmap.units and self.escape and self.dummy and not self.squeeze
             and not any(MARK in p.lstrip(MARK) for p in self.ids)
         )
-        #: characters that no longer piece holds: text can be cut beside them
-        self.alone = [c for c in "\n\t\r" if not any(c in p and len(p) > 1 for p in self.ids)]
-        self.cut = re.compile("([" + "".join(map(re.escape, self.alone)) + "])") if self.alone else None
-        self.words: dict[str, tuple[bytes, bytes]] = {}
-        self.word_ids, self.word_lens = _Side(self, 0), _Side(self, 1)
+        #: neighbours inside pieces: text can be cut between any other two characters
+        self.beside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        #: bytes of the source that a piece covers where the only change is a mark for each space
+        self.covers = np.array([0 if t == CONTROL else 1 if t == BYTE else len(p.encode()) - 2 * p.count(MARK)
+                                for p, t in zip(self.pieces, self.kind)], np.int64)
+        # ids by word with its leading space, and by part of a word, in two generations
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
 
     def normalise(self, text: str) -> tuple[str, list[int]]:
         """Normalised text, and for each of its bytes and its end the source byte it came from."""
@@ -138,11 +145,25 @@ class PieceModel:
                 was_space = piece == b" "
         return out.decode(), [*source, parts[-1][2] if parts else 0]
 
-    def split(self, text: str) -> list[tuple[int, int]]:
-        """Pieces of normalised text as (id, length in bytes), merging the best-scored pair, leftmost first."""
-        if not text:
-            return []
+    def split(self, text: str) -> list[str]:
+        """Pieces of normalised text: the best-scored pair is merged first, the leftmost among equals."""
         parts = list(text)
+        if len(parts) > 64:
+            return self.split_long(parts)
+        ids, none = self.ids, -math.inf
+        scores = [hit[1] if (hit := ids.get(a + b)) else none for a, b in zip(parts, parts[1:])]
+        while scores and (best := max(scores)) != none:
+            i = scores.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i:
+                scores[i - 1] = hit[1] if (hit := ids.get(parts[i - 1] + parts[i])) else none
+            if i < len(scores):
+                scores[i] = hit[1] if (hit := ids.get(parts[i] + parts[i + 1])) else none
+        return parts
+
+    def split_long(self, parts: list[str]) -> list[str]:
+        """The same with a heap, for text in one long part."""
         left, right = list(range(-1, len(parts) - 1)), [*range(1, len(parts)), -1]
         heap: list[tuple[float, int, int, str]] = []
 
@@ -161,41 +182,46 @@ class PieceModel:
                 left[right[b]] = a
             offer(left[a], a)
             offer(a, right[a])
-        found = []
+        return [p for p in parts if p]
+
+    def numbered(self, parts: list[str]) -> list[int]:
+        """Ids of pieces; what is no piece becomes bytes, or one unknown id for each run."""
+        found: list[int] = []
         for p in parts:
-            if p:
-                if p in self.ids:
-                    found.append((self.ids[p][0], len(p.encode())))
-                elif self.bytes:
-                    found += [(self.bytes[x], 1) for x in p.encode()]
-                elif found and found[-1][0] == self.unk:
-                    found[-1] = self.unk, found[-1][1] + len(p.encode())
-                else:
-                    found.append((self.unk, len(p.encode())))
+            if hit := self.ids.get(p):
+                found.append(hit[0])
+            elif self.bytes:
+                found += [self.bytes[x] for x in p.encode()]
+            elif not found or found[-1] != self.unk:
+                found.append(self.unk)
         return found
 
-    def word(self, word: str, lead: bool = True) -> tuple[bytes, bytes]:
-        """Ids and source lengths (both little-endian 32 bit) of a word, led by a space (or by the added mark)."""
-        ids: list[int] = []
-        lens: list[int] = []
-        for part in self.cut.split(" " + word) if self.cut else [" " + word]:
-            for i, size in self.split(part.replace(" ", MARK)):
-                ids.append(i)
-                lens.append(size - 2 * self.pieces[i].count(MARK))  # a mark stands for one byte of the source
-        if not lead:
-            lens[0] -= 1
-        return struct.pack(f"<{len(ids)}I", *ids), struct.pack(f"<{len(lens)}I", *lens)
-
-    def kept(self, word: str) -> tuple[bytes, bytes]:
-        if (hit := self.words.get(word)) is None:
-            if len(self.words) >= KEPT_WORDS:
-                self.words.clear()
-                self.word_ids.clear()
-                self.word_lens.clear()
-            hit = self.word(word)
-            if len(word) <= 64:
-                self.words[word] = hit
-        return hit
+    def part(self, text: str) -> bytes:
+        """Ids of a part of normalised text that no piece crosses the ends of."""
+        if (ids := self.parts.get(text)) is None:
+            if (ids := self.older_parts.get(text)) is None:
+                found = self.numbered(self.split(text))
+                ids = struct.pack(f"<{len(found)}I", *found)
+            if len(text) <= 64:
+                self.parts[text] = ids
+        return ids
+
+    def word(self, word: str) -> bytes:
+        """Ids of a word after a space (or after the added mark)."""
+        text = MARK + word.replace(" ", MARK)
+        cuts = [0, *[i for i in range(1, len(text)) if text[i - 1 : i + 1] not in self.beside], len(text)]
+        # single characters that nothing joins are cheap; longer parts are kept
+        return b"".join([self.part(text[a:b]) for a, b in zip(cuts, cuts[1:])])
+
+    def learn(self, words: set[str]) -> None:
+        """Makes the ids of all ``words`` known."""
+        if len(self.words) >= KEPT_WORDS:
+            self.older, self.words = self.words, {}
+        if len(self.parts) >= KEPT_WORDS:
+            self.older_parts, self.parts = self.parts, {}
+        for word in words.difference(self.words):
+            ids = self.older.get(word)
+            self.words[word] = self.word(word) if ids is None else ids
 
     def encode(self, text: str) -> tuple[bytes, np.ndarray]:
         """Ids (little-endian 32 bit) and the source byte span of each piece, shape (n, 2)."""
@@ -208,16 +234,24 @@ class PieceModel:
                 groups = [found[0], *[w[1:] for w in found[1:]]]
             else:
                 groups = text.split(" ")
-            first = self.word(groups[0], lead=False)
-            ids = first[0] + b"".join(map(self.word_ids.__getitem__, groups[1:]))
-            lens = first[1] + b"".join(map(self.word_lens.__getitem__, groups[1:]))
-            ends = np.frombuffer(lens, "<u4").astype(np.int64).cumsum()
-            return ids, np.stack([np.concatenate([[0], ends[:-1]]), ends], 1)
+            self.learn(set(groups))
+            ids = b"".join(map(self.words.__getitem__, groups))
+            sizes = self.covers[np.frombuffer(ids, "<u4")]
+            sizes[0] -= 1  # the added mark covers nothing
+            ends = sizes.cumsum()
+            return ids, np.stack([ends - sizes, ends], 1)
         normal, source = self.normalise(text)
-        found = self.split(normal)
-        ends = np.cumsum([0, *[n for _, n in found]])
-        at = np.array(source, np.int64)[ends]
-        return struct.pack(f"<{len(found)}I", *[i for i, _ in found]), np.stack([at[:-1], at[1:]], 1)
+        ids, spans, at = [], [], 0
+        for p in self.split(normal):
+            own = self.numbered([p])
+            if own == [self.unk] == ids[-1:]:
+                spans[-1][1] += len(p.encode())
+            else:
+                step = len(p.encode()) // len(own)
+                ids += own
+                spans += [[at + k * step, at + (k + 1) * step] for k in range(len(own))]
+            at += len(p.encode())
+        return struct.pack(f"<{len(ids)}I", *ids), np.array(source, np.int64)[np.array(spans, np.int64).reshape(-1, 2)]
 
     def decode(self, ids: bytes) -> str:
         """Text of ids; the mark that opens the first piece is the added prefix and goes."""
@@ -226,19 +260,6 @@ class PieceModel:
         return data.decode("utf-8", "replace").replace(MARK, " ")
 
 
-class _Side(dict):
-    """One side of the kept words, so that joining needs one look-up a word."""
-
-    def __init__(self, model: PieceModel, side: int):
-        self.model, self.side = model, side
-
-    def __missing__(self, word: str) -> bytes:
-        found = self.model.kept(word)[self.side]
-        if len(word) <= 64:
-            self[word] = found
-        return found
-
-
 @lru_cache(2)
 def load(path: str) -> PieceModel:
     return PieceModel(path)
