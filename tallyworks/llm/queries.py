@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import ann, hilbert, html_text, langid, packing, pieces, quality, simhash, substrings
+from tallyworks.llm import ann, hilbert, html_text, langid, packing, pieces, pii, quality, simhash, substrings
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_html": html_text.op5_html,
     "op6_substrings": substrings.op6_substrings,
     "op7_language": langid.op7_language,
+    "op8_pii": pii.op8_pii,
     "op9_sharding": hilbert.op9_sharding,
     "op10_pieces": pieces.op10_pieces,
 }
