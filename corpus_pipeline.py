@@ -4,22 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import packing, simhash
+from tallyworks.llm import packing, pii, quality, simhash, substrings
 from tallyworks.llm.common import table, written
 
 
+def sound(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality.keep_sound(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return simhash.keep_one(docs)
 
 
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of 50-word windows that start in a document with a smaller id go."""
+    return substrings.without_repeats(docs)
+
+
+def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data gives way to its kind in square brackets."""
+    return pii.without_pii(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 2048 ids."""
     return packing.pack_documents(docs, packing.word_tokenizer())
 
 
 STAGES = [
+    ("sound", sound),
     ("near_dedup", near_dedup),
+    ("cut_repeats", cut_repeats),
+    ("mask_pii", mask_pii),
     ("pack", pack),
 ]
 
