@@ -49,7 +49,7 @@ AGAINST = r"(?i)(?:isbn|issn|doi|version|page|chapter|vol|fig|table|section|year
 CONTEXT = 32  # characters before a candidate that are looked at
 LABELERS = ("l_format", "l_before", "l_assigned", "l_shape", "l_plain")
 START = (0.5, 0.85, 0.85)
-STEPS = 25
+STEPS = 15
 KINDS = ("name", "address", "secret", "number")
 
 
@@ -167,14 +167,14 @@ def candidates(docs: DataFrame) -> DataFrame:
     return with_new(docs, {"_more": F.transform(placed("_c_gaps", "_c_found"), votes)}).drop("_left", "_c_gaps", "_c_found")
 
 
-def features() -> dict[str, Column]:
-    """Inputs of the span classifier, by name."""
+def features(c) -> dict[str, Column]:
+    """Inputs of the span classifier by name; ``c(name)`` gives a candidate's field."""
     found = {"one": F.lit(1.0)}
     for name in LABELERS:
-        found[f"{name}+"] = (F.col(name) > 0).cast("double")
-        found[f"{name}-"] = (F.col(name) < 0).cast("double")
-    found |= {f"kind={k}": (F.col("kind") == k).cast("double") for k in KINDS}
-    return found | {"size": F.col("size") / 6, "share": F.col("share") / 4}
+        found[f"{name}_for"] = (c(name) > 0).cast("double")
+        found[f"{name}_against"] = (c(name) < 0).cast("double")
+    found |= {f"kind_{k}": (c("kind") == k).cast("double") for k in KINDS}
+    return found | {"size_share": c("size") / 6, "digit_share": c("share") / 4}
 
 
 def weighted(weights: dict[str, float], inputs: dict[str, Column]) -> Column:
@@ -194,18 +194,19 @@ def train(marked: DataFrame) -> dict[str, float]:
     each = marked.select(F.explode("_more").alias("c")).select(*[F.col(f"c.{k}").alias(k) for k in keys])
     shapes = written(each.groupBy(*keys).agg(F.count("*").cast("double").alias("n")), "span-shapes")
     trust = estimate(shapes, list(LABELERS), *START, rounds=8)
-    shapes = shapes.withColumn("_target", trust.posterior())
-    inputs = features()
+    names = list(features(F.col))
+    shapes = written(shapes.select("n", trust.posterior().alias("target"), *[x.alias(k) for k, x in features(F.col).items()]), "span-features")
     # a prior that agrees with the votes: known formats and named contexts speak for, plain shapes against
-    weights = dict.fromkeys(inputs, 0.0) | {"l_format+": 2.0, "l_before+": 1.0, "l_format-": -2.0, "l_plain-": -2.0, "l_before-": -1.0}
-    seen = dict.fromkeys(inputs, 1e-6)
+    weights = dict.fromkeys(names, 0.0) | {"l_format_for": 2.0, "l_before_for": 1.0, "l_format_against": -2.0,
+                                           "l_plain_against": -2.0, "l_before_against": -1.0}
+    seen = dict.fromkeys(names, 1e-6)
     for _ in range(STEPS):
-        miss = (F.col("_target") - weighted(weights, inputs)) * F.col("n")
-        sums = shapes.agg(F.sum("n").alias("n"), *[F.sum(miss * x).alias(f"g{i}") for i, x in enumerate(inputs.values())]).first()
+        missed = shapes.select("n", *names, ((F.col("target") - weighted(weights, {k: F.col(k) for k in names})) * F.col("n")).alias("miss"))
+        sums = missed.agg(F.sum("n").alias("n"), *[F.sum(F.col("miss") * F.col(k)).alias(k) for k in names]).first()
         if not sums["n"]:
             break
-        for i, name in enumerate(inputs):
-            slope = sums[f"g{i}"] / sums["n"]
+        for name in names:
+            slope = sums[name] / sums["n"]
             seen[name] += slope * slope
             weights[name] += 0.5 * slope / math.sqrt(seen[name])
     return weights
@@ -220,12 +221,7 @@ def judged(docs: DataFrame, keep: list[str]) -> tuple[DataFrame, dict[str, float
 
 def taken(weights: dict[str, float], c: Column) -> Column:
     """Whether the classifier takes a candidate (a struct as of ``votes``)."""
-    inputs = {"one": F.lit(1.0)}
-    for name in LABELERS:
-        inputs[f"{name}+"], inputs[f"{name}-"] = (c[name] > 0).cast("double"), (c[name] < 0).cast("double")
-    inputs |= {f"kind={k}": (c["kind"] == k).cast("double") for k in KINDS}
-    inputs |= {"size": c["size"] / 6, "share": c["share"] / 4}
-    return weighted(weights, inputs) >= 0.5
+    return weighted(weights, features(lambda name: c[name])) >= 0.5
 
 
 def find_spans(docs: DataFrame, keep: list[str]) -> DataFrame:
