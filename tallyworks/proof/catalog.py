@@ -267,8 +267,8 @@ def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     inbox = _inbox(spark, sf_dir)
     for _ in range(2):
         land_available(spark, inbox, f"{inbox}-stream", "RT_CNT", RAW_CELLS, f"{inbox}-checkpoint")
-    landed = spark.read.schema(_landed_schema("RT_CNT")).parquet(f"{inbox}-stream/RT_CNT")
-    return landed.drop("_ingest_ts")
+    source = spark.read.schema(_landed_schema("RT_CNT")).option("basePath", f"{inbox}-stream")
+    return source.parquet(f"{inbox}-stream/_sheet=RT_CNT").drop("_ingest_ts")
 
 
 add("i9_available_now_stream", _streamed, "SELECT *, 'RT_CNT' AS _sheet FROM landed_sheet")

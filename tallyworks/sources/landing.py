@@ -5,8 +5,9 @@ The inbox holds the decoded rows by sheet and workbook name::
     inbox/_sheet=RT_CNT/_file=daily-20260401.xlsx/part-*.json
 
 Which workbooks to land is decided on folder names and the lake's own record of
-landed days; no content is read for it. The content then goes through narrow
-projections into a partitioned write.
+landed days; no content is read for it. Cells are read as they are, whatever their
+headers, and normalised by value; what a declared type cannot hold and lines that cannot
+be read are kept in ``_rejected`` and counted in ``_landings``.
 """
 
 from __future__ import annotations
@@ -14,20 +15,26 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyworks.operators.lookup import restrict_to
+from tallyworks.session import scratch_dir
 from tallyworks.sources.lake import with_lineage, write_days
-from tallyworks.sources.listing import exists, folders
+from tallyworks.sources.listing import exists, folder_paths, folders, remove
 from tallyworks.sources.schemas import SHEET_COLUMNS, TARGET_SHEETS, header_schema
 
 # any workbook name that ends in an 8-digit day
 FILE_PATTERN = r"^.*?(\d{8})\.xlsx$"
 FILES = "_sheet string, _file string"
 LANDED = "_sheet string, _dt string"
+LANDING_LOG = "_sheet string, _dt string, _file string, row_count long, rejected long, _ingest_ts long"
+REJECTED = "_file string, header string, content string, _ingest_ts long, _sheet string, _dt string"
+INTERNAL = ("_file", "_sheet", "_dt", "_ingest_ts")
+#: What a failed read or write raises: Spark's own errors, and those of a job that failed.
+FAILURES = (PySparkException, Py4JJavaError)
 
 
 class LandingFailed(RuntimeError):
@@ -153,19 +160,38 @@ def landed_days(spark: SparkSession, lake: str) -> DataFrame:
 
 
 def record_days(days: DataFrame, lake: str) -> None:
-    """Record days after their rows are committed. A run lost in between lands the
-    same days again, which replaces them."""
-    days.select("_sheet", "_dt").distinct().coalesce(1).write.mode("append").parquet(f"{lake}/_landings")
+    """Record days (and what was counted) after their rows are committed. A run lost in
+    between lands the same days again, which replaces them."""
+    counted = [c for c in ("_file", "row_count", "rejected", "_ingest_ts") if c in days.columns]
+    days.select("_sheet", "_dt", *counted).distinct().coalesce(1).write.mode("append").parquet(f"{lake}/_landings")
+
+
+def landing_log(spark: SparkSession, lake: str) -> DataFrame:
+    """Rows and rejected cells or lines per sheet, day and workbook of the day's latest landing."""
+    if not exists(spark, f"{lake}/_landings"):
+        return spark.createDataFrame([], LANDING_LOG)
+    log = spark.read.schema(LANDING_LOG).parquet(f"{lake}/_landings").filter(F.col("_file").isNotNull())
+    latest = F.max_by(F.struct("_file", "row_count", "rejected", "_ingest_ts"), "_ingest_ts").alias("last")
+    return log.groupBy("_sheet", "_dt").agg(latest).select("_sheet", "_dt", "last.*")
+
+
+def rejected_cells(spark: SparkSession, lake: str) -> DataFrame:
+    """Cells that their column's type cannot hold, and unreadable lines (without a header)."""
+    if not exists(spark, f"{lake}/_rejected"):
+        return spark.createDataFrame([], REJECTED)
+    return spark.read.schema(REJECTED).parquet(f"{lake}/_rejected")
 
 
 def mark_todo(files: DataFrame, landed: DataFrame | None) -> DataFrame:
     """Per sheet and file whether it is to be landed: in incremental mode, when its
-    sheet and day are not in the lake yet; with no ``landed`` (forced), always."""
+    sheet and day are not in the lake yet; with no ``landed`` (forced), always. Of two
+    workbooks of one sheet and day the first by name is landed."""
+    first = F.row_number().over(Window.partitionBy("_sheet", "_dt").orderBy("_file")) == 1
     if landed is None:
-        return files.withColumn("todo", F.lit(True))
-    known = landed.select("_sheet", "_dt", F.lit(True).alias("_known"))
-    marked = files.join(known, ["_sheet", "_dt"], "left")
-    return marked.withColumn("todo", F.col("_known").isNull()).drop("_known")
+        return files.withColumn("todo", first)
+    known = landed.select("_sheet", "_dt", F.lit(True).alias("_known")).distinct()
+    marked = files.withColumn("_first", first).join(known, ["_sheet", "_dt"], "left")
+    return marked.withColumn("todo", F.col("_first") & F.col("_known").isNull()).drop("_known", "_first")
 
 
 def file_outcomes(marked: DataFrame) -> DataFrame:
@@ -192,18 +218,117 @@ def text_schema(headers: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in dict.fromkeys(clean_headers(headers))])
 
 
+def decoded(spark: SparkSession, paths: Sequence[str], root: str) -> DataFrame:
+    """``_file``, ``line`` and ``cells`` (header, kind, text, number) of workbook folders; cells are null if
+    the line is no JSON object. Headers are cleaned here, blank ones by their position."""
+    lines = spark.read.schema("value string, _file string").option("basePath", root).text(list(paths))
+    entries = F.map_entries(F.from_json("value", "map<string,variant>"))
+
+    def cell(entry: Column, place: Column) -> Column:
+        name, value = F.regexp_replace(entry["key"], r"^\s+|\s+$", ""), entry["value"]
+        return F.struct(
+            F.when(name == "", F.concat(F.lit("column_"), place)).otherwise(name).alias("header"),
+            F.schema_of_variant(value).alias("kind"), F.try_variant_get(value, "$", "string").alias("text"),
+            F.try_variant_get(value, "$", "double").alias("number"))
+
+    rows = lines.filter(~F.col("value").rlike(r"^\s*$"))
+    return rows.select("_file", F.col("value").alias("line"), F.transform(entries, cell).alias("cells"))
+
+
+def found_headers(rows: DataFrame, declared: Iterable[str]) -> dict[str, str]:
+    """Headers by their lower-case form: declared ones first, then others as found. As many as a sheet has columns."""
+    names = rows.select(F.explode(F.transform("cells", lambda c: c["header"])).alias("h")).distinct().orderBy("h").collect()
+    headers: dict[str, str] = {}
+    for name in [*declared, *[r.h for r in names]]:
+        headers.setdefault(name.lower(), name)
+    return headers
+
+
+def cell_value(header: str, kind: T.DataType) -> Column:
+    """The last cell under a header as text: blank text is NULL, whole numbers have no fraction, and declared
+    days and stamps take their ISO form. Text that is none of its declared kind stays as it is."""
+    mine = F.filter("cells", lambda c: F.lower(c["header"]) == header.lower())
+    cell = F.get(mine, F.size(mine) - 1)
+    number = cell["number"]
+    whole = (number == F.floor(number)) & (F.abs(number) < 9.0e18)
+    spelled = F.when(whole, number.try_cast("bigint").cast("string")).otherwise(number.cast("string"))
+    text = F.when(cell["kind"].rlike("^(?:DECIMAL|DOUBLE|FLOAT)"), spelled).otherwise(cell["text"])
+    text = F.when(~text.rlike(r"^\s*$"), text)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        stamp = text.try_cast("timestamp_ntz")
+        shown = stamp.cast("string")
+        iso = F.concat(F.replace(F.substring(shown, 1, 19), F.lit(" "), F.lit("T")), F.lit("."),
+                       F.rpad(F.substring(shown, 21, 6), 6, "0"))
+        day = stamp.cast("date")
+        return F.coalesce(F.when(day.cast("timestamp_ntz") == stamp, day.cast("string")).otherwise(iso), text)
+    return text
+
+
+def staged(spark: SparkSession, inbox: str, sheet: str, paths: Sequence[str], pattern: str, stamp: int,
+           cells: T.StructType, types: T.StructType | None) -> DataFrame:
+    """The sheet's rows of some workbooks as a written table: every column, lineage, ``_bad`` (rejected cells)."""
+    rows = select_files(decoded(spark, paths, f"{inbox}/_sheet={sheet}"), pattern)
+    kinds = {f.name.lower(): f.dataType for f in cells}
+    typed = {f.name.lower(): f.dataType for f in types} if types is not None else {}
+    headers = found_headers(rows, [f.name for f in cells])
+    values, bad = [], []
+    names = {key: f"{name}_cell" if key in INTERNAL else name for key, name in headers.items()}
+    texts = rows.select("*", *[cell_value(name, kinds.get(key, T.StringType())).alias(f"c{i}")
+                               for i, (key, name) in enumerate(headers.items())])
+    for i, (key, name) in enumerate(names.items()):
+        text = F.col(f"c{i}")
+        value = text.try_cast(typed[key]) if key in typed else text
+        values.append(value.alias(name))
+        if key in typed:
+            bad.append(F.when(text.isNotNull() & value.isNull(), F.struct(F.lit(headers[key]).alias("header"), text.alias("content"))))
+    line = F.struct(F.lit(None).cast("string").alias("header"), F.col("line").alias("content"))
+    broken = F.when(F.col("cells").isNull(), F.array(line)).otherwise(F.array_compact(F.array(*bad)) if bad else F.array().cast(
+        "array<struct<header:string,content:string>>"))
+    present = F.array_compact(F.array(*[F.col(f"c{i}") for i in range(len(headers))])) if headers else F.array()
+    body = texts.filter((F.size(present) > 0) | F.col("cells").isNull()).select(
+        *values, broken.alias("_bad"), F.col("cells").isNull().alias("_unread"), "_file", "_dt")
+    ready = with_lineage(body, F.col("_file"), sheet, F.col("_dt"), stamp)
+    path = scratch_dir(spark, f"staged-{sheet}")
+    ready.write.parquet(path)
+    return spark.read.schema(ready.schema).parquet(path)
+
+
+def land_workbooks(spark: SparkSession, inbox: str, lake: str, sheet: str, chosen: list[tuple[str, str]], fmt: str,
+                   **reading) -> None:
+    """Land the (workbook, day) pairs of one sheet: rows, rejected cells, then the record of their days.
+
+    The days are replaced as a whole: one that has no rows any more is removed.
+    """
+    paths = folder_paths(spark, f"{inbox}/_sheet={sheet}", "_file")
+    rows = staged(spark, inbox, sheet, [paths[file] for file, _ in chosen], **reading)
+    kept = rows.filter("NOT _unread")
+    write_days(kept.drop("_bad", "_unread"), lake, fmt)
+    bad = rows.select("_file", F.explode("_bad").alias("b"), "_ingest_ts", "_sheet", "_dt")
+    write_days(bad.select("_file", "b.header", "b.content", "_ingest_ts", "_sheet", "_dt"), f"{lake}/_rejected")
+    counts = rows.groupBy("_file", "_dt").agg(F.count_if(~F.col("_unread")).alias("row_count"), F.sum(F.size("_bad")).alias("rejected"))
+    wanted = spark.createDataFrame([(sheet, *pair) for pair in chosen], f"{FILES}, _dt string")
+    days = wanted.join(counts, ["_file", "_dt"], "left").select(
+        "_sheet", "_dt", "_file", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("row_count", "rejected")],
+        F.lit(reading["stamp"]).cast("long").alias("_ingest_ts")).collect()  # one row per workbook of this run
+    for day in days:
+        for n, root in ((day.row_count, lake), (day.rejected, f"{lake}/_rejected")):
+            if not n:
+                remove(spark, f"{root}/_sheet={sheet}/_dt={day._dt}")
+    record_days(spark.createDataFrame(days, LANDING_LOG), lake)
+
+
 def land(spark: SparkSession, inbox: str, lake: str, schemas: dict[str, T.StructType] | None = None, *,
          types: dict[str, T.StructType] | None = None, pattern: str = FILE_PATTERN,
          date: str | None = None, newest: int | None = None, force: bool = False, fmt: str = "parquet",
-         source: str = "json", ingest_ts: int | None = None) -> DataFrame:
-    """Land the sheets of ``schemas`` (by default those with a dataset); returns the
-    outcome per file.
+         ingest_ts: int | None = None) -> DataFrame:
+    """Land the sheets of ``schemas`` (by default all target sheets); returns the outcome per file.
 
-    Incremental mode skips days a sheet already has; ``force`` rewrites them. A sheet
-    that fails does not keep the others from landing; the run then ends as failed.
+    Every column found is landed: as its declared type in ``types``, else as text. Incremental mode
+    skips days a sheet already has; ``force`` rewrites them. A sheet that fails is landed workbook by workbook, so
+    that one damaged file keeps no other from landing; the run then ends as failed. ``landing_log`` has the counts.
     """
     if schemas is None:
-        schemas = {sheet: cell_schema(sheet) for sheet in SHEET_COLUMNS}
+        schemas = {sheet: cell_schema(sheet) if sheet in SHEET_COLUMNS else T.StructType([]) for sheet in TARGET_SHEETS}
         types = {sheet: header_schema(columns) for sheet, columns in SHEET_COLUMNS.items()}
     stamp = int(time.time()) if ingest_ts is None else ingest_ts
     files = select_files(inbox_files(spark, inbox, list(schemas)), pattern, date, newest)
@@ -213,19 +338,21 @@ def land(spark: SparkSession, inbox: str, lake: str, schemas: dict[str, T.Struct
     # writes below change what counts as landed
     decided, failures = marked.collect(), []
     for sheet in [name for name in TARGET_SHEETS if name in schemas]:
-        rows = [row[:3] for row in decided if row["_sheet"] == sheet and row["todo"]]
-        if not rows:
+        chosen = [(row["_file"], row["_dt"]) for row in decided if row["_sheet"] == sheet and row["todo"]]
+        if not chosen:
             continue
+        reading = {"pattern": pattern, "stamp": stamp, "cells": schemas[sheet], "types": (types or {}).get(sheet)}
         try:
-            chosen = spark.createDataFrame(rows, f"{FILES}, _dt string")
-            raw_schema = T.StructType([*schemas[sheet].fields, T.StructField("_file", T.StringType())])
-            raw = spark.read.schema(raw_schema).format(source).load(f"{inbox}/_sheet={sheet}")
-            wanted = restrict_to(raw, "_file", chosen.select("_file"))
-            ready = prepare(select_files(wanted, pattern, date), sheet, stamp, (types or {}).get(sheet))
-            write_days(ready, lake, fmt)
-            record_days(chosen, lake)
-        except PySparkException as error:
-            failures.append(f"{sheet}: {error}")
+            land_workbooks(spark, inbox, lake, sheet, chosen, fmt, **reading)
+        except FAILURES as error:
+            if len(chosen) == 1:
+                failures.append(f"{sheet}, {chosen[0][0]}: {error}")
+                continue
+            for one in chosen:
+                try:
+                    land_workbooks(spark, inbox, lake, sheet, [one], fmt, **reading)
+                except FAILURES as own:
+                    failures.append(f"{sheet}, {one[0]}: {own}")
     if failures:
         raise LandingFailed(failures)
     return file_outcomes(spark.createDataFrame(decided, marked.schema))

@@ -22,6 +22,19 @@ def folders(spark: SparkSession, root: str, *columns: str) -> list[tuple[str, ..
     return found
 
 
+def folder_paths(spark: SparkSession, root: str, column: str) -> dict[str, str]:
+    """Path of each ``column=value`` folder directly below ``root``, by value."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{column}=*")
+    statuses = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    found = [status.getPath().toString() for status in statuses]
+    return {unquote(p.rstrip("/").rsplit("/", 1)[1].split("=", 1)[1]): p for p in found}
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

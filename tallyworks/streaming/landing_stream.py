@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyworks.sources.landing import FILE_PATTERN, prepare, select_files
+from tallyworks.sources.lake import write_days
+from tallyworks.sources.landing import FILE_PATTERN, prepare, record_days, select_files
 
 
 def landing_stream(spark: SparkSession, inbox: str, sheet: str, schema: T.StructType, *,
@@ -20,17 +21,18 @@ def landing_stream(spark: SparkSession, inbox: str, sheet: str, schema: T.Struct
     return prepare(select_files(rows, pattern), sheet, int(time.time()), types)
 
 
-def land_available(spark: SparkSession, inbox: str, target: str, sheet: str, schema: T.StructType,
+def land_available(spark: SparkSession, inbox: str, lake: str, sheet: str, schema: T.StructType,
                    checkpoint: str, **options) -> StreamingQuery:
-    """Land everything that is new and stop. The checkpoint remembers files across
-    runs and lost executors; a rerun after a crash does not land a file twice.
-
-    The sink keeps its own log of committed files, so ``target`` is a folder of
-    its own and not one that batch landing writes to.
+    """Land everything that is new into the lake and stop. The checkpoint remembers files across
+    runs; each batch replaces the days it holds, as batch landing does, so a batch that is run again after a
+    crash changes nothing.
     """
+    def replace_days(batch: DataFrame, _: int) -> None:
+        write_days(batch, lake)
+        record_days(batch.select("_sheet", "_dt").distinct(), lake)
+
     stream = landing_stream(spark, inbox, sheet, schema, **options)
-    query = (stream.writeStream.format("parquet").partitionBy("_dt").option("path", f"{target}/{sheet}")
-             .option("checkpointLocation", f"{checkpoint}/{sheet}")
-             .trigger(availableNow=True).outputMode("append").start())
+    query = (stream.writeStream.foreachBatch(replace_days).option("checkpointLocation", f"{checkpoint}/{sheet}")
+             .trigger(availableNow=True).start())
     query.awaitTermination()
     return query

@@ -106,11 +106,12 @@ def test_file_selection(spark):
 def test_stream_lands_each_file_once(spark, inbox, tmp_path):
     schema = landing.cell_schema("RT_PR_HH24")
     args = (spark, str(inbox), str(tmp_path / "stream"), "RT_PR_HH24", schema, str(tmp_path / "checkpoint"))
-    land_available(*args)
+    types = lake.header_schema(landing.SHEET_COLUMNS["RT_PR_HH24"])
+    land_available(*args, types=types)
     put(inbox, "RT_PR_HH24", "daily-20260405.xlsx", hour("P94", "0404 10", 1.0, 1.0))
-    land_available(*args)
-    land_available(*args)
-    rows = spark.read.parquet(str(tmp_path / "stream" / "RT_PR_HH24")).collect()
+    land_available(*args, types=types)
+    land_available(*args, types=types)
+    rows = lake.read_sheet(spark, str(tmp_path / "stream"), "RT_PR_HH24").collect()
     assert sorted(r._file for r in rows) == ["daily-20260402.xlsx"] * 2 + ["daily-20260403.xlsx"] * 2 + ["daily-20260405.xlsx"]
 
 
@@ -177,13 +178,52 @@ def test_reports_from_query_files(spark, workspace, tmp_path):
     assert [tuple(r) for r in totals] == [("G61", "12"), ("P94", "1")]
 
 
-def test_a_failing_sheet_does_not_stop_the_others(spark, inbox, tmp_path):
-    types = {"RT_PR_HH24": T.StructType([T.StructField("CALTM", T.LongType())])}
-    schemas = {sheet: landing.cell_schema(sheet) for sheet in ("RT_PR_HH24", "MON_LOG")}
-    with pytest.raises(landing.LandingFailed, match="RT_PR_HH24") as failed:
-        landing.land(spark, str(inbox), str(tmp_path / "lake"), schemas, types=types)
+def test_a_damaged_workbook_does_not_stop_the_others(spark, inbox, tmp_path):
+    folder = inbox / "_sheet=RT_PR_HH24" / "_file=daily-20260401.xlsx"
+    folder.mkdir()
+    (folder / "part-0.json.gz").write_bytes(b"this is no gzip file")
+    with pytest.raises(landing.LandingFailed, match="daily-20260401.xlsx") as failed:
+        landing.land(spark, str(inbox), str(tmp_path / "lake"))
     assert len(failed.value.failures) == 1
-    assert {(r._sheet, r._dt) for r in landing.landed_days(spark, str(tmp_path / "lake")).collect()} == {("MON_LOG", "20260403")}
+    assert {(r._sheet, r._dt) for r in landing.landed_days(spark, str(tmp_path / "lake")).collect()} == {
+        ("MON_LOG", "20260403"), ("RT_PR_HH24", "20260402"), ("RT_PR_HH24", "20260403")}
+
+
+def test_nothing_is_lost_on_landing(spark, tmp_path):
+    inbox, target = tmp_path / "inbox", str(tmp_path / "lake")
+    put(inbox, "RT_PR_HH24", "daily-20260402.xlsx", {" PR_ID ": "G61", "CALTM": "0401 09", "CNT": "4 rows", "": "note", "EXTRA": 7.0},
+        {"PR_ID": "P94", "CNT": 3.0, "AVG_TM": "0.5"}, {"PR_ID": "  ", "EXTRA": None})
+    (inbox / "_sheet=RT_PR_HH24" / "_file=daily-20260402.xlsx" / "part-1.json").write_text('{"PR_ID": "cut off', encoding="utf-8")
+    put(inbox, "MON_LOG", "daily-20260402.xlsx", {"TARGET_PORT": 8080.0, "MONITOR_KIND": "SERVER"})
+    put(inbox, "BT_CNT", "daily-20260402.xlsx", {"JOB": "a", "N": 2.0})
+    put(inbox, "ERR_LOG", "daily-20260402.xlsx", {"TEXT": "boom"})
+    landing.land(spark, str(inbox), target, ingest_ts=5)
+    rows = spark.read.parquet(f"{target}/_sheet=RT_PR_HH24").orderBy("PR_ID").collect()
+    assert [(r.PR_ID, r.CALTM, r.CNT, r.AVG_TM, r.column_3, r.EXTRA) for r in rows] == [
+        ("G61", "0401 09", None, None, "note", "7"), ("P94", None, 3, 0.5, None, None)]
+    bad = {(r._sheet, r._dt, r.header, r.content) for r in landing.rejected_cells(spark, target).collect()}
+    assert bad == {("RT_PR_HH24", "20260402", "CNT", "4 rows"), ("RT_PR_HH24", "20260402", None, '{"PR_ID": "cut off')}
+    log = {r._sheet: (r._dt, r._file, r.row_count, r.rejected, r._ingest_ts) for r in landing.landing_log(spark, target).collect()}
+    assert log["RT_PR_HH24"] == ("20260402", "daily-20260402.xlsx", 2, 2, 5) and set(log) == {"RT_PR_HH24", "MON_LOG", "BT_CNT", "ERR_LOG"}
+    assert lake.read_sheet(spark, target, "MON_LOG").collect()[0].target_port == "8080"
+    assert spark.read.parquet(f"{target}/_sheet=BT_CNT").collect()[0].N == "2"
+
+
+def test_force_clears_an_emptied_day(spark, inbox, tmp_path):
+    target = str(tmp_path / "lake")
+    landing.land(spark, str(inbox), target, ingest_ts=1)
+    part = inbox / "_sheet=RT_PR_HH24" / "_file=daily-20260402.xlsx" / "part-0.json"
+    part.write_text(json.dumps({"PR_ID": " "}), encoding="utf-8")
+    landing.land(spark, str(inbox), target, force=True, ingest_ts=2)
+    assert {r._dt for r in lake.read_sheet(spark, target, "RT_PR_HH24").collect()} == {"20260403"}
+
+
+def test_of_two_workbooks_of_a_day_the_first_lands(spark, inbox, tmp_path):
+    put(inbox, "RT_PR_HH24", "again-20260402.xlsx", hour("P94", "0401 11", 1.0, 1.0))
+    found = outcomes(landing.land(spark, str(inbox), str(tmp_path / "lake")))
+    assert found["again-20260402.xlsx"] == (1, True) and found["daily-20260402.xlsx"] == (0, False)
+    rows = lake.read_sheet(spark, str(tmp_path / "lake"), "RT_PR_HH24").filter("_dt = '20260402'").collect()
+    assert {r._file for r in rows} == {"again-20260402.xlsx"}
 
 
 def test_exports(spark, workspace, tmp_path):
