@@ -12,8 +12,10 @@ Windows that occur in two documents have equal keys, so:
 1. every document is folded to its keys and to a digest of all its words; copies of a whole
    document are folded to the one with the smallest id, whose windows cover theirs;
 2. keys that occur in two documents are found by aggregation;
-3. only windows with such a key are hashed (128 bits) and matched exactly; a word is removed if it is covered by a window
-   that also starts in a document with a smaller id.
+3. the consecutive windows of one anchor with such a key are a span; equal spans (128-bit hashes) need no closer look: all but
+   those of the smallest id are covered;
+4. where a key has different spans, each window of one span of a kind is hashed (128 bits) and matched. A word is
+   removed if it is covered by a window that also starts in a document with a smaller id.
 
 Edge cases: null text has no words; texts under 50 words lose nothing; a null document id loses nothing and
 covers nothing; rows of one id do not cover each other; repeats inside one document stay; an empty table gives no rows.
@@ -30,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import LongType, StructField, StructType, _parse_datatype_string
 
 from tallyworks.llm.common import table, with_new, written
 
@@ -198,9 +200,17 @@ def folded(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(run, schema)
 
 
-def window_hashes(texts: DataFrame) -> DataFrame:
-    """Starts and hashes of the windows whose key is among the row's ``hits``."""
-    schema, out = schemas("digest string, text binary, starts array<int>, h1 array<long>, h2 array<long>",
+def arrow_rows(result: list[tuple], out: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*result)) if result else [()] * len(out)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, out)], schema=out)
+
+
+def shared_spans(texts: DataFrame) -> DataFrame:
+    """Per document the spans of its windows with a key among the row's ``hits``.
+
+    A span is all consecutive windows with one anchor: key, content hash (128 bits), first start, number of windows.
+    """
+    schema, out = schemas("digest string, text binary, keys array<long>, s1 array<long>, s2 array<long>, starts array<int>, counts array<int>",
                           StructField("doc_id", texts.schema["doc_id"].dataType))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,23 +218,49 @@ def window_hashes(texts: DataFrame) -> DataFrame:
         for batch in batches:
             rows = zip(batch.column("text").to_pylist(), *[batch.column(c).to_pylist() for c in ("doc_id", "digest")], batch.column("hits"))
             for held, names, sizes in chunks(rows, word_names()):
-                windows, _, keys = anchor_keys(names, sizes)
+                windows, places, keys = anchor_keys(names, sizes)
                 offsets = np.cumsum([0, *sizes])
                 cut, result = np.searchsorted(windows, offsets), []
                 for k, (data, doc, digest, hits) in enumerate(held):
                     if digest in seen:
                         continue
                     seen.add(digest)
-                    known = hits.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                    starts = windows[cut[k] : cut[k + 1]][np.isin(keys[cut[k] : cut[k + 1]], known)]
-                    hashes = [mixed(span_hash(names, b, starts, 0, WINDOW)).view(np.int64) for b in BASES]
-                    result.append((doc, digest, data, (starts - offsets[k]).astype(np.int32), *hashes))
-                columns = list(zip(*result)) if result else [()] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, out)], schema=out)
+                    own = slice(cut[k], cut[k + 1])
+                    known = np.isin(keys[own], hits.values.to_numpy(zero_copy_only=False).view(np.uint64))
+                    starts, at = windows[own][known], places[own][known]
+                    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]) if len(at) else np.zeros(0, bool))
+                    count = np.diff(np.concatenate([first, [len(at)]]))
+                    begin = starts[first]
+                    hashes = [mixed(span_hash(names, b, begin, 0, count + WINDOW - 1) + count.astype(np.uint64)).view(np.int64) for b in BASES]
+                    result.append((doc, digest, data, keys[own][known][first].view(np.int64), *hashes,
+                                   (begin - offsets[k]).astype(np.int32), count.astype(np.int32)))
+                yield arrow_rows(result, out)
 
     return texts.select("doc_id", "digest", "text", "hits").mapInArrow(run, schema)
 
 
+def window_hashes(texts: DataFrame) -> DataFrame:
+    """One row per window of the row's ``open`` spans: rid, doc_id, start and 128-bit hash."""
+    schema, out = schemas("start int, h1 long, h2 long", StructField("rid", LongType()), StructField("doc_id", texts.schema["doc_id"].dataType))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id")
+            rows = zip(batch.column("text").to_pylist(), batch.column("rid").to_pylist(), range(len(ids)), batch.column("open").to_pylist())
+            for held, names, sizes in chunks(rows, word_names()):
+                at, parts = 0, []
+                for (_, rid, place, spans), size in zip(held, sizes):
+                    starts = np.concatenate([np.arange(s["start"], s["start"] + s["count"]) for s in spans])
+                    parts.append((np.full(len(starts), rid), np.full(len(starts), place), starts, starts + at))
+                    at += size
+                rid, place, starts, absolute = (np.concatenate(x) for x in zip(*parts))
+                hashes = [mixed(span_hash(names, b, absolute, 0, WINDOW)).view(np.int64) for b in BASES]
+                yield pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), ids.take(pa.array(place)), pa.array(starts.astype(np.int32)),
+                                                  *map(pa.array, hashes)], schema=out)
+
+    return texts.select("rid", "doc_id", "text", "open").mapInArrow(run, schema)
+
+
 def kept_texts(found: DataFrame) -> DataFrame:
     """Per digest: words removed, digest of the kept words, and the kept text (runs of kept words, one a line)."""
     schema, out = schemas("digest string, n_removed long, kept_sha256 string, kept_text string")
@@ -232,12 +268,12 @@ def kept_texts(found: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             result = []
-            for digest, data, starts in zip(*[batch.column(c).to_pylist() for c in ("digest", "text", "covered")]):
+            for digest, data, spans_of in zip(*[batch.column(c).to_pylist() for c in ("digest", "text", "covered")]):
                 spans = [m.span() for m in WORD.finditer(data)]
                 delta = np.zeros(len(spans) + 1, np.int64)
-                starts = np.unique(starts)
-                np.add.at(delta, starts, 1)
-                np.add.at(delta, starts + WINDOW, -1)
+                for span in spans_of:
+                    delta[span["start"]] += 1
+                    delta[span["start"] + span["count"] + WINDOW - 1] -= 1
                 stay = delta[:-1].cumsum() == 0
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], stay.view(np.int8), [0]])))
                 runs = [data[spans[a][0] : spans[b - 1][1]] for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())]
@@ -263,12 +299,23 @@ def repeats(docs: DataFrame) -> DataFrame:
     hits = keys.join(shared, "anchor").groupBy("digest", "first_id", "first_key").agg(F.collect_list("anchor").alias("hits"))
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"), row_key(F.col("text")).alias("key"))
     joined = texts.join(hits, (F.col("doc_id") == F.col("first_id")) & (F.col("key") == F.col("first_key")))
-    windows = written(window_hashes(joined), "windows")
-    each = windows.select("doc_id", "digest", F.explode(F.arrays_zip("starts", "h1", "h2")).alias("w")).select("doc_id", "digest", "w.*")
-    least = each.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("h1", "h2", "lo")
-    covered = (each.join(least, ["h1", "h2"]).filter("lo < doc_id")
-               .groupBy("digest").agg(F.collect_list("starts").alias("covered")))
-    cut = kept_texts(windows.select("digest", "text").join(covered, "digest")).groupBy("digest").agg(
+    found = written(shared_spans(joined).withColumn("rid", F.monotonically_increasing_id()), "shared-spans")
+    each = found.select("rid", "doc_id", F.explode(F.arrays_zip("keys", "s1", "s2", "starts", "counts")).alias("w")).select(
+        "rid", "doc_id", "w.keys", "w.s1", "w.s2", F.col("w.starts").alias("start"), F.col("w.counts").alias("count"))
+    # equal spans: all but those of the smallest id are covered as a whole, and that one speaks for their windows
+    same = ["keys", "s1", "s2"]
+    kinds = written(each.groupBy(*same).agg(F.min("doc_id").alias("lo")), "span-kinds")
+    ruled = each.join(kinds, same)
+    whole = ruled.filter("lo < doc_id").select("rid", F.struct("start", "count").alias("span"))
+    # only where a key has different spans can a window be shared beyond its span
+    mixed_keys = kinds.groupBy("keys").agg(F.count("*").alias("n")).filter("n > 1").select("keys")
+    undecided = (ruled.filter("lo = doc_id").join(mixed_keys, "keys")
+                 .groupBy("rid").agg(F.collect_list(F.struct("start", "count")).alias("open")))
+    windows = written(window_hashes(found.select("rid", "doc_id", "text").join(undecided, "rid")), "windows")
+    least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("h1", "h2", "lo")
+    single = windows.join(least, ["h1", "h2"]).filter("lo < doc_id").select("rid", F.struct("start", F.lit(1).alias("count")).alias("span"))
+    covered = whole.unionByName(single).groupBy("rid").agg(F.collect_list("span").alias("covered"))
+    cut = kept_texts(found.select("rid", "digest", "text").join(covered, "rid")).groupBy("digest").agg(
         *[F.first(c).alias(c) for c in ("n_removed", "kept_sha256", "kept_text")]
     )
     known = first.select("digest", "first_id").join(cut, "digest", "left")
