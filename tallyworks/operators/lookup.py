@@ -1,26 +1,8 @@
-"""Lookups in small tables, with the size checked rather than assumed."""
+"""Lookups in dimension tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# Longest literal list put into a filter; beyond it the lookup is a join.
-MAX_LITERALS = 10_000
-
-
-def restrict_to(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
-    """Rows whose ``column`` occurs in the one-column frame ``wanted``.
-
-    A short list becomes a literal filter, which prunes partition folders. A
-    longer one is a semi join that Spark plans by size.
-    """
-    name = wanted.columns[0]
-    values = [row[0] for row in wanted.limit(MAX_LITERALS + 1).collect()]
-    if len(values) <= MAX_LITERALS:
-        return df.filter(F.col(column).isin(values))
-    return df.join(wanted.select(F.col(name).alias(column)).distinct(), column, "left_semi")
-
 
 def lookup_left(df: DataFrame, dim: DataFrame, on: Column) -> DataFrame:
     """Left join without a hint: Spark broadcasts by measured size, AQE splits skewed keys."""

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The delivered message and its header.
 MESSAGE_HEADER = "Message"
 
 

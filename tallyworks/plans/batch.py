@@ -6,6 +6,7 @@ import datetime as dt
 import re
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -109,7 +110,7 @@ def run_reports(ws: Workspace, params: ReportParams, out: str, reports: Sequence
         try:
             rows = write_report(ws, params, report, out)
             status.append((position, report.number, report.title, rows, True, None))
-        except (PySparkException, ValueError, KeyError) as error:
+        except (PySparkException, Py4JJavaError, ValueError, KeyError) as error:
             status.append((position, report.number, report.title, 0, False, str(error)))
             if not continue_on_error:
                 break

@@ -162,6 +162,7 @@ def monitor_log(sheet: DataFrame, prefixes: Sequence[str] = CONTENT_PREFIXES) ->
     def only(kind: str, value):
         return F.when(F.col("monitor_kind") == kind, value)
 
+    # fixed values: the metric names inside the text
     parsed = kept.withColumns({
         "used_cpu_rate": only("SERVER", text.rate(body, "usedCPURate")),
         "total_mem": only("SERVER", text.size(body, "totalMem")),

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.operators.trailing import trailing_days
@@ -21,10 +22,19 @@ MAX_ROWS = 10_000
 
 @dataclass(frozen=True)
 class ExportTask:
+    """One extract; ``max_rows`` cuts it off (None: all rows), and the status then says so."""
+
     dataset: str
     file_name: str
     kind: str
+    max_rows: int | None = MAX_ROWS
+
 
+# The names of the rollups in task files.
+VIEW_NAMES = {
+    "v_prod_monitor_daily_count": "monitor_daily", "v_prod_monitor_hourly_count": "monitor_hourly",
+    "v_prod_monitor_daily_jvm_count": "monitor_daily_jvm", "v_prod_monitor_hourly_jvm_count": "monitor_hourly_jvm",
+}
 
 # The delivered extracts.
 TASKS = (
@@ -45,12 +55,33 @@ def export_order(df: DataFrame, kind: str) -> list[Column]:
     return order
 
 
-def export_rows(df: DataFrame, kind: str, rows: int = MAX_ROWS) -> DataFrame:
-    """The newest days of a rollup, capped: each task keeps its own top rows only."""
-    if kind not in WINDOW_DAYS:
+def recent_rows(df: DataFrame, kind: str) -> DataFrame:
+    """The newest days of a rollup."""
+    if kind.lower() not in WINDOW_DAYS:
         raise ValueError(f"unsupported export kind: {kind}")
-    recent = trailing_days(df, "log_date", WINDOW_DAYS[kind])
-    return recent.orderBy(*export_order(df, kind)).limit(rows)
+    return trailing_days(df, "log_date", WINDOW_DAYS[kind.lower()])
+
+
+def export_rows(df: DataFrame, kind: str, rows: int | None = MAX_ROWS) -> DataFrame:
+    """The newest days of a rollup in delivered order; with ``rows``, that many at most."""
+    ordered = recent_rows(df, kind).orderBy(*export_order(df, kind.lower()))
+    return ordered if rows is None else ordered.limit(rows)
+
+
+def read_tasks(spark: SparkSession, path: str) -> tuple[ExportTask, ...]:
+    """The tasks of a JSON task file: ``tasks`` with ``view``, ``filename``, ``type`` and, if wanted, ``max_rows``.
+
+    Datasets may go by the file's view names or by their own.
+    """
+    text = "".join(row[0] for row in spark.read.text(path, wholetext=True).collect())
+    found = []
+    for task in json.loads(text).get("tasks") or []:
+        dataset = VIEW_NAMES.get(task["view"], task["view"])
+        kind = str(task.get("type") or "").strip().lower()
+        if kind not in WINDOW_DAYS:
+            raise ValueError(f"unsupported export kind: {task.get('type')}")
+        found.append(ExportTask(dataset, task["filename"], kind, task.get("max_rows", MAX_ROWS)))
+    return tuple(found)
 
 
 def recent_samples(ws: Workspace, kind: str, index: list[Row], days: int) -> DataFrame:
@@ -98,9 +129,9 @@ def run_exports(ws: Workspace, out: str, work: str, tasks: tuple[ExportTask, ...
     done = []
     for task in tasks:
         source = rollups[task.dataset] if task.dataset in rollups else ws.get(task.dataset)
-        table = export_rows(source, task.kind)
-        empty = table.isEmpty()
-        rows = 0 if empty else write_csv(table, f"{out}/{task.file_name}", LABELS["monitor"], bounded=True)
-        done.append((task.dataset, task.file_name, task.kind, rows, empty))
-    return ws.spark.createDataFrame(done, "dataset string, file_name string, kind string, "
-                                          "rows_written bigint, is_empty boolean")
+        table = export_rows(source, task.kind, task.max_rows)
+        total = recent_rows(source, task.kind).count()
+        rows = write_csv(table, f"{out}/{task.file_name}", LABELS["monitor"], bounded=task.max_rows is not None) if total else 0
+        done.append((task.dataset, task.file_name, task.kind, rows, not total, total, rows < total))
+    return ws.spark.createDataFrame(done, "dataset string, file_name string, kind string, rows_written bigint, "
+                                          "is_empty boolean, total_rows bigint, truncated boolean")

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from tallyworks.operators.lookup import MAX_LITERALS, lookup_left
+from tallyworks.operators.lookup import lookup_left
 from tallyworks.operators.measures import max_of, mean_of, merge, min_of, states
 
 HOST_METRICS = ["used_cpu_rate", "used_mem_rate", "total_mem", "used_mem", "used_disk_rate",
@@ -144,11 +144,11 @@ def days_holding(index: Sequence[Row], kind: str, first: dt.date, last: dt.date
 
 def sheet_between(sheet: DataFrame, index: Sequence[Row], kind: str, first: dt.date,
                   last: dt.date | None = None) -> DataFrame:
-    """Raw log rows of a kind out of the landed days that matter.
+    """Raw log rows of a kind, from the first landed day that matters to the last.
 
     All versions of a sample share its time, so every day that could hold one of
     them is kept and the dedup downstream stays exact.
     """
     days = days_holding(index, kind, first, last)
     rows = sheet.filter(F.col("monitor_kind") == kind)
-    return rows.filter(F.col("_dt").isin(days)) if len(days) <= MAX_LITERALS else rows
+    return rows.filter(F.col("_dt").between(min(days), max(days))) if days else rows.filter(F.lit(False))

@@ -33,7 +33,7 @@ def _parsed(value: str, pattern: str, name: str, form: str) -> dt.datetime:
         found = None
     # strptime also takes single digits; the form is fixed width
     if found is None or found.strftime(pattern) != value:
-        raise ValueError(f"{name} must use {form} format")
+        raise ValueError(f"{name}: {value!r} is not of the form {form}")
     return found
 
 
@@ -105,25 +105,25 @@ class ReportParams:
         if given_target:
             target = _month(given_target, "targetMonth")
         elif end_date or start_date:
-            target = _date(end_date or start_date, "derivedDate").replace(day=1)
+            target = _date(end_date or start_date, "rangeEndDate" if end_date else "rangeStartDate").replace(day=1)
         elif end_time or start_time:
-            target = _time(end_time or start_time, "derivedDateTime").date().replace(day=1)
+            target = _time(end_time or start_time, "rangeEndTime" if end_time else "rangeStartTime").date().replace(day=1)
         else:
             target = month_before(today or dt.date.today())
 
         first = _date(start_date, "rangeStartDate") if start_date else target
         last = _date(end_date, "rangeEndDate") if end_date else month_end(target)
         if last < first:
-            raise ValueError("rangeEndDate must be on or after rangeStartDate")
+            raise ValueError(f"the date range ends on {last} before it starts on {first}")
         begin = _time(start_time, "rangeStartTime") if start_time else dt.datetime.combine(first, dt.time())
         stop = _time(end_time, "rangeEndTime") if end_time else dt.datetime.combine(last, dt.time(23, 59))
         if stop < begin:
-            raise ValueError("rangeEndTime must be on or after rangeStartTime")
+            raise ValueError(f"the time range ends at {stop} before it starts at {begin}")
         history_end = clean(history_end_month)
         to_month = _month(history_end, "historyEndMonth") if history_end else target
         from_month = _month(clean(history_start_month) or history_start_default, "historyStartMonth")
         if to_month < from_month:
-            raise ValueError("historyEndMonth must be on or after historyStartMonth")
+            raise ValueError("the history ends before it starts")
 
         before = month_before(target)
         return cls(
@@ -152,7 +152,7 @@ def run_query(spark: SparkSession, text: str, params: ReportParams) -> DataFrame
     def marker(found: re.Match) -> str:
         name = found.group(1)
         if name not in known:
-            raise ValueError(f"unknown or unresolved report parameter: {name}")
+            raise ValueError(f"the query names {name}, which no parameter has")
         used[name] = known[name]
         return f":{name}"
 

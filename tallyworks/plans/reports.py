@@ -57,9 +57,13 @@ def volume_per_day(ws: Workspace, p: ReportParams) -> DataFrame:
                                       F.col("day_cnt").alias("total_cnt"))
 
 
+# Fixed value: the title that the message of an empty pivot names.
+VOLUME_PER_DAY_PIVOT = "2.1.交易量統計-當月每日-Pivot"
+
+
 def volume_per_day_pivot(ws: Workspace, p: ReportParams, codes: list[str] | None = None) -> DataFrame:
     return spread(volume_per_day(ws, p), ["tx_date"], "pr_id", [F.sum("total_cnt")],
-                  "volume per day", codes)
+                  VOLUME_PER_DAY_PIVOT, codes)
 
 
 def _peaks(days: DataFrame, keys: list[str]) -> DataFrame:
@@ -266,7 +270,7 @@ REPORTS = (
     Report("1.1", "1.1.CPU-MEM監控", host_summary, ("application", "target_ip")),
     Report("1.1.1", "1.1.1. CPU-MEM監控-每日列表", host_day_list, ("application", "target_ip", "log_date")),
     Report("2", "2.交易量統計-當月每日", volume_per_day, ("tx_date", "pr_id")),
-    Report("2.1", "2.1.交易量統計-當月每日-Pivot", volume_per_day_pivot, ("tx_date",), True, True),
+    Report("2.1", VOLUME_PER_DAY_PIVOT, volume_per_day_pivot, ("tx_date",), True, True),
     Report("3", "3.交易量統計-峰日峰時", peak_day_and_hour, ("pr_id",)),
     Report("3.1", "3.1.交易量統計-峰日峰時-Pivot", peak_day_hours_pivot, ("pr_id",), pivot=True),
     Report("4", "4.交易量統計-歷史月總量", history_totals, ("ym", "pr_id")),

@@ -6,6 +6,7 @@ SQL that must give the same rows.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -610,7 +611,7 @@ def _empty_pivot(ws: Workspace) -> DataFrame:
 
 
 add("a17_pivot_without_data", on(_empty_pivot), """
-SELECT 'No data for report volume per day under current parameters' AS "Message"
+SELECT 'No data for report 2.1.交易量統計-當月每日-Pivot under current parameters' AS "Message"
 WHERE NOT EXISTS (FROM month_hours WHERE ym = '1950-01')""")
 
 # ---------------------------------------------------------------- windows, sorting
@@ -654,9 +655,16 @@ add("o2_top_rows", on(lambda ws: ws.get("rt_node_hh24_clean").select(
 
 # ---------------------------------------------------------------- reports
 
+
+def _codes(ws: Workspace) -> list[str]:
+    """All codes that the hourly rows have, whatever the month."""
+    rows = ws.get("rt_pr_hh24_clean").filter("pr_id IS NOT NULL").select("pr_id").distinct().orderBy("pr_id")
+    return [row.pr_id for row in rows.collect()]
+
+
 REPORT_KEYS = {
     "r1_volume_of_month": (reports.volume_of_month, oracle.P), "r2_volume_per_day": (reports.volume_per_day, oracle.P),
-    "r3_volume_per_day_pivot": (lambda ws, p: reports.volume_per_day_pivot(ws, p, list(oracle.CODES)), oracle.P),
+    "r3_volume_per_day_pivot": (lambda ws, p: reports.volume_per_day_pivot(ws, p, _codes(ws)), oracle.P),
     "r4_peak_day_and_hour": (reports.peak_day_and_hour, oracle.P),
     "r5_peak_day_hours_pivot": (reports.peak_day_hours_pivot, oracle.P),
     "r6_all_categories": (reports.all_categories, oracle.P), "r7_top_updates": (reports.top_updates, oracle.P),
@@ -718,12 +726,15 @@ for _key, (_dataset, _kind, _view) in EXPORT_KEYS.items():
 
 def _exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "exports")
-    return exports.run_exports(proxies.workspace(spark, sf_dir), f"{out}/monitor", f"{out}/work")
+    listed = [{"view": view, "filename": task.file_name, "type": task.kind.upper()} for view, task in zip(exports.VIEW_NAMES, exports.TASKS)]
+    spark.createDataFrame([(json.dumps({"tasks": listed}),)], "value string").coalesce(1).write.text(f"{out}/tasks")
+    tasks = exports.read_tasks(spark, f"{out}/tasks")
+    return exports.run_exports(proxies.workspace(spark, sf_dir), f"{out}/monitor", f"{out}/work", tasks)
 
 
 add("e3_export_tasks", _exports, " UNION ALL ".join(
-    f"SELECT '{t.dataset}' AS dataset, '{t.file_name}' AS file_name, '{t.kind}' AS kind, count(*) AS rows_written, "
-    f"count(*) = 0 AS is_empty FROM {v}" for t, v in zip(exports.TASKS, ["e_daily", "e_hourly", "e_daily_jvm", "e_hourly_jvm"])))
+    f"SELECT '{t.dataset}' AS dataset, '{t.file_name}' AS file_name, '{t.kind}' AS kind, least(count(*), {t.max_rows}) AS rows_written, "
+    f"count(*) = 0 AS is_empty, count(*) AS total_rows, count(*) > {t.max_rows} AS truncated FROM {v}_all" for t, v in zip(exports.TASKS, ["e_daily", "e_hourly", "e_daily_jvm", "e_hourly_jvm"])))
 
 
 def _macros(ws: Workspace) -> DataFrame:

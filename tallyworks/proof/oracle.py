@@ -294,6 +294,7 @@ EXPORTS = {"e_daily": ("v12", 10, ""), "e_hourly": ("v13", 4, ", log_hour DESC N
            "e_daily_jvm": ("v14", 10, ", target_port NULLS LAST"),
            "e_hourly_jvm": ("v15", 4, ", log_hour DESC NULLS LAST, target_port NULLS LAST")}
 for _name, (_view, _days, _more) in EXPORTS.items():
+    VIEWS[f"{_name}_all"] = f"""SELECT * FROM {_view} WHERE log_date >= (SELECT max(log_date) FROM {_view}) - INTERVAL {_days} DAY"""
     VIEWS[_name] = f"""SELECT * FROM {_view} WHERE log_date >= (SELECT max(log_date) FROM {_view}) - INTERVAL {_days} DAY
 ORDER BY application NULLS LAST, target_ip NULLS LAST, log_date DESC NULLS LAST{_more} LIMIT 10000"""
 

@@ -78,7 +78,9 @@ def write_days(df: DataFrame, lake: str, fmt: str = "parquet") -> None:
 def compact(spark: SparkSession, lake: str, sheet: str, target: str) -> DataFrame:
     """Copy one JSON sheet to Parquet, so later scans split and prune."""
     source = spark.read.schema(landed_schema(sheet)).option("basePath", lake)
-    write_days(source.json(f"{lake}/_sheet={sheet}"), target)
+    rows = source.json(f"{lake}/_sheet={sheet}")
+    # each day goes to one task, and a day that holds far more rows than others is split
+    write_days(rows.hint("rebalance", F.col("_sheet"), F.col("_dt")), target)
     return read_sheet(spark, target, sheet)
 
 

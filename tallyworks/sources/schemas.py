@@ -69,6 +69,7 @@ CODE_COLUMNS: list[tuple[str, str, T.DataType]] = [
     ("交易名稱(調整)", "pr_name_adj", T.StringType()),
 ]
 
+# The registry's field names.
 REGISTRY_COLUMNS: list[tuple[str, str, T.DataType]] = [
     ("application", "application", T.StringType()),
     ("ipAddr", "ipaddr", T.StringType()),

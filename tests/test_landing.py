@@ -231,10 +231,40 @@ def test_exports(spark, workspace, tmp_path):
     found = {r.file_name: (r.rows_written, r.is_empty) for r in status.collect()}
     assert found == {"daily_data": (1, False), "hourly_data": (1, False), "jvm_daily_data": (0, True), "jvm_hourly_data": (0, True)}
     assert not (tmp_path / "out" / "jvm_daily_data").exists()
+    assert {(r.total_rows, r.truncated) for r in status.collect()} == {(1, False), (0, False)}
     row = csvout.read_csv(spark, str(tmp_path / "out" / "daily_data")).collect()[0]
     assert (row.application, row.max_cpu_rate, row.avg_used_mem, row.log_date) == ("app", "12.50", "6.0", "2026-04-01")
 
 
+def test_task_files_and_row_limits(spark, workspace, tmp_path):
+    path = tmp_path / "tasks.json"
+    path.write_text(json.dumps({"db_path": "x", "tasks": [
+        {"view": "v_prod_monitor_daily_count", "filename": "a", "type": "DAILY", "max_rows": None},
+        {"view": "monitor_hourly", "filename": "b", "type": " hourly "}]}, indent=1), encoding="utf-8")
+    assert exports.read_tasks(spark, str(path)) == (
+        exports.ExportTask("monitor_daily", "a", "daily", None), exports.ExportTask("monitor_hourly", "b", "hourly", 10_000))
+    path.write_text('{"tasks": [{"view": "v", "filename": "a", "type": "weekly"}]}', encoding="utf-8")
+    with pytest.raises(ValueError, match="weekly"):
+        exports.read_tasks(spark, str(path))
+    tasks = (exports.ExportTask("monitor_daily", "cut", "daily", 0),)
+    row = exports.run_exports(workspace, str(tmp_path / "cut"), str(tmp_path / "cut-work"), tasks).first()
+    assert (row.rows_written, row.total_rows, row.truncated) == (0, 1, True)
+
+
+def test_a_damaged_file_fails_its_report_only(spark, workspace, tmp_path):
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "x.json.gz").write_bytes(b"this is no gzip file")
+
+    def damaged(ws, params):
+        return ws.spark.read.schema("pr_id string").json(str(bad))
+
+    plan = [Report("1", "1.damaged", damaged, ("pr_id",)), Report("2", "2.sound", volume_of_month, ("pr_id",))]
+    with pytest.raises(batch.ReportRunFailed) as finished:
+        batch.run_reports(workspace, ReportParams.resolve(target_month="2026-04"), str(tmp_path / "c"), plan, continue_on_error=True)
+    assert [(r.number, r.ok) for r in finished.value.status.orderBy("position").collect()] == [("1", False), ("2", True)]
+
+
 HEAP = "usedHeapMem:1.00,maxHeapMem:2.00,usedMemRate:50%"
 
 
