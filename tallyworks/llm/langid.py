@@ -36,20 +36,36 @@ SAMPLE = 1200
 CHAIN = 128
 BLOCK = 64
 CHUNK = 300_000
-KEPT_WORDS = 150_000
-ROUNDS = 25
+KEPT_WORDS = 400_000
+KEPT_GRAMS = 200_000
+ROUNDS = 12
 RATE = 0.3
 DECAY = 1e-6
 NONE = "und"
 OTHER = re.compile(r"[\W\d_]+")
 
 
+class Hashed(dict):
+    """Bucket of a feature; the features of short strings are kept, whole words are not."""
+
+    def __missing__(self, feature: str) -> int:
+        if len(self) >= KEPT_GRAMS:
+            self.clear()
+        found = self[feature] = zlib.crc32(feature.encode()) % BUCKETS
+        return found
+
+
+GRAMS = Hashed()
+
+
 def features(word: str) -> list[int]:
     """Hashed features of a lower-case word of letters."""
-    bound = f"^{word}$"
-    found = {f"p{word[:k]}" for k in (1, 2, 3)} | {f"s{word[-k:]}" for k in (1, 2, 3)} | {f"w{word}"}
-    found |= {f"n{bound[i : i + k]}" for k in (2, 3) for i in range(len(bound) - k + 1)}
-    return [zlib.crc32(f.encode()) % BUCKETS for f in sorted(found)]
+    bound, n = f"^{word}$", len(word) + 2
+    # affixes carry the word's bound, so that they differ from inner n-grams of the same letters
+    found = ["p" + word[:1], "p" + word[:2], "p" + word[:3], "s" + word[-1:], "s" + word[-2:], "s" + word[-3:]]
+    found += [bound[i : i + 2] for i in range(n - 1)]
+    found += [bound[i : i + 3] for i in range(n - 2)]
+    return [*map(GRAMS.__getitem__, dict.fromkeys(found)), zlib.crc32(word.encode()) % BUCKETS]
 
 
 def chain_of(text: str | None) -> list[str]:
@@ -73,27 +89,34 @@ class Field:
         self.clear()
 
     def clear(self) -> None:
-        self.rows: dict[str, int] = {}
-        self.scores = np.zeros((1024, len(self.langs)), np.float64)
-        self.used = 0
-
-    def row(self, word: str) -> int:
-        """Row of the word's emission factors; -1 without a letter."""
-        bare = letters(word)
-        if not bare:
-            return -1
-        if self.used == len(self.scores):
-            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-        score = self.weights[features(bare)].sum(0, dtype=np.float64)
-        self.scores[self.used] = np.exp(np.maximum(score - score.max(), -30))
-        self.used += 1
-        return self.used - 1
+        self.rows: dict[str, int] = {}  # by word as it stands, -1 without a letter
+        self.cores: dict[str, int] = {}  # by its letters
+        self.scores = np.zeros((0, len(self.langs)))
+
+    def learn(self, words: set[str]) -> None:
+        """Makes the emission factors of all ``words`` known."""
+        if len(self.rows) > KEPT_WORDS:
+            self.clear()
+        new, fresh = [], []
+        for w in words.difference(self.rows):
+            bare = w if w.isalpha() else letters(w)
+            if not bare:
+                self.rows[w] = -1
+                continue
+            if (row := self.cores.get(bare)) is None:
+                row = self.cores[bare] = len(self.scores) + len(new)
+                new.append(bare)
+            fresh.append((w, row))
+        self.rows.update(fresh)
+        if new:
+            each = [features(w) for w in new]
+            starts = np.cumsum([0, *map(len, each)])[:-1]
+            score = np.add.reduceat(self.weights[np.concatenate(each)].astype(np.float64), starts, axis=0)
+            factor = np.exp(np.maximum(score - score.max(1, keepdims=True), -30))
+            self.scores = np.concatenate([self.scores, factor])
 
     def lookup(self, words: list[str]) -> np.ndarray:
-        rows = self.rows
-        for w in set(words).difference(rows):
-            rows[w] = self.row(w)
-        found = np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
+        found = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
         return found[found >= 0]
 
 
@@ -217,19 +240,24 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
                  np.frombuffer(rows[0].moves, np.float64).reshape(len(langs), len(langs)))
 
 
-def chunks(texts: Iterator[str | None], field: Field) -> Iterator[list[tuple[list[str], np.ndarray]]]:
-    held, n = [], 0
+def chunks(texts: Iterator[str | None], field: Field) -> Iterator[list[np.ndarray]]:
+    """Rows of emission factors of each text, in groups of bounded word count."""
+    held: list[list[str]] = []
+    n = 0
+
+    def rows() -> list[np.ndarray]:
+        field.learn(set().union(*held))
+        return [field.lookup(words) for words in held]
+
     for text in texts:
         words = chain_of(text)
         if held and n + len(words) > CHUNK:
-            yield held
+            yield rows()
             held, n = [], 0
-            if len(field.rows) > KEPT_WORDS:
-                field.clear()
-        held.append((words, field.lookup(words)))
+        held.append(words)
         n += len(words)
     if held:
-        yield held
+        yield rows()
 
 
 def predict(docs: DataFrame, field: Field | None, labels: bool = False) -> DataFrame:
@@ -252,8 +280,7 @@ def predict(docs: DataFrame, field: Field | None, labels: bool = False) -> DataF
                 result = [(NONE, 0.0, [])] * len(texts)
             else:
                 result = []
-                for held in chunks(iter(texts), own):
-                    rows = [r for _, r in held]
+                for rows in chunks(iter(texts), own):
                     post = posteriors(own.scores[np.concatenate(rows)], [len(r) for r in rows], own.moves)
                     at = 0
                     for r in rows:
