@@ -19,6 +19,7 @@ DATASETS = (
     "monthly_transaction_stats", "monitor_log", "monitor_daily", "monitor_hourly",
     "monitor_daily_jvm", "monitor_hourly_jvm", "pr_info", "cfg_pr_info", "registry_info",
 )
+DATED = DATASETS[:10]  # those with transaction dates
 
 
 class Workspace:
@@ -55,6 +56,31 @@ class Workspace:
             raise KeyError(f"no sheet, dimension or dataset named {name}")
         return getattr(self, f"_{name}")()
 
+    def between(self, name: str, first: dt.date, last: dt.date) -> DataFrame:
+        """A transaction dataset over the dates of a range.
+
+        Datasets dated by the file's day and key read only the landed days that can hold the range. The day
+        counts (``rt_cnt_clean`` and its rollups) take their date from the first transaction's time, so
+        their range is applied to clean rows. Periods cut by the range hold its dates only.
+        """
+        if name == "monthly_transaction_stats":
+            return stats.month_page(self.days(first, last), self.get("pr_info"))
+        if name == "rt_pr_hh24_clean":
+            return self.hourly(first, last)
+        if name in ("rt_tmspt_clean", "rt_node_hh24_clean"):
+            sheet = name.removesuffix("_clean")
+            return getattr(clean, name)(self.get(sheet), first, last) if name not in self.frames else clean.within(self.get(name), first, last)
+        counts = clean.within(self.get("rt_cnt_clean"), first, last)
+        if name == "rt_cnt_clean":
+            return counts
+        if name == "rt_cnt_daily_with_tmspt":
+            return rollups.rt_cnt_daily_with_tmspt(counts, self.between("rt_tmspt_clean", first, last))
+        if name == "rt_cnt_monthly_without":
+            return rollups.rt_cnt_monthly_without(counts, self.excluded_codes)
+        if name in ("rt_cnt_daily", "rt_cnt_weekly", "rt_cnt_monthly"):
+            return getattr(rollups, name)(counts)
+        raise KeyError(f"{name} has no transaction dates")
+
     def write(self, name: str, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """Write a dataset once; later users read the written table.
 
@@ -97,23 +123,24 @@ class Workspace:
         return clean.within(clean.monitor_log(sheet, self.prefixes).withColumn(
             "_day", F.col("log_createtime").cast("date")), first, last, "_day").drop("_day")
 
-    def register_views(self, query: str | None = None) -> list[str]:
-        """Temporary views of the datasets that can be built, or of those a query names."""
+    def register_views(self, query: str | None = None, dates: tuple[dt.date, dt.date] | None = None) -> list[str]:
+        """Temporary views of the datasets that can be built, or of those a query names; with
+        ``dates``, transaction datasets hold that range."""
         names = []
         for name in DATASETS:
             if query is not None and not re.search(rf"\b{name}\b", query):
                 continue
             try:
-                frame = self.get(name)
+                frame = self.between(name, *dates) if dates and name in DATED else self.get(name)
             except KeyError:
                 continue
             frame.createOrReplaceTempView(name)
             names.append(name)
         return names
 
-    def sql(self, query: str) -> DataFrame:
-        """Ad-hoc SQL over the datasets."""
-        self.register_views(query)
+    def sql(self, query: str, dates: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+        """Ad-hoc SQL over the datasets, or over a date range of the transaction datasets."""
+        self.register_views(query, dates)
         return self.spark.sql(query)
 
     def _rt_cnt_clean(self):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 import pytest
@@ -95,3 +96,16 @@ def test_written_months_are_pruned(spark, landed, tmp_path):
     text = plan(reports.volume_of_month(run, oracle.P))
     assert re.search(r"PartitionFilters: \[[^\]]*tx_yyyymm[^\]]*1998-05", text)
     assert "Window" not in text
+
+
+def test_a_date_range_reads_the_landed_days_that_can_hold_it(landed):
+    first, last = dt.date(1998, 5, 1), dt.date(1998, 5, 31)
+    for frame in (landed.between("monthly_transaction_stats", first, last),
+                  landed.sql("SELECT * FROM monthly_transaction_stats", (first, last))):
+        text = plan(frame)
+        assert "PartitionFilters: []" not in text.split("rt_pr_hh24")[0] and re.search(r"PartitionFilters: \[[^\]]*_dt", text)
+    whole = landed.get("monthly_transaction_stats").filter("ym = '1998-05'")
+    assert sorted(landed.between("monthly_transaction_stats", first, last).collect()) == sorted(whole.collect())
+    for name in ("rt_cnt_daily", "rt_cnt_monthly", "rt_cnt_daily_with_tmspt"):
+        whole = landed.get(name).filter("ym = '1998-05'")
+        assert sorted(map(str, landed.between(name, first, last).collect())) == sorted(map(str, whole.collect()))
