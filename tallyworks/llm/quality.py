@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import GAP_CHARS, let, quoted, table, with_new, words, written
-from tallyworks.llm.weak import estimate
+from tallyworks.llm.weak import Votes, estimate
 
 GRAM = 5
 SYMBOLS = "[#*$%&|<>]"
@@ -90,6 +90,17 @@ def voted(df: DataFrame) -> DataFrame:
     return with_new(df, {**votes, "base_failed": (n < 10) | (100 * repeated > 20 * n)})
 
 
+def model_of(marked: DataFrame) -> Votes:
+    """How far each rule can be trusted, from the counts of vote patterns."""
+    patterns = written(marked.groupBy(*RULES).agg(F.count("*").cast("double").alias("n")), "quality-votes")
+    return estimate(patterns, list(RULES), *START)
+
+
+def verdict(marked: DataFrame, model: Votes) -> DataFrame:
+    judged = with_new(marked, {"posterior": model.posterior()})
+    return with_new(judged, {"kept": ~F.col("base_failed") & (F.col("posterior") >= 0.5)})
+
+
 def scored(docs: DataFrame, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of ``docs`` with signals, votes, base_failed, posterior and kept."""
     needed = docs.select(*{c: F.col(quoted(c)) for c in [*keep, "text"]}.values())
@@ -97,16 +108,16 @@ def scored(docs: DataFrame, keep: list[str]) -> DataFrame:
     if "text" not in keep:
         marked = marked.drop("text")
     marked = written(marked, "quality")
-    patterns = written(marked.groupBy(*RULES).agg(F.count("*").cast("double").alias("n")), "quality-votes")
-    model = estimate(patterns, list(RULES), *START)
-    judged = with_new(marked, {"posterior": model.posterior()}).drop("_upper", "_lines", "_kinds", "_common")
-    return with_new(judged, {"kept": ~F.col("base_failed") & (F.col("posterior") >= 0.5)})
+    return verdict(marked, model_of(marked)).drop("_upper", "_lines", "_kinds", "_common")
 
 
 def keep_sound(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept."""
+    """The rows of ``docs`` that are kept. Signals are computed twice, so that no second copy of the texts is written."""
+    model = model_of(voted(signals(docs.select("text"))))
     held = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_row"), "text")
-    kept = scored(held, ["_row"]).filter("kept")
+    # the place in the task keeps Spark from pulling the filter, and with it copies of every signal, below the signals
+    marked = with_new(signals(held), {"_at": F.monotonically_increasing_id()})
+    kept = verdict(voted(marked), model).filter("kept AND _at >= 0")
     return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
 
 
