@@ -413,8 +413,9 @@ def odd_number():
     F.array(F.lit(""), F.lit(".235"), F.lit("GB"), F.lit(".5")), (C("event_id") % 4 + 1).cast("int")))
 
 
-add("p20_tolerant_decimal", source("events", lambda: ["event_id", odd_number().try_cast("decimal(5,2)").alias("rate"),
-                                   odd_number().try_cast("decimal(10,2)").alias("size")]),
+add("p20_tolerant_decimal", source("events", lambda: [
+        "event_id", text.rate(F.concat(F.lit("a:1,b:"), odd_number(), F.lit("%,c:2")), "b").alias("rate"),
+        text.size(F.concat(F.lit("a:1,b:"), odd_number()), "b").alias("size")]),
     """SELECT event_id, TRY_CAST(x AS DECIMAL(5, 2)) AS rate, TRY_CAST(x AS DECIMAL(10, 2)) AS size
        FROM (SELECT event_id, CAST(event_id % 1200 AS VARCHAR) || CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN '.235'
              WHEN 2 THEN 'GB' ELSE '.5' END AS x FROM events)""")
@@ -589,8 +590,8 @@ SELECT ym, pr_id, CAST(sum(n) AS BIGINT) AS total_cnt, round(sum(ms * n) / nulli
        min(tx_dt) AS first_day, max(tx_dt) AS last_day, count(tx_dt) AS active_days
 FROM (SELECT ym, pr_id, tx_dt, sum(tx_cnt) AS n, sum(avg_tm_ms * tx_cnt) / nullif(sum(tx_cnt), 0) AS ms
       FROM month_hours GROUP BY ALL) GROUP BY ALL""")
-add("a10_month_total", on(lambda ws: ws.get("rt_pr_hh24_clean").filter(C("tx_dt").isNotNull())
-                          .groupBy(calendar.month_text(C("tx_dt")).alias("ym")).agg(F.sum("tx_cnt").alias("all_cnt"))),
+add("a10_month_total", on(lambda ws: stats.with_period_total(stats.code_frame(stats.monthly(stats.day_frame(
+        ws.get("rt_pr_hh24_clean").filter(C("tx_dt").isNotNull()))), ["ym"]), ["ym"]).select("ym", "all_cnt").distinct()),
     "SELECT ym, CAST(sum(tx_cnt) AS BIGINT) AS all_cnt FROM month_hours GROUP BY ym")
 add("a11_host_day", over("monitor_daily", "*"), "SELECT * FROM v12")
 add("a12_host_hour", over("monitor_hourly", "*"), "SELECT * FROM v13")
