@@ -291,12 +291,14 @@ def repeats(docs: DataFrame) -> DataFrame:
     long = rows.filter(F.col("doc_id").isNotNull() & (F.col("n_words") >= WINDOW))
     first = written(
         long.groupBy("digest").agg(F.min(F.struct("doc_id", "key")).alias("r"), F.first("anchors").alias("anchors"))
-        .select("digest", F.col("r.doc_id").alias("first_id"), F.col("r.key").alias("first_key"), "anchors"),
+        .select("digest", F.col("r.doc_id").alias("first_id"), F.col("r.key").alias("first_key"), "anchors")
+        .withColumn("rid", F.monotonically_increasing_id()),
         "first-copies",
     )
-    keys = first.select(F.explode("anchors").alias("anchor"), "first_id", "digest", "first_key")
+    keys = first.select(F.explode("anchors").alias("anchor"), "first_id", "rid")
     shared = keys.groupBy("anchor").agg(F.min("first_id").alias("lo"), F.max("first_id").alias("hi")).filter("lo < hi").select("anchor")
-    hits = keys.join(shared, "anchor").groupBy("digest", "first_id", "first_key").agg(F.collect_list("anchor").alias("hits"))
+    hits = keys.select("anchor", "rid").join(shared, "anchor").groupBy("rid").agg(F.collect_list("anchor").alias("hits"))
+    hits = hits.join(first.select("rid", "digest", "first_id", "first_key"), "rid").drop("rid")
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"), row_key(F.col("text")).alias("key"))
     joined = texts.join(hits, (F.col("doc_id") == F.col("first_id")) & (F.col("key") == F.col("first_key")))
     found = written(shared_spans(joined).withColumn("rid", F.monotonically_increasing_id()), "shared-spans")
