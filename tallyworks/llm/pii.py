@@ -51,19 +51,20 @@ LABELERS = ("l_format", "l_before", "l_assigned", "l_shape", "l_plain")
 START = (0.5, 0.85, 0.85)
 STEPS = 15
 KINDS = ("name", "address", "secret", "number")
+SPANS = "array<struct<start:int,order:int,end:int,kind:string>>"
 
 
-def running(lengths: Column, width: int = 256) -> Column:
-    """Running totals of an array of ints, in two levels so that long arrays stay cheap."""
-    add = lambda part: F.aggregate(part, F.lit(0), lambda a, x: a + x)
+def running(lengths: Column, width: int = 256, join=lambda a, x: a + x) -> Column:
+    """Running totals (or what else ``join`` makes of two) of an array of ints, in two levels so that long arrays stay cheap."""
+    add = lambda part: F.aggregate(part, F.lit(0), join)
 
     def totals(x: Column) -> Column:
         heads = F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / width).cast("int")), lambda k: add(F.slice(x, k * width + 1, F.lit(width))))
 
         def with_heads(h: Column) -> Column:
             bases = F.transform(h, lambda _, k: add(F.slice(h, F.lit(1), k)))
-            return let(bases, lambda b: F.transform(x, lambda _, i: F.get(b, F.floor(i / width).cast("int")) + add(
-                F.slice(x, i - i % width + 1, i % width + 1))))
+            return let(bases, lambda b: F.transform(x, lambda _, i: join(F.get(b, F.floor(i / width).cast("int")), add(
+                F.slice(x, i - i % width + 1, i % width + 1)))))
 
         return let(heads, with_heads)
 
@@ -128,12 +129,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
     text = F.col("_text")
     for kind, (pattern, needs) in BASE.items():
         docs = matched(docs, f"_{kind}", text, pattern, needs)
-    found = []
-    for order, kind in enumerate(BASE):
-        good = F.filter(placed(f"_{kind}_gaps", f"_{kind}_found"), lambda s: passes(kind, s["text"]))
-        found.append(F.transform(good, lambda s: F.struct(
-            s["start"].alias("start"), F.lit(order).alias("order"), s["end"].alias("end"), F.lit(kind).alias("kind"))))
-    docs = with_new(docs, {"_base": F.sort_array(F.concat(*found))})
+    docs = with_new(docs, {"_base": F.sort_array(F.concat(*[passing(f"_{kind}", kind) for kind in BASE]))})
     return docs.drop(*[f"_{k}_{x}" for k in BASE for x in ("gaps", "found")])
 
 
@@ -157,12 +153,28 @@ def votes(c: Column) -> Column:
     )
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """Adds ``_more``: the candidates with their votes, from the text with base spans blanked."""
-    docs = with_new(docs, {"_left": F.col("_text")})
+def passing(name: str, kind: str) -> Column:
+    """(start, order, end, kind) of the passing matches of a base kind."""
+    good = F.filter(placed(f"{name}_gaps", f"{name}_found"), lambda s: passes(kind, s["text"]))
+    return F.transform(good, lambda s: F.struct(
+        s["start"].alias("start"), F.lit(list(BASE).index(kind)).alias("order"), s["end"].alias("end"), F.lit(kind).alias("kind")))
+
+
+def candidates(docs: DataFrame, bared: bool = False) -> DataFrame:
+    """Adds ``_more``: the candidates with their votes, from the text with base spans blanked.
+
+    ``bared`` adds ``_bared`` too: the base spans of the text as it is blanked kind by kind. Among them are those that
+    only blanking bares, as a card number whose last digit group went on into an ip address.
+    """
+    docs = with_new(docs, {"_left": F.col("_text")} | ({"_bared": F.array().cast(SPANS)} if bared else {}))
     for kind, (pattern, needs) in BASE.items():
         docs = matched(docs, "_b", F.col("_left"), pattern, needs)
+        if bared:
+            docs = with_new(docs, {"_bared": F.concat("_bared", passing("_b", kind))})
         docs = with_new(docs, {"_left": masked(docs, "_b", kind, lambda m: F.repeat(F.lit("\n"), F.length(m)))}).drop("_b_gaps", "_b_found")
+    if bared:  # cards and phones may have held digits of an address
+        docs = matched(docs, "_b", F.col("_left"), *BASE["ip"])
+        docs = with_new(docs, {"_bared": F.concat("_bared", passing("_b", "ip"))}).drop("_b_gaps", "_b_found")
     docs = matched(docs, "_c", F.col("_left"), CANDIDATE, HAS_CANDIDATE)
     return with_new(docs, {"_more": F.transform(placed("_c_gaps", "_c_found"), votes)}).drop("_left", "_c_gaps", "_c_found")
 
@@ -224,40 +236,62 @@ def taken(weights: dict[str, float], c: Column) -> Column:
     return weighted(weights, features(lambda name: c[name])) >= 0.5
 
 
+def more_spans(weights: dict[str, float]) -> Column:
+    """(start, order, end, kind) of the candidates in ``_more`` that the classifier takes."""
+    return F.transform(F.filter(F.col("_more"), lambda c: taken(weights, c)), lambda c: F.struct(
+        c["start"].alias("start"), F.lit(len(BASE)).alias("order"), c["end"].alias("end"), c["kind"].alias("kind")))
+
+
 def find_spans(docs: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns of ``docs`` with ``base`` and ``spans``: arrays of (start, order, end, kind), sorted."""
     marked, weights = judged(docs, keep)
-    more = F.transform(F.filter(F.col("_more"), lambda c: taken(weights, c)), lambda c: F.struct(
-        c["start"].alias("start"), F.lit(len(BASE)).alias("order"), c["end"].alias("end"), c["kind"].alias("kind")))
-    return with_new(marked, {"base": F.col("_base"), "spans": F.sort_array(F.concat(F.col("_base"), more))}).drop("_base", "_more")
+    return with_new(marked, {"base": F.col("_base"), "spans": F.sort_array(F.concat("_base", more_spans(weights)))}).drop("_base", "_more")
 
 
 def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def cut_out(text: Column, spans: Column, width: int = 256) -> Column:
+    """``text`` with its sorted ``spans`` replaced by their kinds in square brackets.
+
+    Spans that overlap are one, of the kind that starts first. The gaps are taken from pieces of the text of ``width`` spans
+    each, so that texts with many spans stay cheap.
+    """
+
+    def piece(whole: Column, some: Column) -> Column:
+        first, last = F.get(some, 0)["at"], F.element_at(some, -1)["start"]
+        return let(F.substring(whole, first + 1, last - first), lambda p: F.array_join(F.transform(some, lambda h: F.concat(
+            F.substring(p, h["at"] - first + 1, h["start"] - h["at"]), F.lit("["), h["kind"], F.lit("]"))), ""))
+
+    def joined(whole: Column, heads: Column, end: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(heads) - 1) / width).cast("int"))
+        pieces = F.transform(starts, lambda k: let(F.slice(heads, k * width + 1, F.lit(width)), lambda some: piece(whole, some)))
+        return F.concat(F.array_join(pieces, ""), F.substring(whole, end + 1, F.length(whole)))
+
+    def merged(whole: Column, s: Column, ends: Column) -> Column:
+        each = F.transform(s, lambda x, i: F.struct(
+            F.coalesce(F.get(ends, i - 1), F.lit(0)).alias("at"), x["start"].alias("start"), x["kind"].alias("kind")))
+        return let(F.filter(each, lambda x: x["start"] >= x["at"]), lambda heads: joined(whole, heads, F.element_at(ends, -1)))
+
+    def cut(whole: Column, s: Column) -> Column:
+        ends = running(F.transform(s, lambda x: x["end"]), join=lambda a, x: F.greatest(a, x))
+        return F.when(F.size(s) > 0, let(ends, lambda e: merged(whole, s, e))).otherwise(whole)
+
+    return let(text, lambda t: let(spans, lambda s: cut(t, s)))
+
+
 def without_pii(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in square brackets; texts without one stay as they are.
 
-    Base kinds are replaced one after another and then the candidates that the classifier, trained on the
-    same documents, takes.
+    The text is cut at the spans of ``find_spans``, and at base spans that only come to light when others are blanked. The
+    classifier is trained on the same documents.
     """
     _, weights = judged(docs.select("text"), [])
-    out = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_row"), F.col("text").alias("_left"))
-    for kind, (pattern, needs) in BASE.items():
-        out = matched(out, "_b", F.col("_left"), pattern, needs)
-        mark = F.lit(f"[{kind}]")
-        out = with_new(out, {"_left": masked(out, "_b", kind, lambda m, x=mark: x)}).drop("_b_gaps", "_b_found")
-    out = matched(out, "_c", F.col("_left"), CANDIDATE, HAS_CANDIDATE)
-
-    def mark(gap: Column, i: Column) -> Column:
-        found = F.get(F.col("_c_found"), i)
-        seen = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), found.alias("text"), F.right(gap, F.lit(CONTEXT)).alias("before"))
-        put = let(votes(seen), lambda c: F.when(taken(weights, c), F.concat(F.lit("["), c["kind"], F.lit("]"))).otherwise(c["text"]))
-        return F.concat(gap, F.when(found.isNotNull(), put).otherwise(""))
-
-    whole = F.array_join(F.transform(F.col("_c_gaps"), mark), "")
-    out = with_new(out, {"_left": F.when(F.size("_c_found") > 0, whole).otherwise(F.col("_left"))})
+    out = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_row"), F.coalesce(F.col("text"), F.lit("")).alias("_text"))
+    out = candidates(base_spans(out), bared=True)
+    out = with_new(out, {"_spans": F.sort_array(F.concat("_base", "_bared", more_spans(weights)))})
+    out = with_new(out, {"_left": F.when(F.size("_spans") > 0, cut_out(F.col("_text"), F.col("_spans"))).otherwise(F.col("_row")["text"])})
     return out.select(*[(F.col("_left") if c == "text" else F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
