@@ -9,7 +9,8 @@ been met before with the wished probability. Blocks of queries meet blocks of ve
 
 Edge cases: vectors that are null, empty or zero, or hold null, NaN or infinite components, take no part; vectors of different
 lengths never compare; rows whose id is null take no part; repeated ids are candidates of their own, but never of a query of the same
-id; ties go to the smaller id; an empty table gives no rows.
+id; repeated queries are searched once, and queries of one id with different vectors share one list, in which a candidate row
+has its best score; ties go to the smaller id; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ SURE = 0.97  # wished probability of having met a neighbour before stopping
 LEAF = 64
 BLOCK = 8192  # vectors of a kd-tree
 ASKED = 1024  # queries that meet a block at a time
-RESULT = "query_id long, vec_id long, score double, verified long"
+RESULT = "query_id long, vec_id long, row long, score double"
 
 
 def chi_square_cdf(x: float, dims: int) -> float:
@@ -85,7 +86,8 @@ def build(points: np.ndarray, leaf: int = LEAF) -> Tree:
 
 
 def search(ids: np.ndarray, vectors: np.ndarray, asked_ids: np.ndarray, asked: np.ndarray, top: float, k: int, dims: int, sure: float):
-    """(query id, id, score, vectors verified) of each query's nearest in one block; ``top`` is the largest squared norm of all."""
+    """(query id, id, score, vectors verified, place in the block) of each query's nearest in one block; ``top`` is the largest squared
+    norm of all."""
     size = vectors.shape[1]
     matrix = projection(size + 1, dims)
     extra = np.sqrt(np.maximum(top - (vectors**2).sum(1), 0))
@@ -124,7 +126,7 @@ def search(ids: np.ndarray, vectors: np.ndarray, asked_ids: np.ndarray, asked: n
         at = at[found >= bound - slack]
         exact = (ordered[at] * query).sum(1)  # one way of adding up, so that equal vectors tie
         best = np.lexsort((ordered_ids[at], -exact))[:k]
-        yield query_id, ordered_ids[at][best], exact[best], int((tree.cuts[1:] - tree.cuts[:-1])[leaves[:done]].sum())
+        yield query_id, ordered_ids[at][best], exact[best], int((tree.cuts[1:] - tree.cuts[:-1])[leaves[:done]].sum()), tree.order[at[best]]
 
 
 def usable(vector: Column) -> Column:
@@ -134,17 +136,19 @@ def usable(vector: Column) -> Column:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, dims: int = DIMS, sure: float = SURE, block: int = BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score (largest inner products) of every row of ``queries`` among ``vectors``.
+    """query_id, rank, vec_id, score (largest inner products) of every id of ``queries`` among the rows of ``vectors``.
 
     Both need vec_id and embedding. A task holds one block of vectors and at most ``ASKED`` queries.
     """
     narrow = [F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")]
 
-    def ready(df: DataFrame, label: str) -> DataFrame:
-        kept = df.select(*narrow).filter(F.col("vec_id").isNotNull() & usable(F.col("v")))
-        return written(kept.withColumn("size", F.size("v")).withColumn("row", F.monotonically_increasing_id()), label)
+    def ready(df: DataFrame) -> DataFrame:
+        return df.select(*narrow).filter(F.col("vec_id").isNotNull() & usable(F.col("v")))
 
-    data, asked = ready(vectors, "vectors"), ready(queries, "queries")
+    def numbered(df: DataFrame, label: str) -> DataFrame:
+        return written(df.withColumn("size", F.size("v")).withColumn("row", F.monotonically_increasing_id()), label)
+
+    data, asked = numbered(ready(vectors), "vectors"), numbered(ready(queries).distinct(), "queries")
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     n, top = data.agg(F.count("*"), F.max(square)).first()
     many = asked.count()
@@ -158,15 +162,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, dims: int = DIM
         if len(found) and len(wanted):
             sizes = (np.stack(f["v"].to_numpy()) for f in (found, wanted))
             a, b = sizes
-            for q, ids, scores, seen in search(found["vec_id"].to_numpy(), a, wanted["vec_id"].to_numpy(), b, top, k, dims, sure):
-                out.append(pd.DataFrame({"query_id": q, "vec_id": ids, "score": scores, "verified": seen}))
-        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "verified": []})
+            rows = found["row"].to_numpy()
+            for q, ids, scores, _, at in search(found["vec_id"].to_numpy(), a, wanted["vec_id"].to_numpy(), b, top, k, dims, sure):
+                out.append(pd.DataFrame({"query_id": q, "vec_id": ids, "row": rows[at], "score": scores}))
+        empty = pd.DataFrame({"query_id": [], "vec_id": [], "row": [], "score": []})
         return pd.concat(out) if out else empty
 
     keys = ["size", "b", "g"]
     met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, RESULT)
-    # the least k of each query by (score, id); at most k rows a block go in
-    best = met.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("best"))
+    # a candidate row counts once a query id, however many vectors have that id; one shuffle serves both groupings
+    once = met.repartition("query_id").groupBy("query_id", "vec_id", "row").agg(F.min(-F.col("score")).alias("s"))
+    # the least k of each query by (score, id); at most k rows a block and vector of the query go in
+    best = once.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("s", "vec_id", "row"))), 1, k).alias("best"))
     return best.select("query_id", F.posexplode("best").alias("pos", "hit")).select(
         "query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.s")).alias("score"),
     )

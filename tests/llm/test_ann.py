@@ -71,3 +71,19 @@ def test_odd_vectors_and_ties(spark):
     assert by_query(ann.nearest(small, small).collect()) == {0: [(20, 0.0)], 20: [(0, 0.0)]}
     none = df.filter("false")
     assert ann.nearest(none, none).collect() == [] and ann.nearest(df, none).collect() == []
+
+
+def test_repeated_queries(spark):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(600, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    rows += [rows[20], rows[40], rows[40], rows[7], (60, rng.normal(size=8).tolist())]  # copies, and an id with two vectors
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    queries = df.filter("vec_id % 20 = 0")
+    found = by_query(ann.nearest(df, queries, sure=1 - 1e-12, block=200).collect())
+    asked = {i: [np.array(v) for j, v in rows if j == i] for i, _ in rows if i % 20 == 0}
+    assert set(found) == set(asked)
+    for q, own in asked.items():
+        ranked = sorted((-max(float((np.array(v) * x).sum()) for x in own), j) for j, v in rows if j != q)[:20]
+        assert [j for j, _ in found[q]] == [j for _, j in ranked]
+        assert np.allclose([s for _, s in found[q]], [-s for s, _ in ranked])
