@@ -317,6 +317,20 @@ def land_workbooks(spark: SparkSession, inbox: str, lake: str, sheet: str, chose
     record_days(spark.createDataFrame(days, LANDING_LOG), lake)
 
 
+def land_contained(spark: SparkSession, inbox: str, lake: str, sheet: str, chosen: list[tuple[str, str]], fmt: str,
+                   **reading) -> list[str]:
+    """Land the (workbook, day) pairs of one sheet, one by one if they fail together; returns what failed."""
+    if not chosen:
+        return []
+    try:
+        land_workbooks(spark, inbox, lake, sheet, chosen, fmt, **reading)
+        return []
+    except FAILURES as error:
+        if len(chosen) == 1:
+            return [f"{sheet}, {chosen[0][0]}: {error}"]
+    return [x for one in chosen for x in land_contained(spark, inbox, lake, sheet, [one], fmt, **reading)]
+
+
 def land(spark: SparkSession, inbox: str, lake: str, schemas: dict[str, T.StructType] | None = None, *,
          types: dict[str, T.StructType] | None = None, pattern: str = FILE_PATTERN,
          date: str | None = None, newest: int | None = None, force: bool = False, fmt: str = "parquet",
@@ -342,17 +356,7 @@ def land(spark: SparkSession, inbox: str, lake: str, schemas: dict[str, T.Struct
         if not chosen:
             continue
         reading = {"pattern": pattern, "stamp": stamp, "cells": schemas[sheet], "types": (types or {}).get(sheet)}
-        try:
-            land_workbooks(spark, inbox, lake, sheet, chosen, fmt, **reading)
-        except FAILURES as error:
-            if len(chosen) == 1:
-                failures.append(f"{sheet}, {chosen[0][0]}: {error}")
-                continue
-            for one in chosen:
-                try:
-                    land_workbooks(spark, inbox, lake, sheet, [one], fmt, **reading)
-                except FAILURES as own:
-                    failures.append(f"{sheet}, {one[0]}: {own}")
+        failures += land_contained(spark, inbox, lake, sheet, chosen, fmt, **reading)
     if failures:
         raise LandingFailed(failures)
     return file_outcomes(spark.createDataFrame(decided, marked.schema))

@@ -115,6 +115,38 @@ def test_stream_lands_each_file_once(spark, inbox, tmp_path):
     assert sorted(r._file for r in rows) == ["daily-20260402.xlsx"] * 2 + ["daily-20260403.xlsx"] * 2 + ["daily-20260405.xlsx"]
 
 
+def test_stream_lands_touched_workbooks_whole(spark, inbox, tmp_path):
+    name, where = "RT_PR_HH24", str(tmp_path / "stream")
+    types = lake.header_schema(landing.SHEET_COLUMNS[name])
+
+    def run():
+        land_available(spark, str(inbox), where, name, landing.cell_schema(name), str(tmp_path / "checkpoint"), types=types)
+        rows = spark.read.option("mergeSchema", "true").option("basePath", where).parquet(f"{where}/_sheet={name}")
+        return rows, sorted((r._file, r.CALTM) for r in rows.collect())
+
+    first = [("daily-20260402.xlsx", "0401 09"), ("daily-20260402.xlsx", "0401 10"),
+             ("daily-20260403.xlsx", "0401 10"), ("daily-20260403.xlsx", "0402 10")]
+    assert run()[1] == first
+    late = [hour("P94", "0401 11", 1.0, 1.0) | {"REMARK": "late"}, hour("P95", "0401 12", "n/a", 1.0)]
+    folder = inbox / f"_sheet={name}" / "_file=daily-20260402.xlsx"
+    (folder / "part-1.json").write_text("\n".join([*map(json.dumps, late), "no json"]), encoding="utf-8")
+    rows, found = run()
+    whole = sorted([*first, ("daily-20260402.xlsx", "0401 11"), ("daily-20260402.xlsx", "0401 12")])
+    assert found == whole and [r.CALTM for r in rows.filter("REMARK = 'late'").collect()] == ["0401 11"]
+    bad = {(r._dt, r.header, r.content) for r in landing.rejected_cells(spark, where).collect()}
+    assert bad == {("20260402", "AVG_TM", "n/a"), ("20260402", None, "no json")}
+    # second workbooks of landed days, by name before and after the first: the landed rows stay
+    put(inbox, name, "again-20260402.xlsx", hour("X", "0401 01", 1.0, 1.0))
+    put(inbox, name, "later-20260403.xlsx", hour("X", "0401 01", 1.0, 1.0))
+    assert run()[1] == whole
+    # of two new workbooks of one day the first by name, as in batch landing
+    put(inbox, name, "b-20260406.xlsx", hour("X", "0405 02", 1.0, 1.0))
+    put(inbox, name, "a-20260406.xlsx", hour("X", "0405 01", 1.0, 1.0))
+    assert run()[1] == sorted([*whole, ("a-20260406.xlsx", "0405 01")])
+    log = {r._dt: (r._file, r.row_count, r.rejected) for r in landing.landing_log(spark, where).collect()}
+    assert log == {"20260402": ("daily-20260402.xlsx", 4, 2), "20260403": ("daily-20260403.xlsx", 2, 0), "20260406": ("a-20260406.xlsx", 1, 0)}
+
+
 @pytest.fixture()
 def workspace(spark, inbox, tmp_path):
     landing.land(spark, str(inbox), str(tmp_path / "lake"))
