@@ -5,6 +5,10 @@ drop what a browser does not show, and a renderer emits the rest: blocks apart b
 list item with its marker and depth, table cells padded to their columns. The tree is handed on as enter, text and leave
 events, so depth and length of a page cost no recursion; every scan moves forward only.
 
+Style sheets are taken as a screen of 1280 x 720 shows them: rules at top level and in media, layer or support blocks that hold there, the
+declaration of highest rank (importance, specificity, place) winning; selectors of one element without combinators count.
+In svg, text elements and foreign content show; in MathML everything but annotations and phantoms.
+
 Edge cases: null and empty pages give empty text; a tag that never ends swallows the rest, as in browsers; unknown tags are inline;
 unmatched end tags do nothing; repeated rows give the same text; an empty table gives no rows.
 """
@@ -24,7 +28,15 @@ from tallyworks.llm.common import table
 # Element classes of HTML (fixed values).
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes noscript".split())
-HIDDEN = set("head script style template noscript iframe noembed noframes title datalist object audio video canvas svg math".split())
+HIDDEN = set("head script style template noscript iframe noembed noframes title datalist object audio video canvas".split())
+#: Inside svg and math: what is not shown there, and HTML elements, which end svg.
+UNDRAWN = {
+    "svg": set("defs desc metadata symbol clippath mask marker pattern lineargradient radialgradient filter".split()),
+    "math": set("annotation annotation-xml mphantom".split()),
+}
+BREAKOUT = set("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby "
+               "s small span strong strike sub sup table tt u ul var".split())
+PARTED = set("mfrac msup msub msubsup munder mover munderover mmultiscripts mroot mtr mtable".split())  # their children stand apart
 APART = set("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr fieldset form".split())
 LINES = set(
     "address article aside body caption center dd details dialog dir div dt figcaption footer header hgroup html legend li main menu nav "
@@ -53,9 +65,141 @@ TAG = re.compile(
 )
 ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACE = re.compile(r"[ \t\n\r\f]+")
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-SIMPLE = re.compile(r"[.#]?[a-zA-Z][\w-]*")
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)|<!--|-->", re.S)
+STOP = re.compile(r"[{};]|\"[^\"]*+\"?|'[^']*+'?")
+BRACE = re.compile(r"[{}]|\"[^\"]*+\"?|'[^']*+'?")
+SHOWS = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)[^;!]*(!\s*important)?", re.I)
+NESTED = re.compile(r"[^;{}]*+\{[^{}]*+\}")  # a rule inside a rule
+SIMPLE = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#]-?[a-zA-Z_][\w-]*)*)")
+PART = re.compile(r"[.#][^.#]+")
+GROUPS = {"media", "supports", "layer", "container", "scope"}
+SCREEN = {"width": 1280.0, "height": 720.0}
+UNITS = {"": 1.0, "px": 1.0, "em": 16.0, "rem": 16.0, "in": 96.0, "cm": 96 / 2.54, "mm": 9.6 / 2.54, "pt": 4 / 3, "pc": 16.0}
+LENGTH = r"([0-9]*\.?[0-9]+)([a-z]*)"
+BOUND = re.compile(rf"(min-|max-)?(width|height)\s*:\s*{LENGTH}")
+RANGE = re.compile(rf"(?:{LENGTH}\s*(<=?|>=?|=)\s*)?(width|height)(?:\s*(<=?|>=?|=)\s*{LENGTH})?")
+HOLDING = {"orientation: landscape", "color", "hover: hover", "any-hover: hover", "pointer: fine", "any-pointer: fine", "hover", "pointer", "grid: 0",
+           "prefers-color-scheme: light", "prefers-reduced-motion: no-preference", "width", "height", "scripting: enabled"}
+TESTS = {"<": float.__lt__, "<=": float.__le__, ">": float.__gt__, ">=": float.__ge__, "=": float.__eq__}
+Rank = tuple[bool, int, int]  # important, specificity, place
+
+
+def holds(feature: str) -> bool:
+    """Whether a media feature (without its parentheses) holds on the screen; unknown ones do not."""
+    feature = re.sub(r"\s*:\s*", ": ", feature.strip())
+    m = BOUND.fullmatch(feature)
+    if m and m[4] in UNITS:
+        size, bound = SCREEN[m[2]], float(m[3]) * UNITS[m[4]]
+        return size >= bound if m[1] == "min-" else size <= bound if m[1] else size == bound
+    m = RANGE.fullmatch(feature)
+    if m and (m[3] or m[5]) and (m[2] or "") in UNITS and (m[7] or "") in UNITS:
+        size = SCREEN[m[4]]
+        return (not m[3] or TESTS[m[3]](float(m[1]) * UNITS[m[2]], size)) and (not m[5] or TESTS[m[5]](size, float(m[6]) * UNITS[m[7]]))
+    return feature in HOLDING
+
+
+def fits(media: str) -> bool:
+    """Whether any query of a media list holds on the screen; an empty list does."""
+    if not media.strip():
+        return True
+    for query in media.lower().split(","):
+        m = re.fullmatch(r"\s*(?:(not|only)\s+)?(?:(?!not\b|only\b)([a-z-]+))?(.*)", query, re.S)
+        kind, rest = m[2] or "all", m[3]
+        features = re.findall(r"(not\s+)?\(([^()]*)\)", rest)
+        known = kind in ("all", "screen") and not re.sub(r"not\s+\([^()]*\)|\([^()]*\)|\band\b|\bor\b|\s", "", rest)
+        each = [holds(f) != bool(no) for no, f in features]
+        fit = known and (any(each) if re.search(r"\)\s*or\b", rest) else all(each))
+        if fit != (m[1] == "not"):
+            return True
+    return False
+
+
+def blocks(css: str) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) of the rules of a style sheet that hold on the screen, in order."""
+    at = start = 0
+    ends: list[int] = []  # of the open groups
+    while at < len(css):
+        m = STOP.search(css, at)
+        if not m:
+            return
+        at = m.end()
+        if m[0] == ";":
+            start = at
+        elif m[0] == "}":
+            start = at
+        elif m[0] == "{":
+            head = css[start : m.start()].strip()
+            name = re.match(r"@([a-zA-Z-]+)", head)
+            group = name and name[1].lower()
+            if group in GROUPS and (group in ("layer", "scope") or group == "media" and fits(head[len(name[0]) :]) or group == "supports" and not re.match(
+                    r"@supports\s+not\b", head, re.I)):
+                start = at
+                continue
+            body, depth = at, 1
+            while depth:
+                m = BRACE.search(css, at)
+                if not m:
+                    at = len(css)
+                    break
+                at = m.end()
+                depth += (m[0] == "{") - (m[0] == "}")
+            if not name:
+                yield head, css[body : at - 1 if not depth else at]
+            start = at
+
+
+def declared(text: str) -> dict[str, tuple[str, bool]]:
+    """display and visibility of a list of declarations, with whether they are important."""
+    found: dict[str, tuple[str, bool]] = {}
+    for name, value, important in SHOWS.findall(NESTED.sub("", text)):
+        if not found.get(name.lower(), ("", False))[1] or important:
+            found[name.lower()] = value.lower(), bool(important)
+    return found
+
+
+class Sheet:
+    """display and visibility rules by a name that the element must have: its tag, a class, an id, or ``*``."""
+
+    def __init__(self):
+        self.rules: dict[str, list[tuple[set[str], Rank, str, str]]] = {}
+        self.place = 0
+
+    def add(self, css: str) -> None:
+        for heads, body in blocks(COMMENT.sub(" ", css)):
+            found = declared(body)
+            for head in heads.split(",") if found else ():
+                m = SIMPLE.fullmatch(head.strip())
+                if not m or not m[0]:
+                    continue
+                names = {x.lower() for x in PART.findall(m[2])} | ({m[1].lower()} if m[1] else set())
+                special = 100 * m[2].count("#") + 10 * m[2].count(".") + (m[1] not in (None, "*"))
+                self.place += 1
+                for name, (value, important) in found.items():
+                    self.rules.setdefault(max(names), []).append((names, (important, special, self.place), name, value))
+
+    def style(self, names: set[str], inline: str, base: dict[str, str]) -> dict[str, str]:
+        """What holds for an element with these names; ``base`` is what holds without any rule."""
+        best: dict[str, tuple[Rank, str]] = {k: ((False, -1, 0), v) for k, v in base.items()}
+        found = [r for name in names if name in self.rules for r in self.rules[name] if r[0] <= names]
+        if inline:
+            found += [(names, (important, 1 << 30, 0), name, value) for name, (value, important) in declared(inline).items()]
+        for _, rank, name, value in found:
+            if name not in best or rank > best[name][0]:
+                best[name] = rank, value
+        return {k: v for k, (_, v) in best.items()}
+
+
+def style_of(found: list[tuple[str, str, dict[str, str] | None]]) -> Sheet:
+    """The style elements of a page's events, outside of templates, whose type and media hold."""
+    sheet, inert, open_style = Sheet(), 0, False
+    for kind, value, attrs in found:
+        if value == "template" and kind != "text":
+            inert += 1 if kind == "enter" else -1
+        elif value == "style" and kind != "text":
+            open_style = kind == "enter" and not inert and fits(attrs.get("media", "")) and attrs.get("type", "").strip().lower() in ("", "text/css")
+        elif kind == "text" and open_style:
+            sheet.add(value)
+    return sheet
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -139,7 +283,7 @@ def events(page: str) -> Iterator[tuple[str, str, dict[str, str] | None]]:
                 stack.append("tr")
                 yield "enter", "tr", {}
             yield "enter", tag, attributes(attrs) if attrs.strip(" /") else {}
-            if tag in VOID or (closed and tag in ("svg", "math", "path")):
+            if tag in VOID or closed and (tag in ("svg", "math", "path") or open_tags["svg"] or open_tags["math"]) and tag not in BREAKOUT:
                 yield "leave", tag, None
             elif tag in RAW:
                 end, at = raw_end(page, tag, at)
@@ -250,39 +394,65 @@ class Grid:
 def render(page: str | None) -> str:
     """The visible text of a page."""
     page = page or ""
-    unseen = {s.strip().lower() for style in re.findall(r"<style[^>]*+>([^<]*+)", page, re.I) for names, rule in RULE.findall(style)
-              if UNSEEN.search(rule) for s in names.split(",") if SIMPLE.fullmatch(s.strip())}
-
-    def seen(tag: str, attrs: dict[str, str]) -> bool:
-        if tag in HIDDEN or "hidden" in attrs or UNSEEN.search(attrs.get("style", "")):
-            return False
-        if tag == "dialog" and "open" not in attrs or tag == "input":
-            return False
-        if unseen:
-            names = {tag, *("." + c.lower() for c in attrs.get("class", "").split()), "#" + attrs.get("id", "").lower()}
-            return not names & unseen
-        return True
+    found: Iterator | list = events(page)
+    sheet = Sheet()
+    if "<style" in page.lower():
+        found = list(found)
+        sheet = style_of(found)
 
     flows, grids = [Flow()], []
     lists: list[int | None] = []
     folded: list[str] = []  # open elements inside details that are closed
+    opened: list[tuple[str, bool, str]] = []  # open elements: tag, whether visible, "svg" or "math" inside one of these
     hidden = pre = 0
-    for kind, value, attrs in events(page):
+
+    def shown(tag: str, attrs: dict[str, str]) -> tuple[str, bool, str] | None:
+        """The entry of ``opened`` for an element, or none if it is not displayed."""
+        above, visible, inside = opened[-1] if opened else ("", True, "")
+        if tag in HIDDEN or tag == "input" or tag in UNDRAWN.get(inside.removesuffix(" text"), ()):
+            return None
+        base = {"display": "none"} if "hidden" in attrs or tag == "dialog" and "open" not in attrs else {}
+        if inside or tag == "svg":
+            base |= {k: attrs[k].strip().lower() for k in ("display", "visibility") if k in attrs}
+        inline = attrs.get("style", "")
+        if sheet.rules or base or inline:
+            names = {"*", tag, *("." + c.lower() for c in attrs.get("class", "").split()), "#" + attrs.get("id", "").lower()}
+            style = sheet.style(names, inline, base)
+            if style.get("display") == "none":
+                return None
+            own = style.get("visibility")
+            visible = own == "visible" if own in ("visible", "hidden", "collapse", "initial") else visible
+            visible = visible or own == "initial"
+        if tag in ("svg", "math"):
+            inside = tag
+        elif inside == "svg" and tag == "text":
+            inside = "svg text"
+        elif inside.startswith("svg") and (tag == "foreignobject" or tag in BREAKOUT):
+            inside = ""
+        return tag, visible, inside
+
+    for kind, value, attrs in found:
         flow = flows[-1]
         if hidden:
             hidden += (kind == "enter") - (kind == "leave")
             continue
         if kind == "text":
-            if not folded or folded[-1] != "details":
+            if (not folded or folded[-1] != "details") and (not opened or opened[-1][1] and opened[-1][2] != "svg"):
                 flow.text(value, pre > 0)
             continue
         gap = 2 if value in APART else 1 if value in LINES else 0
         if value in ("ul", "ol") and lists[1:]:
             gap = 1  # a list in a list
         if kind == "enter":
-            if folded and folded[-1] == "details" and value != "summary" or not seen(value, attrs):
+            entry = None if folded and folded[-1] == "details" and value != "summary" else shown(value, attrs)
+            if not entry:
                 hidden = 1
                 continue
+            if opened and opened[-1][0] in PARTED and entry[1]:
+                flow.text(" ", False)
+            opened.append(entry)
+            if value == "text" and entry[2] == "svg text":
+                gap = 1  # a label
             if folded:
                 folded.append(value)
             elif value == "details" and "open" not in attrs:
@@ -301,7 +471,7 @@ def render(page: str | None) -> str:
             elif value == "li":
                 if lists and lists[-1] is not None:
                     lists[-1] += 1
-                flow.markers = [f"{lists[-1]}. " if lists and lists[-1] is not None else "- "]
+                flow.markers = [f"{lists[-1]}. " if lists and lists[-1] is not None else "- "] if entry[1] else []
             elif value in ("dd", "blockquote"):
                 flow.indent += "  "
             elif value == "table":
@@ -314,6 +484,8 @@ def render(page: str | None) -> str:
                 cell.span = grids[-1].cell
                 flows.append(cell)
         else:
+            if opened.pop()[2] == "svg text" and value == "text":
+                gap = 1
             if folded:
                 folded.pop()
             if value in CELLS and grids and len(flows) > 1:

@@ -84,3 +84,40 @@ def test_odd_rows(spark):
     assert sorted(found[:6], key=str) == sorted([(1, ""), (2, ""), (3, ""), (4, "x"), (4, "x"), (None, "y")], key=str)
     assert len(found[6][1]) == 999_999
     assert html_text.visible_text(pages.filter("false")).collect() == []
+
+
+def words(css, body):
+    return html_text.render(f"<head><style>{css}</style></head>{body}").split()
+
+
+def test_media_rules():
+    body = "<p class=x>1<p class=side>2<p>3"
+    for head in ("print", "(max-width:600px)", "not screen", "screen and (max-width: 40em)", "(width < 700px)", "(prefers-color-scheme: dark)", "speech, print",
+                 "(min-width: 100px) and (max-width: 600px)", "(400px <= width <= 700px)"):
+        assert words("@media %s{.x{display:none} .side{visibility:hidden}} i{}" % head, body) == ["1", "2", "3"], head
+    for head in ("screen", "all", "(min-width:600px)", "only screen and (min-width: 40em)", "print, screen", "not print", "(width >= 700px)", "not all and (max-width: 600px)"):
+        assert words("@media %s{.x{display:none}}" % head, body) == ["2", "3"], head
+    assert words("@import url('a;b'); @font-face{display:none} @keyframes k{p{display:none}} @supports (a:b){.x{display:none}}", body) == ["2", "3"]
+    assert words("@media print{@media screen{.x{display:none}} p{display:none}} /* } */ .side{display:none", body) == ["1", "3"]
+    assert html_text.render("<style media=print>p{display:none}</style><template><style>p{display:none}</style></template><p>1") == "1"
+
+
+def test_cascade():
+    body = "<p class='d-none d-md-block'>1<p class=d-none>2<p id=a class=no>3<p>4"
+    assert words(".d-none{display:none!important} @media (min-width:768px){.d-md-block{display:block!important}}", body) == ["1", "3", "4"]
+    assert words(".d-none{display:none} .d-none{display:block}", body) == ["1", "2", "3", "4"]
+    assert words("#a{display:block} .no{display:none} p{display:none} .d-md-block{display:flex}", body) == ["1", "3"]
+    assert words("p.d-none{display:none} .d-none{display:block} .no{color:red;display:none;display:inline}", body) == ["3", "4"]
+    assert words(".x{display:none}", "<p class=x style='display:block'>1<p class=x>2") == ["1"]
+    assert words(".x{display:none !important}", "<p class=x style='display:block'>1<p hidden>2") == []
+    assert words("p{display:block}", "<p hidden>1") == ["1"]
+    assert words(".x{visibility:hidden} .y{visibility:visible}", "<div class=x>1<b>2</b><b class=y>3</b></div>4") == ["3", "4"]
+    assert words(".x{color:red; .y{display:none}} .z{visibility:hidden}", "<p class=x>1<ul><li class=z>2<li>3</ul>") == ["1", "-", "3"]
+
+
+def test_formulas_and_drawings():
+    assert html_text.render("a <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>tex</annotation></math> b") == "a x= 1 2 b"
+    page = ("<svg width=9><title>t</title><defs><text>no</text></defs><rect x=1 /><defs/>stray<g><text x=1>first <tspan>label</tspan></text>"
+            "<text>second</text></g><text display='none'>z</text><foreignObject><div>html</div></foreignObject></svg>after")
+    assert html_text.render(page).split("\n") == ["first label", "second", "html", "after"]
+    assert html_text.render("<svg/>a<math/>b") == "ab"
