@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import table, written
+from tallyworks.llm.common import quoted, table, written
 from tallyworks.llm.components import components
 
 SEED = 42
@@ -74,6 +74,22 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(run, schema)
 
 
+def with_fingerprint(rows: DataFrame, shingle: int) -> DataFrame:
+    """``_row`` (whole documents) with ``_fp``."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    schema = StructType([rows.schema["_row"], StructField("_fp", LongType())])
+    out = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = np.array([fingerprint(t or b"", shingle) for t in batch.column(1).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(out.field(0).type), pa.array(values.view(np.int64))], schema=out)
+
+    return rows.select("_row", F.col("_row.text").cast("binary").alias("_text")).mapInArrow(run, schema)
+
+
 def segment_codes(values: np.ndarray) -> np.ndarray:
     """For each fingerprint and segment, its distances to all pivots on that segment, folded to one number."""
     bits = values.view(np.uint8).reshape(-1, SEGMENTS)
@@ -164,29 +180,44 @@ def fingerprint_links(distinct: DataFrame, max_bits: int) -> DataFrame:
     return groups.select("fps").distinct().mapInArrow(link, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """doc_id, fp and component_id (smallest document id reachable) of every row of ``docs``."""
+def rooted_duplicates(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """doc_id, fp, root (one fingerprint for each component) and component_id of every row of ``docs``."""
     marked = written(fingerprints(docs, shingle), "fingerprints")
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     distinct = written(distinct, "distinct-fingerprints")
     linked = components(fingerprint_links(distinct, max_bits))
     rooted = distinct.join(linked, distinct["fp"] == linked["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp = rooted.join(ids, "root").select("fp", "component_id")
-    return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    of_fp = rooted.join(ids, "root").select("fp", "root", "component_id")
+    return marked.join(of_fp, "fp").select("doc_id", "fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """doc_id, fp and component_id (smallest document id reachable) of every row of ``docs``."""
+    return rooted_duplicates(docs, shingle, max_bits).drop("root")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """Rows of ``docs`` that represent their component: one row of the smallest document id of each.
 
-    Rows whose id is null never stand for others; they stay.
+    Components that share their smallest document id keep a row each. Rows whose id is null never stand for others; they stay.
     """
-    found = near_duplicates(docs.filter("doc_id IS NOT NULL"), shingle, max_bits)
-    kept = found.groupBy("component_id").agg(F.lit(1).alias("_one")).select(F.col("component_id").alias("_kept"))
-    stay = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
-    once = stay.groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("_row"))
-    rows = once.select(*[F.col("doc_id") if c == "doc_id" else F.col("_row")[c].alias(c) for c in docs.columns])
-    return rows.unionByName(docs.filter("doc_id IS NULL"))
+    found = written(rooted_duplicates(docs.filter("doc_id IS NOT NULL"), shingle, max_bits), "rooted")
+    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "fp")).alias("_first")).select("_first.doc_id", "_first.fp")
+    many = found.groupBy("doc_id").agg((F.min("fp") != F.max("fp")).alias("_many"))
+    kept = first.join(many, "doc_id").select(F.col("doc_id").alias("_kept"), F.col("fp").alias("_kept_fp"), "_many")
+    kept = written(kept, "kept")
+
+    def once(rows: DataFrame, *more: str) -> DataFrame:
+        least = rows.groupBy("_row.doc_id", *more).agg(F.min(F.struct(*[F.col("_row")[c].alias(c) for c in docs.columns])).alias("_row"))
+        return least.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+
+    whole = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_row"))
+    stay = whole.join(kept.filter("NOT _many"), F.col("_row.doc_id") == F.col("_kept"), "left_semi")
+    # rows of an id that stands for different texts are told apart by their fingerprints, no others are read again
+    unsure = with_fingerprint(whole.join(kept.filter("_many"), F.col("_row.doc_id") == F.col("_kept"), "left_semi"), shingle)
+    sure = unsure.join(kept.filter("_many"), (F.col("_row.doc_id") == F.col("_kept")) & (F.col("_fp") == F.col("_kept_fp")), "left_semi")
+    return once(stay).unionByName(once(sure, "_fp")).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,3 +77,15 @@ def test_odd_rows_and_one_of_each(spark, docs_of, odd_texts):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(expected.values()))
     assert kept.filter("doc_id IS NULL").count() == 1
     assert simhash.near_duplicates(docs.filter("false")).collect() == []
+
+
+def test_one_id_with_different_texts(spark, docs_of):
+    docs = docs_of(["one text about a mill on a river", "one text about a mill on a river", "another story of ships and the sea", "a third of its own kind entirely"])
+    ids = F.element_at(F.array(*map(F.lit, [5, 6, 5, 7])), (F.col("doc_id") + 1).cast("int")).cast("long")
+    docs = docs.withColumn("doc_id", ids)
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(docs).collect()]
+    assert sorted(kept) == [(5, "another story of ships and the sea"), (5, "one text about a mill on a river"), (7, "a third of its own kind entirely")]
+    # an id that stands for one group, with a copy of another group's text under it
+    more = docs.unionAll(docs.filter("doc_id = 5 AND text LIKE 'one%'").withColumn("doc_id", F.lit(3).cast("long")))
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(more).collect()]
+    assert sorted(kept) == [(3, "one text about a mill on a river"), (5, "another story of ships and the sea"), (7, "a third of its own kind entirely")]
