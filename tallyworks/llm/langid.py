@@ -122,6 +122,11 @@ class Field:
 
 def posteriors(emit: np.ndarray, sizes: list[int], moves: np.ndarray) -> np.ndarray:
     """Posterior of every language for every word of chains joined one after another (forward-backward)."""
+    return marginals(emit, sizes, moves)[0]
+
+
+def marginals(emit: np.ndarray, sizes: list[int], moves: np.ndarray, pair: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Posteriors as above and the sum of the pair posteriors of the words at ``pair`` with those before them."""
     n, langs = emit.shape
     lengths: list[int] = []
     for size in sizes:
@@ -129,7 +134,7 @@ def posteriors(emit: np.ndarray, sizes: list[int], moves: np.ndarray) -> np.ndar
     count = np.array(lengths, np.int64)
     blocks = len(count)
     if not blocks:
-        return np.zeros_like(emit)
+        return np.zeros_like(emit), np.zeros((langs, langs))
     start = np.concatenate([[0], count.cumsum()[:-1]])
     step = np.exp(moves)
     filled = np.ones((BLOCK, blocks, langs))
@@ -166,13 +171,22 @@ def posteriors(emit: np.ndarray, sizes: list[int], moves: np.ndarray) -> np.ndar
         forward[t] = now
     back, out = right, np.empty_like(emit)
     joint = np.empty_like(filled)
+    rest = np.empty_like(filled) if pair is not None else None  # the word's own factor and what follows it
     for t in range(BLOCK - 1, -1, -1):
         joint[t] = forward[t] * back
+        if rest is not None:
+            rest[t] = filled[t] * back
         new = (filled[t] * back) @ step.T
         new /= new.sum(1, keepdims=True)
         back = np.where(at[t][:, None], new, back)
     out[place] = joint[at]
-    return out / out.sum(1, keepdims=True)
+    pairs = np.zeros((langs, langs))
+    if pair is not None and len(pair):
+        before, after = np.empty_like(emit), np.empty_like(emit)
+        before[place], after[place] = forward[at], rest[at]
+        before, after = before[pair - 1], after[pair]
+        pairs = step * ((before / ((before @ step) * after).sum(1, keepdims=True)).T @ after)
+    return out / out.sum(1, keepdims=True), pairs
 
 
 def fit(texts: list[str], labels: list[str]) -> Field | None:
@@ -202,13 +216,11 @@ def fit(texts: list[str], labels: list[str]) -> Field | None:
     for _ in range(ROUNDS):
         score = np.stack([np.bincount(owner, weights[feature, j], len(feats)) for j in range(k)], 1)
         emit = np.exp(np.maximum(score - score.max(1, keepdims=True), -30))[words]
-        post = posteriors(emit, sizes, moves)
+        post, expected = marginals(emit, sizes, moves, pair)
         miss = -post
         miss[np.arange(len(words)), truth] += 1
         by_word = np.stack([np.bincount(words, miss[:, j], len(feats)) for j in range(k)], 1)
         slope = np.stack([np.bincount(feature, by_word[owner, j], BUCKETS) for j in range(k)], 1) / len(words) - DECAY * weights
-        # neighbouring posteriors stand in for the pair's posterior
-        expected = post[pair - 1].T @ post[pair]
         turn = (counts - expected) / max(1, len(pair)) - 1e-3 * moves
         seen_w += slope**2
         seen_m += turn**2

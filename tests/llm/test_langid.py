@@ -23,6 +23,44 @@ def test_posteriors_against_all_paths():
     assert np.allclose(langid.posteriors(emit, [5], moves), total / total.sum(1, keepdims=True))
 
 
+def test_pair_posteriors_against_all_paths():
+    rng = np.random.default_rng(7)
+    moves, sizes = 2 * rng.normal(size=(3, 3)), [4, 1, 6]
+    emit, expected, at = rng.random((sum(sizes), 3)) + 0.1, np.zeros((3, 3)), 0
+    for size in sizes:
+        total, whole = np.zeros((3, 3)), 0.0
+        for path in itertools.product(range(3), repeat=size):
+            weight = np.exp(moves)[:, path[0]].sum() * math.prod(emit[at + t, s] for t, s in enumerate(path))
+            weight *= math.prod(math.exp(moves[a, b]) for a, b in zip(path, path[1:]))
+            whole += weight
+            for a, b in zip(path, path[1:]):
+                total[a, b] += weight
+        expected += total / whole
+        at += size
+    pair = np.array([i for i in range(11) if i not in (0, 4, 5)])
+    assert np.allclose(langid.marginals(emit, sizes, moves, pair)[1], expected)
+
+
+def test_pair_posteriors_over_blocks():
+    rng = np.random.default_rng(8)
+    moves, n = rng.normal(size=(3, 3)), 200
+    emit, step = rng.random((n, 3)) + 0.01, np.exp(moves)
+    forward, backward = np.zeros((n, 3)), np.ones((n, 3))
+    now = np.full(3, 1 / 3)
+    for t in range(n):
+        now = (now @ step) * emit[t]
+        now /= now.sum()
+        forward[t] = now
+    for t in range(n - 2, -1, -1):
+        backward[t] = step @ (emit[t + 1] * backward[t + 1])
+        backward[t] /= backward[t].sum()
+    expected = np.zeros((3, 3))
+    for t in range(1, n):
+        both = forward[t - 1][:, None] * step * (emit[t] * backward[t])[None, :]
+        expected += both / both.sum()
+    assert np.allclose(langid.marginals(emit, [n], moves, np.arange(1, n))[1], expected)
+
+
 def test_blocks_do_not_show():
     rng = np.random.default_rng(2)
     sizes = [0, 1, 64, 65, 200, 0, 130, 63]
