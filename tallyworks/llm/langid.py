@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
@@ -233,21 +233,41 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
-    """A field from at most ``sample`` documents with text and language; other columns are not looked at."""
+def quotas(counts: dict[str, int], sample: int) -> dict[str, int]:
+    """How many documents of each language make up ``sample``: the same of each as far as it has them."""
+    found, left = {}, sample
+    for k, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        found[lang] = min(n, left // (len(counts) - k))
+        left -= found[lang]
+    return found
+
+
+def training_sample(docs: DataFrame, sample: int) -> DataFrame:
+    """text and lang of at most ``sample`` different documents with text and language, dealt evenly to the languages: of each
+    the first by hash of the id."""
     known = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    # about twice the sample by hash, so that what goes to the one task does not grow with the number of partitions
-    share = min(1.0, 2 * sample / max(1, known.count()))
-    near = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)) + 1)
-    chosen = known.filter(near).select("doc_id", "text", "lang").orderBy(F.xxhash64("doc_id"), "doc_id", "lang", F.xxhash64("text")).limit(sample)
+    # one row per language; a little more than the estimate, so that no document of a rare language is left out
+    counts = {r.lang: int(1.1 * r.n) + 1 for r in known.groupBy("lang").agg(F.approx_count_distinct("doc_id", 0.02).alias("n")).collect()}
+    dealt = quotas(counts, sample)
+    # over twice each quota by hash, so that what goes to the one task does not grow with the table or its partitions
+    below = [(lang, int(min(1.0, (2 * n + 20) / counts[lang] * 1.2) * (1 << 40)) + 1) for lang, n in dealt.items() if n]
+    limits = docs.sparkSession.createDataFrame(below, "_lang string, _below long")
+    near = known.select("doc_id", "text", "lang").join(F.broadcast(limits), F.col("lang") == F.col("_lang")).filter(
+        F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < F.col("_below"))
+    order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")]
+    ranked = near.dropDuplicates(["doc_id", "text", "lang"]).withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    return ranked.orderBy("_rank", *order, "lang").limit(sample).select("text", "lang")
 
+
+def train(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
+    """A field from at most ``sample`` documents with text and language; other columns are not looked at."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat([pd.DataFrame({"text": [], "lang": []}), *frames])
         field = fit(rows["text"].tolist(), rows["lang"].tolist())
         if field:
             yield pd.DataFrame({"langs": [field.langs], "weights": [field.weights.tobytes()], "moves": [field.moves.tobytes()]})
 
-    rows = chosen.select("text", "lang").coalesce(1).mapInPandas(run, "langs array<string>, weights binary, moves binary").collect()
+    rows = training_sample(docs, sample).coalesce(1).mapInPandas(run, "langs array<string>, weights binary, moves binary").collect()
     if not rows:
         return None
     langs = list(rows[0].langs)

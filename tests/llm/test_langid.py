@@ -119,3 +119,15 @@ def test_odd_rows(docs_of, odd_texts):
     nothing = langid.train(docs.filter("false"))
     assert nothing is None and {r.lang_pred for r in langid.predict(docs, nothing).collect()} == {"und"}
     assert langid.predict(docs.filter("false"), field).collect() == []
+
+
+def test_rare_languages_are_sampled(docs_of):
+    assert langid.quotas({"a": 1000, "b": 3, "c": 40}, 60) == {"b": 3, "c": 28, "a": 29}
+    assert sum(langid.quotas({str(i): 5 for i in range(9)}, 4).values()) == 4
+    docs = docs_of([f"text {i}" for i in range(4000)])
+    rare = F.when(F.col("doc_id") % 1000 == 7, "zz").when(F.col("doc_id") % 2 == 0, "yy").otherwise("xx")
+    docs = docs.withColumn("lang", rare)
+    rows = langid.training_sample(docs.unionAll(docs.filter("doc_id < 50")), 60).collect()
+    found = {lang: sorted(int(r.text.split()[1]) for r in rows if r.lang == lang) for lang in ("xx", "yy", "zz")}
+    assert found["zz"] == [7, 1007, 2007, 3007] and len(rows) == len({r.text for r in rows}) == 60
+    assert abs(len(found["xx"]) - len(found["yy"])) <= 2
