@@ -1,10 +1,10 @@
 """Sharding by Hilbert-curve order: rows that are near in several metadata columns share a file.
 
-Each dimension is quantised to ``2**bits`` cells by approximate quantiles, the cells give an index on the
+Each dimension is quantised to ``2**bits`` cells by quantiles (approximate ones of numbers, those of whole values of strings), the cells give an index on the
 Hilbert curve, rows are range partitioned and sorted by (index, tie columns), and the order is cut into
 runs. Files then cover small boxes, so a filter on any of the dimensions prunes.
 
-Edge cases: null in a dimension falls into cell 0; strings are ordered by their first seven bytes; an empty
+Edge cases: null in a dimension falls into cell 0; strings are ordered by all their bytes; an empty
 table gives no rows; rows equal in all ordering columns are interchangeable; input columns named like an
 output column are replaced.
 """
@@ -20,30 +20,52 @@ OUTPUT = ("hilbert", "shard", "slot")
 
 
 def ordinal(df: DataFrame, name: str) -> Column:
-    """A column as an order-preserving double."""
+    """A column other than a string as an order-preserving double."""
     kind = dict(df.dtypes)[name]
     col = F.col(quoted(name))
-    if kind == "string":
-        head = F.rpad(F.hex(F.substring(col.cast("binary"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("bigint").cast("double")
     if kind in ("date", "timestamp"):
         return F.unix_timestamp(col.cast("timestamp")).cast("double")
     return col.cast("double")
 
 
+def string_cuts(df: DataFrame, name: str, count: int) -> list[str]:
+    """At most ``count - 1`` values that cut the rows of a string column into ``count`` runs, as its quantiles do.
+
+    Different values are counted and range partitioned; running totals of the counts tell which values hold a cut.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = df.select(F.col(quoted(name)).alias("_value")).filter("_value IS NOT NULL").groupBy("_value").agg(F.count("*").alias("_n"))
+    placed = values.repartitionByRange(parts, "_value").sortWithinPartitions("_value")
+    placed = written(placed.withColumn("_place", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_place", 33)), "values")
+    # one row per range partition, as in hilbert_shards
+    sizes = placed.groupBy("_part").agg(F.sum("_n").alias("_size"))
+    starts = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_start"),
+                          F.sum("_size").over(Window.partitionBy(F.lit(0))).alias("_total"))
+    upto = F.col("_start") + F.sum("_n").over(Window.partitionBy("_part").orderBy("_place"))
+    ranked = placed.join(F.broadcast(starts), "_part").withColumn("_upto", upto)
+    holds = f"least((_upto * {count}) div _total, {count - 1}) > ((_upto - _n) * {count}) div _total"
+    return [r._value for r in ranked.filter(holds).select("_value").collect()]
+
+
 def cells(df: DataFrame, dims: list[str], bits: int) -> list[Column]:
-    """Each dimension's cell, 0 to ``2**bits - 1``, from one aggregate over the table.
+    """Each dimension's cell, 0 to ``2**bits - 1``, from one aggregate over the table and one for each string.
 
-    The driver gets ``len(dims) * (2**bits - 1)`` numbers, whatever the size of the table.
+    The driver gets at most ``len(dims) * (2**bits - 1)`` values, whatever the size of the table.
     """
+    kinds = dict(df.dtypes)
     shares = [i / 2**bits for i in range(1, 2**bits)]
-    cuts = df.agg(*[F.percentile_approx(ordinal(df, d), shares, 10_000).alias(f"c{i}") for i, d in enumerate(dims)]).first()
-    found = []
-    for i, d in enumerate(dims):
-        value, bounds = ordinal(df, d), sorted(set(cuts[i] or ()))
-        below = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b, v=value: b <= v)) if bounds else F.lit(0)
-        found.append(F.when(value.isNull() | F.isnan(value), 0).otherwise(below).cast("int"))
-    return found
+    numbers = [d for d in dims if kinds[d] != "string"]
+    found = df.agg(*[F.percentile_approx(ordinal(df, d), shares, 10_000).alias(f"c{i}") for i, d in enumerate(numbers)]).first() if numbers else ()
+    cuts = dict(zip(numbers, found)) | {d: string_cuts(df, d, 2**bits) for d in dims if kinds[d] == "string"}
+
+    def cell(d: str) -> Column:
+        text = kinds[d] == "string"
+        value, bounds = F.col(quoted(d)) if text else ordinal(df, d), sorted(set(cuts[d] or ()))
+        # the lambda takes the bound alone: a second parameter would be its place in the array
+        below = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= value)) if bounds else F.lit(0)
+        return F.when(value.isNull() if text else value.isNull() | F.isnan(value), 0).otherwise(below).cast("int")
+
+    return [cell(d) for d in dims]
 
 
 def curve_index(names: list[str], bits: int) -> Column:

@@ -55,3 +55,21 @@ def test_odd_rows(spark, docs_of, odd_texts, tmp_path):
     assert hilbert.hilbert_shards(docs.filter("false"), ["lang", "n_chars"], 7, ["doc_id"]).collect() == []
     same = docs.filter("doc_id = 3").unionAll(docs.filter("doc_id = 3"))
     laws(hilbert.hilbert_shards(same, ["lang"], 3, ["doc_id"]).collect(), 3)
+
+
+def test_strings_count_as_a_whole(spark):
+    names = [f"https://host{i:02d}.example/ü" for i in range(32)]
+    df = spark.range(3200).select((F.col("id") % 40).alias("x"), F.element_at(F.array(*map(F.lit, names)), (F.expr("id div 100") + 1).cast("int")).alias("s"))
+    df = df.unionAll(spark.createDataFrame([(0, None)] * 5, "x long, s string"))
+    rows = df.select("s", hilbert.cells(df, ["s"], 3)[0].alias("cell")).distinct().collect()
+    assert {r.s: r.cell for r in rows} == {n: min(7, (i + 1) // 4) for i, n in enumerate(names)} | {None: 0}
+    boxes = hilbert.hilbert_shards(df.filter("s IS NOT NULL"), ["s", "x"], 16, ["s", "x"], bits=3).groupBy("shard").agg(F.count_distinct("s").alias("n")).collect()
+    assert sum(b.n for b in boxes) < 16 * 16
+    hot = spark.createDataFrame([("b",)] * 90 + [("a",)] * 5 + [("c",)] * 5, "s string")
+    rows = hot.select("s", hilbert.cells(hot, ["s"], 2)[0].alias("cell")).distinct().collect()
+    assert {r.s: r.cell for r in rows} == {"a": 0, "b": 1, "c": 1}
+
+
+def test_cells_of_numbers(spark):
+    rows = spark.range(64).select("id", hilbert.cells(spark.range(64), ["id"], 3)[0].alias("cell")).collect()
+    assert all(abs(r.cell - r.id / 8) <= 1 for r in rows) and {r.cell for r in rows} == set(range(8))
