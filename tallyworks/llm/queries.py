@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import ann, hilbert, html_text, langid, packing, pieces, pii, quality, simhash, substrings
+from tallyworks.llm import ann, hilbert, html_text, langid, minhash, packing, pieces, pii, quality, simhash, substrings
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_sharding": hilbert.op9_sharding,
     "op10_pieces": pieces.op10_pieces,
+    "op11_fingerprints": minhash.op11_fingerprints,
 }
 SQL: dict[str, str] = {}
