@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import ann, hilbert, html_text, langid, minhash, packing, pieces, pii, quality, simhash, substrings
+from tallyworks.llm import (
+    ann,
+    hilbert,
+    html_text,
+    langid,
+    minhash,
+    packing,
+    pieces,
+    pii,
+    quality,
+    simhash,
+    substrings,
+    vector_codes,
+)
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -16,5 +29,8 @@ QUERIES = {
     "op9_sharding": hilbert.op9_sharding,
     "op10_pieces": pieces.op10_pieces,
     "op11_fingerprints": minhash.op11_fingerprints,
+    "op12_codes": vector_codes.op12_codes,
+}
+SQL: dict[str, str] = {
+    "op12_codes": vector_codes.sql(),
 }
-SQL: dict[str, str] = {}
