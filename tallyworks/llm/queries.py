@@ -7,6 +7,7 @@ from tallyworks.llm import (
     hilbert,
     html_text,
     langid,
+    lexical,
     minhash,
     packing,
     pieces,
@@ -30,7 +31,9 @@ QUERIES = {
     "op10_pieces": pieces.op10_pieces,
     "op11_fingerprints": minhash.op11_fingerprints,
     "op12_codes": vector_codes.op12_codes,
+    "op13_search": lexical.op13_search,
 }
 SQL: dict[str, str] = {
     "op12_codes": vector_codes.sql(),
+    "op13_search": lexical.SQL,
 }
