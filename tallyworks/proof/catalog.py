@@ -301,6 +301,44 @@ UNION ALL
 SELECT 'MON_LOG', CASE WHEN event_id % 2 = 0 THEN '19980501' ELSE '19980601' END, count(*), CAST(1 AS BIGINT)
 FROM events GROUP BY ALL""")
 
+
+
+def _undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sheet without declared columns: one column is a number in some workbooks and text in others, one is missing in some."""
+    inbox, day, key = scratch_dir(spark, "undeclared"), C("o_orderdate").cast("date"), C("o_orderkey")
+    even = F.month(day) % 2 == 0
+    common = [key.alias("KEY"), C("o_totalprice").alias(" PRICE "), day.cast("string").alias("DAY")]
+    plain = F.to_json(F.struct(*common, key.alias("N")))
+    late = F.date_format(day, "yyyy-MM-dd'T'08:00:00")
+    lines = proxies.table(spark, sf_dir, "orders").select(
+        F.when(even, plain).otherwise(F.to_json(F.struct(*common, F.concat(F.lit("n"), key.cast("string")).alias("N"), late.alias("LATE")))).alias("value"),
+        F.concat(F.lit("daily-"), F.date_format(F.trunc(day, "month"), "yyyyMMdd"), F.lit(".xlsx")).alias("_file"))
+    lines.repartition("_file").write.partitionBy("_file").text(f"{inbox}/_sheet=BT_CNT")
+    landing.land(spark, inbox, f"{inbox}-lake", ingest_ts=7)
+    return Workspace.open(spark, f"{inbox}-lake").get("bt_cnt")
+
+
+add("s1_undeclared_columns", _undeclared, """
+SELECT o_orderkey AS "KEY", CASE WHEN month(o_orderdate) % 2 = 0 THEN '' ELSE 'n' END || o_orderkey AS "N",
+       CAST(o_totalprice AS DOUBLE) AS "PRICE", CAST(o_orderdate AS DATE) AS "DAY",
+       CASE WHEN month(o_orderdate) % 2 = 1 THEN date_trunc('day', o_orderdate) + INTERVAL 8 HOUR END AS "LATE",
+       'daily-' || strftime(o_orderdate, '%Y%m') || '01.xlsx' AS _file, 'BT_CNT' AS _sheet,
+       strftime(o_orderdate, '%Y%m') || '01' AS _dt, CAST(7 AS BIGINT) AS _ingest_ts
+FROM orders""")
+
+
+def _inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines with columns beyond the declared ones, read by glob with inferred types."""
+    path = scratch_dir(spark, "inferred")
+    rows = proxies.workspace(spark, sf_dir).get("rt_cnt")
+    extra = [(C("total_cnt") * 2).alias("TWICE"), F.when(C("ok_cnt") % 2 == 0, C("pr_id")).alias("NOTE")]
+    with_headers(rows, SHEET_COLUMNS["RT_CNT"], [*LINEAGE, *extra]).write.json(path, compression="gzip")
+    return lake.read_flat_sheet(spark, f"{path}/*.json.gz", "RT_CNT", inferred=True)
+
+
+add("s1_inferred_columns", _inferred,
+    """SELECT *, total_cnt * 2 AS "TWICE", CASE WHEN ok_cnt % 2 = 0 THEN pr_id END AS "NOTE" FROM rt_cnt""")
+
 # ---------------------------------------------------------------- projections
 
 

@@ -4,9 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+#: Independent Spark jobs that are started at the same time at most.
+AT_ONCE = 8
+A = TypeVar("A")
+B = TypeVar("B")
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -55,3 +64,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="tallyworks-")
     return f"{root.rstrip('/')}/tallyworks/{label}-{uuid.uuid4().hex}"
+
+
+def at_once(spark: SparkSession, action: Callable[[A], B], items: Iterable[A], most: int = AT_ONCE) -> list[B]:
+    """Results of ``action`` for independent items, in their order, run from several threads, so that planning and the ends of
+    stages overlap. Threads take over the caller's job properties; the first error is raised."""
+    items = list(items)
+    if len(items) < 2:
+        return [action(item) for item in items]
+    with ThreadPoolExecutor(min(most, len(items))) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(action), item) for item in items]
+        return [future.result() for future in futures]

@@ -6,12 +6,16 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyworks.sources.listing import folders
+from tallyworks.sources.kinds import widened
+from tallyworks.sources.listing import exists, folders
 from tallyworks.sources.schemas import (
     CODE_COLUMNS,
+    LINEAGE,
     REGISTRY_COLUMNS,
     SHEET_COLUMNS,
+    TARGET_SHEETS,
     header_schema,
     landed_schema,
 )
@@ -22,19 +26,85 @@ def english(df: DataFrame, columns: Iterable[tuple]) -> DataFrame:
     return df.withColumnsRenamed({header: name for header, name, _ in columns})
 
 
-def read_sheet(spark: SparkSession, lake: str, sheet: str, fmt: str = "parquet") -> DataFrame:
-    """One landed sheet with its declared schema; ``_sheet`` and ``_dt`` come from the folders.
+#: Columns found in a day: lower-case key, spelling, kinds of values (bits) and numbers of cells.
+FOUND = "array<struct<key:string,header:string,kinds:int,cells:long>>"
+LANDINGS = f"_sheet string, _dt string, _file string, row_count long, rejected long, columns {FOUND}, _ingest_ts long, _run long"
+
+
+def latest_landings(spark: SparkSession, lake: str) -> DataFrame:
+    """What the latest landing of each sheet and day counted and found."""
+    if not exists(spark, f"{lake}/_landings"):
+        return spark.createDataFrame([], LANDINGS)
+    log = spark.read.schema(LANDINGS).parquet(f"{lake}/_landings").filter(F.col("_file").isNotNull())
+    last = F.max_by(F.struct("_file", "row_count", "rejected", "columns", "_ingest_ts", "_run"), F.struct("_ingest_ts", "_run")).alias("last")
+    return log.groupBy("_sheet", "_dt").agg(last).select("_sheet", "_dt", "last.*")
+
+
+def column_catalogue(spark: SparkSession, lake: str) -> DataFrame:
+    """The columns found in each landed sheet and day: lower-case ``key``, ``header``, ``kinds`` of values (bits) and ``cells``."""
+    return latest_landings(spark, lake).select("_sheet", "_dt", "_file", F.explode("columns").alias("c")).select("_sheet", "_dt", "_file", "c.*")
+
+
+def undeclared_columns(spark: SparkSession, lake: str, sheets: Iterable[str]) -> dict[str, list[tuple[str, str]]]:
+    """(header, type) of the landed columns without a declared type, by sheet: the type holds the values of all days."""
+    sheets = list(sheets)
+    found = column_catalogue(spark, lake).filter(F.col("_sheet").isin(*sheets)).groupBy("_sheet", "key").agg(
+        F.min("header").alias("header"), F.bit_or("kinds").alias("kinds")).orderBy("_sheet", "key").collect()  # a row a column
+    known = {sheet: {header.lower() for header, _, _ in SHEET_COLUMNS.get(sheet, [])} for sheet in sheets}
+    columns: dict[str, list[tuple[str, str]]] = {sheet: [] for sheet in sheets}
+    for row in found:
+        if row["key"] not in known[row["_sheet"]]:
+            columns[row["_sheet"]].append((row["header"], widened(row["kinds"])))
+    return columns
+
+
+def sheet_schema(sheet: str, undeclared: Iterable[tuple[str, str]] = ()) -> T.StructType:
+    """Declared columns under their headers, lineage, then undeclared columns, which land as text."""
+    fields = landed_schema(sheet).fields if sheet in SHEET_COLUMNS else LINEAGE
+    return T.StructType([*fields, *[T.StructField(header, T.StringType()) for header, _ in undeclared]])
+
+
+def named(df: DataFrame, sheet: str, undeclared: Iterable[tuple[str, str]] = ()) -> DataFrame:
+    """A landed sheet under English names; undeclared columns keep their header (one that is an English or
+    lineage name is marked as a cell) and take their type."""
+    undeclared = list(undeclared)
+    if not undeclared:
+        return english(df, SHEET_COLUMNS.get(sheet, ()))
+    new = {header: name for header, name, _ in SHEET_COLUMNS.get(sheet, ())}
+    columns = [f.name for f in sheet_schema(sheet)]
+    taken = {new.get(c, c).lower() for c in columns}
+    own = [F.col(quoted(c)).alias(new.get(c, c)) for c in columns]
+    rest = [F.col(quoted(h)).try_cast(to).alias(f"{h}_cell" if h.lower() in taken else h) for h, to in undeclared]
+    return df.select(*own, *rest)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def read_sheet(spark: SparkSession, lake: str, sheet: str, fmt: str = "parquet",
+               undeclared: Iterable[tuple[str, str]] | None = None) -> DataFrame:
+    """One landed sheet: declared columns, lineage, and whatever else the catalogue knows of it. A day that lacks a column has NULL
+    there; ``_sheet`` and ``_dt`` come from the folders.
 
     JSON-lines folders may be gzip text (one task per file). The Parquet copy
     splits and prunes columns.
     """
-    source = spark.read.schema(landed_schema(sheet)).format(fmt).option("basePath", lake)
-    return english(source.load(f"{lake}/_sheet={sheet}"), SHEET_COLUMNS[sheet])
+    if undeclared is None:
+        undeclared = undeclared_columns(spark, lake, [sheet])[sheet]
+    source = spark.read.schema(sheet_schema(sheet, undeclared)).format(fmt).option("basePath", lake)
+    return named(source.load(f"{lake}/_sheet={sheet}"), sheet, undeclared)
 
 
-def read_flat_sheet(spark: SparkSession, glob: str, sheet: str) -> DataFrame:
-    """JSON-lines files named by glob, with the lineage inside each record."""
-    return english(spark.read.schema(landed_schema(sheet)).json(glob), SHEET_COLUMNS[sheet])
+def read_flat_sheet(spark: SparkSession, glob: str, sheet: str, inferred: bool = False) -> DataFrame:
+    """JSON-lines files named by glob, with the lineage inside each record. ``inferred`` adds the columns
+    without a declared type, of the type that holds their values in all files (a pass over them)."""
+    declared = landed_schema(sheet)
+    if not inferred:
+        return english(spark.read.schema(declared).json(glob), SHEET_COLUMNS[sheet])
+    known = {f.name.lower() for f in declared}
+    extra = [f for f in spark.read.json(glob).schema if f.name.lower() not in known]
+    return english(spark.read.schema(T.StructType([*declared.fields, *extra])).json(glob), SHEET_COLUMNS[sheet])
 
 
 def read_codes(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
@@ -59,7 +129,9 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
 def open_lake(spark: SparkSession, lake: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """The sheets found in the lake, keyed by lower-case sheet name."""
     found = {sheet for (sheet,) in folders(spark, lake, "_sheet")}
-    return {sheet.lower(): read_sheet(spark, lake, sheet, fmt) for sheet in SHEET_COLUMNS if sheet in found}
+    sheets = [sheet for sheet in TARGET_SHEETS if sheet in found]
+    undeclared = undeclared_columns(spark, lake, sheets)
+    return {sheet.lower(): read_sheet(spark, lake, sheet, fmt, undeclared[sheet]) for sheet in sheets}
 
 
 def write_days(df: DataFrame, lake: str, fmt: str = "parquet") -> None:
@@ -76,11 +148,13 @@ def write_days(df: DataFrame, lake: str, fmt: str = "parquet") -> None:
 
 
 def compact(spark: SparkSession, lake: str, sheet: str, target: str) -> DataFrame:
-    """Copy one JSON sheet to Parquet, so later scans split and prune."""
-    source = spark.read.schema(landed_schema(sheet)).option("basePath", lake)
+    """Copy one JSON sheet to Parquet with the record of its days, so later scans split and prune."""
+    source = spark.read.schema(sheet_schema(sheet, undeclared_columns(spark, lake, [sheet])[sheet])).option("basePath", lake)
     rows = source.json(f"{lake}/_sheet={sheet}")
     # each day goes to one task, and a day that holds far more rows than others is split
     write_days(rows.hint("rebalance", F.col("_sheet"), F.col("_dt")), target)
+    if exists(spark, f"{lake}/_landings"):
+        latest_landings(spark, lake).filter(F.col("_sheet") == sheet).coalesce(1).write.mode("append").parquet(f"{target}/_landings")
     return read_sheet(spark, target, sheet)
 
 

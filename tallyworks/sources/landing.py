@@ -7,11 +7,13 @@ The inbox holds the decoded rows by sheet and workbook name::
 Which workbooks to land is decided on folder names and the lake's own record of
 landed days; no content is read for it. Cells are read as they are, whatever their
 headers, and normalised by value; what a declared type cannot hold and lines that cannot
-be read are kept in ``_rejected`` and counted in ``_landings``.
+be read are kept in ``_rejected`` and counted in ``_landings``; the columns found, with the kinds of their
+values, are recorded with the day, from where the readers take undeclared columns.
 """
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Iterable, Sequence
 
@@ -21,8 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyworks.session import scratch_dir
-from tallyworks.sources.lake import with_lineage, write_days
+from tallyworks.session import at_once, scratch_dir
+from tallyworks.sources import kinds
+from tallyworks.sources.lake import FOUND, latest_landings, with_lineage, write_days
 from tallyworks.sources.listing import exists, folder_paths, folders, remove
 from tallyworks.sources.schemas import SHEET_COLUMNS, TARGET_SHEETS, header_schema
 
@@ -31,10 +34,13 @@ FILE_PATTERN = r"^.*?(\d{8})\.xlsx$"
 FILES = "_sheet string, _file string"
 LANDED = "_sheet string, _dt string"
 LANDING_LOG = "_sheet string, _dt string, _file string, row_count long, rejected long, _ingest_ts long"
+COUNTED = ("_file", "row_count", "rejected", "columns", "_ingest_ts", "_run")
 REJECTED = "_file string, header string, content string, _ingest_ts long, _sheet string, _dt string"
 INTERNAL = ("_file", "_sheet", "_dt", "_ingest_ts")
 #: What a failed read or write raises: Spark's own errors, and those of a job that failed.
 FAILURES = (PySparkException, Py4JJavaError)
+#: Sheets land at the same time, but two appends to one folder would share their temporary files.
+RECORDING = threading.Lock()
 
 
 class LandingFailed(RuntimeError):
@@ -160,19 +166,15 @@ def landed_days(spark: SparkSession, lake: str) -> DataFrame:
 
 
 def record_days(days: DataFrame, lake: str) -> None:
-    """Record days (and what was counted) after their rows are committed. A run lost in
+    """Record days (with what was counted and the columns found) after their rows are committed. A run lost in
     between lands the same days again, which replaces them."""
-    counted = [c for c in ("_file", "row_count", "rejected", "_ingest_ts") if c in days.columns]
-    days.select("_sheet", "_dt", *counted).distinct().coalesce(1).write.mode("append").parquet(f"{lake}/_landings")
+    counted = [c for c in COUNTED if c in days.columns]
+    days.select("_sheet", "_dt", *counted).coalesce(1).write.mode("append").parquet(f"{lake}/_landings")
 
 
 def landing_log(spark: SparkSession, lake: str) -> DataFrame:
     """Rows and rejected cells or lines per sheet, day and workbook of the day's latest landing."""
-    if not exists(spark, f"{lake}/_landings"):
-        return spark.createDataFrame([], LANDING_LOG)
-    log = spark.read.schema(LANDING_LOG).parquet(f"{lake}/_landings").filter(F.col("_file").isNotNull())
-    latest = F.max_by(F.struct("_file", "row_count", "rejected", "_ingest_ts"), "_ingest_ts").alias("last")
-    return log.groupBy("_sheet", "_dt").agg(latest).select("_sheet", "_dt", "last.*")
+    return latest_landings(spark, lake).drop("columns", "_run")
 
 
 def rejected_cells(spark: SparkSession, lake: str) -> DataFrame:
@@ -218,103 +220,177 @@ def text_schema(headers: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in dict.fromkeys(clean_headers(headers))])
 
 
+#: Characters that a regular expression's \\s matches, which surround headers and make blank cells.
+BLANKS = " \t\n\x0b\x0c\r"
+
+
+def once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _opened(cell: Column) -> Column:
+    """Header, JSON kind, and the number or else the text of a cell; whole numbers are no fractions in JSON."""
+    fraction = cell["json"].startswith("D") | cell["json"].startswith("F")
+    return F.struct(cell["header"].alias("header"), cell["json"].alias("json"),
+                    F.when(fraction, F.try_variant_get(cell["value"], "$", "double")).alias("number"),
+                    F.when(~fraction, F.try_variant_get(cell["value"], "$", "string")).alias("text"))
+
+
+def _spelled(cell: Column) -> Column:
+    """Header, text and kind (unless it depends on the text): whole numbers lose their fraction, blank text is NULL."""
+    number, text = cell["number"], cell["text"]
+    whole = (number == F.floor(number)) & (F.abs(number) < 9.0e18)
+    plain = F.coalesce(number.cast("string"), F.when(F.ltrim(text, F.lit(BLANKS)) != "", text))
+    kind = F.when(whole, F.lit(kinds.LONG)).when(number.isNotNull(), F.lit(kinds.DOUBLE)).when(cell["json"] == "BIGINT", F.lit(kinds.LONG)).when(
+        cell["json"] == "BOOLEAN", F.lit(kinds.BOOLEAN))
+    return F.struct(cell["header"].alias("header"), F.when(whole, number.cast("bigint").cast("string")).otherwise(plain).alias("text"), kind.alias("kind"))
+
+
 def decoded(spark: SparkSession, paths: Sequence[str], root: str) -> DataFrame:
-    """``_file``, ``line`` and ``cells`` (header, kind, text, number) of workbook folders; cells are null if
-    the line is no JSON object. Headers are cleaned here, blank ones by their position."""
+    """``_file``, ``cells`` and ``line`` of workbook folders: a map of each cell's landed header, text and kind by
+    lower-case header; for a line that is no JSON object, NULL and the line. Headers are cleaned, blank ones take their position, of equal
+    ones the last counts. Each line is parsed once and each of its cells is visited once a step, whatever the number of columns."""
     lines = spark.read.schema("value string, _file string").option("basePath", root).text(list(paths))
-    entries = F.map_entries(F.from_json("value", "map<string,variant>"))
 
-    def cell(entry: Column, place: Column) -> Column:
-        name, value = F.regexp_replace(entry["key"], r"^\s+|\s+$", ""), entry["value"]
-        return F.struct(
-            F.when(name == "", F.concat(F.lit("column_"), place)).otherwise(name).alias("header"),
-            F.schema_of_variant(value).alias("kind"), F.try_variant_get(value, "$", "string").alias("text"),
-            F.try_variant_get(value, "$", "double").alias("number"))
+    def raw(entry: Column, place: Column) -> Column:
+        name = F.btrim(entry["key"], F.lit(BLANKS))
+        return F.struct(F.when(name == "", F.concat(F.lit("column_"), place)).otherwise(name).alias("header"),
+                        F.schema_of_variant(entry["value"]).alias("json"), entry["value"].alias("value"))
 
-    rows = lines.filter(~F.col("value").rlike(r"^\s*$"))
-    return rows.select("_file", F.col("value").alias("line"), F.transform(entries, cell).alias("cells"))
+    def keyed(cell: Column) -> Column:
+        key, header = F.lower(cell["header"]), cell["header"]
+        landed = F.when(key.isin(*INTERNAL), F.concat(header, F.lit("_cell"))).otherwise(header)
+        kind = F.when(cell["text"].isNull(), F.lit(0)).otherwise(F.coalesce(cell["kind"], kinds.of_text(cell["text"])))
+        return F.struct(key.alias("key"), F.struct(landed.alias("header"), cell["text"].alias("text"), kind.alias("kind")).alias("cell"))
 
+    def last_of_each(cells: Column) -> Column:
+        names = F.transform(cells, lambda c: c["key"])
+        later = F.filter(cells, lambda c, i: ~F.array_contains(F.slice(names, i + 2, F.size(cells)), c["key"]))
+        return F.map_from_entries(F.when(F.size(F.array_distinct(names)) == F.size(names), cells).otherwise(later))
 
-def found_headers(rows: DataFrame, declared: Iterable[str]) -> dict[str, str]:
-    """Headers by their lower-case form: declared ones first, then others as found. As many as a sheet has columns."""
-    names = rows.select(F.explode(F.transform("cells", lambda c: c["header"])).alias("h")).distinct().orderBy("h").collect()
-    headers: dict[str, str] = {}
-    for name in [*declared, *[r.h for r in names]]:
-        headers.setdefault(name.lower(), name)
-    return headers
+    entries = F.map_entries(F.from_json("value", "map<string,variant>"))
+    for step in (raw, _opened, _spelled, keyed):
+        entries = F.transform(entries, step)
+    cells = once(entries, last_of_each)
+    rows = lines.filter(F.ltrim("value", F.lit(BLANKS)) != "").select("_file", "value", cells.alias("cells"))
+    return rows.select("_file", "cells", F.when(F.col("cells").isNull(), F.col("value")).alias("line"))
 
 
-def cell_value(header: str, kind: T.DataType) -> Column:
-    """The last cell under a header as text: blank text is NULL, whole numbers have no fraction, and declared
-    days and stamps take their ISO form. Text that is none of its declared kind stays as it is."""
-    mine = F.filter("cells", lambda c: F.lower(c["header"]) == header.lower())
-    cell = F.get(mine, F.size(mine) - 1)
-    number = cell["number"]
-    whole = (number == F.floor(number)) & (F.abs(number) < 9.0e18)
-    spelled = F.when(whole, number.try_cast("bigint").cast("string")).otherwise(number.cast("string"))
-    text = F.when(cell["kind"].rlike("^(?:DECIMAL|DOUBLE|FLOAT)"), spelled).otherwise(cell["text"])
-    text = F.when(~text.rlike(r"^\s*$"), text)
+def staged(spark: SparkSession, inbox: str, sheet: str, paths: Sequence[str], pattern: str) -> DataFrame:
+    """The decoded rows of some workbooks as a written table, so that no line is parsed again; blank rows are left out on reading."""
+    rows = select_files(decoded(spark, paths, f"{inbox}/_sheet={sheet}"), pattern)
+    path = scratch_dir(spark, f"staged-{sheet}")
+    rows.write.parquet(path)
+    table = spark.read.schema(rows.schema).parquet(path)
+    return table.filter(F.col("cells").isNull() | F.exists(F.map_values("cells"), lambda c: c["text"].isNotNull()))
+
+
+def cell_text(key: str, kind: T.DataType) -> Column:
+    """The text of a staged cell; declared days and stamps take their ISO form. Text that is none of its declared kind stays as it is."""
+    text = F.try_element_at("cells", F.lit(key))["text"]
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        stamp = text.try_cast("timestamp_ntz")
-        shown = stamp.cast("string")
-        iso = F.concat(F.replace(F.substring(shown, 1, 19), F.lit(" "), F.lit("T")), F.lit("."),
-                       F.rpad(F.substring(shown, 21, 6), 6, "0"))
-        day = stamp.cast("date")
-        return F.coalesce(F.when(day.cast("timestamp_ntz") == stamp, day.cast("string")).otherwise(iso), text)
+        return once(text, lambda own: F.coalesce(once(own.try_cast("timestamp_ntz"), _iso), own))
     return text
 
 
-def staged(spark: SparkSession, inbox: str, sheet: str, paths: Sequence[str], pattern: str, stamp: int,
-           cells: T.StructType, types: T.StructType | None) -> DataFrame:
-    """The sheet's rows of some workbooks as a written table: every column, lineage, ``_bad`` (rejected cells)."""
-    rows = select_files(decoded(spark, paths, f"{inbox}/_sheet={sheet}"), pattern)
-    kinds = {f.name.lower(): f.dataType for f in cells}
-    typed = {f.name.lower(): f.dataType for f in types} if types is not None else {}
-    headers = found_headers(rows, [f.name for f in cells])
-    values, bad = [], []
-    names = {key: f"{name}_cell" if key in INTERNAL else name for key, name in headers.items()}
-    texts = rows.select("*", *[cell_value(name, kinds.get(key, T.StringType())).alias(f"c{i}")
-                               for i, (key, name) in enumerate(headers.items())])
-    for i, (key, name) in enumerate(names.items()):
-        text = F.col(f"c{i}")
-        value = text.try_cast(typed[key]) if key in typed else text
-        values.append(value.alias(name))
-        if key in typed:
-            bad.append(F.when(text.isNotNull() & value.isNull(), F.struct(F.lit(headers[key]).alias("header"), text.alias("content"))))
+def _iso(stamp: Column) -> Column:
+    shown, day = stamp.cast("string"), stamp.cast("date")
+    full = F.concat(F.replace(F.substring(shown, 1, 19), F.lit(" "), F.lit("T")), F.lit("."), F.rpad(F.substring(shown, 21, 6), 6, "0"))
+    return F.when(day.cast("timestamp_ntz") == stamp, day.cast("string")).otherwise(full)
+
+
+def typed_cells(cells: T.StructType, types: T.StructType | None) -> dict[str, tuple[str, T.DataType, T.DataType]]:
+    """Header, decoded kind and landed type (text unless declared) of the known columns, by lower-case header."""
+    known = {f.name.lower(): (f.name, f.dataType, T.StringType()) for f in cells}
+    for f in types or []:
+        name, kind, _ = known.get(f.name.lower(), (f.name, T.StringType(), None))
+        known[f.name.lower()] = (name, kind, f.dataType)
+    return known
+
+
+def _checked(typed: dict) -> list[tuple]:
+    """Key, header, decoded kind and type of the columns whose type does not hold every text."""
+    return [(key, *of) for key, of in typed.items() if not isinstance(of[2], T.StringType)]
+
+
+def _misfit(to: T.DataType):
+    """Whether a text is none of a type."""
+    return lambda text: text.isNotNull() & text.try_cast(to).isNull()
+
+
+def counted(rows: DataFrame, typed: dict) -> DataFrame:
+    """Per workbook and day: rows, rejected cells and lines, and the columns found with spelling, kinds and numbers of cells.
+
+    One aggregate over the staged rows, in which a row counts beside its cells under no header; the kinds of a column combine as bits."""
+    wrong = sum((once(cell_text(key, kind), _misfit(to)).cast("int") for key, _, kind, to in _checked(typed)), F.lit(0))
+    unread = F.col("cells").isNull()
+    row = F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("header"), F.lit(0).alias("kind"),
+                   (~unread).cast("int").alias("n"), F.when(unread, F.lit(1)).otherwise(wrong).alias("rejected"))
+    columns = F.transform(F.map_entries("cells"), lambda e: F.struct(
+        e["key"].alias("key"), e["value"]["header"].alias("header"), e["value"]["kind"].alias("kind"), F.lit(1).alias("n"), F.lit(0).alias("rejected")))
+    empty = F.array().cast("array<struct<key:string,header:string,kind:int,n:int,rejected:int>>")
+    each = rows.select("_file", "_dt", F.explode(F.concat(F.array(row), F.coalesce(columns, empty))).alias("c"))
+    cells = each.groupBy("_file", "_dt", "c.key").agg(
+        F.min("c.header").alias("header"), F.bit_or("c.kind").alias("kinds"), F.sum("c.n").alias("n"), F.sum("c.rejected").alias("rejected"))
+    own = F.col("key").isNull()
+    found = F.when(~own, F.struct("key", "header", "kinds", F.col("n").alias("cells")))
+    return cells.groupBy("_file", "_dt").agg(F.max(F.when(own, F.col("n"))).alias("row_count"), F.max(F.when(own, F.col("rejected"))).alias("rejected"),
+                                             F.sort_array(F.collect_list(found)).alias("columns"))
+
+
+def landed_rows(rows: DataFrame, headers: dict[str, str], typed: dict, sheet: str, stamp: int) -> DataFrame:
+    """Staged rows under their headers (by lower-case header), typed where declared, with lineage."""
+    values = []
+    for key, header in headers.items():
+        _, kind, to = typed.get(key, (header, T.StringType(), T.StringType()))
+        values.append(cell_text(key, kind).try_cast(to).alias(header))
+    return with_lineage(rows.filter("cells IS NOT NULL").select(*values, "_file", "_dt"), F.col("_file"), sheet, F.col("_dt"), stamp)
+
+
+def rejected_of(rows: DataFrame, typed: dict) -> DataFrame:
+    """Workbook, day, header and content of cells that their declared type cannot hold, and unreadable lines without a header."""
+    def misfit(key: str, name: str, kind: T.DataType, to: T.DataType) -> Column:
+        return once(cell_text(key, kind), lambda own: F.when(_misfit(to)(own), F.struct(F.lit(name).alias("header"), own.alias("content"))))
+
+    wrong = [misfit(*of) for of in _checked(typed)]
     line = F.struct(F.lit(None).cast("string").alias("header"), F.col("line").alias("content"))
-    broken = F.when(F.col("cells").isNull(), F.array(line)).otherwise(F.array_compact(F.array(*bad)) if bad else F.array().cast(
+    bad = F.when(F.col("cells").isNull(), F.array(line)).otherwise(F.array_compact(F.array(*wrong)) if wrong else F.array().cast(
         "array<struct<header:string,content:string>>"))
-    present = F.array_compact(F.array(*[F.col(f"c{i}") for i in range(len(headers))])) if headers else F.array()
-    body = texts.filter((F.size(present) > 0) | F.col("cells").isNull()).select(
-        *values, broken.alias("_bad"), F.col("cells").isNull().alias("_unread"), "_file", "_dt")
-    ready = with_lineage(body, F.col("_file"), sheet, F.col("_dt"), stamp)
-    path = scratch_dir(spark, f"staged-{sheet}")
-    ready.write.parquet(path)
-    return spark.read.schema(ready.schema).parquet(path)
+    return rows.select("_file", "_dt", F.explode(bad).alias("b")).select("_file", "b.header", "b.content", "_dt")
 
 
-def land_workbooks(spark: SparkSession, inbox: str, lake: str, sheet: str, chosen: list[tuple[str, str]], fmt: str,
-                   **reading) -> None:
-    """Land the (workbook, day) pairs of one sheet: rows, rejected cells, then the record of their days.
+def land_workbooks(spark: SparkSession, inbox: str, lake: str, sheet: str, chosen: list[tuple[str, str]], fmt: str, *,
+                   pattern: str, stamp: int, cells: T.StructType, types: T.StructType | None) -> None:
+    """Land the (workbook, day) pairs of one sheet: rows, rejected cells, then the record of their days and columns.
 
     The days are replaced as a whole: one that has no rows any more is removed.
     """
     paths = folder_paths(spark, f"{inbox}/_sheet={sheet}", "_file")
-    rows = staged(spark, inbox, sheet, [paths[file] for file, _ in chosen], **reading)
-    kept = rows.filter("NOT _unread")
-    write_days(kept.drop("_bad", "_unread"), lake, fmt)
-    bad = rows.select("_file", F.explode("_bad").alias("b"), "_ingest_ts", "_sheet", "_dt")
-    write_days(bad.select("_file", "b.header", "b.content", "_ingest_ts", "_sheet", "_dt"), f"{lake}/_rejected")
-    counts = rows.groupBy("_file", "_dt").agg(F.count_if(~F.col("_unread")).alias("row_count"), F.sum(F.size("_bad")).alias("rejected"))
+    rows = staged(spark, inbox, sheet, [paths[file] for file, _ in chosen], pattern)
+    typed = typed_cells(cells, types)
+    path = scratch_dir(spark, f"counted-{sheet}")
+    counted(rows, typed).write.parquet(path)
+    counts = spark.read.schema(f"_file string, _dt string, row_count long, rejected long, columns {FOUND}").parquet(path)
+    found = counts.select(F.explode("columns").alias("c")).groupBy("c.key").agg(F.min("c.header").alias("header")).orderBy("header").collect()
+    headers = {key: name for key, (name, _, _) in typed.items()}  # declared ones first
+    headers |= {row["key"]: row["header"] for row in found if row["key"] not in headers}  # as many as the sheet has columns
     wanted = spark.createDataFrame([(sheet, *pair) for pair in chosen], f"{FILES}, _dt string")
-    days = wanted.join(counts, ["_file", "_dt"], "left").select(
-        "_sheet", "_dt", "_file", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("row_count", "rejected")],
-        F.lit(reading["stamp"]).cast("long").alias("_ingest_ts")).collect()  # one row per workbook of this run
-    for day in days:
-        for n, root in ((day.row_count, lake), (day.rejected, f"{lake}/_rejected")):
-            if not n:
-                remove(spark, f"{root}/_sheet={sheet}/_dt={day._dt}")
-    record_days(spark.createDataFrame(days, LANDING_LOG), lake)
+    days = wanted.join(counts, ["_file", "_dt"], "left").withColumns({
+        **{c: F.coalesce(c, F.lit(0)).cast("long") for c in ("row_count", "rejected")},
+        "_ingest_ts": F.lit(stamp).cast("long"), "_run": F.lit(time.time_ns())})
+    write_days(landed_rows(rows, headers, typed, sheet, stamp), lake, fmt)
+    empty = days.filter("row_count = 0 OR rejected = 0").select("_dt", "row_count", "rejected").collect()  # at most a row a workbook
+    if len([d for d in empty if d.rejected == 0]) < len(chosen):
+        write_days(with_lineage(rejected_of(rows, typed), F.col("_file"), sheet, F.col("_dt"), stamp), f"{lake}/_rejected")
+    earlier = exists(spark, f"{lake}/_rejected/_sheet={sheet}")
+    for day in empty:
+        if not day.row_count:
+            remove(spark, f"{lake}/_sheet={sheet}/_dt={day._dt}")
+        if not day.rejected and earlier:
+            remove(spark, f"{lake}/_rejected/_sheet={sheet}/_dt={day._dt}")
+    with RECORDING:
+        record_days(days, lake)
 
 
 def land_contained(spark: SparkSession, inbox: str, lake: str, sheet: str, chosen: list[tuple[str, str]], fmt: str,
@@ -338,7 +414,7 @@ def land(spark: SparkSession, inbox: str, lake: str, schemas: dict[str, T.Struct
     """Land the sheets of ``schemas`` (by default all target sheets); returns the outcome per file.
 
     Every column found is landed: as its declared type in ``types``, else as text. Incremental mode
-    skips days a sheet already has; ``force`` rewrites them. A sheet that fails is landed workbook by workbook, so
+    skips days a sheet already has; ``force`` rewrites them. Sheets are landed at the same time. A sheet that fails is landed workbook by workbook, so
     that one damaged file keeps no other from landing; the run then ends as failed. ``landing_log`` has the counts.
     """
     if schemas is None:
@@ -350,13 +426,16 @@ def land(spark: SparkSession, inbox: str, lake: str, schemas: dict[str, T.Struct
     marked = marked.select("_sheet", "_file", "_dt", "todo")
     # one row per workbook and sheet, as many as folders were listed; taken before the
     # writes below change what counts as landed
-    decided, failures = marked.collect(), []
-    for sheet in [name for name in TARGET_SHEETS if name in schemas]:
-        chosen = [(row["_file"], row["_dt"]) for row in decided if row["_sheet"] == sheet and row["todo"]]
-        if not chosen:
-            continue
+    decided = marked.collect()
+    todo = {sheet: [(row["_file"], row["_dt"]) for row in decided if row["_sheet"] == sheet and row["todo"]]
+            for sheet in TARGET_SHEETS if sheet in schemas}
+
+    def land_sheet(sheet: str) -> list[str]:
         reading = {"pattern": pattern, "stamp": stamp, "cells": schemas[sheet], "types": (types or {}).get(sheet)}
-        failures += land_contained(spark, inbox, lake, sheet, chosen, fmt, **reading)
+        return land_contained(spark, inbox, lake, sheet, todo[sheet], fmt, **reading)
+
+    sheets = [sheet for sheet, chosen in todo.items() if chosen]
+    failures = [failure for of_sheet in at_once(spark, land_sheet, sheets) for failure in of_sheet]
     if failures:
         raise LandingFailed(failures)
     return file_outcomes(spark.createDataFrame(decided, marked.schema))

@@ -241,6 +241,47 @@ def test_nothing_is_lost_on_landing(spark, tmp_path):
     assert spark.read.parquet(f"{target}/_sheet=BT_CNT").collect()[0].N == "2"
 
 
+def test_undeclared_columns_are_read(spark, tmp_path):
+    """Columns and sheets without declared types open with the type that holds all their values."""
+    inbox, target = tmp_path / "inbox", str(tmp_path / "lake")
+    put(inbox, "RT_PR_HH24", "daily-20260402.xlsx", {**hour("G61", "0401 09", 0.5, 4.0), "EXTRA": 7.0, "cnt ": 5.0, "tx_cnt": "own", "_dt": "x"})
+    put(inbox, "RT_PR_HH24", "daily-20260403.xlsx", {**hour("P94", "0402 09", 0.5, 4.0), "extra": "seven"})
+    put(inbox, "ERR_LOG", "daily-20260402.xlsx", {"TEXT": "boom", "AT": "2026-04-02", "N": 1.0, "OK": True, "NONE": None},
+        {"TEXT": "bang", "AT": "2026-04-02T10:00:00", "N": 1.5, "OK": False, "DEEP": {"a": 1}})
+    landing.land(spark, str(inbox), target, ingest_ts=1)
+    put(inbox, "ERR_LOG", "daily-20260403.xlsx", {"TEXT": "late", "N": 2.0, "MORE": 12345678901.0})
+    landing.land(spark, str(inbox), target, ingest_ts=2)
+    ws = Workspace.open(spark, target)
+    hours = ws.get("rt_pr_hh24")
+    assert [(r.pr_id, r.cnt, r.EXTRA, r.tx_cnt, r._dt, r._dt_cell) for r in hours.orderBy("pr_id").collect()] == [
+        ("G61", 5, "7", "own", "20260402", "x"), ("P94", 4, "seven", None, "20260403", None)]
+    assert ws.get("rt_pr_hh24_clean").filter("tx_cnt = 5").count() == 1  # extra columns don't disturb the datasets
+    log = ws.get("err_log")
+    assert {f.name: f.dataType.simpleString() for f in log.schema if not f.name.startswith("_")} == {
+        "TEXT": "string", "AT": "timestamp_ntz", "N": "double", "OK": "boolean", "NONE": "string", "DEEP": "string", "MORE": "bigint"}
+    rows = {r.TEXT: (r.AT, r.N, r.OK, r.DEEP, r.MORE) for r in log.collect()}
+    assert rows == {"boom": (dt.datetime(2026, 4, 2), 1.0, True, None, None), "bang": (dt.datetime(2026, 4, 2, 10), 1.5, False, '{"a":1}', None),
+                    "late": (None, 2.0, None, None, 12345678901)}
+    # a day landed again forgets the columns it had before
+    part = inbox / "_sheet=ERR_LOG" / "_file=daily-20260403.xlsx" / "part-0.json"
+    part.write_text(json.dumps({"TEXT": "late", "N": "many"}), encoding="utf-8")
+    landing.land(spark, str(inbox), target, date="20260403", force=True, ingest_ts=2)
+    log = Workspace.open(spark, target).get("err_log")
+    assert "MORE" not in log.columns and dict(log.dtypes)["N"] == "string"
+
+
+def test_a_line_is_parsed_once(spark, inbox):
+    """One parse of each line, and the columns come from the staged cells without evaluating a cell's expression twice."""
+    root = f"{inbox}/_sheet=RT_PR_HH24"
+    plan = landing.decoded(spark, [f"{root}/_file=daily-20260402.xlsx"], root)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("try_variant_get(") == 2
+    rows = landing.staged(spark, str(inbox), "RT_PR_HH24", [f"{root}/_file=daily-20260402.xlsx"], landing.FILE_PATTERN)
+    typed = landing.typed_cells(landing.cell_schema("RT_PR_HH24"), lake.header_schema(landing.SHEET_COLUMNS["RT_PR_HH24"]))
+    headers = {name.lower(): name for name, _, _ in landing.SHEET_COLUMNS["RT_PR_HH24"]}
+    plan = landing.landed_rows(rows, headers, typed, "RT_PR_HH24", 1)._jdf.queryExecution().executedPlan().toString()
+    assert "from_json(" not in plan and all(plan.count(f", {key},") == 1 or plan.count(f"[{key}]") == 1 for key in headers)
+
+
 def test_force_clears_an_emptied_day(spark, inbox, tmp_path):
     target = str(tmp_path / "lake")
     landing.land(spark, str(inbox), target, ingest_ts=1)
