@@ -4,6 +4,8 @@ For the key-dated sheets the year repair guarantees ``tx_dt <= file date < tx_dt
 + 1 year``, so a wanted date range bounds the ``_dt`` partitions that can hold
 any version of its rows. Catalyst cannot see that through the date
 arithmetic; ``key_dated`` adds the partition predicate itself.
+
+``all_versions`` leaves the reduction out; the tables kept by ``incremental`` do it themselves.
 """
 
 from __future__ import annotations
@@ -60,7 +62,7 @@ def _day_columns(df: DataFrame) -> DataFrame:
     })
 
 
-def rt_cnt_clean(sheet: DataFrame) -> DataFrame:
+def rt_cnt_clean(sheet: DataFrame, all_versions: bool = False) -> DataFrame:
     """Day counts per code. The date comes from the first transaction's time when
     it parses, else from the key, so file dates cannot be pruned here."""
     dated = key_dated(sheet, "caldy").withColumnRenamed("tx_dt", "_key_dt")
@@ -69,7 +71,7 @@ def rt_cnt_clean(sheet: DataFrame) -> DataFrame:
         "tx_ts_last": calendar.iso_stamp(F.col("last_tx_raw")),
     })
     dated = dated.withColumn("tx_dt", F.coalesce(F.col("tx_ts_first").cast("date"), F.col("_key_dt")))
-    newest = keep_latest(dated, ["tx_dt", "pr_id"], ["total_cnt", "ok_cnt", "fail_cnt", "timeout_cnt"])
+    newest = dated if all_versions else keep_latest(dated, ["tx_dt", "pr_id"], ["total_cnt", "ok_cnt", "fail_cnt", "timeout_cnt"])
     return _day_columns(newest).select(
         "caldy", "pr_id", "total_cnt", "ok_cnt", "fail_cnt", "rev_ok_cnt", "timeout_cnt",
         "other_err_cnt", "file_dt", "file_dt_str", "tx_ts_first", "tx_ts_last", "first_tx_raw",
@@ -77,14 +79,14 @@ def rt_cnt_clean(sheet: DataFrame) -> DataFrame:
         (F.col("caldy") == calendar.month_day_text(F.col("tx_dt"))).alias("caldy_match_txdt"), *LINEAGE)
 
 
-def rt_tmspt_clean(sheet: DataFrame, from_date=None, to_date=None, pad_codes: bool = False) -> DataFrame:
+def rt_tmspt_clean(sheet: DataFrame, from_date=None, to_date=None, pad_codes: bool = False, all_versions: bool = False) -> DataFrame:
     """Mean time per code and day; rows without a date drop.
 
     The source's code pattern never matches an ordinary code, so ``pr_id_norm``
     repeats the code. ``pad_codes`` gives what the pattern was meant to do.
     """
     dated = key_dated(sheet, "caldy", from_date, to_date).filter(F.col("tx_dt").isNotNull())
-    newest = keep_latest(dated, ["tx_dt", "pr_id"], ["avg_tm"])
+    newest = dated if all_versions else keep_latest(dated, ["tx_dt", "pr_id"], ["avg_tm"])
     code = F.col("pr_id")
     return _day_columns(newest).select(
         "pr_id", (text.padded_code(code) if pad_codes else code).alias("pr_id_norm"), "caldy",
@@ -106,12 +108,12 @@ HOURLY = ["caltm", "avg_tm_sec", "avg_tm_ms", "tx_cnt", "file_dt", "file_dt_str"
           "tx_year", "tx_month", "tx_day", "tx_yyyymm", "tx_hour", "tx_hour_ts", "tx_hour_ts_str"]
 
 
-def rt_pr_hh24_clean(sheet: DataFrame, from_date=None, to_date=None) -> DataFrame:
+def rt_pr_hh24_clean(sheet: DataFrame, from_date=None, to_date=None, all_versions: bool = False) -> DataFrame:
     """Hourly counts and mean times per code, one row per date, hour and code."""
     dated = key_dated(sheet, "caltm", from_date, to_date).withColumns({
         "pr_id": F.trim("pr_id"), "tx_hour": calendar.key_part(F.col("caltm"), 6)})
     # date and code first: the rows come out sorted for the day frame's aggregate
-    newest = keep_latest(dated, ["tx_dt", "pr_id", "tx_hour"], ["cnt", "avg_tm"])
+    newest = dated if all_versions else keep_latest(dated, ["tx_dt", "pr_id", "tx_hour"], ["cnt", "avg_tm"])
     return _hour_columns(newest).select("pr_id", *HOURLY, *LINEAGE)
 
 
@@ -148,7 +150,7 @@ def log_days(sheet: DataFrame) -> DataFrame:
                                                               F.max(date).alias("last"))
 
 
-def monitor_log(sheet: DataFrame, prefixes: Sequence[str] = CONTENT_PREFIXES) -> DataFrame:
+def monitor_log(sheet: DataFrame, prefixes: Sequence[str] = CONTENT_PREFIXES, all_versions: bool = False) -> DataFrame:
     """Metrics out of the monitor text, one row per kind, host, port and time.
 
     Metrics are cut out before the shuffle: a few narrow decimals then travel in
@@ -178,8 +180,8 @@ def monitor_log(sheet: DataFrame, prefixes: Sequence[str] = CONTENT_PREFIXES) ->
         "_content_hash": F.xxhash64("mon_content"),
     })
     # time first: it tells most rows apart, so the sorts seldom compare text
-    newest = keep_latest(parsed, ["log_createtime", "target_ip", "target_port", "monitor_kind"],
-                         ["_content_hash"])
+    newest = parsed if all_versions else keep_latest(parsed, ["log_createtime", "target_ip", "target_port", "monitor_kind"],
+                                                     ["_content_hash"])
     return newest.select(
         "monitor_kind", "target_ip", "target_port", "log_createtime", *SERVER_METRICS, *JVM_METRICS,
         "db_conn_status", F.col("mon_content").alias("log_content"), F.col("_file").alias("source_file"),

@@ -31,6 +31,8 @@ class Workspace:
                  excluded_codes: Sequence[str] = EXCLUDED_CODES):
         self.spark = spark
         self.frames = dict(frames)
+        #: Written tables with their ``_month``, for datasets that are kept by month.
+        self.by_month: dict[str, DataFrame] = {}
         self.prefixes = prefixes
         self.excluded_codes = excluded_codes
 
@@ -69,8 +71,11 @@ class Workspace:
             return self.hourly(first, last)
         if name in ("rt_tmspt_clean", "rt_node_hh24_clean"):
             sheet = name.removesuffix("_clean")
+            if name in self.by_month:
+                return self._months(name, first, last)
             return getattr(clean, name)(self.get(sheet), first, last) if name not in self.frames else clean.within(self.get(name), first, last)
-        counts = clean.within(self.get("rt_cnt_clean"), first, last)
+        kept = "rt_cnt_clean" in self.by_month
+        counts = self._months("rt_cnt_clean", first, last) if kept else clean.within(self.get("rt_cnt_clean"), first, last)
         if name == "rt_cnt_clean":
             return counts
         if name == "rt_cnt_daily_with_tmspt":
@@ -108,7 +113,9 @@ class Workspace:
 
     def _months(self, name: str, from_date=None, to_date=None) -> DataFrame:
         frame = self.frames[name]
-        if from_date and to_date:
+        if name in self.by_month and from_date and to_date:
+            frame = self.by_month[name].filter(F.col("_month").between(str(from_date)[:7], str(to_date)[:7])).drop("_month")
+        elif from_date and to_date:
             # written tables are partitioned by month text
             frame = frame.filter(F.col("tx_yyyymm").between(str(from_date)[:7], str(to_date)[:7]))
         return clean.within(frame, from_date, to_date)

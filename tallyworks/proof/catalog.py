@@ -20,6 +20,7 @@ from tallyworks.operators.peaks import earlier, peak, peak_present
 from tallyworks.operators.pivots import spread
 from tallyworks.operators.trailing import trailing_days
 from tallyworks.plans import batch, clean, exports, monitor, reports, rollups, stats
+from tallyworks.plans.incremental import Store
 from tallyworks.plans.params import run_query
 from tallyworks.plans.workspace import Workspace
 from tallyworks.proof import oracle, proxies
@@ -339,6 +340,53 @@ def _inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 add("s1_inferred_columns", _inferred,
     """SELECT *, total_cnt * 2 AS "TWICE", CASE WHEN ok_cnt % 2 = 0 THEN pr_id END AS "NOTE" FROM rt_cnt""")
 
+
+# ---------------------------------------------------------------- kept datasets
+
+
+def _kept(spark: SparkSession, rows: DataFrame, sheet: str, followers: tuple = ()) -> Store:
+    """A sheet landed in two runs, the landed days of the second restating days of the first; the kept tables follow both."""
+    path = scratch_dir(spark, "kept")
+    store = Store(spark, f"{path}/lake", f"{path}/store", prefixes=proxies.PREFIXES, excluded_codes=proxies.EXCLUDED)
+    for run in (1, 2):
+        own = with_headers(rows.filter((C("_dt").cast("int") % 10 < 5) == F.lit(run == 1)), SHEET_COLUMNS[sheet], LINEAGE)
+        days = own.groupBy("_sheet", "_dt").agg(F.count("*").alias("row_count"), F.min("_file").alias("_file"))
+        lake.write_days(own.hint("rebalance", C("_dt")), store.lake)
+        landing.record_days(days.withColumn("_run", F.lit(run).cast("long")), store.lake)
+        store.refresh(followers=followers)
+    return store
+
+
+add("w3_incremental_log", lambda spark, sf_dir: _kept(spark, proxies.workspace(spark, sf_dir).get("mon_log"), "MON_LOG").get("monitor_log"),
+    "SELECT * FROM v11")
+
+
+def _followed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month rollup of daily event counts; every third day is restated a day later, by a workbook of another run."""
+    day = C("ts").cast("date")
+    counts = proxies.table(spark, sf_dir, "events").groupBy(day.alias("day"), C("event_type").alias("pr_id")).agg(F.count("*").alias("n"))
+    versions = F.when(F.dayofmonth("day") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = counts.withColumn("v", F.explode(versions)).withColumn("_dt", F.date_format(F.date_add("day", C("v") + 1), "yyyyMMdd"))
+    none, n = F.lit(None).cast("string"), C("n") + C("v")
+    rows = rows.select(calendar.month_day_text(C("day")).alias("caldy"), "pr_id", n.alias("total_cnt"), n.alias("ok_cnt"),
+                       *[F.lit(0).cast("long").alias(c) for c in ("fail_cnt", "rev_ok_cnt", "timeout_cnt", "other_err_cnt")],
+                       none.alias("first_tx_raw"), none.alias("last_tx_raw"), F.concat(F.lit("F"), "_dt").alias("_file"),
+                       F.lit("RT_CNT").alias("_sheet"), "_dt", F.lit(0).cast("long").alias("_ingest_ts"))
+    kept = _kept(spark, rows, "RT_CNT", ("rt_cnt_monthly", "rt_cnt_weekly"))
+    months = kept.get("rt_cnt_monthly").select(C("ym").alias("period"), "pr_id", "data_days", "total_cnt", "peak_day_cnt", "peak_day")
+    weeks = kept.get("rt_cnt_weekly").select(C("week_start").cast("string").alias("period"), "pr_id", "data_days", "total_cnt", "peak_day_cnt", "peak_day")
+    return months.unionAll(weeks.groupBy("period", "pr_id").agg(F.sum("data_days").alias("data_days"), F.sum("total_cnt").alias("total_cnt"),
+                                                               F.max("peak_day_cnt").alias("peak_day_cnt"), F.max_by("peak_day", F.struct("peak_day_cnt", earlier(C("peak_day")))).alias("peak_day")))
+
+
+add("v8_rollups_after_restatement", _followed, """
+SELECT period, pr_id, count(*) AS data_days, CAST(sum(n) AS BIGINT) AS total_cnt, max(n) AS peak_day_cnt, min(d) FILTER (WHERE n = top) AS peak_day
+FROM (SELECT *, max(n) OVER (PARTITION BY period, pr_id) AS top FROM (
+  SELECT unnest([strftime(d, '%Y-%m'), strftime(date_trunc('week', d), '%Y-%m-%d')]) AS period, d, pr_id, n
+  FROM (SELECT CAST(ts AS DATE) AS d, event_type AS pr_id, count(*) + CASE WHEN day(CAST(ts AS DATE)) % 3 = 0 THEN 1 ELSE 0 END AS n
+        FROM events GROUP BY 1, 2)))
+GROUP BY period, pr_id""")
+
 # ---------------------------------------------------------------- projections
 
 
