@@ -105,6 +105,28 @@ def recent_samples(ws: Workspace, kind: str, index: list[Row], days: int) -> Dat
     return found if true_last == last else samples(ws.log_of(kind, index, true_last - window))
 
 
+def recent_rollup(ws: Workspace, dataset: str, kind: str) -> DataFrame:
+    """The newest days of a rollup. The bound of a monitor rollup is known from the log's day index before it is planned, so that only the
+    landed days that matter are read, once; other datasets are bounded by their own last date."""
+    if dataset not in VIEW_NAMES.values() or dataset in ws.frames or "monitor_log" in ws.frames:
+        return recent_rows(ws.get(dataset), kind)
+    if kind.lower() not in WINDOW_DAYS:
+        raise ValueError(f"unsupported export kind: {kind}")
+    hourly, days = "hourly" in dataset, WINDOW_DAYS[kind.lower()]
+    registry = ws.get("registry_info")
+    if "jvm" in dataset:
+        states = monitor.jvm_states(recent_samples(ws, "JVM", ws.log_index(), days), hourly)
+        return (monitor.finish_jvm_hours if hourly else monitor.finish_jvm_days)(states, registry)
+    return monitor.finish_hosts(monitor.host_states(recent_samples(ws, "SERVER", ws.log_index(), days), hourly), registry)
+
+
+def export(ws: Workspace, dataset: str, kind: str, rows: int | None = MAX_ROWS) -> DataFrame:
+    """One extract by itself, in delivered order."""
+    recent = recent_rollup(ws, dataset, kind)
+    ordered = recent.orderBy(*export_order(recent, kind.lower()))
+    return ordered if rows is None else ordered.limit(rows)
+
+
 def write_rollups(ws: Workspace, path: str) -> dict[str, DataFrame]:
     """The four rollups over the days the extracts show, from hour states written once.
 

@@ -118,7 +118,7 @@ class Store:
         own = {n: self.table(n).drop("_month") for n in names}
         ws = Workspace(self.spark, {**open_lake(self.spark, self.lake, self.fmt), **own, **frames},
                        prefixes=self.prefixes, excluded_codes=self.excluded_codes)
-        ws.by_month = {n: self.table(n) for n in names}
+        ws.by_month, ws.lake = {n: self.table(n) for n in names}, self.lake
         return ws
 
     # ---------------------------------------------------------------- latest versions

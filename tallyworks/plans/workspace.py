@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.plans import clean, monitor, rollups, stats
-from tallyworks.sources.lake import open_lake, read_codes, read_delimited, read_registry
+from tallyworks.sources.lake import log_spans, open_lake, read_codes, read_delimited, read_registry
+from tallyworks.sources.listing import folders
 from tallyworks.sources.schemas import CONTENT_PREFIXES, EXCLUDED_CODES
 
 DATASETS = (
@@ -31,6 +32,8 @@ class Workspace:
                  excluded_codes: Sequence[str] = EXCLUDED_CODES):
         self.spark = spark
         self.frames = dict(frames)
+        #: The lake that the sheets are read from, if they are.
+        self.lake: str | None = None
         #: Written tables with their ``_month``, for datasets that are kept by month.
         self.by_month: dict[str, DataFrame] = {}
         self.prefixes = prefixes
@@ -46,7 +49,9 @@ class Workspace:
             frames["registry"] = read_registry(spark, registry)
         if cfg_codes:
             frames["cfg_codes"] = read_delimited(spark, cfg_codes)
-        return cls(spark, frames, **options)
+        ws = cls(spark, frames, **options)
+        ws.lake = lake
+        return ws
 
     def has(self, name: str) -> bool:
         return name in self.frames
@@ -121,8 +126,18 @@ class Workspace:
         return clean.within(frame, from_date, to_date)
 
     def log_index(self) -> list[Row]:
-        """Date ranges of the landed log days: one row per landed day and kind."""
-        return clean.log_days(self.get("mon_log")).collect()
+        """Date ranges of the landed log days: one row per landed day and kind.
+
+        They are recorded with each landing; only days that lack the record (and sheets that are not read from a lake) are looked through.
+        """
+        log = self.get("mon_log")
+        if self.lake is None:
+            return clean.log_days(log).collect()
+        recorded = log_spans(self.spark, self.lake).collect()  # one row per landed day
+        found = [Row(_dt=day["_dt"], monitor_kind=s["kind"], first=s["first"], last=s["last"]) for day in recorded for s in day["spans"]]
+        known = {day["_dt"] for day in recorded}
+        others = [day for (day,) in folders(self.spark, f"{self.lake}/_sheet=MON_LOG", "_dt") if day not in known]
+        return found + (clean.log_days(log.filter(F.col("_dt").isin(others))).collect() if others else [])
 
     def log_of(self, kind: str, index: Sequence[Row], first: dt.date, last: dt.date | None = None) -> DataFrame:
         """The parsed log of one kind in a date range, read from the landed days that hold it."""

@@ -808,7 +808,7 @@ EXPORT_KEYS = {"e1_daily_export": ("monitor_daily", "daily", "e_daily"),
                "e2_hourly_export": ("monitor_hourly", "hourly", "e_hourly"),
                "e2_hourly_jvm_export": ("monitor_hourly_jvm", "hourly", "e_hourly_jvm")}
 for _key, (_dataset, _kind, _view) in EXPORT_KEYS.items():
-    add(_key, on(lambda ws, name=_dataset, kind=_kind: exports.export_rows(ws.get(name), kind)), f"SELECT * FROM {_view}")
+    add(_key, on(lambda ws, name=_dataset, kind=_kind: exports.export(ws, name, kind)), f"SELECT * FROM {_view}")
 
 
 def _exports(spark: SparkSession, sf_dir: str) -> DataFrame:

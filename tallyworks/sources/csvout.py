@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyworks.sources.lake import quoted
+
 BOM = "﻿"
 CSV_OPTIONS = {"header": True, "nullValue": "", "emptyValue": "", "quote": '"', "escape": '"',
                "encoding": "UTF-8", "ignoreLeadingWhiteSpace": False,
@@ -56,7 +58,13 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def preview(df: DataFrame, rows: int, order: Sequence[Column] = ()) -> DataFrame:
-    """The first rows, each with the total row count and whether rows were left out."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    head = (df.orderBy(*order) if order else df).limit(max(rows, 1))
-    return head.withColumns({"total_rows": total, "truncated": total > F.lit(max(rows, 1))})
+    """The first rows, each with the total row count and whether rows were left out.
+
+    One run of the dataset: rows are counted as they pass on to a bounded top list. Ties, and rows without an order, go by all columns.
+    """
+    most, seen = max(rows, 1), Observation()
+    whole = [F.col(quoted(f.name)) for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    head = df.observe(seen, F.count(F.lit(1)).alias("rows")).orderBy(*order, *whole).limit(most).collect()
+    total = int(seen.get["rows"])
+    schema = T.StructType([*df.schema, T.StructField("total_rows", T.LongType()), T.StructField("truncated", T.BooleanType())])
+    return df.sparkSession.createDataFrame([(*row, total, total > most) for row in head], schema)

@@ -28,7 +28,10 @@ def english(df: DataFrame, columns: Iterable[tuple]) -> DataFrame:
 
 #: Columns found in a day: lower-case key, spelling, kinds of values (bits) and numbers of cells.
 FOUND = "array<struct<key:string,header:string,kinds:int,cells:long>>"
-LANDINGS = f"_sheet string, _dt string, _file string, row_count long, rejected long, columns {FOUND}, _ingest_ts long, _run long"
+#: First and last date of a landed log day's samples, by kind; NULL where it was not looked for.
+SPANS = "array<struct<kind:string,first:date,last:date>>"
+LANDINGS = (f"_sheet string, _dt string, _file string, row_count long, rejected long, columns {FOUND}, spans {SPANS}, "
+            "_ingest_ts long, _run long")
 
 
 def latest_landings(spark: SparkSession, lake: str) -> DataFrame:
@@ -36,7 +39,7 @@ def latest_landings(spark: SparkSession, lake: str) -> DataFrame:
     if not exists(spark, f"{lake}/_landings"):
         return spark.createDataFrame([], LANDINGS)
     log = spark.read.schema(LANDINGS).parquet(f"{lake}/_landings").filter(F.col("_file").isNotNull())
-    last = F.max_by(F.struct("_file", "row_count", "rejected", "columns", "_ingest_ts", "_run"), F.struct("_ingest_ts", "_run")).alias("last")
+    last = F.max_by(F.struct("_file", "row_count", "rejected", "columns", "spans", "_ingest_ts", "_run"), F.struct("_ingest_ts", "_run")).alias("last")
     return log.groupBy("_sheet", "_dt").agg(last).select("_sheet", "_dt", "last.*")
 
 
@@ -45,6 +48,11 @@ def column_catalogue(spark: SparkSession, lake: str) -> DataFrame:
     return latest_landings(spark, lake).select("_sheet", "_dt", "_file", F.explode("columns").alias("c")).select("_sheet", "_dt", "_file", "c.*")
 
 
+def log_spans(spark: SparkSession, lake: str, sheet: str = "MON_LOG") -> DataFrame:
+    """Landed days of a log whose dates were recorded with them, and their spans."""
+    return latest_landings(spark, lake).filter((F.col("_sheet") == sheet) & F.col("spans").isNotNull()).select("_dt", "spans")
+
+
 def undeclared_columns(spark: SparkSession, lake: str, sheets: Iterable[str]) -> dict[str, list[tuple[str, str]]]:
     """(header, type) of the landed columns without a declared type, by sheet: the type holds the values of all days."""
     sheets = list(sheets)

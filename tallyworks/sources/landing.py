@@ -23,9 +23,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyworks.functions import calendar
 from tallyworks.session import at_once, scratch_dir
 from tallyworks.sources import kinds
-from tallyworks.sources.lake import FOUND, latest_landings, with_lineage, write_days
+from tallyworks.sources.lake import FOUND, SPANS, latest_landings, with_lineage, write_days
 from tallyworks.sources.listing import exists, folder_paths, folders, remove
 from tallyworks.sources.schemas import SHEET_COLUMNS, TARGET_SHEETS, header_schema
 
@@ -34,7 +35,9 @@ FILE_PATTERN = r"^.*?(\d{8})\.xlsx$"
 FILES = "_sheet string, _file string"
 LANDED = "_sheet string, _dt string"
 LANDING_LOG = "_sheet string, _dt string, _file string, row_count long, rejected long, _ingest_ts long"
-COUNTED = ("_file", "row_count", "rejected", "columns", "_ingest_ts", "_run")
+COUNTED = ("_file", "row_count", "rejected", "columns", "spans", "_ingest_ts", "_run")
+# The sheet with monitor samples, and the headers and kinds by which its days are found again.
+LOG_SHEET, LOG_HEADERS, LOG_KINDS = "MON_LOG", ("MONITOR_KIND", "TARGET_IP", "CREATETIME"), ("SERVER", "JVM")
 REJECTED = "_file string, header string, content string, _ingest_ts long, _sheet string, _dt string"
 INTERNAL = ("_file", "_sheet", "_dt", "_ingest_ts")
 #: What a failed read or write raises: Spark's own errors, and those of a job that failed.
@@ -174,7 +177,7 @@ def record_days(days: DataFrame, lake: str) -> None:
 
 def landing_log(spark: SparkSession, lake: str) -> DataFrame:
     """Rows and rejected cells or lines per sheet, day and workbook of the day's latest landing."""
-    return latest_landings(spark, lake).drop("columns", "_run")
+    return latest_landings(spark, lake).drop("columns", "spans", "_run")
 
 
 def rejected_cells(spark: SparkSession, lake: str) -> DataFrame:
@@ -380,6 +383,9 @@ def land_workbooks(spark: SparkSession, inbox: str, lake: str, sheet: str, chose
         **{c: F.coalesce(c, F.lit(0)).cast("long") for c in ("row_count", "rejected")},
         "_ingest_ts": F.lit(stamp).cast("long"), "_run": F.lit(time.time_ns())})
     write_days(landed_rows(rows, headers, typed, sheet, stamp), lake, fmt)
+    if sheet == LOG_SHEET and all(isinstance(typed.get(h.lower(), (0, 0, 0))[2], T.StringType) for h in LOG_HEADERS):
+        spans = sample_spans(spark, lake, fmt, [day for _, day in chosen])
+        days = days.join(spans, "_dt", "left").withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
     empty = days.filter("row_count = 0 OR rejected = 0").select("_dt", "row_count", "rejected").collect()  # at most a row a workbook
     if len([d for d in empty if d.rejected == 0]) < len(chosen):
         write_days(with_lineage(rejected_of(rows, typed), F.col("_file"), sheet, F.col("_dt"), stamp), f"{lake}/_rejected")
@@ -393,6 +399,17 @@ def land_workbooks(spark: SparkSession, inbox: str, lake: str, sheet: str, chose
         record_days(days, lake)
 
 
+def sample_spans(spark: SparkSession, lake: str, fmt: str, days: Sequence[str]) -> DataFrame:
+    """First and last date of the samples of some landed log days, by kind: a narrow pass over what was just written, in place of one over
+    all history in every later report."""
+    kind, host, time_of = LOG_HEADERS
+    rows = spark.read.schema(", ".join(f"{h} string" for h in (*LOG_HEADERS, "_sheet", "_dt"))).format(fmt).load(lake)
+    rows = rows.filter((F.col("_sheet") == LOG_SHEET) & F.col("_dt").isin(list(days)) & (F.col(host) != "") & F.col(kind).isin(*LOG_KINDS))
+    date = calendar.loose_stamp(F.col(time_of)).cast("date")
+    each = rows.groupBy("_dt", F.col(kind).alias("kind")).agg(F.min(date).alias("first"), F.max(date).alias("last"))
+    return each.groupBy("_dt").agg(F.sort_array(F.collect_list(F.struct("kind", "first", "last"))).alias("spans"))
+
+
 def land_contained(spark: SparkSession, inbox: str, lake: str, sheet: str, chosen: list[tuple[str, str]], fmt: str,
                    **reading) -> list[str]:
     """Land the (workbook, day) pairs of one sheet, one by one if they fail together; returns what failed."""

@@ -6,9 +6,10 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyworks.plans import batch, exports
+from tallyworks.plans import batch, clean, exports
 from tallyworks.plans.params import ReportParams
 from tallyworks.plans.reports import REPORTS, Report, volume_of_month
 from tallyworks.plans.workspace import Workspace
@@ -362,6 +363,41 @@ def test_export_days_follow_the_last_sample(spark, tmp_path, late):
     assert exports.export_rows(rollups["monitor_daily"], "daily").count() == 0
 
 
+def test_the_log_index_is_recorded_on_landing(spark, tmp_path, monkeypatch):
+    inbox, target = tmp_path / "inbox", str(tmp_path / "lake")
+
+    def sample(kind, time, host="h"):
+        return {"MONITOR_KIND": kind, "TARGET_IP": host, "TARGET_PORT": "1", "CREATETIME": time, "MON_CONTENT": "usedCPURate:1.00%"}
+
+    put(inbox, "MON_LOG", "daily-20260402.xlsx", sample("SERVER", "2026-03-30 10:00:00"), sample("SERVER", "2026-04-01 10:00:00"),
+        sample("JVM", "no time"), sample("JVM", "2026-04-02 10:00:00", ""), sample("DB_CONN", "2026-04-02 10:00:00"))
+    put(inbox, "MON_LOG", "daily-20260403.xlsx", sample("DB_CONN", "2026-04-02 10:00:00"))
+    landing.land(spark, str(inbox), target, date="20260402")
+    landing.land(spark, str(inbox), target)
+    ws = Workspace.open(spark, target)
+    scanned = sorted(tuple(r) for r in clean.log_days(ws.get("mon_log")).collect())
+    monkeypatch.setattr(clean, "log_days", lambda sheet: pytest.fail("the log was read"))
+    assert sorted(tuple(r) for r in ws.log_index()) == scanned == [
+        ("20260402", "JVM", None, None), ("20260402", "SERVER", dt.date(2026, 3, 30), dt.date(2026, 4, 1))]
+    monkeypatch.undo()
+    # a day without a record is looked through
+    more = lake.read_sheet(spark, target, "MON_LOG").filter("_dt = '20260402'").withColumns(
+        {"_dt": F.lit("20260405"), "createtime": F.lit("2026-04-04 10:00:00")})
+    back = {name: header for header, name, _ in landing.SHEET_COLUMNS["MON_LOG"]}
+    lake.write_days(more.withColumnsRenamed(back), target)
+    found = {(r["_dt"], r["monitor_kind"], r["last"]) for r in Workspace.open(spark, target).log_index()}
+    assert ("20260405", "SERVER", dt.date(2026, 4, 4)) in found and ("20260402", "SERVER", dt.date(2026, 4, 1)) in found
+
+
+def test_an_extract_plans_its_rollup_once(spark, workspace):
+    plan = exports.export(workspace, "monitor_daily", "daily")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2 and "subquery" not in plan  # the log and the registry
+    rows = exports.export(workspace, "monitor_daily", "daily").collect()
+    assert rows == exports.export_rows(workspace.get("monitor_daily"), "daily").collect() and len(rows) == 1
+    with pytest.raises(ValueError, match="weekly"):
+        exports.export(workspace, "monitor_daily", "weekly")
+
+
 def test_csv_bytes(spark, tmp_path):
     rows = [(1, 'a "b", c', None), (2, "", "x\ny")]
     frame = spark.createDataFrame(rows, "ym int, category string, name string")
@@ -383,6 +419,18 @@ def test_preview(spark):
     rows = csvout.preview(frame, 3, ["n"]).collect()
     assert [tuple(r) for r in rows] == [(0, 30, True), (1, 30, True), (2, 30, True)]
     assert csvout.preview(frame, 30).collect()[0].truncated is False
+    pairs = spark.createDataFrame([(1, "b"), (1, "a"), (0, None)], "n int, s string").repartition(3)
+    assert [tuple(r) for r in csvout.preview(pairs, 2, ["n"]).collect()] == [(0, None, 3, True), (1, "a", 3, True)]
+    assert csvout.preview(pairs.filter("n > 5"), 2).collect() == []
+    runs = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    csvout.preview(frame.mapInArrow(counting, "n long"), 3, ["n"]).collect()
+    assert runs.value == 30  # every row passes once
 
 
 def test_dimensions(spark, tmp_path):
