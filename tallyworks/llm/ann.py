@@ -3,9 +3,10 @@
 Largest inner product becomes least distance by one added coordinate (root of the largest squared norm less the own).
 Vectors are projected to a few dimensions by a Gaussian matrix, so that the squared projected distance of a
 pair over its squared true distance follows a chi-square law. Vectors are dealt into blocks of bounded size; each block has a
-kd-tree over its projections. A query takes the tree's leaves in order of their least projected distance, verifies
-their vectors with the original coordinates, and stops when a vector as near as its k-th best would, by that law, have
-been met before with the wished probability. Blocks of queries meet blocks of vectors; the best of each block are merged per query.
+kd-tree over its projections. A query verifies its projected neighbours with the original coordinates, nearest first and a few at
+a time, and stops when a vector as near as its k-th best would, by that law, have been met before with the wished probability: when the
+next projected distance is beyond the law's quantile for the k-th best. Leaves of the tree that lie wholly beyond it aren't opened. Large groups
+of queries meet blocks of vectors; the best of each block are merged per query.
 
 Edge cases: vectors that are null, empty or zero, or hold null, NaN or infinite components, take no part; vectors of different
 lengths never compare; rows whose id is null take no part; repeated ids are candidates of their own, but never of a query of the same
@@ -28,11 +29,13 @@ from pyspark.sql import functions as F
 from tallyworks.llm.common import table, written
 
 SEED = 42
-DIMS = 16  # projected dimensions
-SURE = 0.97  # wished probability of having met a neighbour before stopping
+DIMS = 32  # projected dimensions
+SURE = 0.90  # wished probability of having met a neighbour before stopping
 LEAF = 64
 BLOCK = 8192  # vectors of a kd-tree
-ASKED = 1024  # queries that meet a block at a time
+ASKED = 1 << 21  # components of the queries that meet a block at a time: 16 MB
+STEP = 64  # projected neighbours that are verified first, before the test; then half as many more each time
+CHUNK = 64  # queries whose projected distances are computed together
 RESULT = "query_id long, vec_id long, row long, score double"
 
 
@@ -93,40 +96,59 @@ def search(ids: np.ndarray, vectors: np.ndarray, asked_ids: np.ndarray, asked: n
     extra = np.sqrt(np.maximum(top - (vectors**2).sum(1), 0))
     points = vectors @ matrix[:size] + extra[:, None] * matrix[size]
     tree = build(points)
-    ordered, ordered_ids = vectors[tree.order], ids[tree.order]
+    ordered, ordered_ids, points = vectors[tree.order], ids[tree.order], points[tree.order]
+    lengths = np.diff(tree.cuts)
+    squares = (points**2).sum(1)
     cut = chi_square_cut(dims, sure)
     slack = 1e-9 * max(top, 1e-300)
     targets = asked @ matrix[:size]  # a query's added coordinate is zero
-    for q, (query_id, query) in enumerate(zip(asked_ids, asked)):
-        gap = np.maximum(np.maximum(tree.low - targets[q], targets[q] - tree.high), 0)
-        least = (gap**2).sum(1)
-        leaves = np.argsort(least, kind="stable")
-        norm = float((query**2).sum())
-        places, scores, done = [], [], 0
-        bound = -math.inf  # score of the k-th best
-        held = np.empty(0)
-        step = max(1, -(-2 * k // LEAF))
-        while done < len(leaves):
-            if np.isfinite(bound) and least[leaves[done]] > cut * max(norm + top - 2 * bound, 0) + slack:
-                break
-            some = leaves[done : done + step]
-            done += step
-            at = np.concatenate([np.arange(tree.cuts[x], tree.cuts[x + 1]) for x in some])
-            at = at[ordered_ids[at] != query_id]
-            found = ordered[at] @ query
-            near = found >= bound - slack
-            at, found = at[near], found[near]
-            places.append(at)
-            scores.append(found)
-            held = np.concatenate([held, found])
-            if len(held) >= k:
-                held = np.partition(held, len(held) - k)[len(held) - k :]
-                bound = held.min()
-        at, found = np.concatenate(places), np.concatenate(scores)
-        at = at[found >= bound - slack]
-        exact = (ordered[at] * query).sum(1)  # one way of adding up, so that equal vectors tie
-        best = np.lexsort((ordered_ids[at], -exact))[:k]
-        yield query_id, ordered_ids[at][best], exact[best], int((tree.cuts[1:] - tree.cuts[:-1])[leaves[:done]].sum()), tree.order[at[best]]
+    for start in range(0, len(asked), CHUNK):
+        some = targets[start : start + CHUNK]
+        distances = np.maximum(squares - 2 * (some @ points.T) + (some**2).sum(1)[:, None], 0)
+        for q, row in enumerate(distances, start):
+            yield one_query(q, row, asked, asked_ids, targets, tree, lengths, ordered, ordered_ids, top, cut, slack, k)
+
+
+def one_query(q, row, asked, asked_ids, targets, tree, lengths, ordered, ordered_ids, top, cut, slack, k):
+    """Verify the projected neighbours of one query, ``row`` away, in order until the test holds."""
+    query, query_id = asked[q], asked_ids[q]
+    norm = float((query**2).sum())
+    mine = ordered_ids != query_id
+    # the first few: they give a k-th best, and with it the radius beyond which nothing is looked for
+    first = np.argpartition(row, STEP)[:STEP] if len(row) > STEP else np.arange(len(row))
+    first = first[mine[first]]
+    places, scores = [first], [ordered[first] @ query]
+    held, verified = scores[0], len(first)
+
+    def bound() -> float:
+        return float(held.min()) if len(held) == k else -math.inf
+
+    def radius() -> float:
+        return cut * max(norm + top - 2 * bound(), 0) + slack if len(held) == k else math.inf
+
+    held = np.partition(held, len(held) - k)[len(held) - k :] if len(held) > k else held
+    reach = radius()
+    gap = np.maximum(np.maximum(tree.low - targets[q], targets[q] - tree.high), 0)
+    opened = np.repeat((gap**2).sum(1) <= reach, lengths)
+    rest = opened & mine & (row <= reach)
+    rest[first] = False
+    rest = np.flatnonzero(rest)
+    rest = rest[np.argsort(row[rest], kind="stable")]
+    done, step = 0, STEP
+    while done < len(rest) and row[rest[done]] <= radius():
+        at = rest[done : done + step]
+        found = ordered[at] @ query
+        done, step, verified = done + len(at), step * 3 // 2, verified + len(at)
+        near = found >= bound() - slack
+        places.append(at[near])
+        scores.append(found[near])
+        held = np.concatenate([held, found[near]])
+        held = np.partition(held, len(held) - k)[len(held) - k :] if len(held) > k else held
+    at, found = np.concatenate(places), np.concatenate(scores)
+    at = at[found >= bound() - slack]
+    exact = (ordered[at] * query).sum(1)  # one way of adding up, so that equal vectors tie
+    best = np.lexsort((ordered_ids[at], -exact))[:k]
+    return query_id, ordered_ids[at][best], exact[best], verified, tree.order[at[best]]
 
 
 def usable(vector: Column) -> Column:
@@ -138,7 +160,7 @@ def usable(vector: Column) -> Column:
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, dims: int = DIMS, sure: float = SURE, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score (largest inner products) of every id of ``queries`` among the rows of ``vectors``.
 
-    Both need vec_id and embedding. A task holds one block of vectors and at most ``ASKED`` queries.
+    Both need vec_id and embedding. A task holds one block of vectors and queries of about ``ASKED`` components.
     """
     narrow = [F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")]
 
@@ -151,7 +173,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, dims: int = DIM
     data, asked = numbered(ready(vectors), "vectors"), numbered(ready(queries).distinct(), "queries")
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     n, top = data.agg(F.count("*"), F.max(square)).first()
-    many = asked.count()
+    many = asked.agg(F.sum("size")).first()[0] or 0
     blocks, groups = max(1, -(-n // block)), max(1, -(-many // ASKED))
     left = data.select("*", F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("b"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
     right = asked.select("*", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int").alias("g"),
