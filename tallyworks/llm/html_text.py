@@ -7,7 +7,9 @@ events, so depth and length of a page cost no recursion; every scan moves forwar
 
 Style sheets are taken as a screen of 1280 x 720 shows them: rules at top level and in media, layer or support blocks that hold there, the
 declaration of highest rank (importance, specificity, place) winning; selectors of one element without combinators count.
-In svg, text elements and foreign content show; in MathML everything but annotations and phantoms.
+In svg, text elements and foreign content show; in MathML everything but annotations and phantoms. A head ends at its end tag or at whatever cannot
+stand in it. List items carry their list's numbers (start, value, type, reversed) unless list-style or display leaves no marker; closed selects
+show the chosen option, buttons their value.
 
 Edge cases: null and empty pages give empty text; a tag that never ends swallows the rest, as in browsers; unknown tags are inline;
 unmatched end tags do nothing; repeated rows give the same text; an empty table gives no rows.
@@ -16,6 +18,7 @@ unmatched end tags do nothing; repeated rows give the same text; an empty table
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
@@ -44,6 +47,10 @@ LINES = set(
 )
 ENDS_P = APART | set("address article aside center details dialog dir div dl dd dt fieldset figcaption figure footer header hgroup li main menu "
                      "nav search section summary".split())
+HEAD_CONTENT = set("base basefont bgsound link meta noframes noscript script style template title".split())  # all else ends the head
+BUTTONS = {"submit", "button", "reset"}  # inputs that show their value
+STYLED = {"decimal": "1", "lower-alpha": "a", "lower-latin": "a", "upper-alpha": "A", "upper-latin": "A", "lower-roman": "i", "upper-roman": "I"}
+ROMAN = [(1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")]
 SECTIONS = {"thead", "tbody", "tfoot"}
 CELLS = {"td", "th"}
 #: start tag: (open elements it ends, elements beyond which it does not look)
@@ -57,7 +64,6 @@ IMPLIED = {
     "th": (CELLS, {"table"}),
     "tr": (CELLS | {"tr"}, {"table"}),
     **{s: (CELLS | {"tr", "caption"} | SECTIONS, {"table"}) for s in SECTIONS},
-    "body": ({"head"}, set()),
 }
 TAG = re.compile(
     r"<(?:!--(?P<comment>)|(?P<decl>[!?])|/(?P<end>[a-zA-Z][^\s/>]*+)[^>]*+(?P<endclose>>)?|(?P<start>[a-zA-Z][^\s/>]*+)"
@@ -68,7 +74,7 @@ SPACE = re.compile(r"[ \t\n\r\f]+")
 COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)|<!--|-->", re.S)
 STOP = re.compile(r"[{};]|\"[^\"]*+\"?|'[^']*+'?")
 BRACE = re.compile(r"[{}]|\"[^\"]*+\"?|'[^']*+'?")
-SHOWS = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)[^;!]*(!\s*important)?", re.I)
+SHOWS = re.compile(r"(?:^|;)\s*(display|visibility|list-style(?:-type)?)\s*:\s*([a-z-]+)[^;!]*(!\s*important)?", re.I)
 NESTED = re.compile(r"[^;{}]*+\{[^{}]*+\}")  # a rule inside a rule
 SIMPLE = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#]-?[a-zA-Z_][\w-]*)*)")
 PART = re.compile(r"[.#][^.#]+")
@@ -149,11 +155,12 @@ def blocks(css: str) -> Iterator[tuple[str, str]]:
 
 
 def declared(text: str) -> dict[str, tuple[str, bool]]:
-    """display and visibility of a list of declarations, with whether they are important."""
+    """display, visibility and list-style of a list of declarations, with whether they are important."""
     found: dict[str, tuple[str, bool]] = {}
     for name, value, important in SHOWS.findall(NESTED.sub("", text)):
-        if not found.get(name.lower(), ("", False))[1] or important:
-            found[name.lower()] = value.lower(), bool(important)
+        name = name.lower().removesuffix("-type")
+        if not found.get(name, ("", False))[1] or important:
+            found[name] = value.lower(), bool(important)
     return found
 
 
@@ -237,21 +244,29 @@ def events(page: str) -> Iterator[tuple[str, str, dict[str, str] | None]]:
                 break
         return found
 
-    at = 0
+    def text(data: str) -> Iterator[tuple[str, str, None]]:
+        nonlocal began
+        if SPACE.sub("", data):
+            began = True
+            if stack and stack[-1] == "head":
+                yield from leave(1)
+        yield "text", unescape(data), None
+
+    at, began = 0, False  # whether there was anything, so that a head would come too late
     while at < len(page):
         mark = page.find("<", at)
         if mark < 0:
-            yield "text", unescape(page[at:]), None
+            yield from text(page[at:])
             break
         m = TAG.match(page, mark)
         if not m:
             nxt = page.find("<", mark + 1)
             nxt = len(page) if nxt < 0 else nxt
-            yield "text", unescape(page[at:nxt]), None
+            yield from text(page[at:nxt])
             at = nxt
             continue
         if mark > at:
-            yield "text", unescape(page[at:mark]), None
+            yield from text(page[at:mark])
         if m["comment"] is not None:
             end = page.find("-->", mark + 2)
             at = len(page) if end < 0 else end + 3
@@ -274,6 +289,11 @@ def events(page: str) -> Iterator[tuple[str, str, dict[str, str] | None]]:
                 break
             tag, attrs = m["start"].lower(), m["attrs"]
             closed = attrs.endswith("/")
+            if tag == "head" and began:
+                continue
+            began = began or tag != "html"
+            if open_tags["head"] and tag not in HEAD_CONTENT and not open_tags["template"]:
+                yield from leave(depth({"head"}, set()))
             if tag in ENDS_P and open_tags["p"]:
                 yield from leave(depth({"p"}, {"table", "td", "th", "button", "caption", "object"}))
             if tag in IMPLIED:
@@ -348,6 +368,9 @@ class Flow:
             self.gap = 0
         self.gap = max(self.gap, gap)
 
+    def filled(self) -> bool:
+        return any(part.strip(" ") for part in self.line)
+
     def done(self) -> str:
         self.end(0)
         return "".join(self.out).strip("\n")
@@ -356,29 +379,84 @@ class Flow:
 def laid_out(rows: list[list[tuple[str, int, int]]]) -> str:
     """Rows of (text, colspan, rowspan) as lines whose cells start at the same place in every row."""
     grid: list[dict[int, str]] = []
-    taken: Counter[int] = Counter()
+    taken: list[tuple[int, int, int]] = []  # columns from, to, and for how many rows
     for row in rows:
-        cells, column = {}, 0
-        later: Counter[int] = Counter()
+        cells, column, later, place = {}, 0, [], 0
+        taken.sort()
         for text, across, down in row:
-            while taken[column]:
-                column += 1
+            while place < len(taken) and taken[place][0] <= column:
+                column = max(column, taken[place][1])
+                place += 1
             cells[column] = text
-            for c in range(column, column + across):
-                later[c] = max(later[c], down)
+            if down > 1:
+                later.append((column, column + across, down))
             column += across
-        taken = Counter({c: n - 1 for c, n in (taken | later).items() if n > 1})
+        taken = [(a, b, n - 1) for a, b, n in taken + later if n > 1]
         grid.append(cells)
-    filled = sorted({c for cells in grid for c, text in cells.items() if text})
-    width = {c: max(len(x) for cells in grid for x in cells.get(c, "").split("\n")) for c in filled}
+    width: dict[int, int] = {}
+    for cells in grid:
+        for c, text in cells.items():
+            if text:
+                width[c] = max(width.get(c, 0), *map(len, text.split("\n")))
+    filled = sorted(width)
     lines = []
     for cells in grid:
-        parts = {c: cells.get(c, "").split("\n") for c in filled}
+        last = max((c for c, text in cells.items() if text), default=-1)
+        parts = {c: cells.get(c, "").split("\n") for c in filled[: bisect_right(filled, last)]}
         for k in range(max((len(p) for p in parts.values()), default=0)):
             lines.append("  ".join((p[k] if k < len(p) else "").ljust(width[c]) for c, p in parts.items()).rstrip())
     return "\n".join(x for x in lines if x)
 
 
+def numbered(value: int, kind: str) -> str:
+    """A list number as digits, letters (``a``, ``A``) or Roman numerals (``i``, ``I``)."""
+    text = ""
+    if kind in ("a", "A") and value > 0:
+        while value:
+            value, digit = divmod(value - 1, 26)
+            text = chr(97 + digit) + text
+    elif kind in ("i", "I") and 0 < value < 4000:
+        for size, mark in ROMAN:
+            text += mark * (value // size)
+            value %= size
+    else:
+        return str(value)
+    return text.upper() if kind.isupper() else text
+
+
+def whole(value: str | None) -> int | None:
+    return int(value) if value and re.fullmatch(r"\s*[-+]?[0-9]{1,9}", value) else None
+
+
+def looked_ahead(found: list[tuple[str, str, dict[str, str] | None]]) -> tuple[dict[int, int], set[int]]:
+    """What the start of an element does not tell: numbers of items of reversed lists, and options that closed selects do not show,
+    by the elements' places in ``found``."""
+    counts: dict[int, int] = {}
+    unshown: set[int] = set()
+    lists: list[int] = []
+    selects: list[tuple[bool, list[int], list[int]]] = []  # whether open, options, selected ones
+    for place, (kind, value, attrs) in enumerate(found):
+        if kind == "enter":
+            if value in ("ul", "ol", "menu"):
+                lists.append(place)
+            elif value == "li" and lists:
+                counts[lists[-1]] = counts.get(lists[-1], 0) + 1
+            elif value == "select":
+                selects.append(("multiple" in attrs or (whole(attrs.get("size")) or 0) > 1, [], []))
+            elif value == "option" and selects:
+                selects[-1][1].append(place)
+                if "selected" in attrs:
+                    selects[-1][2].append(place)
+        elif kind == "leave":
+            if value in ("ul", "ol", "menu") and lists:
+                lists.pop()
+            elif value == "select" and selects:
+                listed, options, chosen = selects.pop()
+                if not listed:
+                    unshown |= set(options) - {(chosen[-1:] or options[:1] or [-1])[0]}
+    return counts, unshown
+
+
 def span(value: str | None) -> int:
     return min(int(value), 1000) if value and value.isascii() and value.isdigit() and int(value[:6]) else 1
 
@@ -395,21 +473,29 @@ def render(page: str | None) -> str:
     """The visible text of a page."""
     page = page or ""
     found: Iterator | list = events(page)
-    sheet = Sheet()
-    if "<style" in page.lower():
+    sheet, low = Sheet(), page.lower()
+    counts: dict[int, int] = {}
+    unshown: set[int] = set()
+    if "<style" in low or "<select" in low or "reversed" in low:
         found = list(found)
         sheet = style_of(found)
+        counts, unshown = looked_ahead(found)
 
     flows, grids = [Flow()], []
-    lists: list[int | None] = []
+    lists: list[tuple[int, int, str] | None] = []  # next number, step and kind of an ordered list; none of others
+    plain: list[bool] = []  # open lists without markers
+    marker, item = "", True  # list-style of the element at hand, and whether its display leaves a marker
+    fresh = False  # a pre has just begun
     folded: list[str] = []  # open elements inside details that are closed
     opened: list[tuple[str, bool, str]] = []  # open elements: tag, whether visible, "svg" or "math" inside one of these
     hidden = pre = 0
 
     def shown(tag: str, attrs: dict[str, str]) -> tuple[str, bool, str] | None:
         """The entry of ``opened`` for an element, or none if it is not displayed."""
+        nonlocal marker, item
+        marker, item = "", True
         above, visible, inside = opened[-1] if opened else ("", True, "")
-        if tag in HIDDEN or tag == "input" or tag in UNDRAWN.get(inside.removesuffix(" text"), ()):
+        if tag in HIDDEN or tag == "input" and attrs.get("type", "").strip().lower() not in BUTTONS or tag in UNDRAWN.get(inside.removesuffix(" text"), ()):
             return None
         base = {"display": "none"} if "hidden" in attrs or tag == "dialog" and "open" not in attrs else {}
         if inside or tag == "svg":
@@ -420,6 +506,7 @@ def render(page: str | None) -> str:
             style = sheet.style(names, inline, base)
             if style.get("display") == "none":
                 return None
+            marker, item = style.get("list-style", ""), style.get("display", "list-item") == "list-item"
             own = style.get("visibility")
             visible = own == "visible" if own in ("visible", "hidden", "collapse", "initial") else visible
             visible = visible or own == "initial"
@@ -431,20 +518,23 @@ def render(page: str | None) -> str:
             inside = ""
         return tag, visible, inside
 
-    for kind, value, attrs in found:
+    for place, (kind, value, attrs) in enumerate(found):
         flow = flows[-1]
         if hidden:
             hidden += (kind == "enter") - (kind == "leave")
             continue
         if kind == "text":
             if (not folded or folded[-1] != "details") and (not opened or opened[-1][1] and opened[-1][2] != "svg"):
-                flow.text(value, pre > 0)
+                # a line end right after the start of a pre is none of its text
+                flow.text(re.sub(r"^\r?\n", "", value) if fresh else value, pre > 0)
+            fresh = False
             continue
+        fresh = False
         gap = 2 if value in APART else 1 if value in LINES else 0
         if value in ("ul", "ol") and lists[1:]:
             gap = 1  # a list in a list
         if kind == "enter":
-            entry = None if folded and folded[-1] == "details" and value != "summary" else shown(value, attrs)
+            entry = None if folded and folded[-1] == "details" and value != "summary" or place in unshown else shown(value, attrs)
             if not entry:
                 hidden = 1
                 continue
@@ -460,18 +550,32 @@ def render(page: str | None) -> str:
             if value == "br":
                 flow.end(1, keep=pre > 0)
                 continue
+            if value == "input":
+                if entry[1]:
+                    flow.text(attrs.get("value", ""), False)
+                continue
             if gap:
-                flow.end(1 if value in ("ul", "ol") and lists else gap)
+                flow.end(1 if value in ("ul", "ol") and lists else gap, keep=pre > 0 and flow.filled())
             if value == "pre":
                 pre += 1
+                fresh = True
             elif value in ("ul", "ol", "menu"):
-                start = attrs.get("start", "1")
-                lists.append(int(start) - 1 if value == "ol" and re.fullmatch(r"-?[0-9]{1,9}", start) else 0 if value == "ol" else None)
+                start, back = whole(attrs.get("start")), "reversed" in attrs
+                first = start if start is not None else counts.get(place, 0) if back else 1
+                kind_of = STYLED.get(marker, attrs.get("type", "1").strip())
+                lists.append((first, -1 if back else 1, kind_of) if value == "ol" else None)
+                plain.append(marker == "none")
                 flow.indent += "  "
             elif value == "li":
+                mark = "- "
                 if lists and lists[-1] is not None:
-                    lists[-1] += 1
-                flow.markers = [f"{lists[-1]}. " if lists and lists[-1] is not None else "- "] if entry[1] else []
+                    number, step, kind_of = lists[-1]
+                    own = whole(attrs.get("value"))
+                    number = number if own is None else own
+                    lists[-1] = number + step, step, kind_of
+                    mark = numbered(number, STYLED.get(marker, attrs.get("type", kind_of).strip())) + ". "
+                bare = not item or marker == "none" or marker == "" and bool(plain) and plain[-1]
+                flow.markers = [mark] if entry[1] and not bare else []
             elif value in ("dd", "blockquote"):
                 flow.indent += "  "
             elif value == "table":
@@ -495,11 +599,12 @@ def render(page: str | None) -> str:
                 grids[-1].rows[-1].append((flow.done(), *flow.span))
                 continue
             if gap:
-                flow.end(1 if value in ("ul", "ol") and len(lists) > 1 else gap, keep=False)
+                flow.end(1 if value in ("ul", "ol") and len(lists) > 1 else gap, keep=pre > 0 and flow.filled())
             if value == "pre":
                 pre -= 1
             elif value in ("ul", "ol", "menu") and lists:
                 lists.pop()
+                plain.pop()
                 flow.indent = flow.indent[:-2]
             elif value == "li":
                 flow.markers = []

@@ -1,3 +1,4 @@
+import time
 from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
@@ -6,15 +7,22 @@ from tallyworks.llm import html_text
 from tests.llm.conftest import SF
 
 
+# The check's own lists: elements without rendering in the HTML standard, those that browsers here never fall back to, and what a head may hold.
+NEVER_SHOWN = {"head", "title", "style", "script", "template", "datalist", "noscript", "iframe", "noembed", "noframes", "object", "audio", "video", "canvas"}
+IN_HEAD = {"title", "style", "script", "noscript", "template", "noframes", "base", "basefont", "bgsound", "link", "meta"}
+
+
 class Plain(HTMLParser):
-    """Words outside of elements that are never shown."""
+    """Words outside of elements that are never shown; a head ends where the standard ends it."""
 
     def __init__(self):
         super().__init__()
         self.words, self.hidden = [], []
 
     def handle_starttag(self, tag, attrs):
-        if tag in html_text.HIDDEN:
+        if self.hidden == ["head"] and tag not in IN_HEAD:
+            self.hidden = []
+        if tag in NEVER_SHOWN:
             self.hidden.append(tag)
 
     def handle_endtag(self, tag):
@@ -22,6 +30,8 @@ class Plain(HTMLParser):
             self.hidden.pop()
 
     def handle_data(self, data):
+        if self.hidden == ["head"] and data.strip():
+            self.hidden = []
         if not self.hidden:
             self.words.append(data)
 
@@ -121,3 +131,50 @@ def test_formulas_and_drawings():
             "<text>second</text></g><text display='none'>z</text><foreignObject><div>html</div></foreignObject></svg>after")
     assert html_text.render(page).split("\n") == ["first label", "second", "html", "after"]
     assert html_text.render("<svg/>a<math/>b") == "ab"
+
+
+def test_a_head_ends_where_it_must():
+    render = html_text.render
+    assert render("<head><meta charset=utf-8><title>x</title><h1>Head one</h1><p>text") == "Head one\n\ntext"
+    assert render("<html><head><title>T</title><p>Hello world</p></html>") == "Hello world"
+    assert render("<head> \n <link rel=x>\n text<p>more") == "text\n\nmore"
+    assert render("<p>a<head><b>b</b></head>c") == "abc" and render("a<head>b") == "ab" and render("<head><head>x</head>y") == "xy"
+    assert render("<head><template><p>no</p></template><noscript><p>no</p></noscript></head>yes") == "yes"
+    for page in ("<head><title>a</title>b<p>c", "<html><head><meta><body>d", "<head><script>e</script><div>f</div></head>g"):
+        plain = Plain()
+        plain.feed(page)
+        assert joined(render(page)) == joined("".join(plain.words))
+
+
+def test_last_line_of_pre():
+    render = html_text.render
+    assert render("<pre>a\n  b</pre>c") == "a\n  b\n\nc" and render("<pre>\n  x\n y\n</pre>") == "  x\n y"
+    assert render("<pre>a\n  b<div>  c</div></pre>") == "a\n  b\n  c" and render("x<pre>\n</pre>y") == "x\n\ny"
+
+
+def test_list_numbers_and_markers():
+    render = html_text.render
+    assert render("<ol><li value=7>x<li>y</ol>") == "7. x\n8. y"
+    assert render("<ol type=a start=26><li>x<li>y</ol>") == "z. x\naa. y" and render("<ol type=I start=8><li>x<li type=i>y</ol>") == "VIII. x\nix. y"
+    assert render("<ol reversed><li>x<li>y<li value=9>z<li>w</ol>") == "4. x\n3. y\n9. z\n8. w"
+    assert render("<ul style='list-style: none'><li>a<ul><li>b</ul></ul>") == "  a\n  - b"
+    assert render("<style>.n{list-style-type:none}</style><ul class=n><li>a<li style='list-style:disc'>b</ul>") == "  a\n- b"
+    assert render("<style>nav{color:red}li{display:inline-block}</style><ul><li>a</ul>") == "  a"
+    assert [html_text.numbered(n, "A") for n in (1, 26, 27, 702, 703, 0)] == ["A", "Z", "AA", "ZZ", "AAA", "0"]
+    assert html_text.numbered(1994, "i") == "mcmxciv" and html_text.numbered(4000, "I") == "4000"
+
+
+def test_buttons_and_selects():
+    render = html_text.render
+    assert render("<input type=submit value=Go> <input type=button value=No style='display:none'><input value=typed>") == "Go"
+    assert render("<select><option>a<option selected>b<option>c</select>d") == "b\nd"
+    assert render("<select><option>a<option>b</select>") == "a" and render("<select multiple><option>a<option>b</select>") == "a\nb"
+    assert render("<select size=3><option>a<option>b</select>") == "a\nb" and render("<select></select>x") == "x"
+
+
+def test_wide_tables_cost_their_cells():
+    page = "<table>" + "".join(f"<tr><td colspan=1000 rowspan=1000>c{i}" for i in range(300)) + "</table>"
+    start = time.perf_counter()
+    rows = html_text.render(page).split("\n")
+    assert time.perf_counter() - start < 1
+    assert [r.split() for r in rows] == [[f"c{i}"] for i in range(300)] and rows[2].index("c2") > rows[1].index("c1")
