@@ -17,7 +17,6 @@ first; an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,7 +41,6 @@ ROUNDS = 12
 RATE = 0.3
 DECAY = 1e-6
 NONE = "und"
-OTHER = re.compile(r"[\W\d_]+")
 
 
 class Hashed(dict):
@@ -74,7 +72,8 @@ def chain_of(text: str | None) -> list[str]:
 
 
 def letters(word: str) -> str:
-    return OTHER.sub("", word)
+    """Characters of Unicode's letter categories; neither digits nor fractions, ordinals in circles or Roman numeral signs."""
+    return "".join(filter(str.isalpha, word))
 
 
 @dataclass

@@ -237,9 +237,14 @@ def pack_pieces(pieces: DataFrame, capacity: int, group: int = GROUP) -> DataFra
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, keep_ids: bool = False) -> DataFrame:
-    """Documents as pieces in sequences; ``ids`` holds the ids (little-endian 32 bit) if asked for."""
-    packed = pack_pieces(token_pieces(docs, tokenizer, capacity, keep_ids=keep_ids), capacity)
-    return packed if keep_ids else packed.drop("ids")
+    """Documents as pieces in sequences; ``ids`` holds the ids (little-endian 32 bit) if asked for. Packing moves lengths only; the ids
+    join their places once, by the piece's number."""
+    pieces = token_pieces(docs, tokenizer, capacity, keep_ids=keep_ids)
+    if not keep_ids:
+        return pack_pieces(pieces.drop("ids"), capacity)
+    cut = written(pieces.withColumn("_piece", F.monotonically_increasing_id()), "pieces-with-ids")
+    placed = pack_pieces(cut.drop("ids"), capacity)
+    return placed.join(cut.select("_piece", "ids"), "_piece").drop("_piece")
 
 
 def word_tokenizer() -> str:

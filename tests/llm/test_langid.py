@@ -131,3 +131,13 @@ def test_rare_languages_are_sampled(docs_of):
     found = {lang: sorted(int(r.text.split()[1]) for r in rows if r.lang == lang) for lang in ("xx", "yy", "zz")}
     assert found["zz"] == [7, 1007, 2007, 3007] and len(rows) == len({r.text for r in rows}) == 60
     assert abs(len(found["xx"]) - len(found["yy"])) <= 2
+
+
+def test_only_letters_are_letters(spark):
+    """Fractions, circled numbers and Roman numeral signs are word characters, but no letters."""
+    field = langid.fit(["the house is old and the men are here"] * 3 + ["das Haus ist alt und die Leute sind da"] * 3, ["en"] * 3 + ["de"] * 3)
+    texts = ["½ ²", "①②③", "Ⅷ ⅻ", "٣٤ 12", "x²", "das ½ Haus"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [r.lang_pred for r in langid.predict(docs, field).orderBy("doc_id").collect()]
+    assert found[:4] == ["und"] * 4 and "und" not in found[4:] and found[5] == "de"
+    assert langid.letters("a½b²_1Ⅷé") == "abé"
