@@ -1,8 +1,12 @@
 import hashlib
 import re
+import zlib
+
+import numpy as np
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tallyworks.llm import quality
+from tallyworks.llm import packing, quality
 from tallyworks.llm.common import table, written
 from tests.llm import test_packing, test_pii, test_quality, test_simhash, test_substrings
 from tests.llm.conftest import SF
@@ -33,6 +37,18 @@ def test_stages_against_plain_python(spark):
         else:
             used, least = test_packing.check(after.collect(), {i: r.text for i, r in old.items()}, 2048)
             assert used <= least + 1
+            # the sequences' ids are the stage's whole texts (the tokenizer itself folds case and spaces), and lie where the row says
+            tokenizer, docs, sequences = Tokenizer.from_file(packing.word_tokenizer()), {}, {}
+            for r in sorted(after.collect(), key=lambda r: (r.doc_id, r.piece)):
+                ids = np.frombuffer(r.ids, "<u4").tolist()
+                assert len(ids) == r.length and zlib.crc32(r.ids) == r.ids_crc32
+                docs.setdefault(r.doc_id, []).extend(ids)
+                sequences.setdefault(r.sequence_id, {})[r.offset] = ids
+            assert all(ids[-1] == 0 for ids in docs.values())
+            assert docs == {i: [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0] for i, r in old.items()}
+            for parts in sequences.values():
+                whole = [x for at in sorted(parts) for x in parts[at]]
+                assert len(whole) <= 2048 and all(whole[at : at + len(ids)] == ids for at, ids in parts.items())
             break
         assert after.columns == columns
         assert all(r[c] == old[i][c] for i, r in new.items() for c in ("lang", "source"))
