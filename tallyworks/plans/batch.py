@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -17,7 +18,9 @@ from tallyworks.plans import monitor, stats
 from tallyworks.plans.params import ReportParams, month_date, month_end, run_query
 from tallyworks.plans.reports import REPORTS, Report, range_margin, sort_columns
 from tallyworks.plans.workspace import Workspace
+from tallyworks.session import at_once
 from tallyworks.sources.csvout import write_csv
+from tallyworks.sources.listing import move, remove
 from tallyworks.sources.schemas import LABELS
 
 STATUS = "position int, number string, title string, rows bigint, ok boolean, error string"
@@ -74,19 +77,24 @@ def write_silver(ws: Workspace, p: ReportParams, path: str) -> Workspace:
         log = ws.log_of("SERVER", ws.log_index(), start, end)
         frames["monitor_daily"] = monitor.monitor_daily(log, ws.get("registry_info"))
     run = Workspace(ws.spark, frames, prefixes=ws.prefixes, excluded_codes=ws.excluded_codes)
-    if run.has("rt_pr_hh24_clean"):
+
+    def volumes() -> None:
         hourly = run.write("rt_pr_hh24_clean", path, ["tx_yyyymm"])
         run.frames["day_frame"] = stats.day_frame(hourly).withColumn(
             "tx_yyyymm", calendar.month_text(F.col("tx_dt")))
         run.write("day_frame", path, ["tx_yyyymm"])
-    if run.has("monitor_daily"):
+
+    def hosts() -> None:
         run.write("monitor_daily", path)
+
+    steps = {"rt_pr_hh24_clean": volumes, "monitor_daily": hosts}
+    at_once(ws.spark, lambda step: step(), [step for name, step in steps.items() if run.has(name)])
     return run
 
 
-def write_report(ws: Workspace, params: ReportParams, report: Report, out: str) -> int:
+def write_report(ws: Workspace, params: ReportParams, report: Report, path: str) -> int:
     """Write one report; a pivot without rows delivers the message table instead."""
-    table, path = report.build(ws, params), f"{out}/{report.title}"
+    table = report.build(ws, params)
     rows = write_csv(table, path, LABELS.get(report.labels), order=sort_columns(report, table),
                      bounded=report.bounded)
     if rows == 0 and report.pivot:
@@ -99,24 +107,41 @@ def run_reports(ws: Workspace, params: ReportParams, out: str, reports: Sequence
     """Write each report below ``out``. Stops at the first failure unless told to go
     on; a run with any failure is reported as failed either way.
 
+    Reports are independent of each other and run at the same time, each into a folder aside.
+    They are put in place in the order of their numbers, so that a run that stops at a failure leaves
+    the reports before it, as if they had run one by one: later ones that were finished already are dropped.
     With ``work``, the shared clean tables are written there first.
     """
-    spark, status = ws.spark, []
+    spark, failed = ws.spark, []
     if work is not None:
         ws = write_silver(ws, params, work)
     spark.createDataFrame([(params.to_json(),)], "value string").coalesce(1).write.mode(
         "overwrite").text(f"{out}/parameters")
-    for position, report in enumerate(in_number_order(reports), 1):
+    aside = f"{out}/_aside-{uuid.uuid4().hex}"
+
+    def run(job: tuple[int, Report]) -> tuple | None:
+        position, report = job
+        if not continue_on_error and any(other < position for other in failed):
+            return None
         try:
-            rows = write_report(ws, params, report, out)
-            status.append((position, report.number, report.title, rows, True, None))
+            rows = write_report(ws, params, report, f"{aside}/{position}")
+            return (position, report.number, report.title, rows, True, None)
         except (PySparkException, Py4JJavaError, ValueError, KeyError) as error:
-            status.append((position, report.number, report.title, 0, False, str(error)))
-            if not continue_on_error:
-                break
+            failed.append(position)
+            return (position, report.number, report.title, 0, False, str(error))
+
+    try:
+        done = at_once(spark, run, list(enumerate(in_number_order(reports), 1)))
+        last = len(done) if continue_on_error else min(failed, default=len(done))
+        status = done[:last]
+        for position, _, title, _, ok, _ in status:
+            if ok:
+                move(spark, f"{aside}/{position}", f"{out}/{title}")
+    finally:
+        remove(spark, aside)
     table = spark.createDataFrame(status, STATUS)
     table.coalesce(1).write.mode("overwrite").json(f"{out}/status")
-    if any(not row[4] for row in status):
+    if failed:
         raise ReportRunFailed("report run finished with failures" if continue_on_error
                               else "report run stopped at the first failure", table)
     return table

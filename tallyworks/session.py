@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -24,6 +25,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # jobs that are started at the same time share the executors instead of queueing up
+    "spark.scheduler.mode": "FAIR",
     # no Python call sites on every column expression: building plans is otherwise the slow part
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -68,10 +71,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 def at_once(spark: SparkSession, action: Callable[[A], B], items: Iterable[A], most: int = AT_ONCE) -> list[B]:
     """Results of ``action`` for independent items, in their order, run from several threads, so that planning and the ends of
-    stages overlap. Threads take over the caller's job properties; the first error is raised."""
+    stages overlap. Threads take over the caller's job properties, each with a scheduler pool of its own; the first error is raised."""
     items = list(items)
     if len(items) < 2:
         return [action(item) for item in items]
-    with ThreadPoolExecutor(min(most, len(items))) as pool:
-        futures = [pool.submit(inheritable_thread_target(spark)(action), item) for item in items]
+
+    def pooled(item: A) -> B:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", threading.current_thread().name)
+        return action(item)
+
+    with ThreadPoolExecutor(min(most, len(items)), thread_name_prefix="at-once") as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(pooled), item) for item in items]
         return [future.result() for future in futures]

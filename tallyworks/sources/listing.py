@@ -35,6 +35,15 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a written folder in another's place."""
+    source_path, target_path = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    system = target_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(target_path, True)
+    if not system.rename(source_path, target_path):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -195,6 +196,31 @@ def test_failures_stop_or_continue(spark, workspace, tmp_path):
     assert [(r.number, r.ok) for r in finished.value.status.orderBy("position").collect()] == [("2", False), ("10", True)]
 
 
+def test_reports_run_at_once_as_if_one_by_one(spark, workspace, tmp_path):
+    """A run that stops leaves what a sequential run leaves: nothing after the failure, earlier deliveries untouched."""
+    params, finished = ReportParams.resolve(target_month="2026-04"), threading.Event()
+
+    def late_failure(ws, params):
+        assert finished.wait(60)
+        raise ValueError("too late")
+
+    def quick(ws, params):
+        finished.set()
+        return volume_of_month(ws, params)
+
+    plan = [Report("1", "1.first", volume_of_month, ("pr_id",)), Report("2", "2.broken", late_failure, ()),
+            Report("3", "3.third", quick, ("pr_id",))]
+    out = tmp_path / "stops"
+    (out / "3.third").mkdir(parents=True)
+    (out / "3.third" / "part-old.csv").write_text("of an earlier run\n", encoding="utf-8")
+    with pytest.raises(batch.ReportRunFailed, match="stopped at the first") as stopped:
+        batch.run_reports(workspace, params, str(out), plan)
+    assert [(r.position, r.ok) for r in stopped.value.status.orderBy("position").collect()] == [(1, True), (2, False)]
+    assert sorted(p.name for p in out.iterdir()) == ["1.first", "3.third", "parameters", "status"]
+    assert [p.name for p in (out / "3.third").glob("part-*")] == ["part-old.csv"]
+    assert csvout.read_csv(spark, str(out / "1.first")).count() == 2
+
+
 def test_reports_from_query_files(spark, workspace, tmp_path):
     folder = tmp_path / "reports"
     folder.mkdir()
