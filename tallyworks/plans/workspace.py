@@ -161,8 +161,13 @@ class Workspace:
         return names
 
     def sql(self, query: str, dates: tuple[dt.date, dt.date] | None = None) -> DataFrame:
-        """Ad-hoc SQL over the datasets, or over a date range of the transaction datasets."""
+        """Ad-hoc SQL over the datasets, or over a date range of the transaction datasets.
+
+        Queries may call the table functions of ``ranges``, such as ``rt_cnt_between(first, last)``."""
+        from tallyworks.plans import ranges  # builds on this module
+
         self.register_views(query, dates)
+        ranges.register(self, query)
         return self.spark.sql(query)
 
     def _rt_cnt_clean(self):
