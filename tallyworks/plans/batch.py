@@ -16,7 +16,15 @@ from tallyworks.functions import calendar
 from tallyworks.operators.pivots import message_table
 from tallyworks.plans import monitor, stats
 from tallyworks.plans.params import ReportParams, month_date, month_end, run_query
-from tallyworks.plans.reports import REPORTS, Report, range_margin, sort_columns
+from tallyworks.plans.reports import (
+    REPORTS,
+    Report,
+    month_codes,
+    period_codes,
+    periods_of,
+    range_margin,
+    sort_columns,
+)
 from tallyworks.plans.workspace import Workspace
 from tallyworks.session import at_once
 from tallyworks.sources.csvout import write_csv
@@ -65,8 +73,9 @@ def write_silver(ws: Workspace, p: ReportParams, path: str) -> Workspace:
     """A workspace for one run: clean hourly rows by month and host days, written once.
 
     Only dates the run reads are cleaned, so a run does not re-read the whole
-    lake. All volume reports then share one dedup, and those that look at whole
-    days share one day frame, written from the hourly rows.
+    lake. All volume reports then share one dedup, those that look at whole
+    days share one day frame, written from the hourly rows, and those that show shares read
+    codes and period totals folded together. The tables serve the reports of these parameters.
     """
     first, last = dates_needed(p)
     frames = dict(ws.frames)
@@ -83,6 +92,10 @@ def write_silver(ws: Workspace, p: ReportParams, path: str) -> Workspace:
         run.frames["day_frame"] = stats.day_frame(hourly).withColumn(
             "tx_yyyymm", calendar.month_text(F.col("tx_dt")))
         run.write("day_frame", path, ["tx_yyyymm"])
+        run.frames |= {
+            "month_codes": month_codes(run, p.previous_target_month, p.target_month, stats.code_totals),
+            "period_codes": period_codes(run, periods_of(p), stats.code_totals)}
+        at_once(ws.spark, lambda name: run.write(name, path), ["month_codes", "period_codes"])
 
     def hosts() -> None:
         run.write("monitor_daily", path)

@@ -33,6 +33,7 @@ from tallyworks.plans.params import ReportParams, month_date, month_end, months_
 from tallyworks.plans.workspace import Workspace
 
 HOURS = list(range(24))
+Fold = Callable[[DataFrame, list[str]], DataFrame]
 
 
 def _days_of_months(ws: Workspace, first: str, last: str) -> DataFrame:
@@ -96,10 +97,16 @@ def peak_day_hours_pivot(ws: Workspace, p: ReportParams) -> DataFrame:
                       *[F.col(f"top.{n}").alias(n) for n in names])
 
 
+def month_codes(ws: Workspace, first: str, last: str, fold: Fold = stats.code_frame) -> DataFrame:
+    """Codes per month: a run's written table, which has the totals of months too, or folded from the days."""
+    if ws.has("month_codes"):
+        return ws.get("month_codes").filter(F.col("ym").between(first, last))
+    return fold(stats.monthly(_days_of_months(ws, first, last)), ["ym"])
+
+
 def all_categories(ws: Workspace, p: ReportParams) -> DataFrame:
     """Volume, weighted mean ms and share of the month per registered code."""
-    days = stats.monthly(_target_days(ws, p))
-    frame = stats.code_frame(days, ["ym"])
+    frame = month_codes(ws, p.target_month, p.target_month)
     rows = stats.with_codes(stats.with_period_total(frame, ["ym"]), ws.get("pr_info"))
     return rows.select("ym", "pr_id", "category", "name", "total_cnt",
                        whole_number(F.col("mean_ms"), "int").alias("avg_ms"),
@@ -126,8 +133,8 @@ def _change(now, before) -> list:
 
 def month_over_month(ws: Workspace, p: ReportParams) -> DataFrame:
     """Volume of the month and the month before per code, in one pass over both."""
-    days = _days_of_months(ws, p.previous_target_month, p.target_month)
-    page = stats.month_page(days, ws.get("pr_info"))
+    frame = month_codes(ws, p.previous_target_month, p.target_month)
+    page = stats.details(frame, ws.get("pr_info"), ["ym"])
     both = page.groupBy("pr_id").agg(
         F.max(F.when(F.col("ym") == p.previous_target_month, F.col("total_cnt"))).alias("prev_cnt"),
         F.max(F.when(F.col("ym") == p.target_month, F.col("total_cnt"))).alias("cur_cnt"))
@@ -200,8 +207,15 @@ def range_margin(start: str, end: str) -> tuple[dt.date, dt.date]:
     return first - dt.timedelta(days=5), last + dt.timedelta(days=1)
 
 
-def _period_details(ws: Workspace, periods: dict[str, tuple[str, str]]) -> DataFrame:
-    """The statistics page per named time range. An hour inside two ranges counts in both."""
+def periods_of(p: ReportParams) -> dict[str, tuple[str, str]]:
+    return {"cur": (p.range_start_time, p.range_end_time),
+            "prev": (p.previous_range_start_time, p.previous_range_end_time)}
+
+
+def period_codes(ws: Workspace, periods: dict[str, tuple[str, str]], fold: Fold = stats.code_frame) -> DataFrame:
+    """Codes per named time range, from a run's written table or from the hours. An hour inside two ranges counts in both."""
+    if ws.has("period_codes"):
+        return ws.get("period_codes").filter(F.col("period").isin(*periods))
     first, last = range_margin(min(start for start, _ in periods.values()),
                                max(end for _, end in periods.values()))
     hours = ws.hourly(first, last)
@@ -214,19 +228,21 @@ def _period_details(ws: Workspace, periods: dict[str, tuple[str, str]]) -> DataF
     wanted = reduce(or_, [inside(bounds) for bounds in periods.values()])
     tags = [F.when(inside(bounds), F.lit(name)) for name, bounds in periods.items()]
     tagged = hours.filter(wanted).withColumn("period", F.explode(F.array_compact(F.array(*tags))))
-    days = stats.day_frame(tagged, ["period"])
-    return stats.details(stats.code_frame(days, ["period"]), ws.get("pr_info"), ["period"])
+    return fold(stats.day_frame(tagged, ["period"]), ["period"])
+
+
+def _period_details(ws: Workspace, periods: dict[str, tuple[str, str]]) -> DataFrame:
+    """The statistics page per named time range."""
+    return stats.details(period_codes(ws, periods), ws.get("pr_info"), ["period"])
 
 
 def range_details(ws: Workspace, p: ReportParams) -> DataFrame:
-    page = _period_details(ws, {"cur": (p.range_start_time, p.range_end_time)})
+    page = _period_details(ws, {"cur": periods_of(p)["cur"]})
     return page.drop("period")
 
 
 def _two_periods(ws: Workspace, p: ReportParams) -> DataFrame:
-    return _period_details(ws, {
-        "cur": (p.range_start_time, p.range_end_time),
-        "prev": (p.previous_range_start_time, p.previous_range_end_time)})
+    return _period_details(ws, periods_of(p))
 
 
 def _side(name: str, column: str):

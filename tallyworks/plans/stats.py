@@ -33,28 +33,48 @@ def monthly(days: DataFrame) -> DataFrame:
     return days.withColumn("ym", calendar.month_text(F.col("tx_dt")))
 
 
-def code_frame(days: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per period and code: totals, weighted mean of day means, peak day, peak hour.
-
-    The peak day is the slowest day (by weighted mean ms), the peak hour the
-    busiest hour; ties go to the earliest.
-    """
+def _code_measures() -> list[Column]:
     day, cnt, ms, best = F.col("tx_dt"), F.col("day_cnt"), F.col("day_ms"), F.col("best")
-    frame = days.groupBy(*keys, "pr_id").agg(
+    return [
         F.sum(cnt).alias("total_cnt"), F.sum(ms * cnt).alias("_weighted"),
         F.min(day).alias("first_day"), F.max(day).alias("last_day"), F.count(day).alias("active_days"),
         peak(F.struct(day.alias("day"), cnt.alias("cnt"), ms.alias("ms")), ms, earlier(day)).alias("slow"),
         peak(F.struct(day.alias("day"), best["hour"].alias("hour"), best["cnt"].alias("cnt")),
-             best["cnt"], earlier(day), -best["hour"]).alias("busy"))
+             best["cnt"], earlier(day), -best["hour"]).alias("busy")]
+
+
+def _with_mean(frame: DataFrame) -> DataFrame:
     return frame.withColumn("mean_ms", ratio(F.col("_weighted"), F.col("total_cnt"))).drop("_weighted")
 
 
+def code_frame(days: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per period and code: totals, weighted mean of day means, peak day, peak hour.
+
+    The peak day is the slowest day (by weighted mean ms), the peak hour the
+    busiest hour; ties go to the earliest.
+    """
+    return _with_mean(days.groupBy(*keys, "pr_id").agg(*_code_measures()))
+
+
+def code_totals(days: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The code frame and, marked by ``is_total``, a row per period over all codes, in one pass of grouping sets.
+
+    Meant to be written: :func:`with_period_total` then joins the two kinds of rows from the written table.
+    A row whose code is NULL is a code's row and no total.
+    """
+    grouped = days.groupingSets([[*keys, "pr_id"], [*keys]], *keys, "pr_id")
+    return _with_mean(grouped.agg((F.grouping("pr_id") == 1).alias("is_total"), *_code_measures()))
+
+
 def with_period_total(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the volume of all codes, registered or not.
 
-    The window runs over aggregated rows, one per code and period; joining a
-    second aggregate instead would read and dedup the hourly rows twice.
+    Rows of a written :func:`code_totals` are joined with their period's total. For a code frame that is not written, a window runs over
+    aggregated rows, one per code and period: joining a second aggregate would read and dedup the hourly rows twice.
     """
+    if "is_total" in frame.columns:
+        totals = frame.filter("is_total").select(*keys, F.col("total_cnt").alias("all_cnt"))
+        return frame.filter(~F.col("is_total")).drop("is_total").join(totals, list(keys))
     return frame.withColumn("all_cnt", F.sum("total_cnt").over(W.partitionBy(*keys)))
 
 

@@ -628,6 +628,19 @@ def _shares(ws: Workspace) -> DataFrame:
     return stats.with_period_total(frame, ["ym"]).select("ym", "pr_id", "total_cnt", "all_cnt")
 
 
+def _written_shares(ws: Workspace) -> DataFrame:
+    """Codes and totals from one pass, some rows without a code, joined from the written table."""
+    hours = ws.get("rt_pr_hh24_clean").filter(C("tx_dt").isNotNull()).withColumn("pr_id", F.nullif("pr_id", F.lit("2-HIGH")))
+    frame, path = stats.code_totals(stats.monthly(stats.day_frame(hours)), ["ym"]), scratch_dir(ws.spark, "totals")
+    frame.write.parquet(path)
+    written = ws.spark.read.schema(frame.schema).parquet(path)
+    return stats.with_period_total(written, ["ym"]).select("ym", "pr_id", "total_cnt", "all_cnt", "active_days")
+
+
+add("j7_totals_by_grouping_sets", on(_written_shares), """
+SELECT ym, c AS pr_id, CAST(sum(tx_cnt) AS BIGINT) AS total_cnt, any_value(all_cnt) AS all_cnt, count(DISTINCT tx_dt) AS active_days
+FROM (SELECT *, nullif(pr_id, '2-HIGH') AS c FROM month_hours)
+JOIN (SELECT ym, CAST(sum(tx_cnt) AS BIGINT) AS all_cnt FROM month_hours GROUP BY ym) USING (ym) GROUP BY ym, c""")
 add("j7_month_total", on(_shares), """
 SELECT ym, pr_id, CAST(sum(tx_cnt) AS BIGINT) AS total_cnt, any_value(all_cnt) AS all_cnt
 FROM month_hours JOIN (SELECT ym, CAST(sum(tx_cnt) AS BIGINT) AS all_cnt FROM month_hours GROUP BY ym) USING (ym) GROUP BY ALL""")
@@ -835,3 +848,14 @@ add("u1_sql_macros", on(_macros), f"""
 SELECT pr_id, tx_dt, strftime(tx_dt, '%G-%V') AS iso_yw, round(ok_cnt * 100.0 / nullif(total_cnt, 0), 2) AS ok_rate,
        {oracle.republic('tx_dt')} AS day, concat(CAST(round(fail_cnt * 100.0 / nullif(total_cnt, 0), 2) AS VARCHAR), '%') AS share
 FROM v1""")
+
+
+BETWEEN = f"(DATE'{oracle.P.range_start_date}', DATE'{oracle.P.range_end_date}')"
+IN_BETWEEN = f"tx_dt BETWEEN DATE '{oracle.P.range_start_date}' AND DATE '{oracle.P.range_end_date}'"
+add("u1_table_functions", on(lambda ws: ws.sql(f"""
+    SELECT h.tx_dt, h.pr_id, sum(h.tx_cnt) AS hour_cnt, max(t.avg_tm_ms) AS day_ms, max(c.total_cnt) AS day_cnt
+    FROM rt_pr_hh24_between{BETWEEN} h LEFT JOIN rt_tmspt_between{BETWEEN} t ON h.pr_id = t.pr_id AND h.tx_dt = t.tx_dt
+    LEFT JOIN rt_cnt_between{BETWEEN} c ON h.pr_id = c.pr_id AND h.tx_dt = c.tx_dt GROUP BY h.tx_dt, h.pr_id""")), f"""
+SELECT h.tx_dt, h.pr_id, CAST(sum(h.tx_cnt) AS BIGINT) AS hour_cnt, max(t.avg_tm_ms) AS day_ms, max(c.total_cnt) AS day_cnt
+FROM (SELECT * FROM v3 WHERE {IN_BETWEEN}) h LEFT JOIN v2 t ON h.pr_id = t.pr_id AND h.tx_dt = t.tx_dt
+LEFT JOIN v1 c ON h.pr_id = c.pr_id AND h.tx_dt = c.tx_dt GROUP BY h.tx_dt, h.pr_id""")

@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tallyworks.plans import batch, exports, reports
+from tallyworks.plans import batch, exports, ranges, reports
 from tallyworks.plans.workspace import DATASETS, Workspace
 from tallyworks.proof import oracle, proxies
 
@@ -98,6 +98,16 @@ def test_written_months_are_pruned(spark, landed, tmp_path):
     assert "Window" not in text
 
 
+def test_reports_of_a_run_read_codes_and_totals_from_one_pass(landed, tmp_path):
+    run = batch.write_silver(landed, oracle.P, str(tmp_path))
+    for build in (reports.all_categories, reports.top_updates, reports.month_over_month, reports.range_details,
+                  reports.range_details_compared, reports.range_volume_compared):
+        frame = build(run, oracle.P)
+        assert "Window" not in plan(frame) and "rt_pr_hh24_clean" not in plan(frame)
+        rows = sorted(map(str, frame.collect()))
+        assert rows and rows == sorted(map(str, build(landed, oracle.P).collect()))
+
+
 def test_a_date_range_reads_the_landed_days_that_can_hold_it(landed):
     first, last = dt.date(1998, 5, 1), dt.date(1998, 5, 31)
     for frame in (landed.between("monthly_transaction_stats", first, last),
@@ -109,3 +119,32 @@ def test_a_date_range_reads_the_landed_days_that_can_hold_it(landed):
     for name in ("rt_cnt_daily", "rt_cnt_monthly", "rt_cnt_daily_with_tmspt"):
         whole = landed.get(name).filter("ym = '1998-05'")
         assert sorted(map(str, landed.between(name, first, last).collect())) == sorted(map(str, whole.collect()))
+
+
+RANGE = "(DATE'1998-05-01', DATE'1998-05-31')"
+
+
+@pytest.mark.parametrize("name", [*ranges.RANGED, *ranges.DAYS])
+def test_table_functions_give_what_between_gives(landed, name):
+    first, last = dt.date(1998, 5, 1), dt.date(1998, 5, 31)
+    dataset = ranges.DAYS.get(name) or ranges.RANGED[name].dataset
+    frame, expected = landed.sql(f"SELECT * FROM {name}{RANGE}"), landed.between(dataset, first, last)
+    assert frame.columns == expected.columns
+    rows = sorted(map(str, frame.collect()))
+    assert rows and rows == sorted(map(str, expected.collect()))
+
+
+def test_table_functions_read_the_landed_days_that_can_hold_the_range(spark, landed):
+    for name in (n for n, ranged in ranges.RANGED.items() if ranged.keyed):
+        text = plan(landed.sql(f"SELECT * FROM {name}{RANGE}"))
+        assert re.search(r"PartitionFilters: \[[^\]]*\(_dt >= 19980501\)[^\]]*\(_dt <= 1999", text), text
+        assert text.count("Exchange hashpartitioning") <= 1 and "Join" not in text
+    joined = landed.sql(f"""SELECT h.pr_id, sum(h.tx_cnt) AS n, max(c.total_cnt) AS most FROM rt_pr_hh24_between{RANGE} h
+        JOIN rt_cnt_between{RANGE} c ON h.pr_id = c.pr_id AND h.tx_dt = c.tx_dt GROUP BY h.pr_id""")
+    assert joined.count()
+    assert landed.sql("SELECT * FROM rt_cnt_between(NULL, DATE'1998-05-31')").count() == 0
+
+
+def test_table_functions_of_sheets_that_have_not_landed(spark, landed):
+    some = Workspace(spark, {"rt_cnt": landed.get("rt_cnt")})
+    assert ranges.register(some) == ["rt_cnt_between", "rt_cnt_daily_between"]
