@@ -96,8 +96,16 @@ def month_start(day: Column) -> Column:
     return F.trunc(day, "month")
 
 
+def month_end(day: Column) -> Column:
+    return F.last_day(day)
+
+
 def days_in_month(day: Column) -> Column:
-    return F.dayofmonth(F.last_day(day))
+    return F.dayofmonth(month_end(day))
+
+
+def hour_of(stamp: Column) -> Column:
+    return F.hour(stamp)
 
 
 def republic_date(day: Column) -> Column:

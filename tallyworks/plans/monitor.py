@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from tallyworks.functions import calendar
 from tallyworks.operators.lookup import lookup_left
 from tallyworks.operators.measures import max_of, mean_of, merge, min_of, states
 
@@ -28,12 +29,12 @@ def server_samples(log: DataFrame) -> DataFrame:
     return log.filter(F.col("monitor_kind") == "SERVER").withColumns({
         "used_disk": F.col("total_disk") - F.col("free_disk"),
         "used_mem": F.col("total_mem") - F.col("free_mem"),
-        "log_date": F.col("log_createtime").cast("date"), "log_hour": F.hour("log_createtime")})
+        "log_date": F.col("log_createtime").cast("date"), "log_hour": calendar.hour_of(F.col("log_createtime"))})
 
 
 def jvm_samples(log: DataFrame) -> DataFrame:
     return log.filter((F.col("monitor_kind") == "JVM") & F.col("used_heap_mem").isNotNull()).withColumns({
-        "log_date": F.col("log_createtime").cast("date"), "log_hour": F.hour("log_createtime")})
+        "log_date": F.col("log_createtime").cast("date"), "log_hour": calendar.hour_of(F.col("log_createtime"))})
 
 
 def host_states(samples: DataFrame, hourly: bool) -> DataFrame:

@@ -90,12 +90,17 @@ def rt_cnt_monthly(clean: DataFrame) -> DataFrame:
                    calendar.days_in_month(F.col("month_start")))
 
 
+def without_codes(clean: DataFrame, excluded: Sequence[str]) -> DataFrame:
+    """Rows of other codes; rows without a code drop as well."""
+    return clean.filter(~F.col("pr_id").isin(*excluded))
+
+
 def rt_cnt_monthly_without(clean: DataFrame, excluded: Sequence[str]) -> DataFrame:
     """Month rollup over all codes but the excluded; rows without a code drop as well.
 
     The peak is the largest single row of one code and day, not the largest day total.
     """
-    days = day_counts(clean.filter(~F.col("pr_id").isin(*excluded)))
+    days = day_counts(without_codes(clean, excluded))
     days = days.withColumn("month_start", calendar.month_start(F.col("tx_dt")))
     months = days.groupBy("month_start").agg(*_rollup(F.count_distinct("tx_dt")))
     return _finish(months, _month_keys(), "avg_per_month_day",

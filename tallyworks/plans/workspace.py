@@ -48,7 +48,7 @@ class Workspace:
         if registry:
             frames["registry"] = read_registry(spark, registry)
         if cfg_codes:
-            frames["cfg_codes"] = read_delimited(spark, cfg_codes)
+            frames["cfg_codes"] = read_delimited(spark, cfg_codes, typed=True)
         ws = cls(spark, frames, **options)
         ws.lake = lake
         return ws

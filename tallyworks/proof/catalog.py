@@ -88,6 +88,21 @@ def _passed_through(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 add("v17_cfg_pr_info", _passed_through, "SELECT * FROM v17")
 
+
+def _sniffed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "cfg")
+    rows = proxies.table(spark, sf_dir, "customer").withColumn("since", F.date_add(F.lit("1990-01-01").cast("date"), C("c_nationkey")))
+    rows.write.csv(path, header=True, sep=";")
+    frame = lake.read_delimited(spark, path, typed=True)
+    types = F.lit(",".join(f"{field.name} {field.dataType.simpleString()}" for field in frame.schema))
+    return frame.withColumn("types", types)
+
+
+add("v17_cfg_pr_info_typed", _sniffed, """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment,
+       DATE '1990-01-01' + CAST(c_nationkey AS INT) AS since,
+       'c_custkey bigint,c_name string,c_nationkey bigint,c_acctbal double,c_mktsegment string,since date' AS types FROM customer""")
+
 # ---------------------------------------------------------------- scans and sinks
 
 
@@ -402,7 +417,7 @@ add("p1_rename", on(lambda ws: lake.english(with_headers(ws.get("rt_cnt"), SHEET
 add("p2_star_and_derived", on(lambda ws: monitor.server_samples(ws.get("monitor_log"))),
     f"""SELECT *, total_disk - free_disk AS used_disk, total_mem - free_mem AS used_mem,
         CAST(log_createtime AS DATE) AS log_date, {oracle.HOUR} FROM v11 WHERE monitor_kind = 'SERVER'""")
-add("p3_trim", on(lambda ws: ws.get("rt_pr_hh24").select(F.trim("pr_id").alias("pr_id"), "caltm", "_dt")),
+add("p3_trim", on(lambda ws: clean.rt_pr_hh24_clean(ws.get("rt_pr_hh24"), all_versions=True).select("pr_id", "caltm", "_dt")),
     "SELECT trim(pr_id) AS pr_id, caltm, _dt FROM rt_pr_hh24")
 add("p4_file_date", on(lambda ws: ws.get("rt_cnt").select("caldy", "pr_id", "_dt",
                                                           calendar.file_date(C("_dt")).alias("file_dt"))),
@@ -443,7 +458,7 @@ add("p8_year_repair", source("orders", lambda: ["o_orderkey", calendar.latest_no
 add("p9_preferred_date", over("rt_cnt_clean", "pr_id", "caldy", "_dt", "first_tx_raw", "tx_dt"),
     "SELECT pr_id, caldy, _dt, first_tx_raw, tx_dt FROM v1")
 add("p10_date_parts", over("rt_cnt_clean", lambda: ["pr_id", "tx_dt", "tx_year", "tx_month", "tx_day",
-                           F.hour("tx_ts_last").alias("last_hour")]),
+                           calendar.hour_of(C("tx_ts_last")).alias("last_hour")]),
     "SELECT pr_id, tx_dt, tx_year, tx_month, tx_day, CAST(hour(tx_ts_last) AS INT) AS last_hour FROM v1")
 add("p11_date_text", source("orders", lambda: ["o_orderkey", calendar.day_text(order_day()).alias("day"),
                             calendar.month_text(order_day()).alias("month"), calendar.year_text(order_day()).alias("year"),
@@ -517,7 +532,7 @@ add("p25_week_bounds", over("rt_cnt_weekly", "year", "iso_yw", "pr_id", "week_st
     """SELECT year, iso_yw, pr_id, CAST(strptime(iso_yw || '-1', '%G-%V-%u') AS DATE) AS week_start,
        CAST(strptime(iso_yw || '-7', '%G-%V-%u') AS DATE) AS week_end FROM v7""")
 add("p26_month_bounds", source("orders", lambda: ["o_orderkey", calendar.month_start(order_day()).alias("first"),
-                               F.last_day(order_day()).alias("last"), calendar.days_in_month(order_day()).alias("days")]),
+                               calendar.month_end(order_day()).alias("last"), calendar.days_in_month(order_day()).alias("days")]),
     """SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS first, last_day(o_orderdate) AS last,
        CAST(day(last_day(o_orderdate)) AS INT) AS days FROM orders""")
 add("p27_percentage", source("lineitem", lambda: ["l_orderkey", "l_linenumber", numbers.percentage(
@@ -542,9 +557,8 @@ add("p34_text_to_date", over("rt_cnt_daily", lambda: ["pr_id", C("tx_date").cast
 
 # ---------------------------------------------------------------- filters
 
-add("f1_present_host", on(lambda ws: ws.get("mon_log").withColumn(
-        "target_ip", F.when(C("target_ip") != "10.0.0.3", C("target_ip")).otherwise(F.lit("")))
-        .filter((C("target_ip") != "") & C("monitor_kind").isNotNull()).select("_file", "target_ip")),
+add("f1_present_host", on(lambda ws: clean.log_rows(ws.get("mon_log").withColumn(
+        "target_ip", F.when(C("target_ip") != "10.0.0.3", C("target_ip")).otherwise(F.lit("")))).select("_file", "target_ip")),
     "SELECT _file, target_ip FROM mon_log WHERE target_ip <> '10.0.0.3' AND monitor_kind IS NOT NULL")
 add("f2_server_rows", on(lambda ws: monitor.server_samples(ws.get("monitor_log")).select("source_file", "target_ip")),
     "SELECT source_file, target_ip FROM v11 WHERE monitor_kind = 'SERVER'")
@@ -559,7 +573,7 @@ def _with_bad_keys(ws: Workspace) -> DataFrame:
 
 
 add("f4_drop_undated", on(_with_bad_keys), "SELECT pr_id, tx_dt, avg_tm_sec FROM v2 WHERE day(tx_dt) <> 7")
-add("f5_excluded_code", on(lambda ws: ws.get("rt_cnt_clean").filter(~C("pr_id").isin(*ws.excluded_codes))
+add("f5_excluded_code", on(lambda ws: rollups.without_codes(ws.get("rt_cnt_clean"), ws.excluded_codes)
                            .select("pr_id", "tx_dt", "total_cnt")),
     f"SELECT pr_id, tx_dt, total_cnt FROM v1 WHERE pr_id NOT IN ('{proxies.EXCLUDED[0]}')")
 add("f6_trailing_window", on(lambda ws: trailing_days(ws.get("rt_cnt_clean").select("pr_id", "tx_dt", "total_cnt"),
@@ -698,8 +712,8 @@ add("a13_jvm_day", over("monitor_daily_jvm", "*"), "SELECT * FROM v14")
 add("a14_jvm_hour", over("monitor_hourly_jvm", "*"), "SELECT * FROM v15")
 add("a15_distinct_registry", on(lambda ws: monitor.port_applications(ws.get("registry_info"))),
     "SELECT DISTINCT application, ipaddr, port FROM v18")
-add("a16_group_by_alias", on(lambda ws: ws.get("rt_pr_hh24_clean").groupBy(
-        calendar.month_text(C("tx_dt")).alias("year_month"), "pr_id").agg(F.count(F.lit(1)).alias("hours"))),
+add("a16_group_by_alias", on(lambda ws: ws.sql(
+        "SELECT left(tx_dt_str, 7) AS year_month, pr_id, count(*) AS hours FROM rt_pr_hh24_clean GROUP BY year_month, pr_id")),
     "SELECT left(tx_dt_str, 7) AS year_month, pr_id, count(*) AS hours FROM v3 GROUP BY ALL")
 add("a17_pivot", on(lambda ws: spread(reports.history_totals(ws, oracle.P), ["pr_id"], "ym", [F.sum("total_cnt")],
                                       "history totals")), "SELECT * FROM r13")
