@@ -2,10 +2,13 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tallyworks.llm import substrings
+from tallyworks.llm.queries import SQL
 from tests.llm.conftest import SF
 
 W = 50
@@ -93,3 +96,24 @@ def test_odd_rows(docs_of, odd_texts):
     assert substrings.repeats(docs.filter("false")).collect() == []
     assert substrings.without_repeats(docs.filter("false")).collect() == []
     assert substrings.without_repeats(docs).count() == docs.count()
+
+
+def test_query_matches_sql(spark):
+    """The SQL is another way to the same words: it compares whole passages."""
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    expected = connection.execute(SQL["op6_substrings"]).fetchall()
+    found = [tuple(row) for row in substrings.op6_substrings(spark, SF).collect()]
+    assert sorted(found) == sorted(expected) and any(row[2] for row in found)
+
+
+def test_sql_on_edge_rows(spark, odd_texts):
+    passage = " ".join(f"w{i % 17}" for i in range(60))
+    texts = [*odd_texts, passage, f"lead {passage}  tail", None, passage]
+    rows = pd.DataFrame({"doc_id": range(len(texts)), "text": pd.Series(texts, dtype=object)})
+    connection = duckdb.connect()
+    connection.register("documents", rows)
+    expected = connection.execute(SQL["op6_substrings"]).fetchall()
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = [tuple(r) for r in substrings.repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()]
+    assert sorted(found) == sorted(expected)
