@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyworks.operators.trailing import trailing_days
 from tallyworks.plans import clean, monitor
 from tallyworks.plans.workspace import Workspace
+from tallyworks.session import AT_ONCE, at_once
 from tallyworks.sources.csvout import write_csv
 from tallyworks.sources.schemas import LABELS
 
@@ -134,26 +135,34 @@ def write_rollups(ws: Workspace, path: str) -> dict[str, DataFrame]:
     those days, rather than once per extract and window bound over all history.
     """
     index, days = ws.log_index(), max(WINDOW_DAYS.values())
-    hosts = monitor.host_states(recent_samples(ws, "SERVER", index, days), hourly=True)
-    jvms = monitor.jvm_states(recent_samples(ws, "JVM", index, days), hourly=True)
-    tables = {}
-    for name, hours in (("host_hours", hosts), ("jvm_hours", jvms)):
-        hours.write.mode("overwrite").parquet(f"{path}/{name}")
-        tables[name] = ws.spark.read.schema(hours.schema).parquet(f"{path}/{name}")
-    return monitor.four_rollups(tables["host_hours"], tables["jvm_hours"], ws.get("registry_info"))
+    states = {"SERVER": monitor.host_states, "JVM": monitor.jvm_states}
+
+    def write(kind: str) -> DataFrame:
+        hours, target = states[kind](recent_samples(ws, kind, index, days), hourly=True), f"{path}/{kind.lower()}_hours"
+        hours.write.mode("overwrite").parquet(target)
+        return ws.spark.read.schema(hours.schema).parquet(target)
+
+    hosts, jvms = at_once(ws.spark, write, states)
+    return monitor.four_rollups(hosts, jvms, ws.get("registry_info"))
 
 
 def run_exports(ws: Workspace, out: str, work: str, tasks: tuple[ExportTask, ...] = TASKS) -> DataFrame:
-    """Write every extract; an empty one is flagged and not written."""
+    """Write every extract; an empty one is flagged and not written.
+
+    Extracts run at the same time, or one by one if two go to the same file, so that the last one stays.
+    """
     if not tasks:
         raise ValueError("no export tasks")
     rollups = write_rollups(ws, work)
-    done = []
-    for task in tasks:
+
+    def deliver(task: ExportTask) -> tuple:
         source = rollups[task.dataset] if task.dataset in rollups else ws.get(task.dataset)
         table = export_rows(source, task.kind, task.max_rows)
         total = recent_rows(source, task.kind).count()
         rows = write_csv(table, f"{out}/{task.file_name}", LABELS["monitor"], bounded=task.max_rows is not None) if total else 0
-        done.append((task.dataset, task.file_name, task.kind, rows, not total, total, rows < total))
+        return (task.dataset, task.file_name, task.kind, rows, not total, total, rows < total)
+
+    apart = len({task.file_name for task in tasks}) == len(tasks)
+    done = at_once(ws.spark, deliver, tasks, AT_ONCE if apart else 1)
     return ws.spark.createDataFrame(done, "dataset string, file_name string, kind string, rows_written bigint, "
                                           "is_empty boolean, total_rows bigint, truncated boolean")

@@ -351,6 +351,16 @@ def test_task_files_and_row_limits(spark, workspace, tmp_path):
     assert (row.rows_written, row.total_rows, row.truncated) == (0, 1, True)
 
 
+def test_of_two_extracts_to_one_file_the_last_stays(spark, workspace, tmp_path):
+    tasks = (exports.ExportTask("monitor_hourly", "same", "hourly"), exports.ExportTask("monitor_daily", "same", "daily"))
+    status = exports.run_exports(workspace, str(tmp_path / "out"), str(tmp_path / "work"), tasks).collect()
+    assert [(r.dataset, r.rows_written) for r in status] == [("monitor_hourly", 1), ("monitor_daily", 1)]
+    daily = exports.run_exports(workspace, str(tmp_path / "alone"), str(tmp_path / "alone-work"), tasks[1:])
+    assert daily.count() == 1
+    found, expected = (csvout.read_csv(spark, str(tmp_path / folder / "same")) for folder in ("out", "alone"))
+    assert found.columns == expected.columns and found.collect() == expected.collect()
+
+
 def test_a_damaged_file_fails_its_report_only(spark, workspace, tmp_path):
     bad = tmp_path / "bad"
     bad.mkdir()
