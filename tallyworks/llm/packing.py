@@ -1,8 +1,9 @@
 """Best-fit packing of token runs into fixed-length sequences, improved by swap-based local search.
 
 Text becomes ids chunk by chunk: white space is dropped by the tokenizer and no token crosses it, so the ids
-of a chunk between ASCII white space never depend on its neighbours and are kept in a bounded
-table per worker. Pieces are then dealt at random into groups of bounded size. A group is packed by
+of a chunk between ASCII white space never depend on its neighbours. A worker takes some megabytes of text at a time, looks up
+each different chunk of them once, and keeps the ids in a bounded table.
+Pieces are then dealt at random into groups of bounded size. A group is packed by
 best fit, longest first; then the least filled bin gives its pieces away by moves, one-for-one and
 two-for-one exchanges, each of which raises the sum of squared fills, until it is empty or none is left.
 The pieces of each group's underfull bins are dealt and packed once more, so that the loss is one bin per
@@ -16,33 +17,41 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import quoted, table, written
 
-#: Chunks whose ids a worker keeps at least, and twice as many at most.
-KEPT_CHUNKS = 250_000
+#: Parts whose ids a worker keeps at least, and twice as many and those at hand at most.
+KEPT_PARTS = 500_000
+#: Bytes of text that a worker encodes at a time, about.
+AT_HAND = 1 << 22
+LETTERS, MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", "[.,;:!?*&%$#\"()]"
 #: Latin-1 letters, then marks that the tokenizer parts from them.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*&%$#\"()]*)")
+PLAIN = f"^(?P<letters>{LETTERS})(?P<marks>{MARKS}*)$"
+#: What is one pre-token.
+PART = re.compile(f"{LETTERS}|{MARKS}+")
+NOTHING = pa.scalar(b"", pa.large_binary())
+GAP_BYTE = re.compile(rb"[\x20\x09-\x0D]")
 #: Pieces of one packing group, about.
 GROUP = 4096
 PIECES = "piece int, start long, length long, ids_crc32 long, ids binary"
 
 
-class ChunkIds(dict):
-    """Little-endian 32-bit ids by chunk of bytes.
+class ChunkIds:
+    """Little-endian 32-bit ids of chunks.
 
     A chunk of Latin letters and closing marks has the ids of its lower-case letters, then those of the marks, because the
-    tokenizer parts them; so letters are encoded once for all cases and marks. Both tables keep two
-    generations: when the newer is full, the older goes.
+    tokenizer parts them; so letters are encoded once for all cases and marks. Letters, marks and other whole chunks are
+    the parts that are kept, in two generations: when the newer is full, the older goes.
     """
 
     def __init__(self, path: str):
@@ -50,47 +59,56 @@ class ChunkIds(dict):
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
-        self.older: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
-        self.older_cores: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        ids = self.encoder.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def learn(self, chunks: set[bytes]) -> None:
-        """Makes the ids of all ``chunks`` known."""
-        if len(self) >= KEPT_CHUNKS:
-            self.older = dict(self)
-            self.clear()
-        if len(self.cores) >= KEPT_CHUNKS:
-            self.older_cores, self.cores = self.cores, {}
-        parted, new = [], {}
-        for chunk in [c for c in chunks if c not in self]:
-            if (ids := self.older.get(chunk)) is not None:
-                self[chunk] = ids
-                continue
-            text = chunk.decode()
-            if not (m := PLAIN.fullmatch(text)):
-                self[chunk] = self.encode(text)
-                continue
-            core, marks = m[1].lower(), m[2]
-            for part in (core, marks) if marks else (core,):
-                if part not in self.cores:
-                    if (ids := self.older_cores.get(part)) is not None:
-                        self.cores[part] = ids
-                    else:
-                        new[part] = None
-            parted.append((chunk, core, marks))
-        if new:  # one call; every part is one pre-token, so the pre-token numbers tell the parts' ids
-            found = self.encoder.encode(" ".join(new), add_special_tokens=False)
-            runs: list[list[int]] = [[] for _ in new]
-            for i, part in zip(found.ids, found.word_ids):
-                runs[part].append(i)
-            for part, ids in zip(new, runs):
-                self.cores[part] = struct.pack(f"<{len(ids)}I", *ids)
-        for chunk, core, marks in parted:
-            self[chunk] = self.cores[core] + (self.cores[marks] if marks else b"")
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def of_texts(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text. Equal chunks of all the texts are looked up once."""
+        chunks = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        coded = chunks.values.dictionary_encode()
+        runs = self.of_chunks(coded.dictionary).take(coded.indices)
+        if not len(runs):
+            return [b""] * len(texts)
+        _, ends, data = runs.buffers()  # the ids of all chunks, one after another
+        at = np.frombuffer(ends, "<i8", len(runs) + 1)[chunks.offsets.to_numpy()].tolist()
+        return [data[start:end].to_pybytes() for start, end in zip(at, at[1:])]
+
+    def of_chunks(self, chunks: pa.StringArray) -> pa.LargeBinaryArray:
+        plain = pc.extract_regex(chunks, PLAIN)
+        letters = pc.coalesce(pc.utf8_lower(pc.struct_field(plain, "letters")), chunks)
+        marks = pc.fill_null(pc.struct_field(plain, "marks"), "")
+        return pc.binary_join_element_wise(self.of_parts(letters), self.of_parts(marks), NOTHING)
+
+    def of_parts(self, parts: pa.StringArray) -> pa.LargeBinaryArray:
+        coded = parts.dictionary_encode()
+        parts = coded.dictionary.to_pylist()
+        found = list(map(self.newer.get, parts))
+        if missing := [part for part, ids in zip(parts, found) if ids is None]:
+            self.learn(missing)
+            newer = self.newer
+            found = [newer[part] if ids is None else ids for part, ids in zip(parts, found)]
+        return pa.array(found, pa.large_binary()).take(coded.indices)
+
+    def learn(self, missing: list[str]) -> None:
+        """Puts the ids of parts that are not in the newer table there."""
+        if len(self.newer) >= KEPT_PARTS:
+            self.older, self.newer = self.newer, {}
+        newer, older = self.newer, self.older
+        new = []
+        for part in missing:
+            if (ids := older.get(part)) is not None:
+                newer[part] = ids
+            elif PART.fullmatch(part):
+                new.append(part)
+            else:
+                newer[part] = np.array(self.encoder.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+        for k in range(0, len(new), 1000):  # one call for many; the pre-token numbers tell their ids
+            some = new[k : k + 1000]
+            found = self.encoder.encode(" ".join(some), add_special_tokens=False)
+            run = np.array(found.ids, "<u4").tobytes()
+            ends = (4 * np.searchsorted(found.word_ids, np.arange(len(some)), "right")).tolist()
+            for part, start, end in zip(some, [0, *ends], ends):
+                newer[part] = run[start:end]
 
 
 @lru_cache(2)
@@ -98,10 +116,28 @@ def chunk_ids(path: str) -> ChunkIds:
     return ChunkIds(path)
 
 
-def token_bytes(data: bytes, ids: ChunkIds) -> bytes:
-    chunks = data.split()
-    ids.learn(set(chunks))
-    return b"".join(map(ids.__getitem__, chunks))
+def cut_at_gaps(data: bytes) -> Iterator[bytes]:
+    at = 0
+    while gap := GAP_BYTE.search(data, at + AT_HAND):
+        yield data[at : gap.start()]
+        at = gap.start()
+    yield data[at:]
+
+
+def token_runs(texts: Iterable[bytes], ids: ChunkIds) -> Iterator[bytes]:
+    """The ids of each text; short texts are taken together, long ones chunk after chunk."""
+    group, size = [], 0
+    for data in texts:
+        if group and size + len(data) > AT_HAND:
+            yield from ids.of_texts(group)
+            group, size = [], 0
+        if len(data) > AT_HAND:
+            yield b"".join(ids.of_texts([part])[0] for part in cut_at_gaps(data))
+        else:
+            group.append(data)
+            size += len(data)
+    if group:
+        yield from ids.of_texts(group)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int = 0, keep_ids: bool = False) -> DataFrame:
@@ -112,8 +148,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int = 0,
         ids, end, step = chunk_ids(tokenizer), end_id.to_bytes(4, "little"), 4 * length
         for batch in batches:
             rows = []
-            for doc, data in zip(batch.column(0), batch.column(1).to_pylist()):
-                run, doc = token_bytes(data or b"", ids) + end, doc.as_py()
+            texts = (data or b"" for data in batch.column(1).to_pylist())
+            for doc, run in zip(batch.column(0), token_runs(texts, ids)):
+                run, doc = run + end, doc.as_py()
                 for k in range(0, len(run), step):
                     part = run[k : k + step]
                     rows.append((doc, k // step, k // 4, len(part) // 4, zlib.crc32(part), part if keep_ids else None))

@@ -1,4 +1,5 @@
 import random
+import struct
 import zlib
 
 import pytest
@@ -75,3 +76,49 @@ def test_exchanges_beat_best_fit():
 def test_empty(docs_of, texts):
     rows = packing.pack_documents(docs_of(texts), packing.word_tokenizer()).collect()
     assert [(r.length, r.offset) for r in rows] == [(1, 0)] * len(texts)
+
+
+def ids_of(texts):
+    encoder = Tokenizer.from_file(packing.word_tokenizer())
+    found = [encoder.encode(text, add_special_tokens=False).ids for text in texts]
+    return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
+
+
+class Counted:
+    def __init__(self, encoder):
+        self.encoder, self.calls = encoder, 0
+
+    def encode(self, *args, **options):
+        self.calls += 1
+        return self.encoder.encode(*args, **options)
+
+
+def test_chunks_of_many_texts_are_encoded_in_one_call():
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdeé", k=7)) + rng.choice(["", ".", "!!"]) for _ in range(5)) for _ in range(150)]
+    ids = packing.ChunkIds(packing.word_tokenizer())
+    ids.encoder = Counted(ids.encoder)
+    runs = list(packing.token_runs([t.encode() for t in texts], ids))
+    assert ids.encoder.calls <= 3  # letters, marks; one call a text before
+    assert runs == ids_of(texts)
+    assert list(packing.token_runs([t.upper().encode() for t in texts], ids)) == runs and ids.encoder.calls <= 3
+
+
+def test_long_text_and_bounded_table(monkeypatch):
+    monkeypatch.setattr(packing, "KEPT_PARTS", 30)
+    monkeypatch.setattr(packing, "AT_HAND", 200)
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefgß", k=6)) for _ in range(200)]
+    texts = ["", " ", "".join(words), *[" ".join(rng.choices(words, k=n)) for n in (1, 400, 3, 0, 20, 60)], " \n".join(words)]
+    ids = packing.ChunkIds(packing.word_tokenizer())
+    for run, right in zip(packing.token_runs([t.encode() for t in texts], ids), ids_of(texts), strict=True):
+        assert run == right
+        assert max(len(ids.newer), len(ids.older)) <= 30 + 200
+
+
+def test_every_low_character_in_a_chunk():
+    texts = [f"{left}{chr(c)}{right}" for c in range(0x250) for left, right in (("Ab", "cD"), ("", "e."), ("Ñ!", ""))]
+    texts += ["<|endoftext|>", "a<|startoftext|>b", "<|ENDOFTEXT|>.", "I'LL don't", "A\u0301. a\u0307 İ"]
+    ids = packing.ChunkIds(packing.word_tokenizer())
+    assert list(packing.token_runs([t.encode() for t in texts], ids)) == ids_of(texts)
+    assert list(packing.token_runs([b"", b""], ids)) == [b"", b""] and list(packing.token_runs([], ids)) == []
